@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mix, quality
+from . import chat, decontaminate, mix, quality, tokenstore
+
+
+#: The vocabulary file of op3; a parameter of the operator, never copied here.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +26,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"))
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenstore.encoded(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken(table(spark, sf_dir, "documents"))
 
