@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, licences, mix, passages, quality, tokenstore
+from . import chat, decontaminate, jaccard, langid, licences, mix, passages, quality, tokenstore
 
 
 #: The vocabulary file of op3; a parameter of the operator, never copied here.
@@ -42,6 +42,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.find(table(spark, sf_dir, "documents"))
 
