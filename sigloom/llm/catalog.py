@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard, langid, licences, mix, passages, quality, tokenstore
+import corpus_pipeline
+
+from . import chat, decontaminate, jaccard, langid, licences, mix, pages, passages, quality, tokenstore
 
 
 #: The vocabulary file of op3; a parameter of the operator, never copied here.
@@ -42,6 +44,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
@@ -56,7 +62,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
-    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0]))) | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
