@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import scalar
 
 
-def parse_pages(pages: DataFrame, schema: T.StructType, body: str = "body") -> tuple[DataFrame, DataFrame]:
+def parse_pages(pages: DataFrame, schema: str, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """(parsed pages, quarantined pages). A page that isn't valid JSON, or has no alerts array, is quarantined, never lost."""
     parsed = pages.withColumn("_p", F.from_json(body, schema, {"mode": "PERMISSIVE"}))
     bad = F.col("_p").isNull() | F.col("_p.alerts").isNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -16,11 +16,14 @@ from ..sources import tables
 from . import signals as S
 from .registry import ORACLES, QUERIES, query, table
 
-SINCE = F.lit(S.SINCE).cast("timestamp_ntz")
 KEPT_SQL = f"""{S.DELIVERED_SQL}, stopped as (select min(page * 1000000 + pos) as stop from delivered where ts < timestamp '{S.SINCE}'),
   kept as (select delivered.* from delivered, stopped where stop is null or page * 1000000 + pos < stop)"""
 
 
+def since() -> Column:
+    return F.lit(S.SINCE).cast("timestamp_ntz")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared one that the session names, else a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sigloom-")
@@ -100,7 +103,7 @@ def p1(spark: SparkSession, sf: str) -> DataFrame:
     rows = S.signals(spark, sf).withColumn("page", F.floor(F.col("doc_id") / 50))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", F.struct("alertId", "alertTimestamp", "headline", "publicPost").alias("s")))), lambda x: x["s"])
     pages = rows.groupBy("page").agg(F.to_json(F.struct(ordered.alias("alerts"), F.lit("x").alias("nextPage"))).alias("body"))
-    good, _ = ingest.parse_pages(pages.unionByName(spark.sql("select cast(-1 as bigint) as page, '{broken' as body")), schemas.page())
+    good, _ = ingest.parse_pages(pages.unionByName(spark.sql("select cast(-1 as bigint) as page, '{broken' as body")), schemas.page_ddl())
     return ingest.flatten(good).select(F.col("page").cast("long").alias("page"), F.col("pos").cast("long").alias("pos"), "alertId", "headline")
 
 
@@ -156,7 +159,7 @@ def p14(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.sha2(text, 256).alias("prompt_sha"))
 
 
-@query("p15_results", S.DELIVERED_SQL + ", one as (select distinct event_id, value from delivered), sc as (select 'a' || event_id as signal_id, event_id, least(value / 50.0, 1.0) as relevance, cast(least(5, 1 + floor(value / 40)) as int) as severity from one) select signal_id, relevance, severity, case when relevance >= 0.5 then 'e' || event_id end as event_id, case when relevance >= 0.5 and severity >= 4 then 'x' || event_id end as alert_id from sc")
+@query("p15_results", S.DELIVERED_SQL + ", each as (select distinct event_id, value from delivered), sc as (select 'a' || event_id as signal_id, event_id, least(value / 50.0, 1.0) as relevance, cast(least(5, 1 + floor(value / 40)) as int) as severity from each) select signal_id, relevance, severity, case when relevance >= 0.5 then 'e' || event_id end as event_id, case when relevance >= 0.5 and severity >= 4 then 'x' || event_id end as alert_id from sc")
 def p15(spark: SparkSession, sf: str) -> DataFrame:
     scored = S.scored(table(spark, sf, "events")).select(F.concat(F.lit("a"), F.col("event_id")).alias("signal_id"), F.col("event_id").alias("i"), "relevance", "severity")
     grouped = ev.relevant(scored).withColumn("event_id", F.concat(F.lit("e"), F.col("i")))
@@ -180,7 +183,7 @@ def f1(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("f2_o1_take_while", KEPT_SQL + "select page, pos, alertId from kept")
 def f2(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.take_while(S.delivered(spark, sf), SINCE).select("page", "pos", "alertId")
+    return ingest.take_while(S.delivered(spark, sf), since()).select("page", "pos", "alertId")
 
 
 @query("f3_page_cap", S.DELIVERED_SQL + "select page, count(*) as n from delivered where page <= 50 group by page")
@@ -286,16 +289,16 @@ def a1(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("a2_high_water", S.DELIVERED_SQL + f", stopped as (select min(page * 1000000 + pos) as stop from delivered where ts < timestamp '{S.SINCE}') select {S.stamp('max(ts)')} as latest from delivered, stopped where stop is null or page * 1000000 + pos <= stop")
 def a2(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.high_water(S.delivered(spark, sf), SINCE).select(S.stamped("latest").alias("latest"))
+    return ingest.high_water(S.delivered(spark, sf), since()).select(S.stamped("latest").alias("latest"))
 
 
 @query("a3_new_signals", KEPT_SQL + "select count(distinct alertId) as n from kept where event_id % 10 <> 3")
 def a3(spark: SparkSession, sf: str) -> DataFrame:
     seen = table(spark, sf, "events").where("event_id % 10 = 3").select(F.concat(F.lit("a"), F.col("event_id")).alias("alertId"))
-    return ingest.unseen(ingest.first_seen(ingest.take_while(S.delivered(spark, sf), SINCE)), seen).agg(F.count("*").alias("n"))
+    return ingest.unseen(ingest.first_seen(ingest.take_while(S.delivered(spark, sf), since())), seen).agg(F.count("*").alias("n"))
 
 
-@query("a4_evidence_reference", "select 'u' || user_id as event_id, 'a' || event_id as signal_id, 1 as n_signals, cast(least(5, 1 + floor(value / 40)) as int) as max_severity, event_type as summaries from events")
+@query("a4_evidence_reference", "select 'u' || user_id as event_id, 'a' || event_id as signal_id, cast(1 as bigint) as n_signals, cast(least(5, 1 + floor(value / 40)) as int) as max_severity, event_type as summaries from events")
 def a4(spark: SparkSession, sf: str) -> DataFrame:
     return ev.evidence(_evidence(spark, sf), "reference").withColumn("summaries", F.array_join("summaries", ",")).select("event_id", "signal_id", "n_signals", "max_severity", "summaries")
 
@@ -345,7 +348,7 @@ def w4s(spark: SparkSession, sf: str) -> DataFrame:
     return _sessions(spark, sf, 6)
 
 
-@query("w5_event_state", f"select event_type, c_nationkey as nation, session, count(*) as n from (select *, sum(fresh) over (partition by event_type, c_nationkey order by ts, event_id) as session from (select event_type, c_nationkey, ts, event_id, case when ts > lag(ts) over (partition by event_type, c_nationkey order by ts, event_id) + interval 6 hours then 1 else 0 end as fresh from events join customer on user_id = c_custkey)) group by all")
+@query("w5_event_state", f"select event_type, c_nationkey as nation, session, count(*) as n from (select *, cast(sum(fresh) over (partition by event_type, c_nationkey order by ts, event_id) as bigint) as session from (select event_type, c_nationkey, ts, event_id, case when ts > lag(ts) over (partition by event_type, c_nationkey order by ts, event_id) + interval 6 hours then 1 else 0 end as fresh from events join customer on user_id = c_custkey)) group by all")
 def w5(spark: SparkSession, sf: str) -> DataFrame:
     rows = ev.numbered_sessions(_located(spark, sf, table(spark, sf, "events")), ["event_type", "nation"], ["ts", "event_id"], 6)
     return rows.groupBy("event_type", "nation", "session").agg(F.count("*").alias("n"))
@@ -385,15 +388,15 @@ def x8(spark: SparkSession, sf: str) -> DataFrame:
     return S.points(spark, sf).select("event_id", F.round(scalar.haversine_km(F.col("lat"), F.col("lon"), F.lit(15.5), F.lit(32.5)), 6).alias("km"))
 
 
-@query("x9_x10_model_answer", "select event_id, case when event_id % 5 = 0 then null else event_id % 6 end as severity, case when event_id % 5 = 0 then null else event_type end as summary from events")
+@query("x9_x10_model_answer", "select event_id, case when event_id % 5 = 0 then -1 else event_id % 6 end as severity, case when event_id % 5 = 0 then '(broken)' else event_type end as summary from events")
 def x9(spark: SparkSession, sf: str) -> DataFrame:
-    """Answers with and without a Markdown fence, some of them broken: parsed, or null."""
+    """Answers with and without a Markdown fence, some of them broken: parsed, or marked."""
     body = F.concat(F.lit('{"severity": '), F.col("event_id") % 6, F.lit(', "summary": "'), F.col("event_type"), F.when(F.col("event_id") % 5 == 0, "").otherwise('"}'))
     text = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("  ```json\n"), body, F.lit("\n```\n"))).otherwise(body)
     answer = F.from_json(scalar.strip_fence(text), "severity LONG, summary STRING, _corrupt_record STRING", {"columnNameOfCorruptRecord": "_corrupt_record"})
     rows = table(spark, sf, "events").withColumn("a", answer)
     good = F.col("a._corrupt_record").isNull()
-    return rows.select("event_id", F.when(good, F.col("a.severity")).alias("severity"), F.when(good, F.col("a.summary")).alias("summary"))
+    return rows.select("event_id", F.when(good, F.col("a.severity")).otherwise(F.lit(-1)).alias("severity"), F.when(good, F.col("a.summary")).otherwise("(broken)").alias("summary"))
 
 
 # --- scorer, documented extras, flagship ------------------------------------------------------
@@ -452,7 +455,7 @@ FLAGSHIP_SQL = KEPT_SQL + f""",
 @query("flagship", FLAGSHIP_SQL)
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Delivery -> take-while -> first seen -> score -> relevance gate -> events -> severity gate -> draft alerts."""
-    fresh = ingest.first_seen(ingest.take_while(S.delivered(spark, sf), SINCE))
+    fresh = ingest.first_seen(ingest.take_while(S.delivered(spark, sf), since()))
     scored = ev.relevant(S.scored(_located(spark, sf, fresh)))
     found = ev.assess(ev.sessions(scored, ["event_type", "nation"], 48)).where("should_alert")
     return found.select("event_type", "nation", "n_signals", "max_severity", S.stamped("first_ts").alias("first_ts"), S.stamped("last_ts").alias("last_ts"), (F.col("max_severity") / F.lit(5.0)).alias("rank"), "status")

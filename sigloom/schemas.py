@@ -1,10 +1,7 @@
-"""Schemas of signals, dimensions, events and alerts."""
+"""Schemas of signals, dimensions, events and alerts, as DDL strings."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
 def signal_ddl(link_field: str = "alertUrl") -> str:
     """One signal as the alert API delivers it; ``link_field`` is the vendor's name of the alert's own link."""
     return (
@@ -19,26 +16,18 @@ def signal_ddl(link_field: str = "alertUrl") -> str:
     )
 
 
-def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-def signal(link_field: str = "alertUrl") -> T.StructType:
-    return schema(signal_ddl(link_field))
-
-
-def page(link_field: str = "alertUrl") -> T.StructType:
-    return T.StructType([T.StructField("alerts", T.ArrayType(signal(link_field))), T.StructField("nextPage", T.StringType())])
+def page_ddl(link_field: str = "alertUrl") -> str:
+    return f"alerts ARRAY<STRUCT<{signal_ddl(link_field)}>>, nextPage STRING"
 
 
 _PLACE = "STRUCT<id: STRING, name: STRING>"
-LOCATION = schema(f"id STRING, name STRING, level INT, parent {_PLACE}, lat DOUBLE, lon DOUBLE")
-DATA_SOURCE = schema("id STRING, name STRING")
-DISASTER_TYPE = schema("id STRING, disasterType STRING, disasterClass STRING, glideNumber STRING")
-STORED_SIGNAL = schema("sourceId STRING, rawData STRING, publishedAt STRING, url STRING, title STRING, description STRING, originId STRING, collectedAt TIMESTAMP, destinationId STRING, locationId STRING")
-EVENT = schema(f"id STRING, signalIds ARRAY<STRING>, title STRING, description STRING, validFrom TIMESTAMP, validTo TIMESTAMP, firstSignalCreatedAt TIMESTAMP, lastSignalCreatedAt TIMESTAMP, types ARRAY<STRING>, rank DOUBLE, originId STRING, originLocation {_PLACE}, destinationLocation {_PLACE}, generalLocation {_PLACE}")
-ALERT = schema("eventId STRING, status STRING")
-CLASSIFICATION = schema("disaster_types ARRAY<STRING>, relevance DOUBLE, severity INT, summary STRING")
-GROUPING = schema("action STRING, event_id STRING, title STRING, description STRING, types ARRAY<STRING>")
-ASSESSMENT = schema("should_alert BOOLEAN, status STRING")
-LEGACY_SIGNAL = schema("eventTime BIGINT, firstAlertURL STRING, publicPost STRUCT<link: STRING>, alertLists ARRAY<STRUCT<name: STRING>>, linkedAlerts ARRAY<STRUCT<parentId: STRING>>, estimatedEventLocation ARRAY<STRING>")
+LOCATION = f"id STRING, name STRING, level INT, parent {_PLACE}, lat DOUBLE, lon DOUBLE"
+DATA_SOURCE = "id STRING, name STRING"
+DISASTER_TYPE = "id STRING, disasterType STRING, disasterClass STRING, glideNumber STRING"
+STORED_SIGNAL = "sourceId STRING, rawData STRING, publishedAt STRING, url STRING, title STRING, description STRING, originId STRING, collectedAt TIMESTAMP, destinationId STRING, locationId STRING"
+EVENT = f"id STRING, signalIds ARRAY<STRING>, title STRING, description STRING, validFrom TIMESTAMP, validTo TIMESTAMP, firstSignalCreatedAt TIMESTAMP, lastSignalCreatedAt TIMESTAMP, types ARRAY<STRING>, rank DOUBLE, originId STRING, originLocation {_PLACE}, destinationLocation {_PLACE}, generalLocation {_PLACE}"
+ALERT = "eventId STRING, status STRING"
+CLASSIFICATION = "disaster_types ARRAY<STRING>, relevance DOUBLE, severity INT, summary STRING"
+GROUPING = "action STRING, event_id STRING, title STRING, description STRING, types ARRAY<STRING>"
+ASSESSMENT = "should_alert BOOLEAN, status STRING"
+LEGACY_SIGNAL = "eventTime BIGINT, firstAlertURL STRING, publicPost STRUCT<link: STRING>, alertLists ARRAY<STRUCT<name: STRING>>, linkedAlerts ARRAY<STRUCT<parentId: STRING>>, estimatedEventLocation ARRAY<STRING>"

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -20,7 +19,7 @@ STATE_CONF = {
 }
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 50) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, schema: str, files_per_batch: int = 50) -> DataFrame:
     """JSON page files as a stream of signals; the number of files per batch is the page cap."""
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("multiLine", True).json(path)
     return pages.select(F.explode("alerts").alias("s")).select("s.*")
