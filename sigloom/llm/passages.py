@@ -148,7 +148,8 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the passages that a document with a smaller doc_id keeps; columns as they were."""
     spans = find(docs, min_words).where("n_removed > 0 and first_doc_id < doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_start", "word_end"))).alias("_spans"))
-    joined = docs.join(spans, "doc_id", "left").select(*(docs[f"`{c}`"] for c in docs.columns), "_spans")
+    names = docs.columns
+    joined = docs.join(spans, "doc_id", "left").select(*(docs[f"`{c}`"] for c in names), "_spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,8 +162,8 @@ def remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         out.append(raw[at : found.start[s["word_start"]]])
                         at = max(at, int(found.end[s["word_end"] - 1]))
                     texts[i] = b"".join([*out, raw[at:]]).decode()
-            kept = batch.select(docs.columns)
-            at = docs.columns.index("text")
+            kept = batch.select(names)
+            at = names.index("text")
             yield kept.set_column(at, kept.schema.field(at), pa.array(texts, kept.schema.field(at).type))
 
     return joined.mapInArrow(cut, docs.schema)
