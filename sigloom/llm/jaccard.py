@@ -11,12 +11,13 @@ candidates its shingles would bring, the longer the prefix and the more shared s
 a pair needs before it is verified: as many as the smaller l of the two.
 
 Crowded shingles. A shingle that more than ``SMALL`` classes have in their prefixes isn't
-expanded into pairs. Its classes are first verified against one pivot each, a number of
-pairs linear in the rows. The Jaccard distance d is a metric, so x and y can only link if
-|d(p, x) - d(p, y)| <= 1 - t: classes are put into rings of that width around the pivot,
-only pairs in one ring or in neighbouring rings are formed, and none inside the innermost
-ring, whose members are all linked to the pivot already. No link between different
-components is lost, and a group of near copies costs as many pairs as it has members.
+expanded into pairs. Its classes are first verified against one pivot, a number of pairs
+linear in the rows. Those within a Jaccard distance of 0.6 are the pivot's family; they are
+joined on the few tokens in which they differ from it (``_family_links``). The distance is a
+metric, so a class of the family and one outside can only link if their distances to the
+pivot differ by 1 - t at most; those pairs, at the rim, are formed. The classes outside go
+on to the next round with another pivot, or are few enough by then. No link between
+different components is lost, and a group of near copies costs as much as it has members.
 
 Links are verified on the whole sets with integers; components follow from the links.
 
@@ -42,6 +43,9 @@ from . import stage, words
 SMALL = 16
 SKETCH_BITS, _BLOCK_BITS = 22, 16
 MOST_MATCHES = 4
+ROUNDS = 8
+#: Jaccard distance up to which a class belongs to its pivot's family: 3 / 5.
+_FAMILY = (3, 5)
 _SALT = np.uint64(0xA0761D6478BD642F)
 _SEEN = 500_000
 
@@ -172,73 +176,146 @@ def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame, k: int) -> DataF
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """``pairs`` (x, y) with the sizes of their intersection and union."""
+    """``pairs`` (x, y) with the sizes of x, their intersection and union, and the tokens that only one has, if near."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, union = [], []
+            size, shared, union, delta = [], [], [], []
             for a, b in zip(batch.column("tx").to_pylist(), batch.column("ty").to_pylist(), strict=True):
                 a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
                 both = np.concatenate((a, b))
                 both.sort()
-                common = int((both[1:] == both[:-1]).sum())
+                same = both[1:] == both[:-1]
+                common = int(same.sum())
+                size.append(len(a))
                 shared.append(common)
                 union.append(len(both) - common)
-            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(shared, pa.int64()), pa.array(union, pa.int64())], names=["x", "y", "shared", "both"])
+                near = _FAMILY[0] * (len(both) - common) >= _FAMILY[1] * (len(both) - 2 * common)
+                single = np.ones(len(both), bool)
+                single[1:] &= ~same
+                single[:-1] &= ~same
+                delta.append(both[single].tobytes() if near else None)
+            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), *(pa.array(v, pa.int64()) for v in (size, shared, union)), pa.array(delta, pa.binary())], names=["x", "y", "nx", "shared", "both", "delta"])
 
     with_x = pairs.join(tokens.select(F.col("cls").alias("x"), F.col("tokens").alias("tx")), "x")
     with_both = with_x.join(tokens.select(F.col("cls").alias("y"), F.col("tokens").alias("ty")), "y")
-    return with_both.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long, shared long, both long")
+    return with_both.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long, nx long, shared long, both long, delta binary")
 
 
 def _alike(a: str, b: str, num: int, den: int) -> str:
     return f"{den} * least({a}, {b}) >= {num} * greatest({a}, {b})"
 
 
+def _family_links(stars: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) that link, of classes near one pivot, but for pairs that both link to it.
+
+    With D(x) the tokens that only one of x and the pivot has, |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|,
+    and x and y link if that is at most c (|x| + |y|) with c = (1 - t) / (1 + t). One of the two doesn't
+    link to the pivot, say x, so |D(x)| > c (|x| + |pivot|), and D(y) has to share more than
+    (|D(y)| + c (|pivot| - |y|)) / 2 of its tokens; D(x) at least |D(x)| - (1 / t - 1) |x|. Prefixes of these
+    sets, rare tokens first, find all such pairs. Independent edits share nothing, so a family of any size
+    whose members differ by edits of their own brings no candidates at all.
+    """
+    near = stars.where("delta is not null").selectExpr(
+        "x as pivot", "y as cls", "nx as np", "shared + both - nx as n", "delta", "cast(length(delta) / 8 as int) as size",
+        f"{den} * shared >= {num} * both as linked",
+    )
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(d, "<i8") for d in batch.column("delta").to_pylist()]
+            rows = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            for at in range(0, len(rows), 200_000):
+                some = pa.array(rows[at : at + 200_000])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(some) for c in ("pivot", "cls")), pa.array(np.concatenate(parts)[at : at + 200_000])], names=["pivot", "cls", "token"])
+
+    tokens = stage.written(near.select("pivot", "cls", "delta").mapInArrow(spread, "pivot long, cls long, token long"), "deltas")
+    counts = tokens.groupBy("pivot", "token").agg(F.count("*").alias("f"))
+    ranked = tokens.join(counts, ["pivot", "token"]).groupBy("pivot", "cls").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("ordered"))
+    asked_y = f"greatest(1, cast(floor((size * {den + num} + {den - num} * (np - n)) / {2 * (den + num)}) as int) + 1)"
+    asked_x = f"greatest(1, size - cast(floor({den - num} * n / {num}) as int))"
+    placed = ranked.join(near.drop("delta"), ["pivot", "cls"]).select("pivot", "cls", "linked", F.expr(f"size - {asked_y} + 1").alias("ly"), F.expr(f"if(linked, 0, size - {asked_x} + 1)").alias("lx"), F.posexplode("ordered").alias("pos", "t"))
+    posted = stage.written(placed.where("t.f > 1 and (pos < lx or pos < ly)").select("pivot", "cls", "t.token", F.expr("pos < lx").alias("as_x"), F.expr("pos < ly").alias("as_y")), "deltas")
+    xs = posted.where("as_x").select("pivot", "token", F.col("cls").alias("x"))
+    ys = posted.where("as_y").select("pivot", "token", F.col("cls").alias("y"))
+    pairs = xs.join(ys, ["pivot", "token"]).where("x <> y").select("pivot", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    sides = lambda c: near.select("pivot", F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("delta").alias(f"d{c}"))
+    both = pairs.join(sides("x"), ["pivot", "x"]).join(sides("y"), ["pivot", "y"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for nx, ny, a, b in zip(*(batch.column(c).to_pylist() for c in ("nx", "ny", "dx", "dy")), strict=True):
+                apart = len(a) // 8 + len(b) // 8 - 2 * len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), assume_unique=True))
+                shared = (nx + ny - apart) // 2
+                keep.append(den * shared >= num * (nx + ny - shared))
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_())).rename_columns(["a", "b"])
+
+    return both.mapInArrow(compare, "a long, b long")
+
+
+def _crowds(members: DataFrame) -> DataFrame:
+    """``members`` (token, cls, n, matches) of tokens with more than SMALL, with the pivot: the class most often in crowds."""
+    crowd = members.groupBy("token").agg(F.count("*").alias("crowd")).where(F.col("crowd") > SMALL)
+    crowded = members.join(crowd.select("token"), "token")
+    often = crowded.groupBy("cls").agg(F.count("*").alias("often"))
+    ranked = crowded.join(often, "cls")
+    pivots = ranked.groupBy("token").agg(F.max(F.struct("often", "cls")).alias("top")).select("token", F.col("top.cls").alias("pivot"))
+    return crowded.join(pivots, "token")
+
+
+def _pairs_within(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(x, y, asked) of every two members of a token whose sizes allow a link, a row for each token."""
+    left = members.select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("matches").alias("mx"))
+    right = members.select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("matches").alias("my"))
+    return left.join(right, "token").where(f"x < y and {_alike('nx', 'ny', num, den)}").select("x", "y", F.least("mx", "my").alias("asked"))
+
+
 def links(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """(a, b) classes that link; all links but some between classes that others connect already."""
     spark = docs.sparkSession
     postings = stage.written(_postings(docs, ranks, k, num, den), "postings")
-    buckets = postings.groupBy("token").agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"), F.count("*").alias("crowd")).where("pivot <> last").select("token", "pivot", "crowd")
-    shared = stage.written(postings.join(buckets, "token").dropDuplicates(["token", "cls"]), "shared")
-    stage.release(spark)
-
-    # crowded shingles: everyone against the pivot
-    crowded = shared.where(F.col("crowd") > SMALL)
-    stars = stage.written(crowded.where("cls <> pivot").select(F.col("pivot").alias("x"), F.col("cls").alias("y")).distinct(), "stars")
-    few = shared.where(F.col("crowd") <= SMALL)
-    close = few.select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("matches").alias("mx")).join(few.select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("matches").alias("my")), "token").where(f"x < y and {_alike('nx', 'ny', num, den)}")
-    counted = close.groupBy("x", "y").agg(F.count("*").alias("found"), F.first(F.least("mx", "my")).alias("asked"))
-    few_pairs = stage.written(counted, "pairs")
+    buckets = postings.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("last")).where("least <> last").select("token")
+    members = stage.written(postings.join(buckets, "token").dropDuplicates(["token", "cls"]), "shared")
     stage.release(spark)
     ends = lambda p: p.select(F.col("x").alias("cls")).unionByName(p.select(F.col("y").alias("cls")))
-    # a pair short of its matches may still get them from crowded shingles
-    crowded_cls = crowded.select("cls").distinct()
-    enough = few_pairs.where("found >= asked")
-    short = few_pairs.where("found < asked").join(crowded_cls.withColumnRenamed("cls", "x"), "x", "left_semi").join(crowded_cls.withColumnRenamed("cls", "y"), "y", "left_semi")
-    first_tokens = stage.written(_texts(docs, sets, ends(stars).unionByName(ends(enough)).distinct(), k), "tokens", codec="none")
-    stage.release(spark)
-    first = stage.written(_verified(stars.unionByName(enough.select("x", "y")), first_tokens), "verified")
-    stage.release(spark)
-
-    # rings around the pivots: ring 0 reaches the threshold, each further one is 1 - t wide
-    gap = den - num
-    ring = F.when(F.col("cls") == F.col("pivot"), 0).otherwise(F.expr(f"case when {den} * shared >= {num} * both then 0 else cast(({den} * (both - shared) - 1) div ({gap} * both) as int) end"))
-    ringed = stage.written(
-        crowded.join(first.select(F.col("x").alias("pivot"), F.col("y").alias("cls"), "shared", "both"), ["pivot", "cls"], "left").withColumn("ring", ring).select("token", "pivot", "cls", "n", "matches", "ring").where("cls <> pivot"), "rings"
-    )
-    outer = ringed.where("ring > 0")
-    left = outer.select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("matches").alias("mx"), "ring")
-    right = ringed.select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("matches").alias("my"), F.explode(F.expr("if(ring > 0, array(ring, ring + 1), array(1))")).alias("ring"))
-    near = left.join(right, ["token", "ring"]).where(f"x <> y and {_alike('nx', 'ny', num, den)}")
-    crossed = near.select("token", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.least("mx", "my").alias("asked")).distinct().groupBy("x", "y").agg(F.count("*").alias("found"), F.first("asked").alias("asked"))
-    more = crossed.unionByName(short).groupBy("x", "y").agg(F.sum("found").alias("found"), F.first("asked").alias("asked")).where("found >= asked").select("x", "y").join(first.select("x", "y"), ["x", "y"], "left_anti")
-    more = stage.written(more, "pairs")
+    reached = lambda v: v.where(f"{den} * shared >= {num} * both").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    found: list[DataFrame] = []
+    direct: list[DataFrame] = []
+    for _ in range(ROUNDS):
+        crowded = stage.written(_crowds(members), "crowds")
+        direct.append(_pairs_within(members.join(crowded.select("token").distinct(), "token", "left_anti"), num, den))
+        others = crowded.where("cls <> pivot")
+        stars = stage.written(others.select(F.col("pivot").alias("x"), F.col("cls").alias("y")).distinct(), "stars")
+        if not stars.limit(1).count():
+            members = None
+            break
+        tokens = stage.written(_texts(docs, sets, ends(stars).distinct(), k), "tokens", codec="none")
+        verified = stage.written(_verified(stars, tokens), "verified")
+        stage.release(spark)
+        found += [reached(verified), stage.written(_family_links(verified, num, den), "family")]
+        stage.release(spark)
+        # the distance to the pivot in steps of 1 - t; linked classes lie in the same step or the next
+        ring = F.expr(f"cast(({den} * (both - shared) - 1) div ({den - num} * both) as int)")
+        ringed = stage.written(others.join(verified.select(F.col("x").alias("pivot"), F.col("y").alias("cls"), ring.alias("ring"), F.col("delta").isNotNull().alias("near")), ["pivot", "cls"]).select("token", "cls", "n", "matches", "ring", "near"), "rings")
+        rim = ringed.where("near").select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("matches").alias("mx"), "ring")
+        out = ringed.where("not near").select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("matches").alias("my"), F.explode(F.expr("array(ring, ring - 1)")).alias("ring"))
+        crossing = rim.join(out, ["token", "ring"]).where(_alike("nx", "ny", num, den)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.least("mx", "my").alias("asked"))
+        direct.append(crossing)
+        members = ringed.where("not near").select("token", "cls", "n", "matches")
+    if members is not None:  # what so many rounds leave over is formed in full
+        direct.append(_pairs_within(members, num, den))
+    every = direct[0]
+    for more in direct[1:]:
+        every = every.unionByName(more)
+    pairs = stage.written(every.groupBy("x", "y").agg(F.count("*").alias("found"), F.first("asked").alias("asked")).where("found >= asked").select("x", "y"), "pairs")
     stage.release(spark)
-    verified = first
-    if more.limit(1).count():
-        verified = first.unionByName(_verified(more, stage.written(_texts(docs, sets, ends(more).distinct(), k), "tokens", codec="none")))
-    return stage.written(verified.where(f"{den} * shared >= {num} * both").select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+    if pairs.limit(1).count():
+        found.append(reached(_verified(pairs, stage.written(_texts(docs, sets, ends(pairs).distinct(), k), "tokens", codec="none"))))
+    out = found[0] if found else spark.createDataFrame([], "a long, b long")
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return stage.written(out, "links")
 
 
 def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
