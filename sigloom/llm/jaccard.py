@@ -33,6 +33,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ from . import stage, words
 
 SMALL = 16
 SKETCH_BITS, _BLOCK_BITS = 22, 16
+_FILTER_BITS = 25
 MOST_MATCHES = 4
 ROUNDS = 8
 #: Jaccard distance up to which a class belongs to its pivot's family: 3 / 5.
@@ -157,10 +159,32 @@ def _postings(docs: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) ->
     return docs.mapInArrow(run, "token long, cls long, n int, matches int")
 
 
+def _maybe(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose doc_id isn't in ``ids``, so that the join moves few texts.
+
+    A bit map of hashed ids, 4 MB whatever the number of ids; on a corpus that fills it, it
+    lets rows through, and the join behind it decides.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << _FILTER_BITS))
+    found = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    bits = np.zeros(((1 << _FILTER_BITS) // 32768 + 1, 4096), np.uint8)
+    for r in found:  # a row per 32,768 bits
+        bits[r.bucket] = np.frombuffer(r.bits, np.uint8)
+    # bucket 1 holds the positions 1 to 32768; 0 has a bucket of its own
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def among(bucket: pd.Series, position: pd.Series) -> pd.Series:
+        at = position.to_numpy()
+        return pd.Series((sent.value[bucket.to_numpy(), at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return docs.where("doc_id is not null").where(among(F.bitmap_bucket_number(bit), F.bitmap_bit_position(bit)))
+
+
 def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(cls, tokens) of the classes in ``wanted`` (cls), from one document of each."""
-    ids = sets.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.col("cls").alias("want"))
-    chosen = docs.join(ids, "doc_id")
+    ids = stage.written(sets.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.col("cls").alias("want")), "wanted")
+    chosen = _maybe(docs, ids).join(ids, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
