@@ -85,9 +85,9 @@ def pretoken_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of distinct pre-tokens (at most ``keep``)."""
+    """Encodes batches of texts; keeps the ids of pre-tokens in a direct-mapped cache, at most ``keep`` at a time."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -99,21 +99,21 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.count = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.offset = np.zeros(1 << 16, np.int64)
         self.length = np.zeros(1 << 16, np.int32)
-        # a direct-mapped cache before the dictionary: most lookups end here
         self.slot_key = np.zeros(1 << _SLOT_BITS, np.uint64)
         self.slot_at = np.zeros(1 << _SLOT_BITS, np.int32)
 
-    def _learn(self, key: int, token: bytes) -> int:
+    def _learn(self, token: bytes) -> int:
         ids = [x.id for x in self.model.tokenize(token.decode("latin-1").translate(self.alphabet))]
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)))
         self.flat[self.used : self.used + len(ids)] = ids
-        self.known[key] = at = len(self.known)
+        at = self.count
+        self.count += 1
         if at == len(self.offset):
             self.offset = np.concatenate((self.offset, np.zeros_like(self.offset)))
             self.length = np.concatenate((self.length, np.zeros_like(self.length)))
@@ -123,7 +123,7 @@ class Encoder:
 
     def _indices(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where the ids of each pre-token are kept."""
-        if len(self.known) > self.keep:
+        if self.count > self.keep:
             self._clear()
         slot = hashes >> np.uint64(64 - _SLOT_BITS)
         at = self.slot_at[slot]
@@ -131,13 +131,8 @@ class Encoder:
         if len(missing):
             distinct, first, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
             found = np.empty(len(distinct), np.int32)
-            known = self.known
-            for j, key in enumerate(distinct.tolist()):
-                got = known.get(key)
-                if got is None:
-                    i = missing[first[j]]
-                    got = self._learn(key, data[starts[i] : ends[i]].tobytes())
-                found[j] = got
+            for j, i in enumerate(missing[first].tolist()):
+                found[j] = self._learn(data[starts[i] : ends[i]].tobytes())
             at[missing] = found[which]
             slots = distinct >> np.uint64(64 - _SLOT_BITS)
             self.slot_key[slots], self.slot_at[slots] = distinct, found

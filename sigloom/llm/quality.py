@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import stage
+from . import stage, words
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -106,7 +106,7 @@ def votes(stats: tuple[float, ...]) -> int:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         rows = [(*base, votes(stats)) for base, stats in map(statistics, batch.column("text").to_pylist())]
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _FIELDS]
         types = [pa.int64()] * 5 + [pa.int32()]
@@ -177,8 +177,13 @@ def keep(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     return found.where(~F.col("_failed") & F.col("_votes").isin(good)).drop("_votes", "_failed")
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        yield from words.slices(batch)
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         pattern, failed = [], []
         for base, stats in map(statistics, batch.column("text").to_pylist()):
             pattern.append(votes(stats))

@@ -13,6 +13,7 @@ with a chance of about 2**-60.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,14 +36,15 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 _STEP_INVERSE = np.uint64(pow(int(_STEP), -1, 2**64))
 _powers: dict[int, np.ndarray] = {}
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept, grown by doubling."""
+    """base**0 .. base**(n-1) modulo 2**64; kept unless they are very many."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        size = max(n, 1 << 16, 2 * (0 if have is None else len(have)))
+        size = ((n >> 18) + 1) << 18
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
@@ -135,3 +137,11 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system; Python workers are reused and would keep it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
