@@ -219,7 +219,7 @@ def edited(rng, text, n):
     return " ".join(w)
 
 
-@pytest.mark.parametrize(("small", "rounds"), [(16, 8), (2, 8), (1, 1)])
+@pytest.mark.parametrize(("small", "rounds"), [(16, 8), (2, 3), (1, 1)])
 def test_jaccard_join(documents, sentences, monkeypatch, small, rounds):
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "ROUNDS", rounds)
