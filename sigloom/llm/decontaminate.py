@@ -78,7 +78,7 @@ class WindowSet:
 def _blocks(benchmark: DataFrame, size: int, max_windows: int) -> Iterator[WindowSet]:
     """Window sets of at most about ``max_windows`` windows each."""
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    count = rows.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))), F.lit(0))).first()[0]
+    count = rows.agg(F.coalesce(F.sum(F.regexp_count(F.lower("text"), F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))), F.lit(0))).first()[0]
     blocks = max(1, -(-int(count) // max_windows))
     for b in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)

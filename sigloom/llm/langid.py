@@ -7,8 +7,9 @@ byte's code length a function of the bytes before it alone: the probabilities of
 kept context are worked out once, and a text is scored by table lookups over the whole
 text. The language with the shortest code wins; ties go to the smaller name.
 
-Training reads a bounded sample: of each language the ``SAMPLE_DOCS`` documents with the
-smallest hash of their id, whole texts, in lower case. A context is kept if it occurs
+Training reads a bounded sample: of each of the ``MAX_LANGUAGES`` most frequent languages the
+``SAMPLE_DOCS`` documents with the smallest hash of their id, fewer once they have
+``SAMPLE_CHARS`` characters; whole texts, in lower case. A context is kept if it occurs
 ``MIN_COUNT`` times in the sample of some language; otherwise its longest kept suffix
 takes its place.
 
@@ -32,7 +33,7 @@ from pyspark.sql.window import Window
 from . import words
 
 ORDER = 3
-SAMPLE_DOCS = 200
+MAX_LANGUAGES, SAMPLE_DOCS, SAMPLE_CHARS = 32, 200, 2_000_000
 MIN_COUNT = 3
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -142,11 +143,16 @@ def held_out():  # noqa: ANN201
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 5 == 0
 
 
-def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict[str, list[str]]:
-    """Texts to learn from, by language: at most ``per_language`` documents each, ties of the hash aside."""
-    learn = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
-    ranked = learn.select("lang", "h").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= per_language)
-    limits = ranked.groupBy("lang").agg(F.max("h").alias("most"))
+def sample(docs: DataFrame, languages: int = MAX_LANGUAGES, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
+    """Texts to learn from, by language: at most ``per_language`` documents each, and none that begins after ``chars``."""
+    learn = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    learn = learn.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
+    names = [r.lang for r in learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
+    learn = learn.where(F.col("lang").isin(names))
+    order = Window.partitionBy("lang").orderBy("h")
+    ranked = learn.select("lang", "h", F.length("text").alias("size")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    within = ranked.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")).where(F.col("before") < chars)
+    limits = within.groupBy("lang").agg(F.max("h").alias("most"))  # a row per language
     rows = learn.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most")).select("lang", "text").collect()
     out: dict[str, list[str]] = {}
     for r in sorted(rows):
