@@ -71,11 +71,20 @@ def grid_cell(degrees: Column) -> Column:
     return F.regexp_replace(F.format_number(degrees, 1), ",", "")
 
 
-def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
+def haversine(lat1: Column, lon1: Column, cos1: Column, lat2: Column, lon2: Column, cos2: Column) -> Column:
+    """The haversine of the angle between two points, given the cosines of their latitudes."""
+    dlat, dlon = F.sin(F.radians(lat2 - lat1) / 2), F.sin(F.radians(lon2 - lon1) / 2)
+    return dlat * dlat + cos1 * cos2 * (dlon * dlon)
+
+
+def arc_km(a: Column) -> Column:
     return F.lit(EARTH_KM) * 2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
+def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    return arc_km(haversine(lat1, lon1, F.cos(F.radians(lat1)), lat2, lon2, F.cos(F.radians(lat2))))
+
+
 def strip_fence(text: Column) -> Column:
     """Without the Markdown fence lines, if the trimmed text begins with one."""
     trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")

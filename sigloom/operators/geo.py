@@ -27,14 +27,15 @@ def nearest(signals: DataFrame, locations: DataFrame, block: int = BLOCK) -> Dat
     """
     places = locations.where("lat is not null and lon is not null").select("id", "lat", "lon")
     blocks = max(1, -(-places.count() // block))
-    out = signals.withColumn("_best", F.lit(None).cast("struct<d: double, id: string>"))
+    out = signals.withColumns({"_best": F.lit(None).cast("struct<d: double, id: string>"), "_cos": F.cos(F.radians("lat"))})
     for b in range(blocks):
         part = places if blocks == 1 else places.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
-        one = F.broadcast(part.agg(F.collect_list(F.struct("id", "lat", "lon")).alias("_places")))
-        found = F.array_min(F.transform("_places", lambda p: F.struct(scalar.haversine_km(F.col("lat"), F.col("lon"), p["lat"], p["lon"]).alias("d"), p["id"].alias("id"))))
+        one = F.broadcast(part.agg(F.collect_list(F.struct("id", "lat", "lon", F.cos(F.radians("lat")).alias("cos"))).alias("_places")))
+        # the haversine itself grows with the distance; the arc is worked out for the nearest alone
+        found = F.array_min(F.transform("_places", lambda p: F.struct(scalar.haversine(F.col("lat"), F.col("lon"), F.col("_cos"), p["lat"], p["lon"], p["cos"]).alias("d"), p["id"].alias("id"))))
         here = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), found)
         out = out.join(one).withColumn("_best", F.least(F.col("_best"), here)).drop("_places")
-    return out.withColumns({"location_id": F.col("_best.id"), "distance_km": F.col("_best.d")}).drop("_best")
+    return out.withColumns({"location_id": F.col("_best.id"), "distance_km": scalar.arc_km(F.col("_best.d"))}).drop("_best", "_cos")
 
 
 def cell_representatives(signals: DataFrame, order: list[str]) -> DataFrame:
