@@ -33,17 +33,16 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import components as graph
 from . import stage, words
+from .semijoin import maybe_in
 
 SMALL = 16
 SKETCH_BITS, _BLOCK_BITS = 22, 16
-_FILTER_BITS = 25
 MOST_MATCHES = 4
 ROUNDS = 8
 #: Jaccard distance up to which a class belongs to its pivot's family: 3 / 5.
@@ -81,7 +80,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     doc_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -91,7 +90,8 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                     n.append(len(s))
                     cls.append(class_of(s) if len(s) and doc is not None else None)
                     tokens.append(s)
-                counts += np.bincount((np.concatenate(tokens) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+                slots, times = np.unique((np.concatenate(tokens) >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32), return_counts=True)
+                counts[slots] += times.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array([-1] * len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=["doc_id", "n", "cls", "blk", "data"])
         if kind is not None:
             blocks = np.minimum(counts, 65535).astype("<u2").reshape(-1, 1 << _BLOCK_BITS)
@@ -159,32 +159,10 @@ def _postings(docs: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) ->
     return docs.mapInArrow(run, "token long, cls long, n int, matches int")
 
 
-def _maybe(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without most rows whose doc_id isn't in ``ids``, so that the join moves few texts.
-
-    A bit map of hashed ids, 4 MB whatever the number of ids; on a corpus that fills it, it
-    lets rows through, and the join behind it decides.
-    """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << _FILTER_BITS))
-    found = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
-    bits = np.zeros(((1 << _FILTER_BITS) // 32768 + 1, 4096), np.uint8)
-    for r in found:  # a row per 32,768 bits
-        bits[r.bucket] = np.frombuffer(r.bits, np.uint8)
-    # bucket 1 holds the positions 1 to 32768; 0 has a bucket of its own
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def among(bucket: pd.Series, position: pd.Series) -> pd.Series:
-        at = position.to_numpy()
-        return pd.Series((sent.value[bucket.to_numpy(), at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
-
-    return docs.where("doc_id is not null").where(among(F.bitmap_bucket_number(bit), F.bitmap_bit_position(bit)))
-
-
 def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(cls, tokens) of the classes in ``wanted`` (cls), from one document of each."""
     ids = stage.written(sets.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.col("cls").alias("want")), "wanted")
-    chosen = _maybe(docs, ids).join(ids, "doc_id")
+    chosen = maybe_in(docs, ids, "doc_id").join(ids, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +181,7 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     """``pairs`` (x, y) with the sizes of x, their intersection and union, and the tokens that only one has, if near."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in words.slices(whole, "tx")):
             size, shared, union, delta = [], [], [], []
             for a, b in zip(batch.column("tx").to_pylist(), batch.column("ty").to_pylist(), strict=True):
                 a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
@@ -267,7 +245,7 @@ def _family_links(stars: DataFrame, num: int, den: int) -> DataFrame:
     both = pairs.join(sides("x"), ["pivot", "x"]).join(sides("y"), ["pivot", "y"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in words.slices(whole, "dx")):
             keep = []
             for nx, ny, a, b in zip(*(batch.column(c).to_pylist() for c in ("nx", "ny", "dx", "dy")), strict=True):
                 apart = len(a) // 8 + len(b) // 8 - 2 * len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), assume_unique=True))
