@@ -7,14 +7,16 @@ or after ``MAX_CHUNK`` words. Cuts depend on nothing but the words around them,
 insertion moves no cut beyond a few words, and equal passages are cut alike in all texts.
 
 The digest covers a chunk together with the next one. Digests that occur under two or
-more doc_ids are repeated; runs of overlapping repeated pairs are passages. A passage is
-reported if it may have ``MIN_WORDS`` words: its own, and those of the chunks on either
-side but one each, since a shared passage begins and ends inside those. The document with
-the smallest doc_id keeps its copy.
+more doc_ids are repeated; runs of overlapping repeated pairs are passages. A shared passage
+begins and ends inside chunks that aren't shared, so a run of fewer than ``MIN_WORDS`` words
+that may belong to a passage of as many is decided on the text: the windows of ``MIN_WORDS``
+words around it, and around the same pairs in other documents, are compared by hash. The
+document with the smallest doc_id keeps its copy.
 
 Moving digests costs two shuffles of one narrow row per chunk. The first is
 pre-aggregated; the second is a join that AQE splits at a digest which a third of all
-rows share. Only repeated chunks go on to be grouped, by document.
+rows share. Only repeated chunks go on to be grouped, by document, and only the texts of
+documents with a doubtful run are read again.
 
 Defined results: rows with a null doc_id are not compared; null, empty and short texts
 have no chunks; rows of one doc_id count as one document for "across documents"; an empty
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import stage, words
+from .semijoin import maybe_in
 
 MIN_WORDS = 50
 MAX_CHUNK = 64
@@ -89,78 +92,164 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), part.column("doc_id").take(pa.array(text[pair])), pa.array(place)], names=["digest", "doc_id", "place"])
 
 
-def runs(places: list[tuple[int, object]], min_words: int) -> list[tuple[int, int, int, object]]:
-    """(start, end, words that an earlier document keeps, smallest doc_id) of the runs of repeated pairs of one document.
+def _union(spans: list[tuple[int, int]]) -> list[int]:
+    """[a0, b0, a1, b1, ...] of the union of [a, b) ranges."""
+    out: list[int] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1]:
+            out[-1] = max(out[-1], b)
+        else:
+            out += (a, b)
+    return out
+
 
-    ``places``: (packed place, smallest doc_id of the digest), sorted.
+def runs(places: list[tuple], min_words: int) -> list[dict]:
+    """Runs of repeated pairs of one document that may belong to a passage of ``min_words``.
+
+    ``places``: (packed place, smallest doc_id of the digest, digest), sorted. A run has start and
+    end, lo and hi (as far as a shared passage around it can reach) and its pairs. A passage's
+    first chunk may be cut off by a cut that depends on words before the passage, so lo goes
+    ``_WINDOW`` words beyond the chunk before.
     """
-    out = []
-    current: list | None = None
-    for packed, first_doc in places:
-        values = [packed >> shift & 255 for shift in (24, 16, 8, 0)]
-        start, (size, before, after, head) = packed >> 32, values
-        if current is not None and start <= current["chunk_end"]:  # its first chunk is the second of the pair before
-            current |= {"end": start + size, "after": after, "chunk_end": start + head, "pairs": [*current["pairs"], (start, size, first_doc)]}
-        else:
-            if current is not None:
-                out.append(current)
-            current = {"start": start, "end": start + size, "before": before, "after": after, "chunk_end": start + head, "pairs": [(start, size, first_doc)]}
-    if current is not None:
-        out.append(current)
-    long = [r for r in out if r["end"] - r["start"] + max(0, r["before"] - 1) + max(0, r["after"] - 1) >= min_words]
-    return [(r["start"], r["end"], r["pairs"], min(p[2] for p in r["pairs"])) for r in long]
+    out: list[dict] = []
+    chunk_end = -1
+    for packed, keeper, digest in places:
+        size, before, after, head = (packed >> shift & 255 for shift in (24, 16, 8, 0))
+        start = packed >> 32
+        if start > chunk_end:  # else its first chunk is the second of the pair before
+            out.append({"start": start, "lo": max(0, start - before - _WINDOW), "pairs": []})
+        out[-1] |= {"end": start + size, "hi": start + size + after}
+        out[-1]["pairs"].append((start, size, keeper, digest))
+        chunk_end = start + head
+    return [r for r in out if r["hi"] - r["lo"] >= min_words]
 
 
 def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per repeated passage of a document; documents without one don't occur.
 
     doc_id, first_doc_id (smallest doc_id that holds any of it), word_start, word_end, n_words,
-    n_removed (its words that a document with a smaller doc_id keeps).
+    n_removed and removed (its words that a document with a smaller doc_id keeps: their number,
+    and [start, end, ...]).
     """
+    spark = docs.sparkSession
     doc_type = dict(docs.dtypes)["doc_id"]
     rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
-    chunks = rows.mapInArrow(_chunks, f"digest long, doc_id {doc_type}, place long")
-    spark = docs.sparkSession
-    chunks = stage.written(chunks, "chunks")
-    repeated = chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id <> last").select("digest", "first_doc_id")
-    places = chunks.join(repeated, "digest").select("doc_id", "place", "first_doc_id")
-    grouped = places.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id"))).alias("places"))
+    chunks = stage.written(rows.mapInArrow(_chunks, f"digest long, doc_id {doc_type}, place long"), "chunks")
+    repeated = _repeated(chunks, "digest")
+    grouped = chunks.join(repeated, "digest").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id", "digest"))).alias("places"))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for doc, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for start, end, pairs, first in runs([(p["place"], p["first_doc_id"]) for p in places], min_words):
-                    removed = upto = 0
-                    for a, size, keeper in pairs:
-                        if keeper != doc:
-                            removed += max(0, a + size - max(a, upto))
-                            upto = max(upto, a + size)
-                    out.append((doc, first, start, end, end - start, removed))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            types = [batch.schema.field(0).type] * 2 + [pa.int64()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "first_doc_id", "word_start", "word_end", "n_words", "n_removed"])
+                for run in runs([tuple(p.values()) for p in places], min_words):
+                    sure = run["end"] - run["start"] >= min_words
+                    removed = _union([(a, a + size) for a, size, keeper, _ in run["pairs"] if keeper != doc])
+                    out.append((doc, min(p[2] for p in run["pairs"]), run["start"], run["end"], removed, [] if sure else [p[3] for p in run["pairs"]]))
+            yield _batch(out, [*_types(batch), pa.list_(pa.int64())], [*_NAMES, "digests"])
 
+    found = stage.written(grouped.mapInArrow(passages, f"{_ddl(doc_type)}, digests array<long>"), "runs")
     stage.release(spark)
-    return grouped.mapInArrow(passages, f"doc_id {doc_type}, first_doc_id {doc_type}, word_start long, word_end long, n_words long, n_removed long")
+    sure = found.where("size(digests) = 0").drop("digests")
+    doubtful = stage.written(found.select(F.explode("digests").alias("digest")).distinct(), "doubtful")
+    exact = _windows(rows, maybe_in(chunks, doubtful, "digest").join(doubtful, "digest").select("doc_id", "place"), doc_type, min_words)
+    merged = sure.unionByName(exact).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_start", "word_end", "first_doc_id", "removed"))).alias("spans"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = []
+            for doc, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for s in spans:
+                    if out and out[-1][0] == doc and s["word_start"] < out[-1][3]:
+                        last = out[-1]
+                        ranges = [*zip(last[4][::2], last[4][1::2], strict=True), *zip(s["removed"][::2], s["removed"][1::2], strict=True)]
+                        last[1], last[3], last[4] = min(last[1], s["first_doc_id"]), max(last[3], s["word_end"]), _union(ranges)
+                    else:
+                        out.append([doc, s["first_doc_id"], s["word_start"], s["word_end"], s["removed"]])
+            yield _batch(out, _types(batch), _NAMES)
+
+    lengths = "word_end - word_start as n_words", "cast(aggregate(transform(removed, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x) as long) as n_removed"
+    return merged.mapInArrow(merge, _ddl(doc_type)).selectExpr("doc_id", "first_doc_id", "word_start", "word_end", *lengths, "removed")
+
+
+_NAMES = ["doc_id", "first_doc_id", "word_start", "word_end", "removed"]
+
+
+def _ddl(doc_type: str) -> str:
+    return f"doc_id {doc_type}, first_doc_id {doc_type}, word_start long, word_end long, removed array<long>"
+
+
+def _types(batch: pa.RecordBatch) -> list[pa.DataType]:
+    return [batch.schema.field(0).type] * 2 + [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+
+
+def _batch(rows: list, types: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
+def _repeated(rows: DataFrame, key: str) -> DataFrame:
+    """(key, first_doc_id) of the keys that two or more doc_ids have."""
+    return rows.groupBy(key).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id <> last").select(key, "first_doc_id")
+
+
+def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> DataFrame:
+    """The passages around ``spots`` (doc_id, place), by the exact ``size``-word windows that two documents share."""
+    wanted = stage.written(spots.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "spots")
+    texts = maybe_in(rows, wanted, "doc_id").join(wanted, "doc_id")
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch):
+                found = words.scan(part.column("text"), words.SPACED)
+                h, at = found.windows(size)
+                ranges = []
+                for i, places in enumerate(part.column("places").to_pylist()):
+                    first, last = int(found.first[i]), int(found.first[i + 1]) - 1
+                    for packed in places:
+                        start = first + (packed >> 32)
+                        end = start + (packed >> 24 & 255)  # windows that hold the pair, or that the pair holds
+                        ranges.append((max(first, min(start, end - size)), min(last, max(start, end - size)) + 1))
+                near = np.zeros(len(found.hash) + 1, np.int64)
+                for a, b in ranges:
+                    near[a] += 1
+                    near[b] -= 1
+                pick = np.cumsum(near)[at] > 0
+                text = np.searchsorted(found.first, at[pick], side="right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(h[pick].view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(at[pick] - found.first[text])], names=["window", "doc_id", "at"])
+
+    emitted = stage.written(texts.mapInArrow(windows, f"window long, doc_id {doc_type}, at long"), "windows")
+    grouped = emitted.join(_repeated(emitted, "window"), "window").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "first_doc_id"))).alias("at"))
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for doc, windows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                cover = _union([(w["at"], w["at"] + size) for w in windows])
+                for a, b in zip(cover[::2], cover[1::2], strict=True):
+                    own = [w for w in windows if a <= w["at"] < b]
+                    out.append((doc, min(w["first_doc_id"] for w in own), a, b, _union([(w["at"], w["at"] + size) for w in own if w["first_doc_id"] != doc])))
+            yield _batch(out, _types(batch), _NAMES)
+
+    return grouped.mapInArrow(spans, _ddl(doc_type))
 
 
 def remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the passages that a document with a smaller doc_id keeps; columns as they were."""
-    spans = find(docs, min_words).where("n_removed > 0 and first_doc_id < doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_start", "word_end"))).alias("_spans"))
+    cuts = find(docs, min_words).where("n_removed > 0").select("doc_id", F.posexplode("removed").alias("i", "at")).groupBy("doc_id").agg(F.sort_array(F.collect_list("at")).alias("_cuts"))
     names = docs.columns
-    joined = docs.join(spans, "doc_id", "left").select(*(docs[f"`{c}`"] for c in names), "_spans")
+    joined = docs.join(cuts, "doc_id", "left").select(*(docs[f"`{c}`"] for c in names), "_cuts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, spans in enumerate(batch.column("_spans").to_pylist()):
-                if spans and texts[i]:
+            for i, cuts in enumerate(batch.column("_cuts").to_pylist()):
+                if cuts and texts[i]:
                     found = words.scan(pa.array([texts[i]]), words.SPACED)
                     raw, out, at = texts[i].encode(), [], 0
-                    for s in spans:
-                        out.append(raw[at : found.start[s["word_start"]]])
-                        at = max(at, int(found.end[s["word_end"] - 1]))
+                    for a, b in zip(cuts[::2], cuts[1::2], strict=True):
+                        out.append(raw[at : found.start[a]])
+                        at = int(found.end[b - 1])
                     texts[i] = b"".join([*out, raw[at:]]).decode()
             kept = batch.select(names)
             at = names.index("text")
