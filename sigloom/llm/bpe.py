@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from . import words
 
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
-_SLOT_BITS = 20
+_SLOT_BITS = 21
 _LAST_LEAD = 0xC8  # lead byte of U+0200..U+023F
 
 
@@ -87,7 +87,7 @@ def pretoken_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes batches of texts; keeps the ids of pre-tokens in a direct-mapped cache, at most ``keep`` at a time."""
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
