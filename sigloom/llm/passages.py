@@ -10,7 +10,9 @@ The digest covers a chunk together with the next one. Digests that occur under t
 more doc_ids are repeated; runs of overlapping repeated pairs are passages. A shared passage
 begins and ends inside chunks that aren't shared, so a run of fewer than ``MIN_WORDS`` words
 that may belong to a passage of as many is decided on the text: the windows of ``MIN_WORDS``
-words around it, and around the same pairs in other documents, are compared by hash. The
+words around it, and around the same pairs in other documents, are compared by hash. A passage of
+one word or a short cycle of words has hardly a cut, so no pair need be shared: the windows with
+fewer than three cuts by their own words are compared by hash wherever they are. The
 document with the smallest doc_id keeps its copy.
 
 Moving digests costs two shuffles of one narrow row per chunk. The first is
@@ -39,10 +41,11 @@ MIN_WORDS = 50
 MAX_CHUNK = 64
 _TEST = np.uint64(0b1010)
 _WINDOW = 4
+_FAR = 255  # this many words or more, in a packed place
 
 
-def chunk_ends(found: words.Words) -> np.ndarray:
-    """For every word, whether a chunk ends after it."""
+def _cuts(found: words.Words) -> np.ndarray:
+    """For every word, whether the words around it decide that a chunk ends after it."""
     n = len(found.hash)
     h = found.hash
     for shift in (1, 2):
@@ -55,6 +58,12 @@ def chunk_ends(found: words.Words) -> np.ndarray:
     passed &= inside >= _WINDOW - 1  # else the window holds words of the text before
     ends = passed.copy()
     ends[1:] &= ~(passed[:-1] & (inside[1:] > 0))
+    return ends
+
+
+def chunk_ends(found: words.Words, cuts: np.ndarray) -> np.ndarray:
+    """For every word, whether a chunk ends after it."""
+    ends = cuts.copy()
     last = found.first[1:][np.diff(found.first) > 0] - 1
     ends[last] = True
     at = np.flatnonzero(ends)
@@ -64,17 +73,29 @@ def chunk_ends(found: words.Words) -> np.ndarray:
     return ends
 
 
+def _few_cuts(cuts: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Whether the windows that begin ``at`` have fewer than three cuts that their own words decide.
+
+    Three of them bound two chunks that every copy of the window has; with fewer it may lack a pair.
+    """
+    before = np.concatenate(([0], np.cumsum(cuts)))
+    return before[at + size] - before[np.minimum(at + _WINDOW, at + size)] < 3
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """digest of two chunks in a row; place: start, words of the pair, of the chunk before it, after it, of its first chunk."""
+    """digest of two chunks in a row; place: start, words of the pair, back to the last cut by words before the chunk before it, of the chunk after it, of its first chunk."""
     for batch in batches:
         for part in words.slices(batch):
             found = words.scan(part.column("text"), words.SPACED)
             n = len(found.hash)
             if not n:
                 continue
-            end = np.flatnonzero(chunk_ends(found)) + 1
+            cuts = _cuts(found)
+            end = np.flatnonzero(chunk_ends(found, cuts)) + 1
             start = np.concatenate(([0], end[:-1]))
             text = np.searchsorted(found.first, start, side="right") - 1
+            decided = cuts[start - 1] | (start == found.first[text])  # not after MAX_CHUNK words
+            back = np.maximum.accumulate(np.where(decided, start, 0))
             size = end - start
             pair = np.flatnonzero(text[1:] == text[:-1])
             if not len(pair):
@@ -83,7 +104,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(found.hash * words.powers(words._STEP, n), out=sums[1:])
             digest = words.mix((sums[b] - sums[a]) * words.powers(words._STEP_INVERSE, n + 1)[a] + (b - a).astype(np.uint64))
-            before = np.where((pair > 0) & (text[pair - 1] == text[pair]), size[pair - 1], 0)
+            before = np.where((pair > 0) & (text[pair - 1] == text[pair]), np.minimum(a - back[pair - 1], _FAR), 0)
             two = np.minimum(pair + 2, len(size) - 1)
             after = np.where((pair + 2 < len(size)) & (text[two] == text[pair]), size[two], 0)
             place = a - found.first[text[pair]]
@@ -109,7 +130,8 @@ def runs(places: list[tuple], min_words: int) -> list[dict]:
     ``places``: (packed place, smallest doc_id of the digest, digest), sorted. A run has start and
     end, lo and hi (as far as a shared passage around it can reach) and its pairs. A passage's
     first chunk may be cut off by a cut that depends on words before the passage, so lo goes
-    ``_WINDOW`` words beyond the chunk before.
+    ``_WINDOW`` words beyond the chunk before; a cut after ``MAX_CHUNK`` words depends on all words since
+    the last other cut, so lo goes back to that.
     """
     out: list[dict] = []
     chunk_end = -1
@@ -117,7 +139,7 @@ def runs(places: list[tuple], min_words: int) -> list[dict]:
         size, before, after, head = (packed >> shift & 255 for shift in (24, 16, 8, 0))
         start = packed >> 32
         if start > chunk_end:  # else its first chunk is the second of the pair before
-            out.append({"start": start, "lo": max(0, start - before - _WINDOW), "pairs": []})
+            out.append({"start": start, "lo": max(0, start - before - _WINDOW) if before < _FAR else 0, "pairs": []})
         out[-1] |= {"end": start + size, "hi": start + size + after}
         out[-1]["pairs"].append((start, size, keeper, digest))
         chunk_end = start + head
@@ -193,8 +215,13 @@ def _repeated(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id <> last").select(key, "first_doc_id")
 
 
+def _window_rows(h: np.ndarray, at: np.ndarray, found: words.Words, doc_ids: pa.Array) -> pa.RecordBatch:
+    text = np.searchsorted(found.first, at, side="right") - 1
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc_ids.take(pa.array(text)), pa.array(at - found.first[text])], names=["window", "doc_id", "at"])
+
+
 def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> DataFrame:
-    """The passages around ``spots`` (doc_id, place), by the exact ``size``-word windows that two documents share."""
+    """The passages around ``spots`` (doc_id, place) and those with few cuts, by the exact ``size``-word windows that two documents share."""
     wanted = stage.written(spots.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "spots")
     texts = maybe_in(rows, wanted, "doc_id").join(wanted, "doc_id")
 
@@ -214,11 +241,19 @@ def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> Dat
                 for a, b in ranges:
                     near[a] += 1
                     near[b] -= 1
-                pick = np.cumsum(near)[at] > 0
-                text = np.searchsorted(found.first, at[pick], side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(h[pick].view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(at[pick] - found.first[text])], names=["window", "doc_id", "at"])
+                pick = (np.cumsum(near)[at] > 0) & ~_few_cuts(_cuts(found), at, size)
+                yield _window_rows(h[pick], at[pick], found, part.column("doc_id"))
+
+    def uncut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch):
+                found = words.scan(part.column("text"), words.SPACED)
+                h, at = found.windows(size)
+                pick = _few_cuts(_cuts(found), at, size)
+                yield _window_rows(h[pick], at[pick], found, part.column("doc_id"))
 
-    emitted = stage.written(texts.mapInArrow(windows, f"window long, doc_id {doc_type}, at long"), "windows")
+    schema = f"window long, doc_id {doc_type}, at long"
+    emitted = stage.written(texts.mapInArrow(windows, schema).unionByName(rows.mapInArrow(uncut, schema)), "windows")
     grouped = emitted.join(_repeated(emitted, "window"), "window").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "first_doc_id"))).alias("at"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

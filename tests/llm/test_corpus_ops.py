@@ -192,6 +192,21 @@ def test_passages(documents, sentences):
     assert cut[0] == texts[0] and cut[45] == "" and len(cut[11].split()) < len(texts[11].split()) - 90
 
 
+def test_passages_with_few_cuts(documents, sentences):
+    rng = random.Random(9)
+    texts = [sentences(2000 + i, 60) for i in range(120)]
+    for i in range(0, 120, 2):
+        cycle = sentences(3000 + i, rng.randint(1, 4)).split()
+        p = " ".join((cycle * 130)[: rng.choice([49, 50, 51, 70, 100, 130])])
+        for j in (i, i + 1):
+            w = texts[j].split()
+            at = rng.randint(0, 60)
+            texts[j] = " ".join([*w[:at], p, *w[at:]])
+    texts += ["x " * 50, "x " * 49, "y " * 70, "Y " * 51]
+    want = repeated(list(enumerate(texts)))
+    assert {r.doc_id for r in passages.find(documents(texts)).collect()} == want and 80 < len(want) < 120
+
+
 def plain_components(texts, k, num, den):
     sets = {}
     for i, t in texts:
