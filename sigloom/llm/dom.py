@@ -19,8 +19,12 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_HIDDEN = frozenset("script style noscript template iframe object svg math head title textarea select option canvas audio video datalist".split())
-_RAW = frozenset("script style textarea title iframe noscript xmp".split())
+_HIDDEN = frozenset("script style noscript template iframe object svg head title textarea select option canvas audio video datalist".split())
+#: hidden elements that end with the block around them; the others only by their own end tag
+_LOOSE = frozenset("option canvas audio video datalist svg".split())
+#: what can stand in a head, which any other tag or text ends
+_HEAD = frozenset("html head title base link meta style script noscript noframes template".split())
+_RAW = frozenset("script style textarea title iframe noscript noframes xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = (
     "html body article main section div nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -65,7 +69,7 @@ def parse(source: str) -> list[Node]:
     stack = [0]  # open blocks
     pieces: list[str] = []
     state = {"links": 0, "chars": 0, "tags": 0}
-    hidden: list[str] = []
+    hidden: list[str] = []  # open hidden elements, and the blocks inside
 
     def flush() -> None:
         if pieces:
@@ -95,6 +99,8 @@ def parse(source: str) -> list[Node]:
     while True:
         m = _TOKEN.search(source, at)
         end = m.start() if m else len(source)
+        if hidden == ["head"] and source[at:end].strip():
+            hidden.clear()
         if end > at and not hidden:
             text = entities.unescape(source[at:end])
             pieces.append(text)
@@ -106,10 +112,15 @@ def parse(source: str) -> list[Node]:
         closing = m[1]
         if closing:
             tag = closing.lower()
+            if tag in hidden:
+                while hidden.pop() != tag:
+                    pass
+                continue
             if hidden:
-                if tag == hidden[-1]:
-                    hidden.pop()
-            elif tag == "a":
+                if tag not in _BLOCK or not _LOOSE.issuperset(h for h in hidden if h in _HIDDEN) or opened({tag}, ()) is None:
+                    continue
+                hidden.clear()
+            if tag == "a":
                 state["links"] = max(0, state["links"] - 1)
             elif tag in _BLOCK and (i := opened({tag}, _P_SCOPE if tag == "p" else ())) is not None:
                 close(i)
@@ -119,17 +130,20 @@ def parse(source: str) -> list[Node]:
         tag = (m[2] or m[4] or "").lower()
         if not tag:
             continue
+        if hidden == ["head"] and tag not in _HEAD:
+            hidden.clear()
+        if "select" in hidden and tag in ("select", "input", "textarea"):
+            del hidden[hidden.index("select") :]
+            if tag == "select":
+                continue
         if tag in _RAW:
             ended = re.compile(rf"</{tag}\s*>?", re.I).search(source, at)
             at = ended.end() if ended else len(source)
             continue
         if hidden or tag in _HIDDEN:
-            if tag == "body" and hidden == ["head"]:
-                hidden.clear()
-            else:
-                if tag in _HIDDEN and not (m[3] or m[5] or "").endswith("/"):
-                    hidden.append(tag)
-                continue
+            if (tag in _HIDDEN or tag in _BLOCK) and not (tag == "option" and hidden) and not (m[3] or m[5] or "").endswith("/"):
+                hidden.append(tag)
+            continue
         if tag not in _BLOCK:
             if tag in ("br", "hr", "img"):
                 pieces.append(" ")

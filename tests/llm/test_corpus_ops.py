@@ -284,6 +284,24 @@ def test_page_text():
         assert isinstance(text(html), str)
 
 
+def test_hidden_elements_end():
+    def text(html):
+        return " ".join(n.text for n in dom.parse(html) if n.tag == "#text")
+
+    assert text("<select><option>A<option>B</select><article><p>one</article>") == "one"
+    assert text("<datalist><option>A<option>B</option></datalist><p>one") == "one"
+    assert text("<div><select><option>A<optgroup><option>B</div></select>one</div>") == "one"
+    assert text("<form><select><option>A<input><p>one") == "one"
+    assert text("<div><option>A</div><p>one") == "one"
+    assert text("<div><video><div>no</div>no<p>no</div><p>one") == "one"
+    assert text("<div><template><p>no</div>no</template>one") == "one"
+    assert text("<object><svg><title>no</title>no</object>one") == "one"
+    assert text("<html><head><title>no</title><meta charset=x><template>no</template>\n<p>one") == "one"
+    assert text("<head><link rel=x>one <b>two") == "one two"
+    assert text("<head><style>no</style></head><body>one<video>no</video> two") == "one two"
+    assert text("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then") == "if x=1 then"
+
+
 def test_labellings_are_consistent():
     rng = random.Random(1)
     for _ in range(20):
