@@ -7,11 +7,11 @@ byte's code length a function of the bytes before it alone: the probabilities of
 kept context are worked out once, and a text is scored by table lookups over the whole
 text. The language with the shortest code wins; ties go to the smaller name.
 
-Training reads a bounded sample: of each of the ``MAX_LANGUAGES`` most frequent languages the
-``SAMPLE_DOCS`` documents with the smallest hash of their id, fewer once they have
-``SAMPLE_CHARS`` characters; whole texts, in lower case. A context is kept if it occurs
-``MIN_COUNT`` times in the sample of some language; otherwise its longest kept suffix
-takes its place.
+Training reads a bounded sample of every language: the ``SAMPLE_DOCS`` documents with the
+smallest hash of their id, fewer once they have ``SAMPLE_CHARS`` characters; whole texts, in
+lower case. A context is kept if it occurs ``MIN_COUNT`` times in the sample of some language;
+otherwise its longest kept suffix takes its place. All languages have the same contexts; their
+code lengths are worked out, sent and looked up in blocks of languages, which change no result.
 
 Defined results: ``und`` with score 0 for a null text, one without a letter, or where no
 language could be learned; repeated rows are scored as often as they occur; an empty
@@ -21,7 +21,7 @@ table gives an empty result; a null doc_id counts as held out; other columns are
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +33,8 @@ from pyspark.sql.window import Window
 from . import words
 
 ORDER = 3
-MAX_LANGUAGES, SAMPLE_DOCS, SAMPLE_CHARS = 32, 200, 2_000_000
+SAMPLE_DOCS, SAMPLE_CHARS = 200, 2_000_000
+BLOCK_LANGUAGES, BLOCK_BYTES = 32, 64_000_000  # of one block; one language at least
 MIN_COUNT = 3
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -78,53 +79,60 @@ class Model:
 
 
 def train(samples: dict[str, list[str]], order: int = ORDER, min_count: int = MIN_COUNT) -> Model | None:
-    """The model of some texts by language."""
+    """The model of some texts by language, in one block."""
+    return next(blocks(samples, order, min_count, len(samples), None), None)
+
+
+def blocks(samples: dict[str, list[str]], order: int = ORDER, min_count: int = MIN_COUNT, width: int = BLOCK_LANGUAGES, size: int | None = BLOCK_BYTES) -> Iterator[Model]:
+    """The model of some texts by language, in blocks of ``width`` languages at most, fewer where their costs have more than ``size`` bytes."""
     languages = sorted(samples)
     if not languages:
-        return None
+        return
     data = {name: np.frombuffer(_PAD + _PAD.join(map(_bytes, samples[name])) + _PAD, np.uint8) for name in languages}
-    seen = np.unique(np.concatenate(list(data.values())))
+    seen = np.flatnonzero(np.sum([np.bincount(d, minlength=256) for d in data.values()], axis=0))
     symbol = np.full(256, len(seen), np.uint8)
     symbol[seen] = np.arange(len(seen))
     s = len(seen) + 1
-    lists = {name: symbol[d].astype(np.int64) for name, d in data.items()}
 
-    # contexts by order; a context's code is that of its symbols, oldest first
+    def grams(name: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts of k symbols and what follows; a context's code is that of its symbols, oldest first."""
+        x = symbol[data[name]].astype(np.int64)
+        n = len(x) - order
+        code = np.zeros(n, np.int64)
+        for back in range(k, 0, -1):
+            code = code * s + x[order - back : order - back + n]
+        return code, x[order:]
+
+    # contexts by order
     state = np.zeros(1, np.int32)
     parents: list[np.ndarray] = []
-    counts: list[dict[str, np.ndarray]] = []
+    numbers: list[np.ndarray] = []
     first = [0]
     for k in range(order + 1):
-        grams = {}
         total = np.zeros(s**k, np.int64)
-        for name, x in lists.items():
-            n = len(x) - order
-            code = np.zeros(n, np.int64)
-            for back in range(k, 0, -1):
-                code = code * s + x[order - back : order - back + n]
-            grams[name] = code, x[order:]
-            total = np.maximum(total, np.bincount(code, minlength=s**k))
+        for name in languages:
+            total = np.maximum(total, np.bincount(grams(name, k)[0], minlength=s**k))
         kept = np.flatnonzero(total >= (min_count if k else 0))
-        number = np.full(s**k, -1, np.int64)
+        number = np.full(s**k, -1, np.int32)
         number[kept] = np.arange(len(kept))
-        by_language = {}
-        for name, (code, following) in grams.items():
-            row = number[code]
-            ok = row >= 0
-            by_language[name] = np.bincount(row[ok] * s + following[ok], minlength=len(kept) * s).reshape(len(kept), s)
-        counts.append(by_language)
+        numbers.append(number)
         parents.append(state[kept % s ** (k - 1)] if k else np.zeros(1, np.int32))
         # a context that isn't kept takes the place of its longest kept suffix
         state = np.where(number >= 0, number + first[-1], np.tile(state, s) if k else 0).astype(np.int32)
         first.append(first[-1] + len(kept))
 
-    cost = np.empty((first[-1], s, len(languages)), np.float32)
     base = np.full(s, 1 / 256)
     base[-1] = (257 - s) / 256
-    for j, name in enumerate(languages):
+
+    def column(name: str) -> np.ndarray:
+        """Code lengths of one language."""
         p = np.empty((first[-1], s))
         for k in range(order + 1):
-            c = counts[k][name].astype(float)
+            code, following = grams(name, k)
+            row = numbers[k][code]
+            ok = row >= 0
+            n = first[k + 1] - first[k]
+            c = np.bincount(row[ok].astype(np.int64) * s + following[ok], minlength=n * s).reshape(n, s).astype(float)
             below = p[parents[k]] if k else base[None, :]
             total, distinct = c.sum(axis=1, keepdims=True), (c > 0).sum(axis=1, keepdims=True)
             unseen = np.where(c > 0, 0.0, below)
@@ -135,20 +143,26 @@ def train(samples: dict[str, list[str]], order: int = ORDER, min_count: int = MI
             p[first[k] : first[k + 1]] = np.where(total > 0, mixed, below)
         bits = -np.log2(np.maximum(p, 1e-300))
         bits[:, -1] += np.log2(max(1, 257 - s))  # one of the bytes that the last symbol stands for
-        cost[:, :, j] = bits
-    return Model(languages, symbol, s, state, cost.reshape(-1, len(languages)))
+        return bits
+
+    if size is not None:
+        width = max(1, min(width, size // (4 * first[-1] * s)))
+    for at in range(0, len(languages), width):
+        names = languages[at : at + width]
+        cost = np.empty((first[-1], s, len(names)), np.float32)
+        for j, name in enumerate(names):
+            cost[:, :, j] = column(name)
+        yield Model(names, symbol, s, state, cost.reshape(-1, len(names)))
 
 
 def held_out():  # noqa: ANN201
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 5 == 0
 
 
-def sample(docs: DataFrame, languages: int = MAX_LANGUAGES, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
+def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
     """Texts to learn from, by language: at most ``per_language`` documents each, and none that begins after ``chars``."""
     learn = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     learn = learn.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
-    names = [r.lang for r in learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    learn = learn.where(F.col("lang").isin(names))
     order = Window.partitionBy("lang").orderBy("h")
     ranked = learn.select("lang", "h", F.length("text").alias("size")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
     within = ranked.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")).where(F.col("before") < chars)
@@ -160,24 +174,34 @@ def sample(docs: DataFrame, languages: int = MAX_LANGUAGES, per_language: int =
     return out
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Per row: doc_id, lang_pred, score (the winner's posterior under equal priors)."""
+def predict(docs: DataFrame, models: Iterable[Model]) -> DataFrame:
+    """Per row: doc_id, lang_pred, score (the winner's posterior under equal priors); ``models``: blocks of languages, in order."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    languages, sent = [], []
+    for model in models:  # one at a time in the driver
+        languages += model.languages
+        sent.append(docs.sparkSession.sparkContext.broadcast(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
         for batch in batches:
-            for part in words.slices(batch):
-                texts = part.column("text").to_pylist()
-                names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                live = [i for i, t in enumerate(texts) if model is not None and t and _LETTER.search(t)]
-                if live:
-                    bits = model.code_lengths([_bytes(texts[i]) for i in live])
-                    best = bits.argmin(axis=1)
-                    odds = np.exp2(-np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)).sum(axis=1)
-                    for i, b, o in zip(live, best.tolist(), odds.tolist(), strict=True):
-                        names[i], scores[i] = model.languages[b], 1 / o
+            parts = list(words.slices(batch))
+            texts = [part.column("text").to_pylist() for part in parts]
+            live = [[i for i, t in enumerate(ts) if languages and t and _LETTER.search(t)] for ts in texts]
+            bits: list[list[np.ndarray]] = [[] for _ in parts]
+            for one in sent:
+                for ts, some, found in zip(texts, live, bits, strict=True):
+                    if some:
+                        found.append(one.value.code_lengths([_bytes(ts[i]) for i in some]))
+                if len(sent) > 1 and getattr(one, "_path", None):
+                    vars(one).pop("_value", None)  # else a worker would keep all blocks; it is read again from its file
+            for part, ts, some, found in zip(parts, texts, live, bits, strict=True):
+                names, scores = [UNKNOWN] * len(ts), [0.0] * len(ts)
+                if some:
+                    every = np.concatenate(found, axis=1)
+                    best = every.argmin(axis=1)
+                    odds = np.exp2(-np.minimum(every - every.min(axis=1, keepdims=True), 1000)).sum(axis=1)
+                    for i, b, o in zip(some, best.tolist(), odds.tolist(), strict=True):
+                        names[i], scores[i] = languages[b], 1 / o
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double")
@@ -185,4 +209,4 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row, learned from the rows that aren't held out."""
-    return predict(docs, train(sample(docs))).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return predict(docs, blocks(sample(docs))).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

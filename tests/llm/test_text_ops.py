@@ -104,6 +104,25 @@ def test_language_of_edge_cases(documents):
     assert langid.identify(documents([])).count() == 0
 
 
+def test_every_language_is_learned(documents):
+    import random
+
+    def text(lang, seed):
+        rng = random.Random(seed)
+        parts = ["".join(random.Random(f"{lang} {i}").choices("abcdefghijklmnopqrstuvwxyz", k=4)) for i in range(12)]
+        return " ".join(rng.choice(parts) for _ in range(60))
+
+    langs = [f"l{i:02}" for i in range(40) for _ in range(12)] + ["l00"] * 30
+    docs = documents([text(lang, i) for i, lang in enumerate(langs)], langs=langs)
+    rows = {r.doc_id: r for r in langid.identify(docs).collect()}
+    assert all(rows[i].lang_pred == lang for i, lang in enumerate(langs))
+    samples = langid.sample(docs)
+    assert len(samples) == 40
+    one = {(r.doc_id, r.lang_pred, r.score) for r in langid.predict(docs, langid.blocks(samples, width=40, size=None)).collect()}
+    assert one == {tuple(r[x] for x in ("doc_id", "lang_pred", "score")) for r in rows.values()}
+    assert one == {(r.doc_id, r.lang_pred, r.score) for r in langid.predict(docs, langid.blocks(samples, size=1)).collect()}
+
+
 def test_held_out_accuracy(spark, sf):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").where("lang is not null").collect()
