@@ -116,6 +116,18 @@ def apply_updates(events: DataFrame, updates: DataFrame, arrival: list[str]) ->
     return joined, updates.join(events, "event_id", "left_anti")
 
 
+def candidates(signals: DataFrame, events: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
+    """``signals`` with the columns of every event of the same ``keys`` that began before the signal and was still open.
+
+    An event is open up to its validTo, for good if that is null. Signals without such an event have no
+    row; nor has one with a null key.
+    """
+    known = events.withColumnsRenamed({k: f"_{k}" for k in keys})
+    open_then = (F.col("validFrom") < F.col(ts)) & (F.col("validTo").isNull() | (F.col(ts) <= F.col("validTo")))
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    return signals.join(known, [*same, open_then]).drop(*(f"_{k}" for k in keys))
+
+
 def assess(events: DataFrame, min_severity: int = 4, min_signals: int = 1) -> DataFrame:
     """Adds should_alert and status, which is always ``draft``."""
     return events.withColumns({"should_alert": (F.col("max_severity") >= min_severity) & (F.col("n_signals") >= min_signals), "status": F.lit("draft")})

@@ -268,6 +268,43 @@ def j5(spark: SparkSession, sf: str) -> DataFrame:
     return _located(spark, sf, table(spark, sf, "events")).groupBy("event_type", "nation").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("n_users"))
 
 
+#: signals by type and nation, and the events that they form, open for seven days
+GROUPED_SQL = f"""
+  with located as (select 'a' || event_id as signal_id, event_type as type, c_nationkey as location, ts, cast(least(5, 1 + floor(value / 40)) as int) as severity from events join customer on user_id = c_custkey),
+  marked as (select *, case when ts > lag(ts) over (partition by type, location order by ts, signal_id) + interval 6 hours then 1 else 0 end as fresh from located),
+  numbered as (select *, sum(fresh) over (partition by type, location order by ts, signal_id rows unbounded preceding) as session from marked),
+  begun as (select type, location, min(ts) as valid_from from numbered group by type, location, session),
+  known as (select type || '/' || location || '/' || {S.stamp('valid_from')} as event_id, type, location, valid_from, valid_from + interval 7 days as valid_to from begun),
+  pairs as (select signal_id, k.* from located s join known k on s.type = k.type and s.location = k.location and k.valid_from < s.ts and s.ts <= k.valid_to)
+"""
+
+
+def _signals_and_events(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    rows = S.scored(_located(spark, sf, table(spark, sf, "events")))
+    signals = rows.select(F.concat(F.lit("a"), F.col("event_id")).alias("signal_id"), F.col("event_type").alias("type"), F.col("nation").alias("location"), "ts", "severity")
+    begun = ev.sessions(signals, ["type", "location"], 6).withColumn("validFrom", F.col("first_ts"))
+    known = begun.select(F.concat_ws("/", "type", "location", S.stamped("validFrom")).alias("event_id"), "type", "location", "validFrom", (F.col("validFrom") + F.expr("interval 7 days")).alias("validTo"))
+    return signals, known
+
+
+@query("j5_signal_candidates", GROUPED_SQL + "select signal_id, event_id from pairs")
+def j5_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Signals and the open events of their type and place."""
+    signals, known = _signals_and_events(spark, sf)
+    return ev.candidates(signals, known, ["type", "location"]).select("signal_id", "event_id")
+
+
+@query("p13_j5_candidates_prompt", GROUPED_SQL + f""", blocks as (select signal_id, string_agg('  - ID: ' || event_id || chr(10) || '    Title: ' || type || chr(10) || '    Types: ' || type || chr(10) || '    Location: ' || location || chr(10) || '    Valid: ' || {S.stamp('valid_from')} || ' to ' || {S.stamp('valid_to')}, chr(10) order by event_id) as lines from pairs group by signal_id)
+  select signal_id, sha256('Title: ' || type || chr(10) || 'Description: (no description)' || chr(10) || 'Location: ' || location || chr(10) || 'Types: ' || type || chr(10) || 'Severity: ' || severity || chr(10) || 'Summary: ' || type || chr(10) || 'Time: ' || {S.stamp('ts')} || chr(10) || 'Active events:' || chr(10) || coalesce(lines, '  (no active events)')) as prompt_sha from located left join blocks using (signal_id)""")
+def p13_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every signal's prompt with its own candidates."""
+    signals, known = _signals_and_events(spark, sf)
+    block = F.struct(F.col("event_id").alias("id"), F.col("type").alias("title"), F.array("type").alias("types"), F.col("location").cast("string").alias("location"), S.stamped("validFrom").alias("validFrom"), S.stamped("validTo").alias("validTo"))
+    own = ev.candidates(signals, known, ["type", "location"]).groupBy("signal_id").agg(F.sort_array(F.collect_list(block)).alias("active"))
+    text = prompts.group(F.col("type"), F.lit(""), F.col("location").cast("string"), F.array("type"), F.col("severity"), F.col("type"), S.stamped("ts"), F.col("active"))
+    return signals.join(own, "signal_id", "left").select("signal_id", F.sha2(text, 256).alias("prompt_sha"))
+
+
 @query("j7_alerts_per_signal", "select 'u' || user_id as event_id, 'draft' as status from events where least(5, 1 + floor(value / 40)) >= 4")
 def j7(spark: SparkSession, sf: str) -> DataFrame:
     return ev.alerts(ev.severe(S.scored(table(spark, sf, "events")).withColumn("event_id", F.concat(F.lit("u"), F.col("user_id")))))

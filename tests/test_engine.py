@@ -176,3 +176,11 @@ def test_schemas_parse(spark):
     assert T.StructType.fromDDL(schemas.page_ddl()).fieldNames() == ["alerts", "nextPage"]
     for name in ("LOCATION", "DATA_SOURCE", "DISASTER_TYPE", "STORED_SIGNAL", "EVENT", "ALERT", "CLASSIFICATION", "GROUPING", "ASSESSMENT", "LEGACY_SIGNAL"):
         assert T.StructType.fromDDL(getattr(schemas, name)).fields
+
+
+def test_candidates(spark):
+    t = "timestamp_ntz '2024-01-{:02} 00:00:00'".format
+    events = spark.sql(f"select * from values ('e1', 'flood', 'x', {t(1)}, {t(8)}), ('e2', 'flood', 'x', {t(5)}, null), ('e3', 'flood', 'y', {t(1)}, {t(8)}), ('e4', 'fire', 'x', {t(1)}, {t(8)}) as v(event_id, type, location, validFrom, validTo)")
+    signals = spark.sql(f"select * from values ('a', 'flood', 'x', {t(1)}), ('b', 'flood', 'x', {t(8)}), ('c', 'flood', 'x', {t(9)}), ('d', 'fire', 'x', {t(2)}), ('e', 'fire', null, {t(2)}) as v(signal_id, type, location, ts)")
+    rows = ev.candidates(signals, events, ["type", "location"]).select("signal_id", "event_id").collect()
+    assert sorted(map(tuple, rows)) == [("b", "e1"), ("b", "e2"), ("c", "e2"), ("d", "e4")]
