@@ -100,16 +100,38 @@ def s12(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("p1_p2_parse_flatten", "select doc_id // 50 as page, doc_id % 50 as pos, 'a' || doc_id as alertId, case when doc_id % 13 = 0 then null else substring(text, 1, 60) end as headline from documents")
 def p1(spark: SparkSession, sf: str) -> DataFrame:
-    rows = S.signals(spark, sf).withColumn("page", F.floor(F.col("doc_id") / 50))
+    return _flattened(S.signals(spark, sf))
+
+
+@query("p1_p2_parse_flatten_whole", "select doc_id // 50 as page, doc_id % 50 as pos, 'a' || doc_id as alertId, case when doc_id % 13 = 0 then null else text end as headline from documents")
+def p1_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return _flattened(S.signals(spark, sf, short=False))
+
+
+def _flattened(signals: DataFrame) -> DataFrame:
+    spark = signals.sparkSession
+    rows = signals.withColumn("page", F.floor(F.col("doc_id") / 50))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", F.struct("alertId", "alertTimestamp", "headline", "publicPost").alias("s")))), lambda x: x["s"])
     pages = rows.groupBy("page").agg(F.to_json(F.struct(ordered.alias("alerts"), F.lit("x").alias("nextPage"))).alias("body"))
     good, _ = ingest.parse_pages(pages.unionByName(spark.sql("select cast(-1 as bigint) as page, '{broken' as body")), schemas.page_ddl())
     return ingest.flatten(good).select(F.col("page").cast("long").alias("page"), F.col("pos").cast("long").alias("pos"), "alertId", "headline")
 
 
-@query("p3_p4_p5_p6_p7_signal_mapping", S.SIGNALS_SQL + "select alertId, 'src' as sourceId, alertTimestamp as publishedAt, nullif(href, '') as url, headline as title, nullif(concat_ws(' — ', nullif(sub_title, ''), nullif(sub_text, '')), '') as description, headline as raw_headline, lat, lon from sig")
+_MAPPED_SQL = "select alertId, 'src' as sourceId, alertTimestamp as publishedAt, nullif(href, '') as url, headline as title, nullif(concat_ws(' — ', nullif(sub_title, ''), nullif(sub_text, '')), '') as description, headline as raw_headline, lat, lon from sig"
+
+
+@query("p3_p4_p5_p6_p7_signal_mapping", S.SIGNALS_SQL + _MAPPED_SQL)
 def p3(spark: SparkSession, sf: str) -> DataFrame:
-    mapped = ingest.map_signals(S.signals(spark, sf).drop("doc_id"), F.lit("src"))
+    return _mapped(S.signals(spark, sf))
+
+
+@query("p3_p4_p5_p6_p7_signal_mapping_whole", S.WHOLE_SIGNALS_SQL + _MAPPED_SQL)
+def p3_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return _mapped(S.signals(spark, sf, short=False))
+
+
+def _mapped(signals: DataFrame) -> DataFrame:
+    mapped = ingest.map_signals(signals.drop("doc_id"), F.lit("src"))
     return mapped.select("alertId", "sourceId", "publishedAt", "url", "title", "description", F.get_json_object("rawData", "$.headline").alias("raw_headline"), "lat", "lon")
 
 
@@ -118,6 +140,12 @@ def p8(spark: SparkSession, sf: str) -> DataFrame:
     return S.signals(spark, sf).select("alertId", scalar.raw_context(limit=120).alias("raw_context"))
 
 
+@query("p8_o3_o4_raw_context_whole", S.WHOLE_SIGNALS_SQL + f"select alertId, substring({S.RAW_CONTEXT_SQL}, 1, 2000) as raw_context from sig")
+def p8_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts under the limit of production."""
+    return S.signals(spark, sf, short=False).select("alertId", scalar.raw_context(limit=2000).alias("raw_context"))
+
+
 @query("p9_p10_location_names", "select doc_id, nullif(case when doc_id % 6 = 0 then '' else lang end, '') as name, coalesce(case when doc_id % 3 = 0 then lang end, nullif(case when doc_id % 2 = 0 then '' else source end, ''), case when doc_id % 5 = 0 then 'general' end, '(unknown)') as shown from documents")
 def p10(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
@@ -132,12 +160,24 @@ def p11(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", F.col("signalIds")[0].alias("signal_id"), "title", S.stamped("validFrom").alias("validFrom"), S.stamped("validTo").alias("validTo"), F.array_join("types", ",").alias("types"), "rank")
 
 
-@query("p12_j6_classify_prompt", S.SIGNALS_SQL + f"""select alertId, sha256('Title: ' || coalesce(nullif(headline, ''), '(no title)') || chr(10) || 'Description: ' || coalesce(nullif(headline, ''), '(no description)') || chr(10) || 'Location: ' || coalesce(nullif(place, ''), '(unknown location)') || chr(10) || 'Source: ' || coalesce(nullif(href, ''), '(no URL)') || chr(10) || 'Time: ' || alertTimestamp || chr(10) || 'Context:' || chr(10) || substring({S.RAW_CONTEXT_SQL}, 1, 2000) || chr(10) || 'Types:' || chr(10) ||
-  (select string_agg('  ' || code || ': ' || name || coalesce(' (' || class || ')', ''), chr(10) order by code, name) from {S.TYPES_SQL})) as prompt_sha from sig""")
+_PROMPT_SQL = f"""select alertId, sha256('Title: ' || coalesce(nullif(headline, ''), '(no title)') || chr(10) || 'Description: ' || coalesce(nullif(headline, ''), '(no description)') || chr(10) || 'Location: ' || coalesce(nullif(place, ''), '(unknown location)') || chr(10) || 'Source: ' || coalesce(nullif(href, ''), '(no URL)') || chr(10) || 'Time: ' || alertTimestamp || chr(10) || 'Context:' || chr(10) || substring({S.RAW_CONTEXT_SQL}, 1, 2000) || chr(10) || 'Types:' || chr(10) ||
+  (select string_agg('  ' || code || ': ' || name || coalesce(' (' || class || ')', ''), chr(10) order by code, name) from {S.TYPES_SQL})) as prompt_sha from sig"""
+
+
+@query("p12_j6_classify_prompt", S.SIGNALS_SQL + _PROMPT_SQL)
 def p12(spark: SparkSession, sf: str) -> DataFrame:
+    return _classify_prompts(spark, sf, S.signals(spark, sf))
+
+
+@query("p12_j6_classify_prompt_whole", S.WHOLE_SIGNALS_SQL + _PROMPT_SQL)
+def p12_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return _classify_prompts(spark, sf, S.signals(spark, sf, short=False))
+
+
+def _classify_prompts(spark: SparkSession, sf: str, signals: DataFrame) -> DataFrame:
     dims = F.broadcast(S.types(spark, sf).agg(F.sort_array(F.collect_list(F.struct("glideNumber", "disasterType", "disasterClass"))).alias("types")))
     text = prompts.classify(F.col("headline"), F.col("headline"), F.col("estimatedEventLocation.name"), F.col("publicPost.href"), F.col("alertTimestamp"), scalar.raw_context(), F.col("types"))
-    return S.signals(spark, sf).join(dims).select("alertId", F.sha2(text, 256).alias("prompt_sha"))
+    return signals.join(dims).select("alertId", F.sha2(text, 256).alias("prompt_sha"))
 
 
 @query("p13_j5_group_prompt", """

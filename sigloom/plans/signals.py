@@ -46,10 +46,17 @@ def stamped(column: str):  # noqa: ANN201
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested signals made from documents, with every kind of missing part."""
+def whole(text: str) -> str:
+    """``text`` (SQL) without the cuts of the short signals: whole texts in their place."""
+    for a, n in ((1, 60), (1, 200), (11, 100), (1, 30)):
+        text = text.replace(f"substring(text, {a}, {n})", "text")
+    return text
+
+
+def signals(spark: SparkSession, sf_dir: str, short: bool = True) -> DataFrame:
+    """Nested signals made from documents, with every kind of missing part; from whole texts unless ``short``."""
     d = table(spark, sf_dir, "documents")
-    return d.selectExpr(
+    columns = [
         "doc_id",
         "concat('a', doc_id) as alertId",
         "case when doc_id % 11 = 0 then 'not a time' when doc_id % 7 = 0 then concat('2024-03-', lpad(cast(doc_id % 28 + 1 as string), 2, '0'), 'T10:20:30+02:00') else concat('2024-03-', lpad(cast(doc_id % 28 + 1 as string), 2, '0'), 'T10:20:30.250Z') end as alertTimestamp",
@@ -60,7 +67,8 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(doc_id % 3 = 2, null, array(named_struct('summary', array(named_struct('title', 't', 'content', if(doc_id % 3 = 0, array(substring(text, 1, 30), 'second'), cast(array() as array<string>))))))) as intelAgents",
         "if(doc_id % 5 = 2, named_struct('summary', array(named_struct('content', source), named_struct('content', ''))), null) as eventCorroboration",
         "if(doc_id % 4 = 3, array(named_struct('summary', lang), named_struct('summary', cast(null as string))), cast(array() as array<struct<summary: string>>)) as liveBrief",
-    )
+    ]
+    return d.selectExpr(*(columns if short else map(whole, columns)))
 
 
 #: the parts of ``signals`` as plain columns
@@ -83,6 +91,7 @@ SIGNALS_SQL = """
     from documents
   )
 """
+WHOLE_SIGNALS_SQL = whole(SIGNALS_SQL)
 RAW_CONTEXT_SQL = "coalesce(nullif(concat_ws(chr(10), 'Post text: ' || nullif(post, ''), 'Translated: ' || nullif(translated, ''), 'Intel: ' || intel, 'Corroboration: ' || nullif(corroboration, ''), 'Brief: ' || nullif(brief, '')), ''), '(no additional context)')"
 
 

@@ -9,6 +9,7 @@ from sigloom import schemas
 from sigloom.functions import scalar
 from sigloom.operators import events as ev
 from sigloom.operators import geo, ingest
+from sigloom.plans import catalog
 from sigloom.settings import Settings
 
 
@@ -184,3 +185,11 @@ def test_candidates(spark):
     signals = spark.sql(f"select * from values ('a', 'flood', 'x', {t(1)}), ('b', 'flood', 'x', {t(8)}), ('c', 'flood', 'x', {t(9)}), ('d', 'fire', 'x', {t(2)}), ('e', 'fire', null, {t(2)}) as v(signal_id, type, location, ts)")
     rows = ev.candidates(signals, events, ["type", "location"]).select("signal_id", "event_id").collect()
     assert sorted(map(tuple, rows)) == [("b", "e1"), ("b", "e2"), ("c", "e2"), ("d", "e4")]
+
+
+def test_whole_texts_reach_the_limit(spark, sf):
+    found = catalog.queries()
+    sizes = [len(r.raw_context) for r in found["p8_o3_o4_raw_context_whole"](spark, sf).collect()]
+    assert max(sizes) == 2000 and any(200 < n < 2000 for n in sizes)
+    longest = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 13 <> 0").selectExpr("max(length(text))").first()[0]
+    assert max(len(r.headline or "") for r in found["p1_p2_parse_flatten_whole"](spark, sf).collect()) == longest
