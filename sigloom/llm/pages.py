@@ -75,6 +75,7 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
     tag = np.zeros((n, s), np.float32)
     tags_above = np.zeros((n, s), np.float32)
     rest = np.zeros((n, 16), np.float32)
+    placed = [0] * n  # children met so far
     before = 0.0
     total = max(1.0, chars[0])
     for i, node in enumerate(nodes):
@@ -93,7 +94,7 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
         rest[i] = (
             node.depth,
             siblings,
-            parent.children.index(i) / siblings if parent and siblings < 500 else 0,
+            placed[p] / siblings if parent else 0,
             math.log1p(c),
             c / tags[i],
             links[i] / max(1.0, c),
@@ -108,6 +109,8 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
             paragraphs[p] if p >= 0 else 0,
             len(node.children),
         )
+        if parent:
+            placed[p] += 1
         if node.tag == "#text":
             before += c
     return np.concatenate((own, above, tag, tags_above, rest), axis=1)

@@ -302,6 +302,13 @@ def test_hidden_elements_end():
     assert text("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then") == "if x=1 then"
 
 
+@pytest.mark.parametrize("n", [3, 499, 500, 2000])
+def test_place_among_siblings(n):
+    nodes = dom.parse("<div>" + "<p>x</p>" * n + "</div>")
+    place = pages.features(nodes)[:, -14]
+    assert np.allclose(place[[i for i, x in enumerate(nodes) if x.tag == "p"]], np.arange(n) / n)
+
+
 def test_labellings_are_consistent():
     rng = random.Random(1)
     for _ in range(20):
