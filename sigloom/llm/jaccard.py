@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import components as graph
 from . import stage, words
@@ -320,8 +321,8 @@ def links(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, k: int, num: int,
     return stage.written(out, "links")
 
 
-def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links of Jaccard >= num / den)."""
+def _rooted(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Per row: doc_id, n, cls, component_id, and rep, the smallest class of the component that has a row of that doc_id; the last two are null without a class."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = stage.written(_sets(docs, k), "sets")
     ranks = _ranks(rows)
@@ -330,13 +331,40 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     stage.release(docs.sparkSession)
     least = sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
     rooted = least.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    smallest = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = rooted.join(smallest, "component").select("cls", "component_id")
-    return sets.join(by_class, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    smallest = rooted.groupBy("component").agg(F.min(F.struct("least", "cls")).alias("first"))
+    by_class = rooted.join(smallest, "component").select("cls", F.col("first.least").alias("component_id"), F.col("first.cls").alias("rep"))
+    return sets.join(by_class, "cls", "left").select("doc_id", "n", "cls", "component_id", "rep")
+
+
+def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links of Jaccard >= num / den)."""
+    return _rooted(docs, k, num, den).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _with_class(docs: DataFrame, k: int) -> DataFrame:
+    """``docs`` with the class of each row, ``_own``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch, "_text"):
+                own = [class_of(s) if len(s) else None for s in shingles(words.scan(part.column("_text"), words.SPACED), k)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(own, pa.int64())], names=[*part.schema.names[:-1], "_own"])
+
+    return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, StructType([*docs.schema.fields, StructField("_own", LongType())]))
 
 
 def deduplicate(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row of each component: that of the smallest doc_id; columns as they were. Rows with a null doc_id stay."""
-    kept = stage.written(components(docs, k, num, den).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """One row of each component: that of the smallest doc_id; columns as they were. Rows with a null doc_id stay.
+
+    Different texts under one doc_id are told apart by their class: each stays or goes with its own component.
+    """
+    named = docs.where("doc_id is not null")
+    found = stage.written(_rooted(docs, k, num, den).where("doc_id is not null"), "rooted")
+    kept = stage.written(found.where("cls is null or doc_id = component_id and cls = rep").select(F.col("doc_id").alias("_kept"), F.col("cls").alias("_class")).distinct(), "kept")
+    clashing = stage.written(found.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select(F.col("doc_id").alias("_clash")), "clashing")
+    out = named.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    if clashing.limit(1).count():
+        twice = _with_class(named.join(clashing, F.col("doc_id") == F.col("_clash"), "left_semi"), k)
+        twice = twice.join(kept, (F.col("doc_id") == F.col("_kept")) & F.col("_own").eqNullSafe(F.col("_class")), "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")
+        out = out.join(clashing, F.col("doc_id") == F.col("_clash"), "left_anti").unionByName(twice)
+    return out.unionByName(docs.where("doc_id is null"))

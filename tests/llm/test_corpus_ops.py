@@ -259,6 +259,17 @@ def test_jaccard_edges(documents, sentences):
     assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 2, 4, 9]
 
 
+def test_clashing_doc_ids(documents, sentences):
+    a, b, c, d = (sentences(400 + i, 60) for i in range(4))
+    near = a + " more"
+    rows = [(5, a), (5, b), (5, b), (3, b), (7, c), (7, d), (9, c), (4, near), (5, ""), (None, a), (8, d), (6, None)]
+    docs = documents([t for _, t in rows], ids=[i for i, _ in rows])
+    got = jaccard.deduplicate(docs)
+    assert got.columns == docs.columns
+    want = [(3, b), (4, near), (5, ""), (6, None), (7, c), (7, d), (None, a)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_connected_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
