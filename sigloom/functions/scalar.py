@@ -54,7 +54,7 @@ def first_name(*names: Column, default: str | None = None) -> Column:
 
 
 def raw_context(post: str = "publicPost", agents: str = "intelAgents", corroboration: str = "eventCorroboration", brief: str = "liveBrief", limit: int | None = None) -> Column:
-    """Labelled lines: post, translation, first content of each intel summary, corroborations, briefs."""
+    """Labelled lines: post, translation, first content of each intel summary, corroborations, briefs. The labels are fixed values."""
     text = F.expr(
         f"""array_join(filter(concat(
               array(concat('Post text: ', nullif({post}.text, '')), concat('Translated: ', nullif({post}.translatedText, ''))),

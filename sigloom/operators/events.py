@@ -7,13 +7,11 @@ per-signal behaviour, ``mode="intended"`` its documented purpose.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-Scorer = Callable[[DataFrame], DataFrame]
+from ..settings import DEFAULTS
 
 #: Type code -> words that speak for it; the default lexicon of the rule scorer.
 LEXICON = {
@@ -26,34 +24,42 @@ LEXICON = {
 }
 
 
-def _hits(text: Column, lexicon: tuple[str, ...]) -> Column:
-    return F.regexp_count(F.lower(text), F.lit(r"\b(" + "|".join(lexicon) + r")\b"))
+def _counts(body: Column, lexicon: dict[str, tuple[str, ...]]) -> dict[str, Column]:
+    """How often words of each class stand in a text: one pass for all classes where every entry is one word."""
+    every = sorted({w for ws in lexicon.values() for w in ws})
+    if all(w.isalnum() for w in every):
+        found = F.regexp_extract_all(F.lower(body), F.lit(r"\b(" + "|".join(every) + r")\b"), F.lit(1))
+        return {code: F.size(F.filter("_found", _one_of(ws))) for code, ws in lexicon.items()} | {"": found}
+    return {code: F.regexp_count(F.lower(body), F.lit(r"\b(" + "|".join(ws) + r")\b")) for code, ws in lexicon.items()} | {"": F.lit(None)}
+
+
+def _one_of(words: tuple[str, ...]):  # noqa: ANN202
+    return lambda w: w.isin(*words)
 
 
 def classify(signals: DataFrame, text: str = "text", title: str = "title", lexicon: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Adds disaster_types, relevance (0-1), severity (1-5) and summary."""
     lexicon = lexicon or LEXICON
-    body = F.coalesce(F.col(text), F.lit(""))
-    counts = {f"_{code}": _hits(body, ws) for code, ws in lexicon.items()}
-    total = sum((F.col(c) for c in counts), F.lit(0))
+    counts = _counts(F.coalesce(F.col(text), F.lit("")), lexicon)
+    found = signals.withColumn("_found", counts.pop(""))
+    scored = found.withColumns({f"_{code}": c for code, c in counts.items()})
     types = F.filter(F.array(*(F.when(F.col(f"_{code}") > 0, F.lit(code)) for code in lexicon)), lambda x: x.isNotNull())
-    scored = signals.withColumns(counts).withColumn("_total", total)
-    return scored.withColumns(
+    return scored.withColumn("_total", sum((F.col(f"_{code}") for code in lexicon), F.lit(0))).withColumns(
         {
             "disaster_types": types,
             "relevance": F.least(F.col("_total") / F.lit(4.0), F.lit(1.0)),
             "severity": F.least(F.lit(5), F.lit(1) + F.col("_total")).cast("int"),
             "summary": F.substring(F.coalesce(F.col(title), F.lit("")), 1, 120),
         }
-    ).drop("_total", *counts)
+    ).drop("_total", "_found", *(f"_{code}" for code in lexicon))
 
 
-def relevant(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+def relevant(scored: DataFrame, threshold: float = DEFAULTS.relevance_threshold) -> DataFrame:
     """Not below the threshold; NaN passes."""
     return scored.where(~(F.col("relevance") < threshold))
 
 
-def severe(scored: DataFrame, threshold: int = 4) -> DataFrame:
+def severe(scored: DataFrame, threshold: int = DEFAULTS.severity_threshold) -> DataFrame:
     return scored.where(F.col("event_id").isNotNull() & (F.col("severity") >= threshold))
 
 
@@ -62,7 +68,7 @@ def route(decisions: DataFrame) -> DataFrame:
     return decisions.withColumn("route", F.when((F.col("action") == "add_to_existing") & (F.coalesce("event_id", F.lit("")) != ""), "update").when(F.col("action") == "create_new", "insert").otherwise("reject"))
 
 
-def new_events(signals: DataFrame, valid_days: int = 7) -> DataFrame:
+def new_events(signals: DataFrame, valid_days: int = DEFAULTS.event_valid_days) -> DataFrame:
     """Event columns of a signal that starts one: validity, first and last time, types, rank."""
     types = F.when(F.size("event_types") > 0, F.col("event_types")).otherwise(F.col("disaster_types"))
     return signals.select(
@@ -78,24 +84,41 @@ def new_events(signals: DataFrame, valid_days: int = 7) -> DataFrame:
     )
 
 
-def sessions(signals: DataFrame, keys: list[str], gap_hours: int = 48, ts: str = "ts") -> DataFrame:
-    """Events: signals of one key whose gaps don't exceed ``gap_hours``; an exact gap still joins.
+def _slices(signals: DataFrame, keys: list[str], gap_hours: int, ts: str, *more: Column) -> DataFrame:
+    """A row per key and time slice of ``gap_hours``, with its first and last time and the number of its session.
 
-    ``session_window`` merges sessions before and after the shuffle, so a hot key's rows
-    shrink to its sessions map-side where they lie close together.
+    Signals of one slice lie nearer than the gap, so they are one session, and what a slice holds is
+    pre-aggregated in the tasks that read it: a key with a third of all rows leaves a row per slice and task.
+    The window behind sees as many rows of a key as its time has slices.
     """
-    return (
-        signals.groupBy(*keys, F.session_window(F.col(ts).cast("timestamp"), f"{gap_hours} hours").alias("w"))
-        .agg(F.count("*").alias("n_signals"), F.max("severity").alias("max_severity"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
-        .drop("w")
-    )
+    sliced = signals.where(F.col(ts).isNotNull()).groupBy(*keys, _slice(ts, gap_hours).alias("_slice"))
+    per = sliced.agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), *more)
+    w = Window.partitionBy(*keys).orderBy("_slice")
+    new = F.when(F.col("first_ts") > F.lag("last_ts").over(w) + F.expr(f"interval {gap_hours} hours"), 1).otherwise(0)
+    return per.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
+
 
+def _slice(ts: str, gap_hours: int) -> Column:
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(gap_hours * 3_600_000_000)).cast("long")
 
-def numbered_sessions(signals: DataFrame, keys: list[str], order: list[str], gap_hours: int = 48, ts: str = "ts") -> DataFrame:
-    """``signals`` with ``session``, the number of their event within the key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    new = F.when(F.col(ts) > F.lag(ts).over(w) + F.expr(f"interval {gap_hours} hours"), 1).otherwise(0)
-    return signals.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
+
+def sessions(signals: DataFrame, keys: list[str], gap_hours: int = DEFAULTS.session_gap_hours, ts: str = "ts") -> DataFrame:
+    """Events: signals of one key whose gaps don't exceed ``gap_hours``; an exact gap still joins. Signals without a time have none."""
+    per = _slices(signals, keys, gap_hours, ts, F.count("*").alias("n_signals"), F.max("severity").alias("max_severity"))
+    merged = per.groupBy(*keys, "session").agg(F.sum("n_signals").alias("n_signals"), F.max("max_severity").alias("max_severity"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    return merged.drop("session")
+
+
+def numbered_sessions(signals: DataFrame, keys: list[str], gap_hours: int = DEFAULTS.session_gap_hours, ts: str = "ts") -> DataFrame:
+    """``signals`` with ``session``, the number of their event within the key; 0 for those without a time.
+
+    The numbers are worked out per slice and joined to the signals on key and slice, so the rows of a key
+    meet in as many tasks as it has slices.
+    """
+    per = _slices(signals, keys, gap_hours, ts).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_slice").alias("_of"), "session")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    found = signals.withColumn("_slice", _slice(ts, gap_hours)).join(per, [*same, F.col("_slice") == F.col("_of")], "left")
+    return found.withColumn("session", F.coalesce("session", F.lit(0).cast("long"))).drop("_slice", "_of", *(f"_{k}" for k in keys))
 
 
 def apply_updates(events: DataFrame, updates: DataFrame, arrival: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -128,7 +151,7 @@ def candidates(signals: DataFrame, events: DataFrame, keys: list[str], ts: str =
     return signals.join(known, [*same, open_then]).drop(*(f"_{k}" for k in keys))
 
 
-def assess(events: DataFrame, min_severity: int = 4, min_signals: int = 1) -> DataFrame:
+def assess(events: DataFrame, min_severity: int = DEFAULTS.severity_threshold, min_signals: int = 1) -> DataFrame:
     """Adds should_alert and status, which is always ``draft``."""
     return events.withColumns({"should_alert": (F.col("max_severity") >= min_severity) & (F.col("n_signals") >= min_signals), "status": F.lit("draft")})
 

@@ -7,21 +7,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import scalar
+from ..settings import DEFAULTS
 
 
 def parse_pages(pages: DataFrame, schema: str, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """(parsed pages, quarantined pages). A page that isn't valid JSON, or has no alerts array, is quarantined, never lost."""
-    parsed = pages.withColumn("_p", F.from_json(body, schema, {"mode": "PERMISSIVE"}))
+    """(parsed pages, quarantined pages). A page that isn't valid JSON, or has no alerts array, is quarantined, never lost.
+
+    Parsed pages have ``alerts``, the modelled records, and ``payloads``, the source text of each with every field.
+    """
+    parsed = pages.withColumns({"_p": F.from_json(body, schema, {"mode": "PERMISSIVE"}), "_s": F.from_json(body, "alerts ARRAY<STRING>", {"mode": "PERMISSIVE"})})
     bad = F.col("_p").isNull() | F.col("_p.alerts").isNull()
-    return parsed.where(~bad).withColumns({"alerts": F.col("_p.alerts"), "nextPage": F.col("_p.nextPage")}).drop("_p"), parsed.where(bad).drop("_p")
+    good = parsed.where(~bad).withColumns({"alerts": F.col("_p.alerts"), "nextPage": F.col("_p.nextPage"), "payloads": F.col("_s.alerts")})
+    return good.drop("_p", "_s"), parsed.where(bad).drop("_p", "_s")
 
 
 def flatten(pages: DataFrame, page: str = "page") -> DataFrame:
-    """One row per signal in delivery order: (page, pos) and the signal's fields."""
-    return pages.select(page, F.posexplode("alerts").alias("pos", "s")).select(page, "pos", "s.*")
+    """One row per signal in delivery order: (page, pos), the signal's fields, and its ``payload`` where pages have ``payloads``."""
+    if "payloads" not in pages.columns:
+        return pages.select(page, F.posexplode("alerts").alias("pos", "s")).select(page, "pos", "s.*")
+    both = pages.select(page, F.posexplode(F.arrays_zip("alerts", "payloads")).alias("pos", "s"))
+    return both.select(page, "pos", "s.alerts.*", F.col("s.payloads").alias("payload"))
 
 
-def page_cap(signals: DataFrame, cap: int = 50, page: str = "page") -> DataFrame:
+def page_cap(signals: DataFrame, cap: int = DEFAULTS.max_pages_per_poll, page: str = "page") -> DataFrame:
     return signals.where(F.col(page) <= cap)
 
 
@@ -69,13 +77,13 @@ def unseen(signals: DataFrame, seen: DataFrame, key: str = "alertId") -> DataFra
     return signals.join(seen.select(key).distinct(), key, "left_anti")
 
 
-def sync_start(last_synced: Column, latest_stored: Column, now: Column, lookback_days: int = 7) -> Column:
+def sync_start(last_synced: Column, latest_stored: Column, now: Column, lookback_days: int = DEFAULTS.initial_lookback_days) -> Column:
     return F.coalesce(last_synced, latest_stored, now - F.expr(f"interval {lookback_days} days"))
 
 
 def map_signals(signals: DataFrame, source_id: Column, origin_id: Column | None = None) -> DataFrame:
-    """The stored signal. rawData is the modelled record with explicit nulls."""
-    modelled = [c for c in signals.columns if c not in ("page", "pos", "ts")]
+    """The stored signal. rawData is the modelled record with explicit nulls, payload its source text where there is one."""
+    modelled = [c for c in signals.columns if c not in ("page", "pos", "ts", "payload")]
     return signals.select(
         F.col("alertId"),
         source_id.alias("sourceId"),
@@ -87,6 +95,7 @@ def map_signals(signals: DataFrame, source_id: Column, origin_id: Column | None
         (F.lit(None).cast("string") if origin_id is None else origin_id).alias("originId"),
         scalar.coordinate(F.col("estimatedEventLocation.coordinates"), 0).alias("lat"),
         scalar.coordinate(F.col("estimatedEventLocation.coordinates"), 1).alias("lon"),
+        *(["payload"] if "payload" in signals.columns else []),
     )
 
 

@@ -12,6 +12,7 @@ from .. import schemas
 from ..functions import prompts, scalar
 from ..operators import events as ev
 from ..operators import geo, ingest
+from ..settings import DEFAULTS
 from ..sources import tables
 from . import signals as S
 from .registry import ORACLES, QUERIES, query, table
@@ -25,8 +26,12 @@ def since() -> Column:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one that the session names, else a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sigloom-")
+    """A new folder in the shared one that the session names; a temporary one only for a local session."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="sigloom-")
     return f"{base.rstrip('/')}/sigloom/{name}-{uuid.uuid4().hex}"
 
 
@@ -49,11 +54,33 @@ def s4(spark: SparkSession, sf: str) -> DataFrame:
     return tables.latest_published(stored).select("latest_text", S.stamped("latest").alias("latest"))
 
 
-@query("s5_s6_scans", "with " + S.LOCATIONS_SQL + "select id, name, level, lat, lon from loc")
+@query("s6_locations_scan", "with " + S.LOCATIONS_SQL + "select id, name, level, lat, lon from loc")
 def s6(spark: SparkSession, sf: str) -> DataFrame:
     return S.locations(spark, sf).drop("pos")
 
 
+@query("s5_events_scan", f"""
+  select 'e' || o_orderkey as id, nullif(o_orderstatus, 'F') as title, o_orderpriority as types, {S.stamp('o_orderdate')} as validFrom,
+    coalesce(case when o_orderkey % 3 = 0 then c.c_name end, case when o_orderkey % 2 = 0 then n.n_name end, r.r_name) as shown,
+    'c' || c_custkey as origin_id, case when o_orderkey % 2 = 0 then 'n' || n_nationkey end as destination_id
+  from orders join customer c on o_custkey = c_custkey join nation n on c_nationkey = n_nationkey join region r on n_regionkey = r_regionkey""")
+def s5(spark: SparkSession, sf: str) -> DataFrame:
+    """Events stored with their three locations and read back whole: every event is active, as it was meant."""
+    path = scratch(spark, "events")
+    place = lambda i, name: F.struct(i.cast("string").alias("id"), name.alias("name"))
+    joined = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    stored = joined.select(
+        F.concat(F.lit("e"), "o_orderkey").alias("id"), F.array().cast("array<string>").alias("signalIds"), F.nullif(F.col("o_orderstatus"), F.lit("F")).alias("title"), F.col("o_orderdate").cast("timestamp").alias("validFrom"), F.array("o_orderpriority").alias("types"),
+        place(F.concat(F.lit("c"), "c_custkey"), F.when(F.col("o_orderkey") % 3 == 0, F.col("c_name"))).alias("originLocation"),
+        F.when(F.col("o_orderkey") % 2 == 0, place(F.concat(F.lit("n"), "n_nationkey"), F.col("n_name"))).alias("destinationLocation"),
+        place(F.concat(F.lit("r"), "r_regionkey"), F.col("r_name")).alias("generalLocation"),
+    )
+    stored.write.parquet(path)
+    events = tables.read_or_empty(spark, path, schemas.EVENT)
+    shown = scalar.first_name(F.col("originLocation.name"), F.col("destinationLocation.name"), F.col("generalLocation.name"))
+    return events.select("id", "title", F.array_join("types", ",").alias("types"), S.stamped("validFrom").alias("validFrom"), shown.alias("shown"), F.col("originLocation.id").alias("origin_id"), F.col("destinationLocation.id").alias("destination_id"))
+
+
 @query("s7_f7_source_lookup", "select min('s' || s_suppkey) as sourceId from supplier where s_name = (select min(s_name) from supplier)")
 def s7(spark: SparkSession, sf: str) -> DataFrame:
     sources = table(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name"))
@@ -98,22 +125,17 @@ def s12(spark: SparkSession, sf: str) -> DataFrame:
 # --- projections ------------------------------------------------------------------------------
 
 
-@query("p1_p2_parse_flatten", "select doc_id // 50 as page, doc_id % 50 as pos, 'a' || doc_id as alertId, case when doc_id % 13 = 0 then null else substring(text, 1, 60) end as headline from documents")
+@query("p1_p2_parse_flatten", "select doc_id // 50 as page, doc_id % 50 as pos, 'a' || doc_id as alertId, case when doc_id % 13 = 0 then null else text end as headline from documents")
 def p1(spark: SparkSession, sf: str) -> DataFrame:
     return _flattened(S.signals(spark, sf))
 
 
-@query("p1_p2_parse_flatten_whole", "select doc_id // 50 as page, doc_id % 50 as pos, 'a' || doc_id as alertId, case when doc_id % 13 = 0 then null else text end as headline from documents")
-def p1_whole(spark: SparkSession, sf: str) -> DataFrame:
-    return _flattened(S.signals(spark, sf, short=False))
-
-
 def _flattened(signals: DataFrame) -> DataFrame:
     spark = signals.sparkSession
     rows = signals.withColumn("page", F.floor(F.col("doc_id") / 50))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", F.struct("alertId", "alertTimestamp", "headline", "publicPost").alias("s")))), lambda x: x["s"])
     pages = rows.groupBy("page").agg(F.to_json(F.struct(ordered.alias("alerts"), F.lit("x").alias("nextPage"))).alias("body"))
-    good, _ = ingest.parse_pages(pages.unionByName(spark.sql("select cast(-1 as bigint) as page, '{broken' as body")), schemas.page_ddl())
+    good, _ = ingest.parse_pages(pages.unionByName(spark.sql("select cast(-1 as bigint) as page, '{broken' as body")), schemas.page_ddl("alertUrl"))
     return ingest.flatten(good).select(F.col("page").cast("long").alias("page"), F.col("pos").cast("long").alias("pos"), "alertId", "headline")
 
 
@@ -125,25 +147,32 @@ def p3(spark: SparkSession, sf: str) -> DataFrame:
     return _mapped(S.signals(spark, sf))
 
 
-@query("p3_p4_p5_p6_p7_signal_mapping_whole", S.WHOLE_SIGNALS_SQL + _MAPPED_SQL)
-def p3_whole(spark: SparkSession, sf: str) -> DataFrame:
-    return _mapped(S.signals(spark, sf, short=False))
-
-
 def _mapped(signals: DataFrame) -> DataFrame:
     mapped = ingest.map_signals(signals.drop("doc_id"), F.lit("src"))
     return mapped.select("alertId", "sourceId", "publishedAt", "url", "title", "description", F.get_json_object("rawData", "$.headline").alias("raw_headline"), "lat", "lon")
 
 
-@query("p8_o3_o4_raw_context", S.SIGNALS_SQL + f"select alertId, substring({S.RAW_CONTEXT_SQL}, 1, 120) as raw_context from sig")
+@query("p6_payload", "select doc_id // 50 as page, doc_id % 50 as pos, 'a' || doc_id as alertId, 'https://own.example/' || doc_id as own_link, cast(null as varchar) as other_link, lang as extra, text as headline, text as payload_headline from documents")
+def p6(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored signals keep every field of the source text, and the alert's own link under the name it has there."""
+    rows = table(spark, sf, "documents").withColumn("page", F.floor(F.col("doc_id") / 50))
+    record = F.struct(F.concat(F.lit("a"), "doc_id").alias("alertId"), F.concat(F.lit("https://own.example/"), "doc_id").alias("ownLink"), F.col("lang").alias("notModelled"), F.col("text").alias("headline"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", record.alias("s")))), lambda x: x["s"])
+    pages = rows.groupBy("page").agg(F.to_json(F.struct(ordered.alias("alerts"))).alias("body"))
+    found = {}
+    for link in ("ownLink", "otherLink"):
+        good, _ = ingest.parse_pages(pages, schemas.page_ddl(link))
+        found[link] = ingest.flatten(good)
+    own = found["ownLink"]
+    mapped = ingest.map_signals(own.drop("page", "pos"), F.lit("src")).select("alertId", "rawData", "payload")
+    other = found["otherLink"].select("alertId", "otherLink")
+    joined = own.select(F.col("page").cast("long").alias("page"), F.col("pos").cast("long").alias("pos"), "alertId", "headline").join(mapped, "alertId").join(other, "alertId")
+    return joined.select("page", "pos", "alertId", F.get_json_object("rawData", "$.ownLink").alias("own_link"), F.col("otherLink").alias("other_link"), F.get_json_object("payload", "$.notModelled").alias("extra"), "headline", F.get_json_object("payload", "$.headline").alias("payload_headline"))
+
+
+@query("p8_o3_o4_raw_context", S.SIGNALS_SQL + f"select alertId, substring({S.RAW_CONTEXT_SQL}, 1, 2000) as raw_context from sig")
 def p8(spark: SparkSession, sf: str) -> DataFrame:
-    return S.signals(spark, sf).select("alertId", scalar.raw_context(limit=120).alias("raw_context"))
-
-
-@query("p8_o3_o4_raw_context_whole", S.WHOLE_SIGNALS_SQL + f"select alertId, substring({S.RAW_CONTEXT_SQL}, 1, 2000) as raw_context from sig")
-def p8_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts under the limit of production."""
-    return S.signals(spark, sf, short=False).select("alertId", scalar.raw_context(limit=2000).alias("raw_context"))
+    return S.signals(spark, sf).select("alertId", scalar.raw_context(limit=DEFAULTS.raw_context_chars).alias("raw_context"))
 
 
 @query("p9_p10_location_names", "select doc_id, nullif(case when doc_id % 6 = 0 then '' else lang end, '') as name, coalesce(case when doc_id % 3 = 0 then lang end, nullif(case when doc_id % 2 = 0 then '' else source end, ''), case when doc_id % 5 = 0 then 'general' end, '(unknown)') as shown from documents")
@@ -160,41 +189,39 @@ def p11(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", F.col("signalIds")[0].alias("signal_id"), "title", S.stamped("validFrom").alias("validFrom"), S.stamped("validTo").alias("validTo"), F.array_join("types", ",").alias("types"), "rank")
 
 
-_PROMPT_SQL = f"""select alertId, sha256('Title: ' || coalesce(nullif(headline, ''), '(no title)') || chr(10) || 'Description: ' || coalesce(nullif(headline, ''), '(no description)') || chr(10) || 'Location: ' || coalesce(nullif(place, ''), '(unknown location)') || chr(10) || 'Source: ' || coalesce(nullif(href, ''), '(no URL)') || chr(10) || 'Time: ' || alertTimestamp || chr(10) || 'Context:' || chr(10) || substring({S.RAW_CONTEXT_SQL}, 1, 2000) || chr(10) || 'Types:' || chr(10) ||
-  (select string_agg('  ' || code || ': ' || name || coalesce(' (' || class || ')', ''), chr(10) order by code, name) from {S.TYPES_SQL})) as prompt_sha from sig"""
+def _request_sql(task: str, slots: dict[str, str]) -> str:
+    """SQL of a request's text; ``slots`` are SQL expressions."""
+    constant = prompts.head(task).replace("'", "''")
+    return f"'{constant}' || cast(to_json(struct_pack({', '.join(f'{k} := {v}' for k, v in slots.items())})) as varchar) || '}}'"
 
 
-@query("p12_j6_classify_prompt", S.SIGNALS_SQL + _PROMPT_SQL)
-def p12(spark: SparkSession, sf: str) -> DataFrame:
-    return _classify_prompts(spark, sf, S.signals(spark, sf))
+def _or_sql(value: str, default: str) -> str:
+    return f"coalesce(nullif({value}, ''), '{default}')"
 
 
-@query("p12_j6_classify_prompt_whole", S.WHOLE_SIGNALS_SQL + _PROMPT_SQL)
-def p12_whole(spark: SparkSession, sf: str) -> DataFrame:
-    return _classify_prompts(spark, sf, S.signals(spark, sf, short=False))
+_CLASSIFY_SQL = _request_sql("classify", {
+    "title": _or_sql("headline", prompts.NO_TITLE), "description": _or_sql("headline", prompts.NO_DESCRIPTION), "location": _or_sql("place", prompts.NO_LOCATION), "url": _or_sql("href", prompts.NO_URL), "time": "alertTimestamp",
+    "context": f"substring({S.RAW_CONTEXT_SQL}, 1, 2000)", "types": f"(select list(struct_pack(code := code, name := name, class := class) order by code, name) from {S.TYPES_SQL})",
+})
 
 
-def _classify_prompts(spark: SparkSession, sf: str, signals: DataFrame) -> DataFrame:
-    dims = F.broadcast(S.types(spark, sf).agg(F.sort_array(F.collect_list(F.struct("glideNumber", "disasterType", "disasterClass"))).alias("types")))
+@query("p12_j6_classify_prompt", S.SIGNALS_SQL + f"select alertId, sha256({_CLASSIFY_SQL}) as prompt_sha from sig")
+def p12(spark: SparkSession, sf: str) -> DataFrame:
+    signals = S.signals(spark, sf)
+    dims = F.broadcast(S.types(spark, sf).agg(F.sort_array(F.collect_list(F.struct("glideNumber", "disasterType", "disasterClass"))).alias("types")))  # the dimension of types: tens of rows
     text = prompts.classify(F.col("headline"), F.col("headline"), F.col("estimatedEventLocation.name"), F.col("publicPost.href"), F.col("alertTimestamp"), scalar.raw_context(), F.col("types"))
     return signals.join(dims).select("alertId", F.sha2(text, 256).alias("prompt_sha"))
 
 
-@query("p13_j5_group_prompt", """
-  with recent as (select c_custkey as id, c_mktsegment as type from customer where c_custkey <= 3),
-  block as (select string_agg('  - ID: ' || id || chr(10) || '    Title: ' || type || chr(10) || '    Types: ' || type || ', x' || chr(10) || '    Location: (unknown)' || chr(10) || '    Valid: 2024-01-01 to ?', chr(10) order by id) as lines from recent)
-  select doc_id, sha256('Title: ' || lang || chr(10) || 'Description: (no description)' || chr(10) || 'Location: (unknown)' || chr(10) || 'Types: ' || case when doc_id % 2 = 0 then 'FL, CE' else '(none)' end || chr(10) || 'Severity: ' || (doc_id % 5 + 1) || chr(10) || 'Summary: ' || source || chr(10) || 'Time: t' || chr(10) || 'Active events:' || chr(10) || case when doc_id % 3 = 0 then '  (no active events)' else (select lines from block) end) as prompt_sha from documents""")
-def p13(spark: SparkSession, sf: str) -> DataFrame:
-    recent = table(spark, sf, "customer").where("c_custkey <= 3").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("title"), F.array("c_mktsegment", F.lit("x")).alias("types"), F.lit(None).cast("string").alias("location"), F.lit("2024-01-01").alias("validFrom"), F.lit(None).cast("string").alias("validTo"))
-    active = F.broadcast(recent.agg(F.sort_array(F.collect_list(F.struct(*recent.columns))).alias("active")))
-    chosen = F.when(F.col("doc_id") % 3 != 0, F.col("active"))
-    text = prompts.group(F.col("lang"), F.lit(""), F.lit(None).cast("string"), F.expr("if(doc_id % 2 = 0, array('FL', 'CE'), array())").cast("array<string>"), F.col("doc_id") % 5 + 1, F.col("source"), F.lit("t"), chosen)
-    return table(spark, sf, "documents").join(active).select("doc_id", F.sha2(text, 256).alias("prompt_sha"))
+_ASSESS_SQL = _request_sql("assess", {
+    "title": "lang", "description": f"'{prompts.NO_DESCRIPTION}'", "types": "'FL'", "location": "source", "signals": "cast(1 as bigint)", "severity": "doc_id % 5 + 1", '"from"': "'a'", "\"to\"": "'b'",
+    "summaries": "case when doc_id % 4 = 0 then cast([] as varchar[]) else ['one', text] end",
+})
 
 
-@query("p14_assess_prompt", "select doc_id, sha256('Event: ' || lang || chr(10) || 'Description: (no description)' || chr(10) || 'Types: FL' || chr(10) || 'Location: ' || source || chr(10) || 'Signals: 1' || chr(10) || 'Severity: ' || (doc_id % 5 + 1) || chr(10) || 'Time: a to b' || chr(10) || 'Summaries:' || chr(10) || case when doc_id % 4 = 0 then '  (no summaries available)' else '  - one' || chr(10) || '  - ' || lang end) as prompt_sha from documents")
+@query("p14_assess_prompt", f"select doc_id, sha256({_ASSESS_SQL}) as prompt_sha from documents")
 def p14(spark: SparkSession, sf: str) -> DataFrame:
-    summaries = F.expr("if(doc_id % 4 = 0, array(), array('one', lang))").cast("array<string>")
+    summaries = F.expr("if(doc_id % 4 = 0, array(), array('one', text))").cast("array<string>")
     text = prompts.assess(F.col("lang"), F.lit(None).cast("string"), F.array(F.lit("FL")), F.col("source"), F.lit(1), F.col("doc_id") % 5 + 1, F.lit("a"), F.lit("b"), summaries)
     return table(spark, sf, "documents").select("doc_id", F.sha2(text, 256).alias("prompt_sha"))
 
@@ -303,11 +330,6 @@ def _located(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
     return rows.join(customers, "user_id")
 
 
-@query("j5_candidates", "select event_type, c_nationkey as nation, count(*) as n, count(distinct user_id) as n_users from events join customer on user_id = c_custkey group by all")
-def j5(spark: SparkSession, sf: str) -> DataFrame:
-    return _located(spark, sf, table(spark, sf, "events")).groupBy("event_type", "nation").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("n_users"))
-
-
 #: signals by type and nation, and the events that they form, open for seven days
 GROUPED_SQL = f"""
   with located as (select 'a' || event_id as signal_id, event_type as type, c_nationkey as location, ts, cast(least(5, 1 + floor(value / 40)) as int) as severity from events join customer on user_id = c_custkey),
@@ -327,15 +349,22 @@ def _signals_and_events(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFr
     return signals, known
 
 
-@query("j5_signal_candidates", GROUPED_SQL + "select signal_id, event_id from pairs")
+@query("j5_candidates", GROUPED_SQL + "select signal_id, event_id from pairs")
 def j5_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Signals and the open events of their type and place."""
     signals, known = _signals_and_events(spark, sf)
     return ev.candidates(signals, known, ["type", "location"]).select("signal_id", "event_id")
 
 
-@query("p13_j5_candidates_prompt", GROUPED_SQL + f""", blocks as (select signal_id, string_agg('  - ID: ' || event_id || chr(10) || '    Title: ' || type || chr(10) || '    Types: ' || type || chr(10) || '    Location: ' || location || chr(10) || '    Valid: ' || {S.stamp('valid_from')} || ' to ' || {S.stamp('valid_to')}, chr(10) order by event_id) as lines from pairs group by signal_id)
-  select signal_id, sha256('Title: ' || type || chr(10) || 'Description: (no description)' || chr(10) || 'Location: ' || location || chr(10) || 'Types: ' || type || chr(10) || 'Severity: ' || severity || chr(10) || 'Summary: ' || type || chr(10) || 'Time: ' || {S.stamp('ts')} || chr(10) || 'Active events:' || chr(10) || coalesce(lines, '  (no active events)')) as prompt_sha from located left join blocks using (signal_id)""")
+_GROUP_SQL = _request_sql("group", {
+    "title": "type", "description": f"'{prompts.NO_DESCRIPTION}'", "location": "cast(location as varchar)", "types": "type", "severity": "severity", "summary": "type", "time": S.stamp("ts"),
+    "events": "coalesce(known, cast([] as struct(id varchar, title varchar, types varchar[], location varchar, \"from\" varchar, \"to\" varchar)[]))",
+})
+
+
+@query("p13_j5_group_prompt", GROUPED_SQL + f""", blocks as (
+    select signal_id, list(struct_pack(id := event_id, title := type, types := [type], location := cast(location as varchar), "from" := {S.stamp('valid_from')}, "to" := {S.stamp('valid_to')}) order by event_id) as known from pairs group by signal_id)
+  select signal_id, sha256({_GROUP_SQL}) as prompt_sha from located left join blocks using (signal_id)""")
 def p13_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Every signal's prompt with its own candidates."""
     signals, known = _signals_and_events(spark, sf)
@@ -427,7 +456,7 @@ def w4s(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("w5_event_state", f"select event_type, c_nationkey as nation, session, count(*) as n from (select *, cast(sum(fresh) over (partition by event_type, c_nationkey order by ts, event_id) as bigint) as session from (select event_type, c_nationkey, ts, event_id, case when ts > lag(ts) over (partition by event_type, c_nationkey order by ts, event_id) + interval 6 hours then 1 else 0 end as fresh from events join customer on user_id = c_custkey)) group by all")
 def w5(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ev.numbered_sessions(_located(spark, sf, table(spark, sf, "events")), ["event_type", "nation"], ["ts", "event_id"], 6)
+    rows = ev.numbered_sessions(_located(spark, sf, table(spark, sf, "events")), ["event_type", "nation"], 6)
     return rows.groupBy("event_type", "nation", "session").agg(F.count("*").alias("n"))
 
 
@@ -445,6 +474,24 @@ def w7(spark: SparkSession, sf: str) -> DataFrame:
     return geo.cell_representatives(S.points(spark, sf), ["event_id"])
 
 
+@query("w7_cell_answers", "with " + S.LOCATIONS_SQL + "," + S.POINTS_SQL + """,
+  cells as (select *, printf('%.1f', lat) as cell_lat, printf('%.1f', lon) as cell_lon from pts),
+  firsts as (select cell_lat, cell_lon, min(event_id) as first_id, arg_min(lat, event_id) as lat, arg_min(lon, event_id) as lon from cells group by cell_lat, cell_lon),
+  d as (select cell_lat, cell_lon, first_id, id, pow(sin(radians(loc.lat - firsts.lat) / 2), 2) + cos(radians(firsts.lat)) * cos(radians(loc.lat)) * pow(sin(radians(loc.lon - firsts.lon) / 2), 2) as a from firsts, loc),
+  near as (select cell_lat, cell_lon, any_value(first_id) as first_id, arg_min(id, (a, id)) as id from d group by cell_lat, cell_lon)
+  select event_id, case when first_id % 5 = 0 then 'kept' when first_id % 5 = 1 then null else id end as location_id from cells join near using (cell_lat, cell_lon)""")
+def w7_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Some cells remembered, some of those without a location, some too long ago; the others asked once each."""
+    points = S.points(spark, sf)
+    cells = geo.cell_representatives(points.withColumn("first", F.col("event_id")), ["event_id"])
+    firsts = points.withColumns({"cell_lat": scalar.grid_cell(F.col("lat")), "cell_lon": scalar.grid_cell(F.col("lon"))}).groupBy("cell_lat", "cell_lon").agg(F.min("event_id").alias("first_id"))
+    now = F.lit("2024-06-01 12:00:00").cast("timestamp")
+    age = F.when(F.col("first_id") % 5 < 2, F.expr("interval 1 hour")).otherwise(F.expr("interval 7 hours"))
+    memo = cells.join(firsts, ["cell_lat", "cell_lon"]).where("first_id % 5 < 3").select("cell_lat", "cell_lon", F.when(F.col("first_id") % 5 == 0, "kept").when(F.col("first_id") % 5 == 2, "old").alias("location_id"), (now - age).alias("resolved_at"))
+    placed, _ = geo.resolve_cells(points, S.locations(spark, sf), memo, now, ["event_id"])
+    return placed.select("event_id", "location_id")
+
+
 # --- scalar functions -------------------------------------------------------------------------
 
 

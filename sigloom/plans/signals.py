@@ -46,29 +46,22 @@ def stamped(column: str):  # noqa: ANN201
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def whole(text: str) -> str:
-    """``text`` (SQL) without the cuts of the short signals: whole texts in their place."""
-    for a, n in ((1, 60), (1, 200), (11, 100), (1, 30)):
-        text = text.replace(f"substring(text, {a}, {n})", "text")
-    return text
-
-
-def signals(spark: SparkSession, sf_dir: str, short: bool = True) -> DataFrame:
-    """Nested signals made from documents, with every kind of missing part; from whole texts unless ``short``."""
+def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested signals made from the whole texts of documents, with every kind of missing part."""
     d = table(spark, sf_dir, "documents")
     columns = [
         "doc_id",
         "concat('a', doc_id) as alertId",
         "case when doc_id % 11 = 0 then 'not a time' when doc_id % 7 = 0 then concat('2024-03-', lpad(cast(doc_id % 28 + 1 as string), 2, '0'), 'T10:20:30+02:00') else concat('2024-03-', lpad(cast(doc_id % 28 + 1 as string), 2, '0'), 'T10:20:30.250Z') end as alertTimestamp",
-        "if(doc_id % 13 = 0, null, substring(text, 1, 60)) as headline",
+        "if(doc_id % 13 = 0, null, text) as headline",
         "named_struct('title', case doc_id % 4 when 0 then null when 1 then '' else lang end, 'subHeadlines', case doc_id % 3 when 0 then null when 1 then '' else source end) as subHeadline",
-        "named_struct('href', case doc_id % 5 when 0 then '' when 1 then null else concat('https://n.example/', doc_id) end, 'text', if(doc_id % 7 = 0, null, substring(text, 1, 200)), 'translatedText', if(doc_id % 2 = 0, null, substring(text, 11, 100)), 'media', cast(null as array<string>)) as publicPost",
+        "named_struct('href', case doc_id % 5 when 0 then '' when 1 then null else concat('https://n.example/', doc_id) end, 'text', if(doc_id % 7 = 0, null, text), 'translatedText', if(doc_id % 2 = 0, null, text), 'media', cast(null as array<string>)) as publicPost",
         "named_struct('name', if(doc_id % 6 = 0, '', lang), 'coordinates', slice(array((doc_id * 37 % 1700) / 10.0D - 85, (doc_id * 91 % 3500) / 10.0D - 175, 0.0D), 1, cast(doc_id % 4 as int)), 'probabilityRadius', cast(null as double), 'MGRS', cast(null as string)) as estimatedEventLocation",
-        "if(doc_id % 3 = 2, null, array(named_struct('summary', array(named_struct('title', 't', 'content', if(doc_id % 3 = 0, array(substring(text, 1, 30), 'second'), cast(array() as array<string>))))))) as intelAgents",
+        "if(doc_id % 3 = 2, null, array(named_struct('summary', array(named_struct('title', 't', 'content', if(doc_id % 3 = 0, array(text, 'second'), cast(array() as array<string>))))))) as intelAgents",
         "if(doc_id % 5 = 2, named_struct('summary', array(named_struct('content', source), named_struct('content', ''))), null) as eventCorroboration",
         "if(doc_id % 4 = 3, array(named_struct('summary', lang), named_struct('summary', cast(null as string))), cast(array() as array<struct<summary: string>>)) as liveBrief",
     ]
-    return d.selectExpr(*(columns if short else map(whole, columns)))
+    return d.selectExpr(*columns)
 
 
 #: the parts of ``signals`` as plain columns
@@ -76,22 +69,22 @@ SIGNALS_SQL = """
   with sig as (
     select doc_id, 'a' || doc_id as alertId,
       case when doc_id % 11 = 0 then 'not a time' when doc_id % 7 = 0 then '2024-03-' || lpad(cast(doc_id % 28 + 1 as varchar), 2, '0') || 'T10:20:30+02:00' else '2024-03-' || lpad(cast(doc_id % 28 + 1 as varchar), 2, '0') || 'T10:20:30.250Z' end as alertTimestamp,
-      case when doc_id % 13 = 0 then null else substring(text, 1, 60) end as headline,
+      case when doc_id % 13 = 0 then null else text end as headline,
       case doc_id % 4 when 0 then null when 1 then '' else lang end as sub_title,
       case doc_id % 3 when 0 then null when 1 then '' else source end as sub_text,
       case doc_id % 5 when 0 then '' when 1 then null else 'https://n.example/' || doc_id end as href,
-      case when doc_id % 7 = 0 then null else substring(text, 1, 200) end as post,
-      case when doc_id % 2 = 0 then null else substring(text, 11, 100) end as translated,
+      case when doc_id % 7 = 0 then null else text end as post,
+      case when doc_id % 2 = 0 then null else text end as translated,
       case when doc_id % 6 = 0 then '' else lang end as place,
       case when doc_id % 4 >= 2 then cast(doc_id * 37 % 1700 as double) / 10.0 - 85 end as lat,
       case when doc_id % 4 >= 2 then cast(doc_id * 91 % 3500 as double) / 10.0 - 175 end as lon,
-      case when doc_id % 3 = 0 then substring(text, 1, 30) end as intel,
+      case when doc_id % 3 = 0 then text end as intel,
       case when doc_id % 5 = 2 then source end as corroboration,
       case when doc_id % 4 = 3 then lang end as brief
     from documents
   )
 """
-WHOLE_SIGNALS_SQL = whole(SIGNALS_SQL)
+#: the labels of the lines are fixed values
 RAW_CONTEXT_SQL = "coalesce(nullif(concat_ws(chr(10), 'Post text: ' || nullif(post, ''), 'Translated: ' || nullif(translated, ''), 'Intel: ' || intel, 'Corroboration: ' || nullif(corroboration, ''), 'Brief: ' || nullif(brief, '')), ''), '(no additional context)')"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-def signal_ddl(link_field: str = "alertUrl") -> str:
+def signal_ddl(link_field: str) -> str:
     """One signal as the alert API delivers it; ``link_field`` is the vendor's name of the alert's own link."""
     return (
         "alertId STRING, alertTimestamp STRING, "
@@ -16,7 +16,7 @@ def signal_ddl(link_field: str = "alertUrl") -> str:
     )
 
 
-def page_ddl(link_field: str = "alertUrl") -> str:
+def page_ddl(link_field: str) -> str:
     return f"alerts ARRAY<STRUCT<{signal_ddl(link_field)}>>, nextPage STRING"
 
 

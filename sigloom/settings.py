@@ -26,3 +26,7 @@ class Settings:
     def from_env(cls, prefix: str = "SIGLOOM_") -> Settings:
         given = {f.name: type(f.default)(os.environ[prefix + f.name.upper()]) for f in fields(cls) if prefix + f.name.upper() in os.environ}
         return cls(**given)
+
+
+#: What operators take for granted where a caller says nothing.
+DEFAULTS = Settings.from_env()

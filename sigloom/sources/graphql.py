@@ -24,7 +24,7 @@ class Executor:
                 request = urllib.request.Request(self.url, body, {"Content-Type": "application/json", **self.headers}, method="POST")
                 with urllib.request.urlopen(request, timeout=self.timeout) as r:
                     answer = json.load(r)
-                if answer.get("errors"):
+                if "errors" in answer:  # whatever it holds
                     raise GraphQLError(json.dumps(answer["errors"]))
                 return answer["data"]
             except (OSError, GraphQLError):

@@ -1,14 +1,22 @@
 """A paginated REST source of signals as a Python data source, batch and streaming.
 
 The reader keeps what belongs to the connection: the token and its refresh on 401, the
-request limiter, one wait on 429 and the following of ``nextPage`` to a cap. Time bounds
-and deduplication are the engine's. Offsets are committed by Spark's checkpoint, so a
-failure repeats a poll and never skips records.
+request limiter, one wait on 429, the following of ``nextPage`` to a cap, and the place where
+a scan stops: at the first record older than ``since``, whose position on its page goes with the
+page. Deduplication is the engine's.
+
+A stream's offset is the number of polls and the newest timestamp seen so far, from which the
+next poll starts. What a poll delivered is kept in the folder ``spool`` until Spark has committed it, so a
+batch that is repeated after a failure has the pages that it had, whatever the service says by then.
+The folder has to outlive the driver. Records that a service drops beyond its page cap between two polls
+can't be had again; ``capped`` in the offset says that a poll ended at the cap.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import os
 import time
 import urllib.error
 import urllib.parse
@@ -18,12 +26,24 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
-PAGE_DDL = "page INT, body STRING"
+PAGE_DDL = "poll LONG, page INT, body STRING, stop INT"
 TOKEN_FIELDS = ("dmaToken", "token", "access_token")  # fixed values: accepted in this order
 
 
+def instant(text: object) -> dt.datetime | None:
+    """An ISO-8601 timestamp, in UTC where it has no offset; None if it is none."""
+    try:
+        found = dt.datetime.fromisoformat(str(text).replace("Z", "+00:00"))
+    except ValueError:
+        return None
+    return found if found.tzinfo else found.replace(tzinfo=dt.UTC)
+
+
 class RateLimiter:
-    """``limit`` requests per ``window`` seconds, sliding; waits instead of failing."""
+    """``limit`` requests per ``window`` seconds, sliding; waits instead of failing.
+
+    No window of that length holds more requests, unlike with a counter that is reset.
+    """
 
     def __init__(self, limit: int = 20, window: float = 60.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
         self.limit, self.window, self.clock, self.sleep = limit, window, clock, sleep
@@ -93,19 +113,39 @@ class Client:
                 else:
                     raise
 
-    def pages(self, since: str | None = None) -> Iterator[tuple[int, str]]:
-        """(page number, body) until there is no next page, the cap, or a page whose records are all older than ``since``."""
+    def pages(self, since: str | None = None) -> Iterator[tuple[int, str, int | None]]:
+        """(page number, body, stop) until there is no next page, the cap, or the first record older than ``since``.
+
+        ``stop`` is the position of that record on its page, else None. Records whose timestamp doesn't parse stop
+        nothing; nor does a page that isn't JSON, which is delivered as it is and ends the scan.
+        """
+        start = instant(since) if since else None
         url: str | None = self.url
         page = 0
         while url and page < self.cap:
             page += 1
             body = self.get(url)
-            yield page, body
-            parsed = json.loads(body)
-            stamps = [a.get("alertTimestamp") or "" for a in parsed.get("alerts") or []]
-            if since and stamps and max(stamps) < since:
+            try:
+                parsed = json.loads(body)
+                records = parsed.get("alerts") or []
+                times = [instant(r.get("alertTimestamp")) for r in records]
+            except (ValueError, AttributeError):
+                yield page, body, None
                 return
-            url = absolute(parsed.get("nextPage"), self.url, self.prefix)
+            stop = next((i for i, t in enumerate(times) if start and t and t < start), None)
+            yield page, body, stop
+            url = None if stop is not None else absolute(parsed.get("nextPage"), self.url, self.prefix)
+
+
+def newest(bodies: list[str]) -> str | None:
+    """The newest timestamp of some pages, as it is written."""
+    found = []
+    for body in bodies:
+        try:
+            found += [r["alertTimestamp"] for r in json.loads(body).get("alerts") or [] if instant(r.get("alertTimestamp"))]
+        except (ValueError, AttributeError):
+            continue
+    return max(found, key=instant, default=None)
 
 
 class PagesReader(DataSourceReader):
@@ -115,28 +155,66 @@ class PagesReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(0)]  # pages are a chain: the next one's address stands in the one before
 
-    def read(self, partition: InputPartition) -> Iterator[tuple[int, str]]:
-        yield from Client(dict(self.options)).pages(self.options.get("since"))
+    def read(self, partition: InputPartition) -> Iterator[tuple[int, int, str, int | None]]:
+        for page in Client(dict(self.options)).pages(self.options.get("since")):
+            yield (0, *page)
 
 
 class PagesStreamReader(SimpleDataSourceStreamReader):
-    """The offset is the number of polls; a poll's pages are read again after a failure."""
+    """Offsets are {poll, since, capped}. Options: ``spool`` (required), ``since`` or ``lookbackDays`` for the first poll."""
 
     def __init__(self, options: dict[str, str]):
         self.options = options
+        if not options.get("spool"):
+            raise ValueError("the stream needs the option spool, a folder that outlives the driver")
+        self.spool = options["spool"].removeprefix("file://")
 
     def initialOffset(self) -> dict:
-        return {"poll": 0}
+        days = float(self.options.get("lookbackDays") or self.options.get("lookbackdays") or 7)
+        since = self.options.get("since") or (dt.datetime.now(dt.UTC) - dt.timedelta(days=days)).isoformat()
+        return {"poll": 0, "since": since, "capped": False}
+
+    def _file(self, poll: int) -> str:
+        return os.path.join(self.spool, f"poll-{poll}.json")
+
+    def _kept(self, poll: int) -> dict | None:
+        try:
+            with open(self._file(poll)) as f:
+                return json.load(f)
+        except FileNotFoundError:
+            return None
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = list(Client(dict(self.options)).pages(self.options.get("since")))
-        return iter(rows), {"poll": start["poll"] + 1}
+        poll = start["poll"]
+        kept = self._kept(poll)
+        if kept is None:
+            client = Client(dict(self.options))
+            pages = list(client.pages(start["since"]))
+            since = newest([body for _, body, _ in pages])
+            latest = max((t for t in (start["since"], since) if t), key=instant)
+            capped = len(pages) == client.cap and pages[-1][2] is None
+            kept = {"pages": pages, "end": {"poll": poll + 1, "since": latest, "capped": capped}}
+            os.makedirs(self.spool, exist_ok=True)
+            with open(self._file(poll) + ".part", "w") as f:
+                json.dump(kept, f)
+                f.flush()
+                os.fsync(f.fileno())
+            os.replace(self._file(poll) + ".part", self._file(poll))
+        return iter([(poll, *page) for page in kept["pages"]]), kept["end"]
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(list(Client(dict(self.options)).pages(self.options.get("since"))))
+        for poll in range(start["poll"], end["poll"]):
+            kept = self._kept(poll)
+            if kept is None:
+                raise FileNotFoundError(f"{self._file(poll)} is gone, so poll {poll} can't be repeated")
+            for page in kept["pages"]:
+                yield (poll, *page)
 
     def commit(self, end: dict) -> None:
-        pass
+        for name in os.listdir(self.spool) if os.path.isdir(self.spool) else []:
+            number = name.removeprefix("poll-").partition(".")[0]
+            if name.startswith("poll-") and number.isdigit() and int(number) < end["poll"] - 1:  # the last one may be repeated yet
+                os.remove(os.path.join(self.spool, name))
 
 
 class SignalPages(DataSource):

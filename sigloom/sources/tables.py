@@ -6,6 +6,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import iso_format
+from ..operators.ingest import sync_start
+from ..settings import DEFAULTS
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -25,7 +29,11 @@ def append_once(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def append_new(rows: DataFrame, path: str, key: str) -> None:
-    """Appends the rows whose key the table doesn't hold yet."""
+    """Appends the rows whose key the table doesn't hold yet.
+
+    Reads the keys of the whole table, so this is for tables of events and alerts. Signals, which are many,
+    are kept apart by the first-seen state and written by ``append_once``.
+    """
     spark = rows.sparkSession
     rows = rows.dropDuplicates([key])
     if exists(spark, path):
@@ -45,6 +53,13 @@ def latest(spark: SparkSession, path: str, key: str) -> DataFrame:
     return rows.groupBy(key).agg(*(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("version"))).alias(c) for c in columns))
 
 
+def resume_since(spark: SparkSession, path: str, lookback_days: int = DEFAULTS.initial_lookback_days) -> str:
+    """From when to ask a source: the newest publishedAt of the stored signals, else ``lookback_days`` ago."""
+    stored = read_or_empty(spark, path, "publishedAt STRING").agg(F.max(F.try_to_timestamp("publishedAt")).alias("latest"))
+    start = sync_start(F.lit(None).cast("timestamp"), F.col("latest"), F.current_timestamp(), lookback_days)
+    return stored.select(iso_format(start).alias("since")).first()["since"]
+
+
 def latest_published(signals: DataFrame) -> DataFrame:
     """(latest_text, latest): the string maximum of the original, and the latest instant."""
     return signals.agg(F.max("publishedAt").alias("latest_text"), F.max(F.try_to_timestamp("publishedAt")).alias("latest"))

@@ -1,4 +1,8 @@
-"""The streaming form: files of pages -> first-seen signals with a TTL -> idempotent sinks."""
+"""The streaming form: pages -> first-seen signals with a TTL -> idempotent sinks.
+
+Pages come from the REST source or from files. Both keep the delivery order, (page, pos); broken pages
+are a stream of their own, for a table that someone looks at.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..operators import ingest
+from ..settings import DEFAULTS
 from ..sources import tables
 
 #: transformWithState needs the RocksDB store; without the second setting availableNow doesn't end in processing time.
@@ -19,17 +25,33 @@ STATE_CONF = {
 }
 
 
-def read_pages(spark: SparkSession, path: str, schema: str, files_per_batch: int = 50) -> DataFrame:
-    """JSON page files as a stream of signals; the number of files per batch is the page cap."""
-    pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("multiLine", True).json(path)
-    return pages.select(F.explode("alerts").alias("s")).select("s.*")
+def page_files(spark: SparkSession, path: str, files_per_batch: int = DEFAULTS.max_pages_per_poll) -> DataFrame:
+    """Page files as a stream of (page, body); the number in a file's name is the page's. The files per batch are the page cap."""
+    files = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("wholetext", True).text(path)
+    return files.select(F.regexp_extract(F.input_file_name(), r"(\d+)[^/\d]*$", 1).try_cast("long").alias("page"), F.col("value").alias("body"))
+
+
+def signals(pages: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(signals in delivery order, broken pages) of a stream of pages; records from a page's ``stop`` on are left out."""
+    good, broken = ingest.parse_pages(pages, schema)
+    place = [c for c in ("poll", "stop") if c in pages.columns]
+    rows = good.select(*place, "page", F.posexplode(F.arrays_zip("alerts", "payloads")).alias("pos", "s"))
+    if "stop" in place:
+        rows = rows.where("stop is null or pos < stop").drop("stop")
+    return rows.select("*", "s.alerts.*", F.col("s.payloads").alias("payload")).drop("s"), broken
+
+
+def read_pages(spark: SparkSession, path: str, schema: str, files_per_batch: int = DEFAULTS.max_pages_per_poll) -> DataFrame:
+    """Page files as a stream of signals."""
+    return signals(page_files(spark, path, files_per_batch), schema)[0]
 
 
 class FirstSeen(StatefulProcessor):
-    """Emits a key's first row and remembers the key for a while after that first sight; repeats don't extend it."""
+    """Emits a key's first row in delivery order and remembers the key for a while after that first sight; repeats don't extend it."""
 
-    def __init__(self, columns: list[str], ttl_hours: int):
-        self.columns, self.ttl = columns, ttl_hours * 3_600_000
+    def __init__(self, columns: list[str], ttl_hours: float):
+        self.columns, self.ttl = columns, int(ttl_hours * 3_600_000)
+        self.order = [c for c in ("poll", "page", "pos") if c in columns]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self.ttl)
@@ -37,7 +59,12 @@ class FirstSeen(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N803
         first = None
         for frame in rows:
-            if first is None and len(frame):
+            if self.order and len(frame):
+                frame = frame.sort_values(self.order).iloc[:1]
+                if first is not None and tuple(first[self.order].iloc[0]) <= tuple(frame[self.order].iloc[0]):
+                    continue
+                first = frame
+            elif first is None and len(frame):
                 first = frame.iloc[:1]
         if first is not None and not self.seen.exists():
             self.seen.update((True,))
@@ -47,11 +74,11 @@ class FirstSeen(StatefulProcessor):
         pass
 
 
-def first_seen_stream(signals: DataFrame, key: str = "alertId", ttl_hours: int = 48) -> DataFrame:
+def first_seen_stream(signals: DataFrame, key: str = "alertId", ttl_hours: float = DEFAULTS.dedup_ttl_hours) -> DataFrame:
     return signals.groupBy(key).transformWithStateInPandas(FirstSeen(signals.columns, ttl_hours), signals.schema, "Append", "ProcessingTime")
 
 
-def sessions_stream(signals: DataFrame, keys: list[str], gap_hours: int = 48, ts: str = "ts", lateness: str = "0 seconds") -> DataFrame:
+def sessions_stream(signals: DataFrame, keys: list[str], gap_hours: int = DEFAULTS.session_gap_hours, ts: str = "ts", lateness: str = "0 seconds") -> DataFrame:
     """Events by session window, emitted once the watermark has passed their gap; equals the batch form."""
     return (
         signals.withWatermark(ts, lateness)
@@ -70,7 +97,7 @@ def run_once(stream: DataFrame, path: str, checkpoint: str, prepare: Callable[[D
     finish(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(), timeout)
 
 
-def poll(stream: DataFrame, path: str, checkpoint: str, seconds: int = 15) -> StreamingQuery:
+def poll(stream: DataFrame, path: str, checkpoint: str, seconds: int = DEFAULTS.poll_interval_seconds) -> StreamingQuery:
     """The periodic form: a micro-batch every ``seconds``; a restart goes on from the checkpoint."""
     return stream.writeStream.foreachBatch(lambda batch, i: tables.append_once(batch, path, i)).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
 

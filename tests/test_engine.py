@@ -57,7 +57,7 @@ def test_first_seen_is_idempotent(spark):
 
 def test_broken_pages_are_quarantined(spark):
     pages = spark.createDataFrame([(1, '{"alerts": [{"alertId": "a", "alertTimestamp": "t"}], "nextPage": "/x"}'), (2, "{oops"), (3, '{"nextPage": null}'), (4, '{"alerts": []}')], "page int, body string")
-    good, bad = ingest.parse_pages(pages, schemas.page_ddl())
+    good, bad = ingest.parse_pages(pages, schemas.page_ddl("alertUrl"))
     assert sorted(r.page for r in good.collect()) == [1, 4]
     assert sorted(r.page for r in bad.collect()) == [2, 3]
     assert ingest.flatten(good).count() == 1
@@ -126,7 +126,8 @@ def test_routing(spark):
 def test_session_gap(spark):
     rows = spark.createDataFrame([("k", "2024-01-01 00:00:00"), ("k", "2024-01-02 23:59:59"), ("k", "2024-01-04 23:59:59"), ("k", "2024-01-07 00:00:00")], "key string, t string").select("key", F.col("t").cast("timestamp").alias("ts"), F.lit(1).alias("severity"))
     assert sorted(r.n_signals for r in ev.sessions(rows, ["key"]).collect()) == [1, 3]  # exactly 48 h joins
-    assert sorted({r.session for r in ev.numbered_sessions(rows, ["key"], ["ts"]).collect()}) == [0, 1]
+    numbered = ev.numbered_sessions(rows, ["key"]).collect()
+    assert sorted(r.session for r in numbered) == [0, 0, 0, 1]
 
 
 def test_alert_modes(spark):
@@ -143,13 +144,138 @@ def test_top_level_location(spark):
     assert geo.top_level(spark.createDataFrame([], schema)).first()[0] is None
 
 
-def test_nearest_in_blocks(spark):
+def plain_sessions(rows, gap):
+    """key -> [(n, most, first, last), ...], from sorted times."""
+    out = {}
+    for key, at, severity in sorted((r for r in rows if r[1] is not None), key=lambda r: (str(r[0]), r[1])):
+        own = out.setdefault(key, [])
+        if own and at - own[-1][3] <= gap * 3600:
+            n, most, first, _ = own[-1]
+            own[-1] = (n + 1, max(most, severity), first, at)
+        else:
+            own.append((1, severity, at, at))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sessions_against_sorted_times(spark, seed):
+    rng = random.Random(seed)
+    gap = rng.choice([1, 6, 48])
+    rows = [(rng.choice(["a", "a", "a", None]), rng.choice([None, *[rng.randint(-10**6, 10**6) // rng.choice([1, 3600]) * rng.choice([1, 3600]) for _ in range(9)]]), rng.randint(1, 5)) for _ in range(400)]
+    table = spark.createDataFrame(rows, "key string, t long, severity int").withColumn("ts", F.timestamp_seconds("t"))
+    want = plain_sessions(rows, gap)
+    got = {}
+    for r in ev.sessions(table, ["key"], gap).selectExpr("key", "n_signals", "max_severity", "unix_seconds(first_ts) as a", "unix_seconds(last_ts) as b").collect():
+        got.setdefault(r.key, []).append((r.n_signals, r.max_severity, r.a, r.b))
+    assert {k: sorted(v, key=lambda x: x[2]) for k, v in got.items()} == want
+    numbered = ev.numbered_sessions(table, ["key"], gap).collect()
+    assert len(numbered) == len(rows)
+    for r in numbered:
+        number = 0 if r.t is None else next(i for i, x in enumerate(want[r.key]) if x[2] <= r.t <= x[3])
+        assert r.session == number
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_task_has_all_rows_of_a_hot_key(spark):
+    """One key, 20,000 rows in ten days: what crosses the shuffle is a row per slice and task, whatever the rows."""
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("'hot' as key", "timestamp_seconds(id * 43) as ts", "1 as severity")
+    found = ev.sessions(rows, ["key"], 6)
+    assert found.collect()[0].n_signals == 20_000
+    text = plan(found)
+    assert "SessionWindow" not in text and "partial_count" in text[text.rindex("Exchange hashpartitioning") :]
+    moved = ev._slices(rows, ["key"], 6, "ts", F.count("*").alias("n")).count()
+    assert moved <= 20_000 * 43 // (6 * 3600) + 2
+
+
+def test_nearest_meets_few_places(spark):
     rng = random.Random(3)
-    places = spark.createDataFrame([(f"p{i}", rng.uniform(-60, 60), rng.uniform(-170, 170)) for i in range(40)], "id string, lat double, lon double")
-    points = spark.createDataFrame([(i, rng.uniform(-60, 60), rng.uniform(-170, 170)) for i in range(20)] + [(99, None, 1.0)], "i long, lat double, lon double")
-    one = {r.i: r.location_id for r in geo.nearest(points, places).collect()}
-    assert one == {r.i: r.location_id for r in geo.nearest(points, places, block=7).collect()}
-    assert one[99] is None
+    places = [(f"p{i:04}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(1500)]
+    places += [(f"q{i}", lat, lon) for i, (lat, lon) in enumerate([(90.0, 0.0), (-90.0, 10.0), (0.0, 180.0), (0.0, -180.0), (0.0, 179.999), (45.0, 0.0), (45.0, 0.0)])]
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(300)] + [(900, 89.9, 170.0), (901, -89.99, -30.0), (902, 0.001, -179.9999), (903, 45.0, 0.0), (904, None, 1.0), (905, 1.0, None), (906, 0.0, 0.0)]
+    table = spark.createDataFrame(places, "id string, lat double, lon double")
+    signals = spark.createDataFrame(points, "i long, lat double, lon double")
+
+    def km(a, b):
+        import math
+
+        x = math.sin(math.radians(b[0] - a[0]) / 2) ** 2 + math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 6371.0 * 2 * math.atan2(math.sqrt(x), math.sqrt(max(0.0, 1 - x)))
+
+    for given in ({}, {"few": 0}, {"level": 3}, {"level": 0}, {"level": 9}):
+        got = {r.i: (r.location_id, r.distance_km) for r in geo.nearest(signals, table, **given).collect()}
+        for i, lat, lon in points:
+            if lat is None or lon is None:
+                assert got[i] == (None, None)
+                continue
+            best = min(km((lat, lon), p[1:]) for p in places)
+            assert abs(got[i][1] - best) < 1e-6
+            if sum(abs(km((lat, lon), p[1:]) - best) < 1e-9 for p in places) == 1:
+                assert km((lat, lon), next(p[1:] for p in places if p[0] == got[i][0])) == pytest.approx(best)
+    assert {r.i: r.location_id for r in geo.nearest(signals, table).where("i = 903").collect()} == {903: "q5"}
+    assert geo.nearest(signals, table.where("false")).where("location_id is not null").count() == 0
+    assert geo.start_level(len(places)) >= 4
+    most = geo._around(table, geo.start_level(len(places))).selectExpr("max(size(_places))").first()[0]
+    assert most < len(places) / 10  # a signal meets the places of nine cells, not all
+
+
+def test_cell_memo(spark):
+    points = spark.createDataFrame([(1, 10.01, 20.01), (2, 10.04, 20.04), (3, 50.0, 60.0), (4, -5.0, 7.0), (5, None, None)], "i long, lat double, lon double")
+    places = spark.createDataFrame([("a", 10.0, 20.0), ("b", 50.0, 61.0)], "id string, lat double, lon double")
+    now = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    memo = spark.createDataFrame([("50.0", "60.0", None, 1), ("-5.0", "7.0", "old", 7)], "cell_lat string, cell_lon string, location_id string, hours int").select("cell_lat", "cell_lon", "location_id", (now - F.make_interval(hours="hours")).alias("resolved_at"))
+    placed, fresh = geo.resolve_cells(points, places, memo, now, ["i"])
+    assert {r.i: r.location_id for r in placed.collect()} == {1: "a", 2: "a", 3: None, 4: "a", 5: None}
+    assert sorted((r.cell_lat, r.location_id) for r in fresh.collect()) == [("-5.0", "a"), ("10.0", "a")]
+    placed, fresh = geo.resolve_cells(points, places.where("false"), memo, now, ["i"])
+    assert fresh.count() == 0 and placed.where("location_id is not null").count() == 0
+
+
+def test_scorer_counts(spark):
+    rows = spark.createDataFrame([("Flood and flood; FIRE! firewall", "t"), (None, None), ("a forest fire", "x")], "text string, title string")
+    got = [(r.disaster_types, r.severity) for r in ev.classify(rows).collect()]
+    assert got == [(["FL", "FR"], 4), ([], 1), (["FR"], 2)]
+    phrases = ev.classify(rows, lexicon={"A": ("forest fire",), "B": ("fire",)}).collect()
+    assert [r.disaster_types for r in phrases] == [["B"], [], ["A", "B"]]
+
+
+def test_model_answers(spark):
+    from sigloom.operators import model
+
+    requests = spark.createDataFrame([(i, f"request {i}") for i in range(6)], "signal_id long, request string").repartition(2)
+
+    def connect():
+        calls = []
+
+        def send(request):
+            calls.append(request)
+            n = int(request.split()[1])
+            if n == 4 or n == 5 and calls.count(request) == 1 and len(calls) > 1:
+                raise ConnectionError("refused")
+            return {0: '{"relevance": 0.5, "severity": 3}', 1: '```json\n{"relevance": 1.0, "severity": 4}\n```', 2: "no JSON", 3: "[]", 5: '{"severity": 1}'}[n]
+
+        return send
+
+    rows = {r.signal_id: r for r in model.answers(requests, connect, "relevance DOUBLE, severity INT").collect()}
+    assert [(rows[i].relevance, rows[i].severity, rows[i].failure) for i in (0, 1)] == [(0.5, 3, None), (1.0, 4, None)]
+    assert rows[2].failure == "the answer is not the JSON that was asked for" and rows[2].severity is None
+    assert rows[4].failure == "ConnectionError: refused" and rows[5].severity == 1 and rows[5].failure is None
+    signals = requests.select("signal_id").withColumn("title", F.lit("t"))
+    scored = model.classified(signals, requests, connect, schemas.CLASSIFICATION)
+    assert scored.count() == 6 and ev.relevant(scored.where("failure is null")).where("signal_id = 1").count() == 1
+
+
+def test_requests_are_json(spark):
+    import json
+
+    from sigloom.functions import prompts
+
+    empty = spark.range(1).select(prompts.group(F.lit(None).cast("string"), F.lit(""), F.lit('a"b'), F.array().cast("array<string>"), F.lit(3), F.lit("s\n"), F.lit("t"), F.lit(None).cast("array<struct<id: string, title: string, types: array<string>, location: string, validFrom: string, validTo: string>>")).alias("r")).first().r
+    found = json.loads(empty)
+    assert found["task"] == "group" and found["input"]["title"] == "(no title)" and found["input"]["location"] == 'a"b' and found["input"]["types"] == "(none)" and found["input"]["events"] == []
+    assert found["answer"] == schemas.GROUPING and len(found["rules"]) == 3
 
 
 def test_new_event_over_the_year_end(spark):
@@ -170,11 +296,20 @@ def test_settings(monkeypatch):
     assert (Settings.from_env().max_pages_per_poll, Settings.from_env().relevance_threshold) == (7, 0.5)
 
 
+def test_settings_reach_the_operators():
+    import subprocess
+    import sys
+
+    code = "from sigloom.operators import events, ingest; import inspect; print(inspect.signature(events.relevant).parameters['threshold'].default, inspect.signature(ingest.page_cap).parameters['cap'].default)"
+    out = subprocess.run([sys.executable, "-c", code], env={**__import__("os").environ, "SIGLOOM_RELEVANCE_THRESHOLD": "0.9", "SIGLOOM_MAX_PAGES_PER_POLL": "3"}, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == ["0.9", "3"]
+
+
 def test_schemas_parse(spark):
     from pyspark.sql import types as T
 
     assert len(T.StructType.fromDDL(schemas.signal_ddl("link")).fields) == 15
-    assert T.StructType.fromDDL(schemas.page_ddl()).fieldNames() == ["alerts", "nextPage"]
+    assert T.StructType.fromDDL(schemas.page_ddl("alertUrl")).fieldNames() == ["alerts", "nextPage"]
     for name in ("LOCATION", "DATA_SOURCE", "DISASTER_TYPE", "STORED_SIGNAL", "EVENT", "ALERT", "CLASSIFICATION", "GROUPING", "ASSESSMENT", "LEGACY_SIGNAL"):
         assert T.StructType.fromDDL(getattr(schemas, name)).fields
 
@@ -189,7 +324,13 @@ def test_candidates(spark):
 
 def test_whole_texts_reach_the_limit(spark, sf):
     found = catalog.queries()
-    sizes = [len(r.raw_context) for r in found["p8_o3_o4_raw_context_whole"](spark, sf).collect()]
+    sizes = [len(r.raw_context) for r in found["p8_o3_o4_raw_context"](spark, sf).collect()]
     assert max(sizes) == 2000 and any(200 < n < 2000 for n in sizes)
     longest = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 13 <> 0").selectExpr("max(length(text))").first()[0]
-    assert max(len(r.headline or "") for r in found["p1_p2_parse_flatten_whole"](spark, sf).collect()) == longest
+    assert max(len(r.headline or "") for r in found["p1_p2_parse_flatten"](spark, sf).collect()) == longest
+
+
+def test_payload_keeps_every_field(spark):
+    pages = spark.createDataFrame([(1, '{"alerts": [{"alertId": "a", "own": "l", "more": {"x": [1, 2]}}, {"alertId": "b"}], "nextPage": null}')], "page int, body string")
+    rows = ingest.flatten(ingest.parse_pages(pages, schemas.page_ddl("own"))[0]).orderBy("pos").collect()
+    assert [(r.alertId, r.own, r.payload) for r in rows] == [("a", "l", '{"alertId":"a","own":"l","more":{"x":[1,2]}}'), ("b", None, '{"alertId":"b"}')]

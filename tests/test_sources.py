@@ -52,7 +52,7 @@ def test_pages_token_refresh_and_wait(stub):
     }
     waits = []
     client = rest.Client({"url": f"{stub}/api/alerts", "authurl": f"{stub}/login", "user": "u", "password": "p"}, sleep=waits.append)
-    got = [(n, [a["alertId"] for a in json.loads(body)["alerts"]]) for n, body in client.pages()]
+    got = [(n, [a["alertId"] for a in json.loads(body)["alerts"]]) for n, body, _ in client.pages()]
     assert got == [(1, ["a"]), (2, []), (3, ["b"])]
     assert (waits, client.token) == ([3.0], "t1")
 
@@ -83,14 +83,74 @@ def test_rate_limiter():
     assert slept == [60.0, 60.0]
 
 
+def record(i, at):
+    return {"alertId": i, "alertTimestamp": at}
+
+
+def test_scan_stops_at_the_first_old_record(stub):
+    """By the instant, not by the text; records without a time stop nothing."""
+    Stub.script = {
+        "/api/alerts": [(200, {"alerts": [record("a", "2024-01-03T01:00:00+03:00"), record("b", "junk"), record("c", None)], "nextPage": "x"}, {})],
+        "/api/alerts?nextPage=x": [(200, {"alerts": [record("d", "2024-01-02T23:30:00Z"), record("e", "2024-01-02T23:00:00+02:00"), record("f", "2024-01-09T00:00:00Z")], "nextPage": "y"}, {})],
+    }
+    client = rest.Client({"url": f"{stub}/api/alerts"})
+    assert [(n, stop) for n, _, stop in client.pages("2024-01-02T21:30:00Z")] == [(1, None), (2, 1)]
+    assert rest.newest([body for _, body, _ in client.pages("2024-01-02T21:30:00Z")]) == "2024-01-09T00:00:00Z"
+
+
+def test_stream_offsets_and_replay(stub, tmp_path):
+    """A poll that is repeated has the pages that it had; the next one starts from the newest timestamp."""
+    options = {"url": f"{stub}/api/alerts", "spool": str(tmp_path / "spool"), "since": "2024-01-01T00:00:00Z"}
+    Stub.script = {"/api/alerts": [(200, {"alerts": [record("a", "2024-01-05T00:00:00Z"), record("b", "2024-01-04T00:00:00Z")], "nextPage": None}, {}), (200, {"alerts": [record("c", "2024-01-06T00:00:00Z"), record("a", "2024-01-05T00:00:00Z"), record("b", "2024-01-04T00:00:00Z")], "nextPage": "old"}, {})]}
+    reader = rest.PagesStreamReader(options)
+    start = reader.initialOffset()
+    rows, end = reader.read(start)
+    first = list(rows)
+    assert end == {"poll": 1, "since": "2024-01-05T00:00:00Z", "capped": False}
+    assert list(rest.PagesStreamReader(options).readBetweenOffsets(start, end)) == [tuple(r) for r in first]
+    again, same = rest.PagesStreamReader(options).read(start)  # failed before the offset was committed
+    assert (list(again), same) == (first, end) and len(Stub.seen) == 1
+    rows, after = reader.read(end)
+    second = list(rows)
+    assert after == {"poll": 2, "since": "2024-01-06T00:00:00Z", "capped": False}
+    assert [(r[0], r[1], r[3]) for r in second] == [(1, 1, 2)]  # b is older than the newest of before: the scan stops there
+    reader.commit(after)
+    assert list(reader.readBetweenOffsets(end, after)) == second
+    with pytest.raises(FileNotFoundError):
+        list(reader.readBetweenOffsets(start, end))
+    with pytest.raises(ValueError, match="spool"):
+        rest.PagesStreamReader({"url": "x"})
+    import datetime as dt
+
+    since = rest.instant(rest.PagesStreamReader({"spool": "x"}).initialOffset()["since"])
+    assert dt.timedelta(days=6.9) < dt.datetime.now(dt.UTC) - since < dt.timedelta(days=7.1)
+
+
+def test_page_cap_is_told(stub, tmp_path):
+    Stub.script = {"/api/alerts": [page(["a"], "x")], "/api/alerts?nextPage=x": [page(["a"], "x")]}
+    reader = rest.PagesStreamReader({"url": f"{stub}/api/alerts", "spool": str(tmp_path), "since": "2023-01-01T00:00:00Z", "maxpages": "3"})
+    assert reader.read(reader.initialOffset())[1]["capped"]
+
+
+def test_resume_from_stored_signals(spark, tmp_path):
+    path = f"file://{tmp_path}/signals"
+    ago = rest.instant(tables.resume_since(spark, path, 3))
+    import datetime as dt
+
+    assert dt.timedelta(days=2.9) < dt.datetime.now(dt.UTC) - ago < dt.timedelta(days=3.1)
+    spark.createDataFrame([("2024-01-01T05:00:00+03:00",), ("2024-01-01T04:00:00Z",), (None,)], "publishedAt string").write.parquet(path)
+    assert tables.resume_since(spark, path) == "2024-01-01T04:00:00+00:00"
+
+
 def test_graphql(stub):
     Stub.script = {"/q": [(500, {}, {}), (200, {"errors": [{"message": "no"}]}, {}), (200, {"data": {"id": "1"}}, {})]}
     waits = []
     assert graphql.insert_rows(graphql.Executor(f"{stub}/q", sleep=waits.append), "mutation", [{"a": 1}]) == [{"id": "1"}]
     assert waits == [2.0, 4.0]
-    Stub.script = {"/q": [(200, {"errors": ["x"]}, {})]}
-    with pytest.raises(graphql.GraphQLError):
-        graphql.Executor(f"{stub}/q", sleep=waits.append).execute("q")
+    for errors in (["x"], [], None):  # the key alone is a failure
+        Stub.script = {"/q": [(200, {"errors": errors, "data": {}}, {})]}
+        with pytest.raises(graphql.GraphQLError):
+            graphql.Executor(f"{stub}/q", sleep=waits.append).execute("q")
 
 
 def test_tables(spark, tmp_path):
