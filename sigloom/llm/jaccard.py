@@ -40,7 +40,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from . import components as graph
 from . import stage, words
-from .semijoin import maybe_in
+from .semijoin import maybe_in, split_join
 
 SMALL = 16
 SKETCH_BITS, _BLOCK_BITS = 22, 16
@@ -49,7 +49,7 @@ ROUNDS = 8
 #: Jaccard distance up to which a class belongs to its pivot's family: 3 / 5.
 _FAMILY = (3, 5)
 _SALT = np.uint64(0xA0761D6478BD642F)
-_SEEN = 500_000
+_SEEN = 1 << 16
 
 
 def shingles(found: words.Words, k: int) -> Iterator[np.ndarray]:
@@ -81,7 +81,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     doc_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint16)
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -92,10 +92,10 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                     cls.append(class_of(s) if len(s) and doc is not None else None)
                     tokens.append(s)
                 slots, times = np.unique((np.concatenate(tokens) >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32), return_counts=True)
-                counts[slots] += times.astype(np.uint32)
+                counts[slots] = np.minimum(counts[slots] + times.astype(np.uint32), 65535)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array([-1] * len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=["doc_id", "n", "cls", "blk", "data"])
         if kind is not None:
-            blocks = np.minimum(counts, 65535).astype("<u2").reshape(-1, 1 << _BLOCK_BITS)
+            blocks = counts.astype("<u2", copy=False).reshape(-1, 1 << _BLOCK_BITS)
             used = [b for b in range(len(blocks)) if blocks[b].any()]
             yield pa.RecordBatch.from_arrays([pa.nulls(len(used), kind), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.array(used, pa.int32()), pa.array([zlib.compress(blocks[b].tobytes(), 1) for b in used], pa.binary())], names=["doc_id", "n", "cls", "blk", "data"])
 
@@ -106,15 +106,23 @@ def _ranks(rows: DataFrame) -> np.ndarray:
     """Per counter the bit length of its count; 4 MB whatever the corpus."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for blk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(zlib.decompress(data), "<u2").astype(np.int64)
-                sums[blk] = part if blk not in sums else sums[blk] + part
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(np.ceil(np.log2(x + 1)).astype(np.uint8).tobytes(), 1) for x in sums.values()], pa.binary())], names=["blk", "data"])
+        at, total = -1, np.zeros(0, np.int64)
+
+        def done() -> pa.RecordBatch:
+            lengths = [] if at < 0 else [zlib.compress(np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes(), 1)]
+            return pa.RecordBatch.from_arrays([pa.array([at][: len(lengths)], pa.int32()), pa.array(lengths, pa.binary())], names=["blk", "data"])
+
+        for batch in batches:  # sorted, so one block is held at a time
+            for blk, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = np.frombuffer(zlib.decompress(data.as_py()), "<u2")
+                if blk != at:
+                    yield done()
+                    at, total = blk, np.zeros(len(part), np.int64)
+                total += part
+        yield done()
 
     out = np.zeros(1 << SKETCH_BITS, np.uint8).reshape(-1, 1 << _BLOCK_BITS)
-    for r in rows.where("blk >= 0").select("blk", "data").repartition(len(out), "blk").mapInArrow(add, "blk int, data binary").collect():  # a row per block
+    for r in rows.where("blk >= 0").select("blk", "data").repartition(len(out), "blk").sortWithinPartitions("blk").mapInArrow(add, "blk int, data binary").collect():  # a row per block
         out[r.blk] = np.frombuffer(zlib.decompress(r.data), np.uint8)
     return out.ravel()
 
@@ -137,16 +145,14 @@ def _postings(docs: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) ->
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen = np.zeros(_SEEN, np.int64)  # the last class of each slot; a copy that is missed here goes at the shuffle
         for batch in batches:
             for part in words.slices(batch):
                 tokens, cls, n, matches, sizes = [], [], [], [], []
                 for doc, s in zip(part.column(0).to_pylist(), shingles(words.scan(part.column("text"), words.SPACED), k), strict=True):
-                    if not len(s) or doc is None or (c := class_of(s)) in seen:
+                    if not len(s) or doc is None or seen[(c := class_of(s)) % _SEEN] == c:
                         continue
-                    if len(seen) >= _SEEN:
-                        seen.clear()
-                    seen.add(c)
+                    seen[c % _SEEN] = c
                     t, m = prefix(s, sent.value, background, num, den)
                     tokens.append(t)
                     sizes.append(len(t))
@@ -160,9 +166,9 @@ def _postings(docs: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) ->
     return docs.mapInArrow(run, "token long, cls long, n int, matches int")
 
 
-def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(cls, tokens) of the classes in ``wanted`` (cls), from one document of each."""
-    ids = stage.written(sets.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.col("cls").alias("want")), "wanted")
+    ids = stage.written(classes.join(wanted, "cls", "left_semi").select(F.col("least").alias("doc_id"), F.col("cls").alias("want")), "wanted")
     chosen = maybe_in(docs, ids, "doc_id").join(ids, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,12 +280,13 @@ def _pairs_within(members: DataFrame, num: int, den: int) -> DataFrame:
     return left.join(right, "token").where(f"x < y and {_alike('nx', 'ny', num, den)}").select("x", "y", F.least("mx", "my").alias("asked"))
 
 
-def links(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """(a, b) classes that link; all links but some between classes that others connect already."""
     spark = docs.sparkSession
     postings = stage.written(_postings(docs, ranks, k, num, den), "postings")
     buckets = postings.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("last")).where("least <> last").select("token")
     members = stage.written(postings.join(buckets, "token").dropDuplicates(["token", "cls"]), "shared")
+    stage.discard(postings)
     stage.release(spark)
     ends = lambda p: p.select(F.col("x").alias("cls")).unionByName(p.select(F.col("y").alias("cls")))
     reached = lambda v: v.where(f"{den} * shared >= {num} * both").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -293,8 +300,9 @@ def links(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, k: int, num: int,
         if not stars.limit(1).count():
             members = None
             break
-        tokens = stage.written(_texts(docs, sets, ends(stars).distinct(), k), "tokens", codec="none")
+        tokens = stage.written(_texts(docs, classes, ends(stars).distinct(), k), "tokens", codec="none")
         verified = stage.written(_verified(stars, tokens), "verified")
+        stage.discard(stars, tokens)
         stage.release(spark)
         found += [reached(verified), stage.written(_family_links(verified, num, den), "family")]
         stage.release(spark)
@@ -314,7 +322,7 @@ def links(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, k: int, num: int,
     pairs = stage.written(every.groupBy("x", "y").agg(F.count("*").alias("found"), F.first("asked").alias("asked")).where("found >= asked").select("x", "y"), "pairs")
     stage.release(spark)
     if pairs.limit(1).count():
-        found.append(reached(_verified(pairs, stage.written(_texts(docs, sets, ends(pairs).distinct(), k), "tokens", codec="none"))))
+        found.append(reached(_verified(pairs, stage.written(_texts(docs, classes, ends(pairs).distinct(), k), "tokens", codec="none"))))
     out = found[0] if found else spark.createDataFrame([], "a long, b long")
     for more in found[1:]:
         out = out.unionByName(more)
@@ -327,13 +335,16 @@ def _rooted(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     rows = stage.written(_sets(docs, k), "sets")
     ranks = _ranks(rows)
     sets = rows.where("blk = -1").select("doc_id", "n", "cls")
-    found = graph.connected(links(docs, sets, ranks, k, num, den))
+    classes = stage.written(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "classes")
+    found = graph.connected(links(docs, classes, ranks, k, num, den))
     stage.release(docs.sparkSession)
-    least = sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    rooted = classes.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = rooted.groupBy("component").agg(F.min(F.struct("least", "cls")).alias("first"))
-    by_class = rooted.join(smallest, "component").select("cls", F.col("first.least").alias("component_id"), F.col("first.cls").alias("rep"))
-    return sets.join(by_class, "cls", "left").select("doc_id", "n", "cls", "component_id", "rep")
+    by_class = stage.written(rooted.join(smallest, "component").select("cls", "rows", F.col("first.least").alias("component_id"), F.col("first.cls").alias("rep")), "classes")
+    total = by_class.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    placed = split_join(sets.where("cls is not null"), by_class, "cls", "rows", total, F.xxhash64("doc_id")).select("doc_id", "n", "cls", "component_id", "rep")
+    alone = sets.where("cls is null").select("doc_id", "n", "cls", F.lit(None).cast(sets.schema["doc_id"].dataType).alias("component_id"), F.lit(None).cast("long").alias("rep"))
+    return placed.unionByName(alone)
 
 
 def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -341,16 +352,17 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     return _rooted(docs, k, num, den).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _with_class(docs: DataFrame, k: int) -> DataFrame:
-    """``docs`` with the class of each row, ``_own``."""
+def _with_class(docs: DataFrame, k: int, name: str) -> DataFrame:
+    """``docs`` with the class of each row in the column ``name``."""
+    (text,) = stage.fresh([*docs.columns, name], "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, "_text"):
-                own = [class_of(s) if len(s) else None for s in shingles(words.scan(part.column("_text"), words.SPACED), k)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(own, pa.int64())], names=[*part.schema.names[:-1], "_own"])
+            for part in words.slices(batch, text):
+                own = [class_of(s) if len(s) else None for s in shingles(words.scan(part.column(text), words.SPACED), k)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(own, pa.int64())], names=[*part.schema.names[:-1], name])
 
-    return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, StructType([*docs.schema.fields, StructField("_own", LongType())]))
+    return docs.withColumn(text, F.col("text").cast("string")).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def deduplicate(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -358,13 +370,14 @@ def deduplicate(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
 
     Different texts under one doc_id are told apart by their class: each stays or goes with its own component.
     """
+    doc, own_class, clash, own = stage.fresh(docs.columns, "_kept", "_class", "_clash", "_own")
     named = docs.where("doc_id is not null")
     found = stage.written(_rooted(docs, k, num, den).where("doc_id is not null"), "rooted")
-    kept = stage.written(found.where("cls is null or doc_id = component_id and cls = rep").select(F.col("doc_id").alias("_kept"), F.col("cls").alias("_class")).distinct(), "kept")
-    clashing = stage.written(found.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select(F.col("doc_id").alias("_clash")), "clashing")
-    out = named.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    kept = stage.written(found.where("cls is null or doc_id = component_id and cls = rep").select(F.col("doc_id").alias(doc), F.col("cls").alias(own_class)).distinct(), "kept")
+    clashing = stage.written(found.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias(clash)), "clashing")
+    out = named.join(kept, F.col("doc_id") == F.col(doc), "left_semi")
     if clashing.limit(1).count():
-        twice = _with_class(named.join(clashing, F.col("doc_id") == F.col("_clash"), "left_semi"), k)
-        twice = twice.join(kept, (F.col("doc_id") == F.col("_kept")) & F.col("_own").eqNullSafe(F.col("_class")), "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")
-        out = out.join(clashing, F.col("doc_id") == F.col("_clash"), "left_anti").unionByName(twice)
+        twice = _with_class(named.join(clashing, F.col("doc_id") == F.col(clash), "left_semi"), k, own)
+        twice = twice.join(kept, (F.col("doc_id") == F.col(doc)) & F.col(own).eqNullSafe(F.col(own_class)), "left_semi").dropDuplicates(["doc_id", own]).drop(own)
+        out = out.join(clashing, F.col("doc_id") == F.col(clash), "left_anti").unionByName(twice)
     return out.unionByName(docs.where("doc_id is null"))

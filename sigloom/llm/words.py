@@ -6,7 +6,7 @@ character from U+0080 on is a word character in either of them:
 * ``SPACED``: runs of anything but U+0020 and U+0009-U+000D,
 * ``ALNUM``: runs of 0-9, a-z and everything from U+0080 on.
 
-A-Z are lower-cased first. Hashes are polynomials modulo 2**64 over random byte
+A-Z are lower-cased first, but for ``CASED``, which is ``SPACED`` without that. Hashes are polynomials modulo 2**64 over random byte
 values, finished by a mixing step; two different words or word sequences collide
 with a chance of about 2**-60.
 """
@@ -26,6 +26,7 @@ _LOWER[65:91] += 32
 SPACED = _LOWER.copy()
 SPACED[[0x20, *range(0x09, 0x0E)]] = 0
 SPACED[0] = 0x0B  # a NUL is a word character here; 0x0B, a separator, is free to stand for it
+CASED = np.where(SPACED == 0, 0, np.where(SPACED == 0x0B, 0x0B, np.arange(256))).astype(np.uint8)
 ALNUM = np.where((np.arange(256) >= 0x80) | ((_LOWER >= 0x30) & (_LOWER <= 0x39)) | ((_LOWER >= 0x61) & (_LOWER <= 0x7A)), _LOWER, 0).astype(np.uint8)
 
 _rng = np.random.default_rng(20240611)
@@ -36,7 +37,7 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 _STEP_INVERSE = np.uint64(pow(int(_STEP), -1, 2**64))
 _powers: dict[int, np.ndarray] = {}
 
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 1 << 18
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 
 
@@ -44,7 +45,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept unless they are very many."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        size = ((n >> 18) + 1) << 18
+        size = ((n >> 16) + 1) << 16
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
@@ -66,7 +67,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """Words of some texts, in order. ``first[i]:first[i + 1]`` are the words of text i."""
 
-    data: np.ndarray  # bytes of all texts, lower-cased, separators 0
+    raw: np.ndarray  # bytes of all texts
+    offset: np.ndarray  # where each text begins, and the end of the last
+    data: np.ndarray  # the same bytes, lower-cased, separators 0
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
@@ -125,7 +128,7 @@ def scan(texts: pa.Array, table: np.ndarray) -> Words:
     with np.errstate(over="ignore"):
         np.cumsum(_VALUE[data] * powers(_BASE, n), out=sums[1:])
         h = mix((sums[end] - sums[start]) * powers(_INVERSE, n)[start]) if n else np.zeros(0, np.uint64)
-    return Words(data, start, end, np.searchsorted(start, offsets), h)
+    return Words(raw, offsets, data, start, end, np.searchsorted(start, offsets), h)
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
