@@ -14,6 +14,7 @@ every text gets exactly what ``encode(text, add_special_tokens=False)`` returns.
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 
 import numpy as np
@@ -24,6 +25,7 @@ from . import words
 
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
 _SLOT_BITS = 21
+_LONG = 128  # bytes of a pre-token
 _LAST_LEAD = 0xC8  # lead byte of U+0200..U+023F
 
 
@@ -87,7 +89,7 @@ def pretoken_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes batches of texts; keeps the ids of pre-tokens in a direct-mapped cache, at most ``keep`` at a time."""
 
-    def __init__(self, path: str, keep: int = 1_500_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -130,9 +132,9 @@ class Encoder:
         missing = np.flatnonzero(self.slot_key[slot] != hashes)
         if len(missing):
             distinct, first, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            found = np.empty(len(distinct), np.int32)
-            for j, i in enumerate(missing[first].tolist()):
-                found[j] = self._learn(data[starts[i] : ends[i]].tobytes())
+            raw = data.tobytes()
+            where = missing[first]
+            found = np.array([self._learn(raw[a:b]) for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)], np.int32)
             at[missing] = found[which]
             slots = distinct >> np.uint64(64 - _SLOT_BITS)
             self.slot_key[slots], self.slot_at[slots] = distinct, found
@@ -164,6 +166,8 @@ class Encoder:
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(words._VALUE[data] * words.powers(words._BASE, len(data)), out=sums[1:])
         hashes = words.mix((sums[ends] - sums[starts]) * words.powers(words._INVERSE, len(data))[starts])
+        for i in np.flatnonzero(ends - starts > _LONG).tolist():  # a polynomial alone could be made to agree on long runs
+            hashes[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
         at = self._indices(hashes, data, starts, ends)
         length = self.length[at].astype(np.int64)
         begin = self.offset[at]

@@ -8,15 +8,17 @@ File format, all Parquet, below one folder:
 
 * ``raw/kind=0``  the chunk store: key (digest), n (ids), data (ids, little-endian, 2 bytes
   each if the vocabulary fits, else 4). Each distinct chunk stands there once.
-* ``raw/kind=1``  recipes as they were made: doc_id, n, data (its chunks' digests, in order), root.
+* ``raw/kind=1``  recipes as they were made: doc_id, n, data (of its chunks in order the digest and, in
+  4 bytes, the number of ids), root.
 * ``manifest``    recipes in ascending doc_id order (null first, repeated ids by root), with
   ``start``, the ids of all rows before it; ``root`` is the Merkle root over the chunk digests.
 
 One shuffle moves the chunk bytes: by digest, with copies inside a task dropped before it,
 so a chunk that a third of all documents share crosses it once per task. Recipes ride along
 under keys of their own. Reading checks every chunk against its digest and every recipe
-against its root; a document's crc32 is combined from the crc32 of its chunks, so chunk
-bytes are read once and not shuffled again. ``read_documents`` joins the bytes themselves.
+against its root. A document's crc32 is the exclusive or of the crc32 of its chunks, each
+moved past the ids that follow, so chunk bytes are read once and not shuffled again, and no
+document's chunks are gathered in a row. ``read_documents`` joins the bytes themselves.
 
 Defined results: a null or empty text has the end id alone; repeated rows are separate
 documents; an empty table gives an empty store; other columns are ignored.
@@ -41,29 +43,37 @@ from . import bpe, stage, words
 END_ID = 2
 WINDOW, MASK_BITS, MIN_CHUNK, MAX_CHUNK = 16, 7, 32, 1024
 _GEAR = np.random.default_rng(7).integers(0, 2**64, 1 << 20, dtype=np.uint64)
-_SEEN = 200_000
+_SEEN = 1 << 18
+_ID_BITS = 20  # for a chunk's number of ids, where it travels with the number of ids behind it
+_STEP = 20  # bytes of a recipe for each chunk: its digest and its number of ids
 _RAW = "kind int, key binary, doc_id {doc_id}, n int, data binary, root binary"
 
 
-def cut_points(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of one id stream."""
+def cut_points(ids: np.ndarray, bounds: np.ndarray | None = None) -> list[int]:
+    """Ends of the chunks of some id streams in a row; ``bounds`` are 0 and the ends of the streams (one stream: None)."""
     h = _GEAR[ids & np.uint32(len(_GEAR) - 1)]
     for shift in (1, 2, 4, 8):  # sum of gear[id] << age over the last 16 ids
         older = np.zeros_like(h)
         older[shift:] = h[:-shift] << np.uint64(shift)
-        h = h + older
-    found = np.flatnonzero(h[WINDOW - 1 :] >> np.uint64(64 - MASK_BITS) == 0) + WINDOW
+        h += older
+    found = np.flatnonzero(h >> np.uint64(64 - MASK_BITS) == 0) + 1
+    ends = [len(ids)] if bounds is None else bounds[1:].tolist()
+    split = np.searchsorted(found, ends, side="left").tolist()
+    found = found.tolist()
     cuts: list[int] = []
-    last = 0
-    for c in [*found.tolist(), len(ids)]:
-        if c - last < MIN_CHUNK and c < len(ids):
-            continue
-        while c - last > MAX_CHUNK:
-            last += MAX_CHUNK
-            cuts.append(last)
-        if c > last:
-            cuts.append(c)
-            last = c
+    last = at = 0
+    for end, upto in zip(ends, split, strict=True):
+        first = last
+        for c in [*found[at:upto], end]:
+            if c < end and (c - last < MIN_CHUNK or c - first < WINDOW):
+                continue
+            while c - last > MAX_CHUNK:
+                last += MAX_CHUNK
+                cuts.append(last)
+            if c > last:
+                cuts.append(c)
+                last = c
+        at = upto
     return cuts
 
 
@@ -90,37 +100,48 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_I
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder(vocabulary)
-        kind = f"<u{width(encoder.vocabulary)}"
+        size = width(encoder.vocabulary)
         task = TaskContext.get().partitionId()
-        seen: set[bytes] = set()
+        seen = np.zeros((_SEEN, 2), np.uint64)  # the last chunk of each slot; a copy that is missed here goes at the shuffle
         row = 0
         for batch in batches:
             for part in words.slices(batch):
-                out: list[tuple] = []
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text")), strict=True):
-                    ids = np.append(ids, np.uint32(end_id))
-                    digests, last = [], 0
-                    data = ids.astype(kind).tobytes()
-                    size = np.dtype(kind).itemsize
-                    for c in cut_points(ids):
-                        chunk = data[last * size : c * size]
-                        digests.append(key := digest(chunk))
-                        if key not in seen:
-                            if len(seen) >= _SEEN:
-                                seen.clear()
-                            seen.add(key)
-                            out.append((0, key, None, c - last, chunk, None))
-                        last = c
-                    row += 1
-                    out.append((1, digest(b"%d/%d" % (task, row)), doc, len(ids), b"".join(digests), merkle(digests)))
-                columns = list(zip(*out, strict=True))
-                types = [pa.int32(), pa.binary(), part.schema.field("doc_id").type, pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["kind", "key", "doc_id", "n", "data", "root"])
+                texts = encoder.encode(part.column("text"))
+                bounds = np.cumsum([0, *(len(ids) + 1 for ids in texts)])
+                flat = np.full(bounds[-1], end_id, np.uint32)
+                for at, ids in zip(bounds.tolist(), texts, strict=False):
+                    flat[at : at + len(ids)] = ids
+                cuts = np.array(cut_points(flat, bounds), np.int64)
+                data = memoryview(flat.astype(f"<u{size}").tobytes())
+                sizes = np.diff(cuts, prepend=0)
+                ends = (cuts * size).tolist()
+                digests = [digest(data[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+                pairs = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+                slot = pairs[:, 0] % np.uint64(_SEEN)
+                _, once = np.unique(pairs, axis=0, return_index=True)
+                new = np.sort(once[(seen[slot[once]] != pairs[once]).any(axis=1)])
+                seen[slot[new]] = pairs[new]
+                n, some, doc_ids = part.num_rows, len(new), part.column("doc_id")
+                keys = [digests[i] for i in new.tolist()]
+                chunks = [data[ends[i - 1] if i else 0 : ends[i]].tobytes() for i in new.tolist()]
+                yield _batch([pa.array(np.zeros(some, np.int32)), pa.array(keys, pa.binary()), pa.nulls(some, doc_ids.type), pa.array(sizes[new].astype(np.int32)), pa.array(chunks, pa.binary()), pa.nulls(some, pa.binary())])
+                first = np.searchsorted(cuts, bounds, side="right")
+                first[0] = 0
+                steps = np.empty((len(digests), _STEP), np.uint8)
+                steps[:, :16] = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 16)
+                steps[:, 16:] = sizes.astype("<u4").view(np.uint8).reshape(-1, 4)
+                recipes = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((first * _STEP).astype(np.int32)), pa.py_buffer(steps.tobytes())])
+                roots = [merkle(digests[a:b]) for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
+                named = [digest(b"%d/%d" % (task, row + i)) for i in range(n)]
+                row += n
+                yield _batch([pa.array(np.ones(n, np.int32)), pa.array(named, pa.binary()), doc_ids, pa.array(np.diff(bounds).astype(np.int32)), recipes, pa.array(roots, pa.binary())])
 
     raw = docs.mapInArrow(encode, _RAW.format(doc_id=dict(docs.dtypes)["doc_id"]))
     n = _partitions(spark)
-    once = raw.repartition(n, "kind", "key").withColumn("nth", F.row_number().over(Window.partitionBy("kind", "key").orderBy("n"))).where("nth = 1").drop("nth")
+    # recipes have keys of their own, so the key alone tells rows apart, and rows are sorted by its first bytes
+    once = raw.repartition(n, "key").withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("kind"))).where("nth = 1").drop("nth")
     once.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/raw")
+    del raw, once  # and with them their shuffle files
     stage.release(spark)
     recipes = _raw(spark, path, 1, dict(docs.dtypes)["doc_id"])
     ranged = stage.written(recipes.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "root").withColumn("part", F.spark_partition_id()), "store-order")
@@ -132,6 +153,10 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_I
     manifest.write.option("compression", "zstd").parquet(f"{path}/manifest")
 
 
+def _batch(columns: list[pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "doc_id", "n", "data", "root"])
+
+
 def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -155,72 +180,82 @@ def read_chunks(spark: SparkSession, path: str, id_width: int) -> DataFrame:
     return _raw(spark, path, 0).select("key", "n", "data").mapInArrow(check, "key binary, n int, crc long")
 
 
-_shifts: dict[int, list[list[int]]] = {}
+_shifts: list[np.ndarray] = []
+
 
+def _apply(table: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    return table[0][crc & 255] ^ table[1][crc >> 8 & 255] ^ table[2][crc >> 16 & 255] ^ table[3][crc >> 24]
 
-def _shift_table(n_bytes: int) -> list[list[int]]:
-    """What ``n_bytes`` zero bytes do to a crc32 state, by each byte of the state (the map is linear over bits)."""
-    if n_bytes not in _shifts:
-        zeros = bytes(n_bytes)
-        none = zlib.crc32(zeros, 0)
-        bits = [zlib.crc32(zeros, 1 << b) ^ none for b in range(32)]
-        table = []
-        for byte in range(4):
-            row = [0] * 256
-            for v in range(1, 256):
-                low = v & -v
-                row[v] = row[v ^ low] ^ bits[8 * byte + low.bit_length() - 1]
-            table.append(row)
-        _shifts[n_bytes] = table
-    return _shifts[n_bytes]
 
+def _shift_table(power: int) -> np.ndarray:
+    """What 4 * 2**power zero bytes do to a crc32, by each of its bytes (the map is linear over bits)."""
+    while len(_shifts) <= power:
+        if _shifts:
+            bits = _apply(_shifts[-1], _apply(_shifts[-1], np.uint32(1) << np.arange(32, dtype=np.uint32)))
+        else:
+            bits = np.array([zlib.crc32(bytes(4), 1 << b) ^ zlib.crc32(bytes(4), 0) for b in range(32)], np.uint32)
+        table = np.zeros((4, 256), np.uint32)
+        for v in range(1, 256):
+            low = v & -v
+            table[:, v] = table[:, v ^ low] ^ bits[low.bit_length() - 1 :: 8]
+        _shifts.append(table)
+    return _shifts[power]
 
-def combine(first: int, second: int, n_bytes: int) -> int:
-    """crc32 of two strings in a row, from theirs and the length of the second."""
-    t = _shift_table(n_bytes)
-    return t[0][first & 255] ^ t[1][first >> 8 & 255] ^ t[2][first >> 16 & 255] ^ t[3][first >> 24] ^ second
+
+def moved(crc: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The part that strings with these crc32 have in the crc32 of a longer string, ``after`` ids of 4 bytes before its end."""
+    out = crc.astype(np.uint32)
+    for power in range(int(after.max(initial=0)).bit_length()):
+        at = np.flatnonzero(after >> power & 1)
+        out[at] = _apply(_shift_table(power), out[at])
+    return out
 
 
 def documents(spark: SparkSession, path: str, id_width: int = 2) -> DataFrame:
     """Read back from the files: doc_id, start, n_tokens, ids_crc32, n_chunks. Fails if anything doesn't match."""
     manifest = spark.read.parquet(f"{path}/manifest")
+    doc_type = dict(manifest.dtypes)["doc_id"]
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts, keys, at = [], [], []
-            for start, data, root in zip(*(batch.column(c).to_pylist() for c in ("start", "data", "root")), strict=True):
-                chunk = [data[i : i + 16] for i in range(0, len(data), 16)]
-                if merkle(chunk) != root:
+            recipes = batch.column("data").to_pylist()
+            steps = np.frombuffer(b"".join(recipes), np.uint8).reshape(-1, _STEP)
+            first = np.cumsum([0, *(len(r) // _STEP for r in recipes)])
+            digests = steps[:, :16].tobytes()
+            for a, b, start, root in zip(first.tolist(), first[1:].tolist(), batch.column("start").to_pylist(), batch.column("root").to_pylist(), strict=False):
+                if merkle([digests[i : i + 16] for i in range(16 * a, 16 * b, 16)]) != root:
                     raise ValueError(f"the recipe at {start} doesn't match its Merkle root")
-                starts += [start] * len(chunk)
-                keys += chunk
-                at += range(len(chunk))
-            yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), pa.array(at, pa.int32()), pa.array(keys, pa.binary())], names=["start", "at", "key"])
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sizes = np.ascontiguousarray(steps[:, 16:]).view("<u4").ravel().astype(np.int64)
+            upto = np.concatenate(([0], np.cumsum(sizes)))
+            totals = batch.column("n_tokens").to_numpy()
+            if (upto[first[1:]] - upto[first[:-1]] != totals).any():
+                raise ValueError("a recipe doesn't have as many ids as its document")
+            of = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            head = np.zeros(len(sizes), bool)
+            head[first[:-1]] = True  # every document has a chunk; its first row carries the document's columns
+            take = pa.array(of, mask=~head)
+            keys = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.arange(0, 16 * len(sizes) + 1, 16, dtype=np.int32)), pa.py_buffer(digests)])
+            after = upto[first[1:]][of] - upto[1:]
+            yield pa.RecordBatch.from_arrays([batch.column("start").take(pa.array(of)), keys, pa.array(after << _ID_BITS | sizes), batch.column("doc_id").take(take), batch.column("n_tokens").take(take)], names=["start", "key", "ids", "doc_id", "n_tokens"])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            crcs = []
-            for start, n_tokens, chunks in zip(batch.column("start").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("chunks").to_pylist(), strict=True):
-                crc = total = 0
-                for c in chunks:
-                    crc = combine(crc, c["crc"], 4 * c["n"])
-                    total += c["n"]
-                if total != n_tokens:
-                    raise ValueError(f"the document at {start} has {total} of {n_tokens} ids")
-                crcs.append(crc)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crcs, pa.int64()), pa.array([len(c) for c in batch.column("chunks").to_pylist()], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32", "n_chunks"])
-
-    recipe = manifest.select("start", "data", "root").mapInArrow(leaves, "start long, at int, key binary")
-    found = recipe.join(read_chunks(spark, path, id_width), "key", "left").groupBy("start").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("crc", F.lit(0)).alias("crc")))).alias("chunks"))
-    rows = manifest.select("doc_id", "start", "n_tokens").join(found, "start")
-    doc_type = dict(manifest.dtypes)["doc_id"]
-    return rows.select("doc_id", "start", "n_tokens", "chunks").mapInArrow(whole, f"doc_id {doc_type}, start long, n_tokens long, ids_crc32 long, n_chunks long")
+            ids = batch.column("ids").to_numpy()
+            if not batch.column("n").equals(pa.array(ids & ((1 << _ID_BITS) - 1))):
+                raise ValueError("a chunk of a recipe is missing or has another length")
+            part = moved(batch.column("crc").to_numpy(), ids >> _ID_BITS)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("start", "doc_id", "n_tokens")), pa.array(part.astype(np.int64))], names=["start", "doc_id", "n_tokens", "part"])
+
+    recipe = manifest.select("doc_id", "start", "n_tokens", "data", "root").mapInArrow(leaves, f"start long, key binary, ids long, doc_id {doc_type}, n_tokens long")
+    found = recipe.join(read_chunks(spark, path, id_width).withColumn("n", F.col("n").cast("long")), "key", "left")
+    shares = found.select("start", "ids", "doc_id", "n_tokens", "n", "crc").mapInArrow(parts, f"start long, doc_id {doc_type}, n_tokens long, part long")
+    return shares.groupBy("start").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.bit_xor("part").alias("ids_crc32"), F.count("*").alias("n_chunks")).select("doc_id", "start", "n_tokens", "ids_crc32", "n_chunks")
 
 
 def read_documents(spark: SparkSession, path: str, id_width: int = 2) -> DataFrame:
     """The documents themselves, rebuilt from recipes and chunks: doc_id, start, data (all ids as stored)."""
     manifest = spark.read.parquet(f"{path}/manifest")
-    keys = manifest.select("doc_id", "start", F.posexplode(F.expr("transform(sequence(0, cast(length(data) / 16 as int) - 1), i -> substring(data, 16 * i + 1, 16))")).alias("at", "key"))
+    keys = manifest.select("doc_id", "start", F.posexplode(F.expr("transform(sequence(0, cast(length(data) / 20 as int) - 1), i -> substring(data, 20 * i + 1, 16))")).alias("at", "key"))
     found = keys.join(_raw(spark, path, 0).select("key", F.col("data").alias("ids")), "key")
     parts = found.groupBy("doc_id", "start").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("parts"))
     return parts.select("doc_id", "start", F.expr("aggregate(parts, cast('' as binary), (acc, p) -> concat(acc, p.ids))").alias("data"))
