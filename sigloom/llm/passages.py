@@ -16,13 +16,15 @@ fewer than three cuts by their own words are compared by hash wherever they are.
 document with the smallest doc_id keeps its copy.
 
 Moving digests costs two shuffles of one narrow row per chunk. The first is
-pre-aggregated; the second is a join that AQE splits at a digest which a third of all
-rows share. Only repeated chunks go on to be grouped, by document, and only the texts of
+pre-aggregated; the second is a join that deals the rows of a digest that many rows
+share to many tasks. Only repeated chunks go on to be grouped, by document, and only the texts of
 documents with a doubtful run are read again.
 
-Defined results: rows with a null doc_id are not compared; null, empty and short texts
-have no chunks; rows of one doc_id count as one document for "across documents"; an empty
-table gives an empty result; other columns are ignored by ``find`` and kept by ``remove``.
+Defined results: rows with a null doc_id are not compared (``remove`` keeps them as they are); null,
+empty and short texts have no chunks; rows of one doc_id are one document, whose different texts
+follow one another in the order of their hash, each beginning ``GAP`` words and as many as the text
+before has characters after that one; an empty table gives an empty result; other columns, whatever
+their names, are ignored by ``find`` and kept by ``remove``.
 """
 
 from __future__ import annotations
@@ -33,14 +35,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import stage, words
-from .semijoin import maybe_in
+from .semijoin import maybe_in, split_join
 
 MIN_WORDS = 50
 MAX_CHUNK = 64
 _TEST = np.uint64(0b1010)
 _WINDOW = 4
+GAP = 64  # words between two texts of a document
 _FAR = 255  # this many words or more, in a packed place
 
 
@@ -107,7 +111,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = np.where((pair > 0) & (text[pair - 1] == text[pair]), np.minimum(a - back[pair - 1], _FAR), 0)
             two = np.minimum(pair + 2, len(size) - 1)
             after = np.where((pair + 2 < len(size)) & (text[two] == text[pair]), size[two], 0)
-            place = a - found.first[text[pair]]
+            place = a - found.first[text[pair]] + part.column("base").to_numpy()[text[pair]]
             for value in (b - a, before, after, size[pair]):
                 place = (place << 8) | value
             yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), part.column("doc_id").take(pa.array(text[pair])), pa.array(place)], names=["digest", "doc_id", "place"])
@@ -155,10 +159,9 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     spark = docs.sparkSession
     doc_type = dict(docs.dtypes)["doc_id"]
-    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = _based(docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text")))
     chunks = stage.written(rows.mapInArrow(_chunks, f"digest long, doc_id {doc_type}, place long"), "chunks")
-    repeated = _repeated(chunks, "digest")
-    grouped = chunks.join(repeated, "digest").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id", "digest"))).alias("places"))
+    grouped = _among_repeated(chunks, "digest").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id", "digest"))).alias("places"))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,14 +213,32 @@ def _batch(rows: list, types: list[pa.DataType], names: list[str]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def _repeated(rows: DataFrame, key: str) -> DataFrame:
-    """(key, first_doc_id) of the keys that two or more doc_ids have."""
-    return rows.groupBy(key).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id <> last").select(key, "first_doc_id")
+def _based(rows: DataFrame, doc: str = "doc_id", text: str = "text", base: str = "base") -> DataFrame:
+    """``rows`` with the place ``base`` of their first word in their document: 0 unless its doc_id has several texts."""
+    own, part_of, start = stage.fresh([*rows.columns, base], "_doc", "_part", "_base")
+    part = F.xxhash64(text)
+    several = rows.groupBy(doc).agg(F.min(part).alias("least"), F.max(part).alias("most")).where("least <> most").select(F.col(doc).alias(own))
+    several = stage.written(several, "several")
+    if not several.limit(1).count():
+        return rows.withColumn(base, F.lit(0).cast("long"))
+    texts = rows.select(F.col(doc).alias(own), part.alias(part_of), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("size")).join(several, own, "left_semi").distinct()
+    upto = Window.partitionBy(own).orderBy(part_of).rowsBetween(Window.unboundedPreceding, -1)
+    bases = stage.written(texts.select(own, part_of, F.coalesce(F.sum(F.col("size") + GAP).over(upto), F.lit(0)).alias(start)), "bases")
+    placed = rows.join(bases, (F.col(doc) == F.col(own)) & (F.xxhash64(F.col(text)) == F.col(part_of)), "left")
+    return placed.withColumn(base, F.coalesce(start, F.lit(0).cast("long"))).drop(own, part_of, start)
 
 
-def _window_rows(h: np.ndarray, at: np.ndarray, found: words.Words, doc_ids: pa.Array) -> pa.RecordBatch:
+def _among_repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The written ``rows`` whose ``key`` two or more doc_ids have, with first_doc_id, the smallest of them."""
+    found = rows.groupBy(key).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), F.count("*").alias("times")).where("first_doc_id <> last")
+    repeated = stage.written(found.select(key, "first_doc_id", "times"), "repeated")
+    return split_join(rows, repeated, key, "times", rows.count(), F.xxhash64("doc_id"))
+
+
+def _window_rows(h: np.ndarray, at: np.ndarray, found: words.Words, part: pa.RecordBatch) -> pa.RecordBatch:
     text = np.searchsorted(found.first, at, side="right") - 1
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc_ids.take(pa.array(text)), pa.array(at - found.first[text])], names=["window", "doc_id", "at"])
+    place = at - found.first[text] + part.column("base").to_numpy()[text]
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(place)], names=["window", "doc_id", "at"])
 
 
 def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> DataFrame:
@@ -231,10 +252,12 @@ def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> Dat
                 found = words.scan(part.column("text"), words.SPACED)
                 h, at = found.windows(size)
                 ranges = []
-                for i, places in enumerate(part.column("places").to_pylist()):
+                for i, (places, base) in enumerate(zip(part.column("places").to_pylist(), part.column("base").to_pylist(), strict=True)):
                     first, last = int(found.first[i]), int(found.first[i + 1]) - 1
                     for packed in places:
-                        start = first + (packed >> 32)
+                        start = first + (packed >> 32) - base
+                        if not first <= start <= last:  # in another text of the document
+                            continue
                         end = start + (packed >> 24 & 255)  # windows that hold the pair, or that the pair holds
                         ranges.append((max(first, min(start, end - size)), min(last, max(start, end - size)) + 1))
                 near = np.zeros(len(found.hash) + 1, np.int64)
@@ -242,7 +265,7 @@ def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> Dat
                     near[a] += 1
                     near[b] -= 1
                 pick = (np.cumsum(near)[at] > 0) & ~_few_cuts(_cuts(found), at, size)
-                yield _window_rows(h[pick], at[pick], found, part.column("doc_id"))
+                yield _window_rows(h[pick], at[pick], found, part)
 
     def uncut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,11 +273,11 @@ def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> Dat
                 found = words.scan(part.column("text"), words.SPACED)
                 h, at = found.windows(size)
                 pick = _few_cuts(_cuts(found), at, size)
-                yield _window_rows(h[pick], at[pick], found, part.column("doc_id"))
+                yield _window_rows(h[pick], at[pick], found, part)
 
     schema = f"window long, doc_id {doc_type}, at long"
     emitted = stage.written(texts.mapInArrow(windows, schema).unionByName(rows.mapInArrow(uncut, schema)), "windows")
-    grouped = emitted.join(_repeated(emitted, "window"), "window").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "first_doc_id"))).alias("at"))
+    grouped = _among_repeated(emitted, "window").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "first_doc_id"))).alias("at"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,20 +294,24 @@ def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> Dat
 
 def remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the passages that a document with a smaller doc_id keeps; columns as they were."""
-    cuts = find(docs, min_words).where("n_removed > 0").select("doc_id", F.posexplode("removed").alias("i", "at")).groupBy("doc_id").agg(F.sort_array(F.collect_list("at")).alias("_cuts"))
     names = docs.columns
-    joined = docs.join(cuts, "doc_id", "left").select(*(docs[f"`{c}`"] for c in names), "_cuts")
+    doc, cuts, base = stage.fresh(names, "_cut_doc", "_cuts", "_base_word")
+    found = find(docs, min_words).where("n_removed > 0").select(F.col("doc_id").alias(doc), F.posexplode("removed").alias("i", "at")).groupBy(doc).agg(F.sort_array(F.collect_list("at")).alias(cuts))
+    joined = _based(docs, base=base).join(found, F.col("doc_id") == F.col(doc), "left").select(*(F.col(f"`{c}`") for c in names), base, cuts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, cuts in enumerate(batch.column("_cuts").to_pylist()):
-                if cuts and texts[i]:
-                    found = words.scan(pa.array([texts[i]]), words.SPACED)
+            for i, (places, first) in enumerate(zip(batch.column(cuts).to_pylist(), batch.column(base).to_pylist(), strict=True)):
+                if places and texts[i]:
+                    spaced = words.scan(pa.array([texts[i]]), words.SPACED)
+                    n = len(spaced.start)
                     raw, out, at = texts[i].encode(), [], 0
-                    for a, b in zip(cuts[::2], cuts[1::2], strict=True):
-                        out.append(raw[at : found.start[a]])
-                        at = int(found.end[b - 1])
+                    for a, b in zip(places[::2], places[1::2], strict=True):
+                        a, b = max(0, a - first), min(n, b - first)
+                        if a < b:  # else in another text of the document
+                            out.append(raw[at : spaced.start[a]])
+                            at = int(spaced.end[b - 1])
                     texts[i] = b"".join([*out, raw[at:]]).decode()
             kept = batch.select(names)
             at = names.index("text")
