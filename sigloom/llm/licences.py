@@ -7,58 +7,128 @@ ending there that some template contains (matching statistics). Only stretches w
 automaton runs over those stretches of the whole text; they are found with numpy.
 
 Matches of ``MIN_MATCH`` words or more are chained per template, in the order of text
-and template, over gaps of at most ``MAX_GAP`` words. A template is found where the best
-chain covers ``COVERAGE`` of its words. Base phrases are templates too; all their places
-are counted, and their labels never go away.
+and template, over gaps of at most ``MAX_GAP`` words, so that the words covered less ``GAP_COST`` for
+each word of the text between matches are most. A chain is a candidate where it covers
+``COVERAGE`` of the template's words and all its distinguishing words (in square brackets
+below) within a match each. Candidates compete for the text: the one that covers most words
+wins, then the one with fewer words between its matches, and those of other licences that lie
+by half or more in its span are dropped. So a template that a longer licence contains, or whose
+words another one shares but for its version, gives no label.
+
+Base phrases are counted at all their places, and their labels never go away. ``read_templates``
+makes templates of whole licence files, to be scanned for beside or instead of those here.
 
 Defined results: a null or empty text has no words, no places, empty labels and score 0;
 repeated rows are scanned as often as they occur; an empty table gives an empty result;
 other columns are ignored. ``score`` is 1 if a base phrase stands in the text, else the
-best coverage of any template's chain.
+best coverage of a span that was found, else 0.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import words
+from . import stage, words
 
-MIN_MATCH, MAX_GAP, COVERAGE = 4, 12, 0.6
+MIN_MATCH, MAX_GAP, COVERAGE, GAP_COST = 4, 12, 0.6, 0.25
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 #: Phrases that always count, and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-#: Public licence notices, as their licences word them.
-TEMPLATES = (
+_PUBLISHED = "as published by the Free Software Foundation"
+_REDISTRIBUTE = "you can redistribute it and/or modify it under the terms of the"
+_BSD_OPENING = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+_BSD_SOURCE = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"
+_BSD_BINARY = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"
+_BSD_ADVERTS = "All advertising materials mentioning features or use of this software must display the following [acknowledgement]"
+_BSD_NAMES = "[Neither the name of] the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+
+#: Public licences and notices, as their authors word them; distinguishing words in square brackets.
+NOTICES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("mit", "released under the MIT License"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("apache-2", "licensed under the Apache License, Version 2.0"),
-    ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
-    ("gpl-3", "licensed under the GNU General Public License, version 3"),
-    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
-    ("gpl-2", "licensed under the GNU General Public License, version 2"),
-    ("lgpl-3", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License"),
-    ("agpl-3", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
-    ("bsd-3", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by-4", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-sa-4", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("mit", "released under the [MIT License]"),
+    ("mit", "licensed under the terms of the [MIT license]"),
+    ("x11", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED. [Except as contained in this notice], the name of the copyright holder shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization"),
+    ("apache-2", "Licensed under the Apache License, [Version 2].0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache-2", "licensed under the Apache License, [Version 2].0"),
+    ("apache-1.1", "licensed under the Apache License, [Version 1.1]"),
+    ("apache-1", "licensed under the Apache License, [Version 1.0]"),
+    ("gpl-3", f"This program is free software: {_REDISTRIBUTE} GNU General Public License {_PUBLISHED}, either [version 3] of the License, or (at your option) any later version"),
+    ("gpl-2", f"This program is free software; {_REDISTRIBUTE} GNU General Public License {_PUBLISHED}; either [version 2] of the License, or (at your option) any later version"),
+    ("gpl-3", "licensed under the GNU General Public License, [version 3]"),
+    ("gpl-2", "licensed under the GNU General Public License, [version 2]"),
+    ("lgpl-3", f"This library is free software; {_REDISTRIBUTE} GNU [Lesser] General Public License {_PUBLISHED}; either [version 3] of the License, or (at your option) any later version"),
+    ("lgpl-2.1", f"This library is free software; {_REDISTRIBUTE} GNU [Lesser] General Public License {_PUBLISHED}; either [version 2.1] of the License, or (at your option) any later version"),
+    ("lgpl-3", "licensed under the GNU [Lesser] General Public License, [version 3]"),
+    ("lgpl-2.1", "licensed under the GNU [Lesser] General Public License, [version 2.1]"),
+    ("agpl-3", f"This program is free software: {_REDISTRIBUTE} GNU [Affero] General Public License {_PUBLISHED}, either [version 3] of the License, or (at your option) any later version"),
+    ("agpl-3", "licensed under the GNU [Affero] General Public License, [version 3]"),
+    ("bsd", _BSD_OPENING),
+    ("bsd-2", f"{_BSD_OPENING}: {_BSD_SOURCE}. {_BSD_BINARY}."),
+    ("bsd-3", f"{_BSD_OPENING}: {_BSD_SOURCE}. {_BSD_BINARY}. {_BSD_NAMES}."),
+    ("bsd-4", f"{_BSD_OPENING}: {_BSD_SOURCE}. {_BSD_BINARY}. {_BSD_ADVERTS}. {_BSD_NAMES}."),
+    ("isc", f"{_ISC_GRANT}, [provided that the above] copyright notice and this permission notice appear in all copies"),
+    ("0bsd", f"{_ISC_GRANT}. [THE SOFTWARE IS] PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE"),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
+    ("bsl-1", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software"),
+    ("bsl-1", "Distributed under the [Boost Software License], Version 1.0"),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, [v. 2.0]"),
+    ("mpl-1.1", "The contents of this file are subject to the Mozilla Public License [Version 1.1] (the License); you may not use this file except in compliance with the License"),
+    ("epl-2", "This program and the accompanying materials are made available under the terms of the Eclipse Public License [2.0]"),
+    ("epl-1", "This program and the accompanying materials are made available under the terms of the Eclipse Public License [v1.0]"),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
 
+def _creative_commons() -> Iterator[tuple[str, str]]:
+    """The notices of the six licences in their versions, by rule."""
+    kinds = (("by", "Attribution"), ("by-sa", "Attribution-ShareAlike"), ("by-nc", "Attribution-NonCommercial"), ("by-nd", "Attribution-NoDerivatives"), ("by-nc-sa", "Attribution-NonCommercial-ShareAlike"), ("by-nc-nd", "Attribution-NonCommercial-NoDerivatives"))
+    for version, place in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")):
+        for kind, name in kinds:
+            label = f"cc-{kind}-{version.removesuffix('.0')}"
+            yield label, f"This work is licensed under a Creative Commons [{name} {version}] {place} License"
+            yield label, f"Licensed under [CC {kind} {version}]"
+
+
+def _gnu() -> Iterator[tuple[str, str]]:
+    """What the notices of the GNU licences share, without their first words."""
+    for label, name, version in (("gpl-2", "", "2"), ("gpl-3", "", "3"), ("lgpl-2.1", "[Lesser]", "2.1"), ("lgpl-3", "[Lesser]", "3"), ("agpl-3", "[Affero]", "3")):
+        yield label, f"under the terms of the GNU {name} General Public License {_PUBLISHED}, either [version {version}] of the License"
+
+
+TEMPLATES = (*NOTICES, *_creative_commons(), *_gnu())
+
+
+def read_templates(spark: SparkSession, path: str) -> tuple[tuple[str, str], ...]:
+    """Templates of the text files below ``path``, a folder of licences: the file's name without its ending, and its text."""
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.\w+)?$", 1).alias("label"), "value")
+    return tuple(sorted((r.label, r.value.replace("[", " ").replace("]", " ")) for r in files.collect()))  # as many as there are licences
+
+
+def _marked(template: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The words of a template, and where its distinguishing words stand."""
+    found: list[str] = []
+    keys = []
+    for i, part in enumerate(re.split(r"[\[\]]", template)):
+        more = split(part)
+        if i % 2:
+            keys.append((len(found), len(found) + len(more)))
+        found += more
+    return found, keys
+
+
 def split(text: str) -> list[str]:
     return _WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text))
 
@@ -132,7 +202,9 @@ class Automaton:
 class Scanner:
     def __init__(self, base: tuple = BASE, templates: tuple = TEMPLATES, min_match: int = MIN_MATCH, max_gap: int = MAX_GAP, coverage: float = COVERAGE):
         self.min_match, self.max_gap, self.coverage = min_match, max_gap, coverage
-        texts = [(label, split(text)) for text, label in base] + [(label, split(text)) for label, text in templates]
+        marked = [_marked(text) for _, text in templates]
+        texts = [(label, split(text)) for text, label in base] + [(label, found) for (label, _), (found, _) in zip(templates, marked, strict=True)]
+        self.keys = [[] for _ in base] + [keys for _, keys in marked]
         if any(len(t) < 3 for _, t in texts):
             raise ValueError("a template has three words at least")
         self.ids: dict[bytes, int] = {}
@@ -140,6 +212,7 @@ class Scanner:
         self.sequences = [[self.ids.setdefault(w.encode(), len(self.ids)) for w in t] for _, t in texts]
         self.base = [(self.labels[i], self.sequences[i]) for i in range(len(base))]
         self.automaton = Automaton(self.sequences)
+        self.places: dict[int, list[tuple[int, int, int]]] = {}
         grams = [words.scan(pa.array([" ".join(t)]), words.ALNUM).windows(3)[0] for _, t in texts]
         self.grams = np.unique(np.concatenate(grams))
 
@@ -155,48 +228,87 @@ class Scanner:
             yield a, b + 3
 
     def scan(self, found: words.Words) -> dict[int, dict]:
-        """What stands in each text that has any match: base places (label, start) and matches by template."""
-        out: dict[int, dict] = {}
+        """What stands in each text that has any match: base places (label, start) and matches (template, start, place in the template, length)."""
+        out: dict[int, dict] = {}  # a match is as long as its template allows, whatever other templates allow
         for a, b in self.stretches(found):
             doc = int(np.searchsorted(found.first, a, side="right")) - 1
             first = int(found.first[doc])
             sequence = [self.ids.get(found.text(i, i + 1), -1) for i in range(a, b)]
             here = out.setdefault(doc, {"base": [], "matches": []})
-            before = (0, 0)
+            before: dict[tuple[int, int], int] = {}
             for i, (state, length) in enumerate([*self.automaton.statistics(sequence), (0, 0)]):
-                if before[1] >= self.min_match and length <= before[1]:  # the match can't be made longer to the right
-                    here["matches"].append((a - first + i - before[1], before[1], before[0]))
+                now = {(number, end): min(most, length) for number, end, most in self.occurrences(state)} if length >= self.min_match else {}
+                for (number, end), size in before.items():
+                    if (number, end + 1) not in now:  # the match can't be made longer to the right
+                        here["matches"].append((number, a - first + i - size, end - size, size))
                 for label, phrase in self.base:
                     if length >= len(phrase) and sequence[i + 1 - len(phrase) : i + 1] == phrase:
                         here["base"].append((label, a - first + i + 1 - len(phrase)))
-                before = state, length
+                before = now
         return out
 
-    def chains(self, matches: list[tuple[int, int, int]]) -> dict[int, tuple[float, int, int]]:
-        """Best chain of each template: coverage, first and last+1 word of the text."""
+    def occurrences(self, state: int) -> list[tuple[int, int, int]]:
+        """Where the longest match of a state, or the longest part of it at its end that a template has, stands: template, position behind it, length at most."""
+        if state not in self.places:
+            found: dict[tuple[int, int], int] = {}
+            at, most = state, self.automaton.states[state].length
+            while at > 0 and most >= self.min_match:
+                for number, ends in self.automaton.states[at].ends.items():
+                    if number >= len(self.base):
+                        for end in ends:
+                            found.setdefault((number, end), most)
+                at = self.automaton.states[at].link
+                most = self.automaton.states[at].length
+            self.places[state] = [(number, end, most) for (number, end), most in found.items()]
+        return self.places[state]
+
+    def chains(self, matches: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int, int, bool]]:
+        """Chains of each template, the best first and none that overlaps a better one: template, words covered, first and last+1 word of the text, and whether all distinguishing words are covered."""
         by: dict[int, list[tuple[int, int, int]]] = {}
-        for start, length, state in matches:
-            for number, ends in self.automaton.states[state].ends.items():
-                by.setdefault(number, []).extend((start, end - length, length) for end in ends)
-        best: dict[int, tuple[float, int, int]] = {}
+        for number, *place in matches:
+            by.setdefault(number, []).append(tuple(place))
         for number, places in by.items():
             places.sort()
             n = len(self.sequences[number])
-            chain: list[tuple[int, int]] = []  # covered words, start of the chain
-            for i, (start, at, length) in enumerate(places):
-                most = (length, start)
+            covered: list[int] = []
+            value: list[float] = []
+            before: list[int] = []
+            for start, at, length in places:
+                i = len(value)
+                best, most, link = float(length), length, -1
                 for j in range(i - 1, -1, -1):
                     start_j, at_j, length_j = places[j]
                     if start - start_j > n + self.max_gap * 4:
                         break
                     overlap = max(0, start_j + length_j - start, at_j + length_j - at)
                     if start_j < start and at_j < at and overlap < length and max(start - start_j - length_j, at - at_j - length_j) <= self.max_gap:
-                        most = max(most, (chain[j][0] + length - overlap, chain[j][1]), key=lambda x: x[0])
-                chain.append(most)
-                share = min(1.0, most[0] / n)
-                if number not in best or share > best[number][0]:
-                    best[number] = (share, most[1], start + length)
-        return best
+                        whole = value[j] + length - overlap - GAP_COST * max(0, start - start_j - length_j)
+                        if whole > best:
+                            best, most, link = whole, covered[j] + length - overlap, j
+                covered.append(most)
+                value.append(best)
+                before.append(link)
+            taken: list[tuple[int, int]] = []
+            for i in sorted(range(len(places)), key=lambda i: (-value[i], i)):  # noqa: B023
+                parts, j = [], i
+                while j >= 0:
+                    parts.append(places[j])
+                    j = before[j]
+                first, last = parts[-1][0], parts[0][0] + parts[0][2]
+                if any(first < b and a < last for a, b in taken):
+                    continue
+                taken.append((first, last))
+                keyed = all(any(at <= a and b <= at + length for _, at, length in parts) for a, b in self.keys[number])
+                yield number, covered[i], first, last, keyed
+
+    def spans(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
+        """(label, first, last+1 word, coverage) of the candidates that win the competition for the text, in text order."""
+        found = [c for c in self.chains(matches) if c[4] and c[1] >= self.coverage * len(self.sequences[c[0]])]
+        won: list[tuple[str, int, int, float]] = []
+        for number, covered, first, last, _ in sorted(found, key=lambda c: (-c[1], c[3] - c[2] - c[1], self.labels[c[0]], c[0], c[2])):
+            if all(2 * (min(last, b) - max(first, a)) < last - first for _, a, b, _ in won):
+                won.append((self.labels[number], first, last, min(1.0, covered / len(self.sequences[number]))))
+        return sorted(won, key=lambda x: (x[1], x[2], x[0]))
 
     def rows(self, found: words.Words) -> list[tuple]:
         """(n_words, n_base, first_word, last_word, base_labels, labels, score, spans) of each text."""
@@ -210,29 +322,35 @@ class Scanner:
                 continue
             base = here["base"]
             base_labels = {label for label, _ in base}
-            best = self.chains(here["matches"])
-            spans = sorted({(self.labels[k], a, b, share) for k, (share, a, b) in best.items() if share >= self.coverage})
+            spans = self.spans(here["matches"])
             labels = base_labels | {x[0] for x in spans}
-            score = 1.0 if base else max((x[0] for x in best.values()), default=0.0)
+            score = 1.0 if base else max((x[3] for x in spans), default=0.0)
             starts = [s for _, s in base]
             out.append((n, len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, ";".join(f"{x}:{a}-{b}" for x, a, b, _ in spans)))
         return out
 
 
+@functools.lru_cache(maxsize=4)
+def scanner(*parameters) -> Scanner:  # noqa: ANN002
+    """One automaton per worker process and set of parameters."""
+    return Scanner(*parameters)
+
+
 _FIELDS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans string"
 
 
 def scan_licences(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES, min_match: int = MIN_MATCH, max_gap: int = MAX_GAP, coverage: float = COVERAGE) -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans (label:first-end)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast((base, templates, min_match, max_gap, coverage))
+    stage.small_batches(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast((tuple(base), tuple(templates), min_match, max_gap, coverage))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(*sent.value)
+        scan = scanner(*sent.value)
         types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.string()]
         for batch in batches:
             for part in words.slices(batch):
-                columns = zip(*scanner.rows(words.scan(part.column("text"), words.ALNUM)), strict=True)
+                columns = zip(*scan.rows(words.scan(part.column("text"), words.ALNUM)), strict=True)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["doc_id", *(f.split()[0] for f in _FIELDS.split(", "))])
 
     return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, {_FIELDS}")
