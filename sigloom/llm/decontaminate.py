@@ -11,9 +11,10 @@ repeated result rows; an empty benchmark hits nothing; other columns are carried
 by ``decontaminate`` and ignored by ``scan_documents``. A null item id counts as
 an item and is written as an empty string.
 
-The broadcast is bounded: benchmarks of more than ``max_windows`` windows are
-split by hash into blocks within the bound, and documents are scanned once per
-block, with the hits so far written in between.
+The broadcast is bounded: items are cut into pieces of overlapping words, and benchmarks of
+more than ``max_windows`` windows are dealt by hash to blocks of about that many. Windows travel
+as arrays of hashes and of places in the pieces' text, about 30 bytes and the text for each.
+With several blocks each finds its hits by row, and these alone meet at the end.
 """
 
 from __future__ import annotations
@@ -36,72 +37,82 @@ _MAP_BITS = 22
 
 
 class WindowSet:
-    """Windows by length: sorted hashes with a bit map before them, and the items of each window."""
+    """Windows by length: sorted hashes with a bit map before them, the item of each and where its words stand."""
 
     def __init__(self, rows: list[tuple[str, str]], size: int):
-        self.items: dict[bytes, set[str]] = defaultdict(set)
-        hashes: dict[int, list[np.ndarray]] = defaultdict(list)
-        for item, text in rows:
-            found = words.scan(pa.array([text]), words.ALNUM)
-            n = len(found.hash)
-            if not n:
-                continue
-            k = min(size, n)
+        found = words.scan(pa.array([text for _, text in rows], pa.string()), words.ALNUM)
+        self.items = [item for item, _ in rows]
+        self.data, self.start, self.end = found.data, found.start, found.end
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        n = np.diff(found.first)
+        for k in sorted({min(size, x) for x in n.tolist() if x}):
             h, at = found.windows(k)
-            hashes[k].append(h)
-            for a in at.tolist():
-                self.items[found.text(a, a + k)].add(item)
-        self.sorted = {k: np.unique(np.concatenate(v)) for k, v in hashes.items()}
-        self.maps = {}
-        for k, v in self.sorted.items():
-            self.maps[k] = np.zeros(1 << _MAP_BITS, bool)
-            self.maps[k][v >> np.uint64(64 - _MAP_BITS)] = True
+            owner = np.searchsorted(found.first, at, side="right") - 1
+            mine = np.minimum(n[owner], size) == k
+            h, at, owner = h[mine], at[mine], owner[mine].astype(np.int32)
+            order = np.lexsort((owner, h))
+            h, at, owner = h[order], at[order], owner[order]
+            seen = np.zeros(1 << _MAP_BITS, bool)
+            seen[h >> np.uint64(64 - _MAP_BITS)] = True
+            self.known[k] = h, at, owner, seen
+
+    def _words(self, a: int, b: int) -> bytes:
+        return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.start[a:b], self.end[a:b], strict=True))
 
     def hits(self, found: words.Words) -> tuple[np.ndarray, dict[int, set[str]]]:
         """Which words are hit, and the items that occur in each text."""
         n = len(found.hash)
         edges = np.zeros(n + 1, np.int32)
         items: dict[int, set[str]] = defaultdict(set)
-        for k, known in self.sorted.items():
+        for k, (known, places, owner, seen) in self.known.items():
             h, at = found.windows(k)
-            maybe = np.flatnonzero(self.maps[k][h >> np.uint64(64 - _MAP_BITS)])
-            maybe = maybe[np.isin(h[maybe], known)]
-            docs = np.searchsorted(found.first, at[maybe], side="right") - 1
-            for a, doc in zip(at[maybe].tolist(), docs.tolist(), strict=True):
-                if got := self.items.get(found.text(a, a + k)):
+            maybe = np.flatnonzero(seen[h >> np.uint64(64 - _MAP_BITS)])
+            lo, hi = (np.searchsorted(known, h[maybe], side) for side in ("left", "right"))
+            some = np.flatnonzero(lo < hi)
+            at, lo, hi = at[maybe[some]], lo[some], hi[some]
+            docs = np.searchsorted(found.first, at, side="right") - 1
+            for a, doc, x, y in zip(at.tolist(), docs.tolist(), lo.tolist(), hi.tolist(), strict=True):
+                text = found.text(a, a + k)
+                got = {self.items[owner[j]] for j in range(x, y) if self._words(places[j], places[j] + k) == text}
+                if got:
                     items[doc] |= got
                     edges[a] += 1
                     edges[a + k] -= 1
         return np.cumsum(edges[:-1]) > 0, items
 
 
-def _blocks(benchmark: DataFrame, size: int, max_windows: int) -> Iterator[WindowSet]:
-    """Window sets of at most about ``max_windows`` windows each."""
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    count = rows.agg(F.coalesce(F.sum(F.regexp_count(F.lower("text"), F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(count) // max_windows))
-    for b in range(blocks):
-        part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        yield WindowSet([(r.item, r.text) for r in part.collect()], size)
-
-
-def _mapped(df: DataFrame, windows: WindowSet, make: Callable[[pa.RecordBatch, words.Words, np.ndarray, dict[int, set[str]]], pa.RecordBatch], schema: T.StructType) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(windows)
+def _pieces(benchmark: DataFrame, size: int, most: int) -> DataFrame:
+    """(item, piece, windows): the words of the items, in pieces of at most ``most`` windows; every window is in one piece."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in words.slices(batch):
                 found = words.scan(part.column("text"), words.ALNUM)
-                hit, items = sent.value.hits(found)
-                if prior := [i for i, name in enumerate(part.schema.names) if name == "_hit"]:
-                    for doc, (spans, names) in enumerate(zip(part.column(prior[0]).to_pylist(), part.column("_items").to_pylist(), strict=True)):
-                        at = int(found.first[doc])
-                        for a, b in zip(spans[::2], spans[1::2], strict=True):
-                            hit[at + a : at + b] = True
-                        items[doc] |= set(names)
-                yield make(part, found, hit, items)
+                items, pieces, windows = [], [], []
+                for item, a, b in zip(part.column("item").to_pylist(), found.first.tolist(), found.first[1:].tolist(), strict=False):
+                    for first in range(a, max(a + 1, b - size + 1), most):
+                        last = min(b, first + most + size - 1)
+                        if last > first:
+                            items.append(item)
+                            pieces.append(found.text(first, last).decode())
+                            windows.append(max(1, last - first - size + 1))
+                yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(pieces, pa.string()), pa.array(windows, pa.int64())], names=["item", "piece", "windows"])
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(cut, "item string, piece string, windows long")
+
+
+def _blocks(benchmark: DataFrame, size: int, max_windows: int) -> Iterator[WindowSet]:
+    """Window sets of about ``max_windows`` windows at most, one at a time."""
+    pieces = stage.written(_pieces(benchmark, size, max(1, max_windows // 8)).distinct(), "pieces")
+    count = pieces.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0]
+    blocks = max(1, -(-int(count) // max_windows))
+    for b in range(blocks):
+        part = pieces if blocks == 1 else pieces.where(F.pmod(F.xxhash64("item", "piece"), F.lit(blocks)) == b)
+        yield WindowSet([(r.item, r.piece) for r in part.select("item", "piece").collect()], size)  # about max_windows windows
+
 
-    return df.mapInArrow(run, schema)
+Make = Callable[[pa.RecordBatch, words.Words, np.ndarray, dict[int, set[str]]], pa.RecordBatch]
 
 
 def _runs(hit: np.ndarray) -> np.ndarray:
@@ -109,22 +120,58 @@ def _runs(hit: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
 
 
-def _carry(part: pa.RecordBatch, found: words.Words, hit: np.ndarray, items: dict[int, set[str]]) -> pa.RecordBatch:
-    spans = [_runs(hit[a:b]).tolist() for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
-    names = [sorted(items.get(i, ())) for i in range(part.num_rows)]
-    keep = [c for c in part.schema.names if c not in ("_hit", "_items")]
-    return pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(spans, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], names=[*keep, "_hit", "_items"])
+def _scanned(docs: DataFrame, windows: WindowSet, text: str, make: Make, schema: T.StructType) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(windows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch, text):
+                found = words.scan(part.column(text), words.ALNUM)
+                yield make(part, found, *sent.value.hits(found))
+
+    return docs.mapInArrow(run, schema)
 
 
-def _through(docs: DataFrame, benchmark: DataFrame, size: int, max_windows: int, make: Callable, schema: T.StructType) -> DataFrame:
-    """``make`` after the last block; hits of earlier blocks travel in written columns."""
+def _through(docs: DataFrame, benchmark: DataFrame, size: int, max_windows: int, make: Make, schema: T.StructType) -> DataFrame:
+    """``make`` of all rows with the hits of all blocks. Its batches have the columns of ``docs`` first."""
+    stage.small_batches(docs.sparkSession)
+    text, row, spans, items = stage.fresh(docs.columns, "_text", "_row", "_spans", "_items")
+    cast = docs.withColumn(text, F.col("text").cast("string"))
     blocks = _blocks(benchmark, size, max_windows)
-    windows = next(blocks)
-    for following in blocks:
-        carried = T.StructType([*(f for f in docs.schema if f.name not in ("_hit", "_items")), T.StructField("_hit", T.ArrayType(T.LongType())), T.StructField("_items", T.ArrayType(T.StringType()))])
-        docs = stage.written(_mapped(docs, windows, _carry, carried), "decontaminate")
-        windows = following
-    return _mapped(docs, windows, make, schema)
+    windows, following = next(blocks), next(blocks, None)
+    if following is None:
+        return _scanned(cast, windows, text, make, schema)
+
+    def hits(part: pa.RecordBatch, found: words.Words, hit: np.ndarray, names: dict[int, set[str]]) -> pa.RecordBatch:
+        some = sorted(names)
+        runs = [_runs(hit[found.first[i] : found.first[i + 1]]).tolist() for i in some]
+        return pa.RecordBatch.from_arrays([part.column(row).take(pa.array(some, pa.int64())), pa.array(runs, pa.list_(pa.int64())), pa.array([sorted(names[i]) for i in some], pa.list_(pa.string()))], names=[row, spans, items])
+
+    keyed = stage.written(cast.withColumn(row, F.monotonically_increasing_id()), "decontaminate")
+    found_type = T.StructType([T.StructField(row, T.LongType()), T.StructField(spans, T.ArrayType(T.LongType())), T.StructField(items, T.ArrayType(T.StringType()))])
+    tables = []
+    while windows is not None:
+        tables.append(stage.written(_scanned(keyed.select(row, text), windows, text, hits, found_type), "hits"))
+        windows, following = following, next(blocks, None)
+    every = tables[0]
+    for more in tables[1:]:
+        every = every.unionByName(more)
+    per_row = every.groupBy(row).agg(F.flatten(F.collect_list(spans)).alias(spans), F.array_distinct(F.flatten(F.collect_list(items))).alias(items))  # a row's hits, one list per block
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch, text):
+                found = words.scan(part.column(text), words.ALNUM)
+                hit = np.zeros(len(found.hash), bool)
+                names = {}
+                for i, (runs, own) in enumerate(zip(part.column(spans).to_pylist(), part.column(items).to_pylist(), strict=True)):
+                    for a, b in zip((runs or [])[::2], (runs or [])[1::2], strict=True):
+                        hit[found.first[i] + a : found.first[i] + b] = True
+                    if own:
+                        names[i] = set(own)
+                yield make(part, found, hit, names)
+
+    return keyed.join(per_row, row, "left").select(*(F.col(f"`{c}`") for c in [*docs.columns, text, spans, items])).mapInArrow(merged, schema)
 
 
 def _report(part: pa.RecordBatch, found: words.Words, hit: np.ndarray, items: dict[int, set[str]]) -> pa.RecordBatch:
@@ -165,9 +212,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
     if action not in ("documents", "spans"):
         raise ValueError(f"action must be documents or spans, not {action!r}")
 
+    keep = docs.columns
+
     def make(part: pa.RecordBatch, found: words.Words, hit: np.ndarray, items: dict[int, set[str]]) -> pa.RecordBatch:
-        keep = [c for c in part.schema.names if c not in ("_hit", "_items")]
-        part = part.select(keep)
+        part = part.select(list(range(len(keep))))
         sums = np.concatenate(([0], np.cumsum(hit)))
         n_hit = sums[found.first[1:]] - sums[found.first[:-1]]
         if action == "documents":
