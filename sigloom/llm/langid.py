@@ -8,8 +8,8 @@ kept context are worked out once, and a text is scored by table lookups over the
 text. The language with the shortest code wins; ties go to the smaller name.
 
 Training reads a bounded sample of every language: the ``SAMPLE_DOCS`` documents with the
-smallest hash of their id, fewer once they have ``SAMPLE_CHARS`` characters; whole texts, in
-lower case. A context is kept if it occurs ``MIN_COUNT`` times in the sample of some language;
+smallest hash of their id, fewer once they have ``SAMPLE_CHARS`` characters, in lower case; a text of
+more than that counts with its first ``SAMPLE_CHARS``. A context is kept if it occurs ``MIN_COUNT`` times in the sample of some language;
 otherwise its longest kept suffix takes its place. All languages have the same contexts; their
 code lengths are worked out, sent and looked up in blocks of languages, which change no result.
 
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import words
+from . import stage, words
 
 ORDER = 3
 SAMPLE_DOCS, SAMPLE_CHARS = 200, 2_000_000
@@ -38,17 +38,22 @@ BLOCK_LANGUAGES, BLOCK_BYTES = 32, 64_000_000  # of one block; one language at l
 MIN_COUNT = 3
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
-_PAD = b"\n" * ORDER
 
 
 def _bytes(text: str) -> bytes:
     return text.lower().encode("utf-8", "replace")
 
 
+def _pad(order: int) -> bytes:
+    """What stands before a text."""
+    return b"\n" * order
+
+
 @dataclass
 class Model:
     """Code lengths in bits: ``cost[state * symbols + symbol]`` has one column per language."""
 
+    order: int
     languages: list[str]
     symbol: np.ndarray  # byte -> symbol; the last symbol stands for bytes that no sample has
     symbols: int
@@ -57,16 +62,17 @@ class Model:
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text under each language."""
-        data = np.frombuffer(_PAD + _PAD.join(texts), np.uint8)
+        order, pad = self.order, _pad(self.order)
+        data = np.frombuffer(pad + pad.join(texts), np.uint8)
         sym = self.symbol[data]
-        n = len(sym) - ORDER
-        code = np.zeros(n, np.int32)
-        for back in range(ORDER, 0, -1):
+        n = len(sym) - order
+        code = np.zeros(n, np.int64 if self.symbols**order > 2**31 else np.int32)
+        for back in range(order, 0, -1):
             code *= self.symbols
-            code += sym[ORDER - back : ORDER - back + n]
-        at = self.state[code].astype(np.int64) * self.symbols + sym[ORDER:]
+            code += sym[order - back : order - back + n]
+        at = self.state[code].astype(np.int64) * self.symbols + sym[order:]
         lengths = np.array([len(t) for t in texts], np.int64)
-        starts = np.concatenate(([0], np.cumsum(lengths + ORDER)))[:-1]
+        starts = np.concatenate(([0], np.cumsum(lengths + order)))[:-1]
         bits = np.zeros((len(texts), len(self.languages)))
         some = np.flatnonzero(lengths)
         if len(some):
@@ -88,7 +94,8 @@ def blocks(samples: dict[str, list[str]], order: int = ORDER, min_count: int = M
     languages = sorted(samples)
     if not languages:
         return
-    data = {name: np.frombuffer(_PAD + _PAD.join(map(_bytes, samples[name])) + _PAD, np.uint8) for name in languages}
+    pad = _pad(order)
+    data = {name: np.frombuffer(pad + pad.join(map(_bytes, samples[name])) + pad, np.uint8) for name in languages}
     seen = np.flatnonzero(np.sum([np.bincount(d, minlength=256) for d in data.values()], axis=0))
     symbol = np.full(256, len(seen), np.uint8)
     symbol[seen] = np.arange(len(seen))
@@ -152,7 +159,7 @@ def blocks(samples: dict[str, list[str]], order: int = ORDER, min_count: int = M
         cost = np.empty((first[-1], s, len(names)), np.float32)
         for j, name in enumerate(names):
             cost[:, :, j] = column(name)
-        yield Model(names, symbol, s, state, cost.reshape(-1, len(names)))
+        yield Model(order, names, symbol, s, state, cost.reshape(-1, len(names)))
 
 
 def held_out():  # noqa: ANN201
@@ -164,6 +171,7 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE
     learn = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     learn = learn.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
     order = Window.partitionBy("lang").orderBy("h")
+    learn = learn.withColumn("text", F.substring("text", 1, chars))  # one text doesn't exceed the bound either
     ranked = learn.select("lang", "h", F.length("text").alias("size")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
     within = ranked.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")).where(F.col("before") < chars)
     limits = within.groupBy("lang").agg(F.max("h").alias("most"))  # a row per language
@@ -176,6 +184,7 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE
 
 def predict(docs: DataFrame, models: Iterable[Model]) -> DataFrame:
     """Per row: doc_id, lang_pred, score (the winner's posterior under equal priors); ``models``: blocks of languages, in order."""
+    stage.small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     languages, sent = [], []
     for model in models:  # one at a time in the driver
@@ -207,6 +216,6 @@ def predict(docs: DataFrame, models: Iterable[Model]) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double")
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row, learned from the rows that aren't held out."""
-    return predict(docs, blocks(sample(docs))).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+def identify(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for every row, learned from the rows that aren't held out; ``order``: bytes of the longest context."""
+    return predict(docs, blocks(sample(docs), order)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
