@@ -7,10 +7,13 @@ is cut where the total budget, the words of all documents, is used up. A source
 whose target exceeds its size goes through its documents again, three times at most.
 
 Running totals are kept distributed. Within a source the hash order is divided into
-``BUCKETS`` ranges of the hash: totals per range give each range its offset, and the
-window inside one range stays small even for a source with a third of all rows. The
-cut is found with two histograms of the finish time (4,097 rows each at most, whatever
-the input), and a window over the one narrow bin where the budget runs out.
+ranges of the hash, so many that one has about ``BUCKET_ROWS`` rows if all are of one source:
+totals per range give each range its offset, and the window inside one range stays small
+whatever the input and its sources. ``mix`` range-sorts the copies; ``taken`` needs only the
+place of the cut in that order, which is where the running total of the sorted copies passes
+the budget: two histograms of the finish time (4,097 rows each at most, whatever the input)
+and a window over the one narrow bin where the budget runs out find the same place. The weights
+go round the sources in one window over a row per source, fit for millions of sources.
 
 Targets: the sources in code point order, null last, weigh 5, 2, 1, repeating, and
 share the total; no target exceeds 3 times its source's size, the excess is shared
@@ -32,21 +35,27 @@ from . import stage
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-BUCKETS = 1024
+BUCKET_ROWS = 100_000
 WORD = "[^\\x20\\x09-\\x0D]+"
+_KEY_BITS = 60
 _COARSE, _FINE, _LAST = 1024, 4096, 4096
 
 
-def _sized(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Size, place in the hash order and its bucket; ``carry`` are the other columns to keep."""
-    key = F.shiftrightunsigned(F.xxhash64("doc_id", "text", "source"), 1)
-    sized = docs.select(*carry, F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_size"), key.alias("_key"))
-    return sized.withColumn("_bucket", F.shiftright("_key", 53).cast("int"))
+def _sized(docs: DataFrame, carry: list[Column]) -> DataFrame:
+    """Size and place in the hash order, a number of ``_KEY_BITS`` bits; ``carry`` are the other columns to keep."""
+    whole = F.concat_ws("\n", *(F.coalesce(c, F.lit("")) for c in (F.col("doc_id").cast("string"), F.col("source").cast("string"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))))
+    key = F.conv(F.substring(F.md5(whole), 1, _KEY_BITS // 4), 16, 10).cast("long")
+    return docs.select(*carry, F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_size"), key.alias("_key"))
 
 
-def _totals(sized: DataFrame) -> DataFrame:
+def _bucket(bits: int) -> Column:
+    """The range of the hash, of 2 ** bits."""
+    return F.shiftright("_key", _KEY_BITS - bits).cast("int")
+
+
+def _totals(sized: DataFrame, bits: int) -> DataFrame:
     """Words before each bucket of each source."""
-    per = sized.groupBy("_source", "_bucket").agg(F.sum("_size").alias("words"))
+    per = sized.groupBy("_source", _bucket(bits).alias("_bucket")).agg(F.sum("_size").alias("words"))
     w = Window.partitionBy("_source").orderBy("_bucket")
     return per.select("_source", "_bucket", "words", (F.sum("words").over(w) - F.col("words")).alias("before"))
 
@@ -69,8 +78,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     )
 
 
-def _timed(sized: DataFrame, totals: DataFrame, goals: DataFrame) -> DataFrame:
+def _timed(sized: DataFrame, totals: DataFrame, goals: DataFrame, bits: int) -> DataFrame:
     """``sized`` with source_size, target and the source's words up to and including the row."""
+    sized = sized.withColumn("_bucket", _bucket(bits))
     t = totals.select(F.col("_source").alias("s1"), F.col("_bucket").alias("b1"), "before")
     g = goals.select(F.col("_source").alias("s2"), "source_size", "target")
     w = Window.partitionBy("_source", "_bucket").orderBy("_key", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -122,26 +132,27 @@ def _copies(cut: tuple, id_type: str, repeats: int) -> Column:
     return sum((F.when((F.col("target") > 0) & (F.col("_size") > 0) & inside(e), 1).otherwise(0) for e in range(repeats)), F.lit(0))
 
 
-def _plan(docs: DataFrame, weights: tuple[int, ...], repeats: int) -> tuple[DataFrame, DataFrame, DataFrame, tuple]:
+def _plan(docs: DataFrame, weights: tuple[int, ...], repeats: int) -> tuple[DataFrame, DataFrame, DataFrame, int, tuple]:
     sized = stage.written(_sized(docs, []), "mix-sizes")
-    totals = stage.written(_totals(sized), "mix-totals")
+    bits = min(24, max(10, (sized.count() // BUCKET_ROWS).bit_length()))
+    totals = stage.written(_totals(sized, bits), "mix-totals")
     goals = stage.written(targets(totals.groupBy("_source").agg(F.sum("words").alias("source_size")), weights, repeats), "mix-targets")
-    timed = stage.written(_timed(sized, totals, goals), "mix-times")
+    timed = stage.written(_timed(sized, totals, goals, bits), "mix-times")
     budget = goals.agg(F.sum("source_size")).first()[0] or 0
-    return totals, goals, timed, _cut(timed, int(budget), repeats)
+    return totals, goals, timed, bits, _cut(timed, int(budget), repeats)
 
 
 def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken (words, repeats counted), copies."""
-    _, _, timed, cut = _plan(docs, weights, repeats)
+    _, _, timed, _, cut = _plan(docs, weights, repeats)
     n = _copies(cut, dict(docs.dtypes)["doc_id"], repeats)
     return timed.withColumn("copies", n).select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("copies")).cast("long").alias("taken"), "copies")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
     """The mix itself: the columns of ``docs``, a row per copy, range-sorted by virtual finish time."""
-    totals, goals, _, cut = _plan(docs, weights, repeats)
-    rows = _timed(_sized(docs, [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")]), totals, goals)
+    totals, goals, _, bits, cut = _plan(docs, weights, repeats)
+    rows = _timed(_sized(docs, [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")]), totals, goals, bits)
     rows = rows.withColumn("_n", _copies(cut, dict(docs.dtypes)["doc_id"], repeats)).where("_n > 0")
     copies = rows.select("_row", "_key", F.col("source_size"), "target", "_cum", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_copy"))
     timed = copies.select("_row", "_key", "_copy", _finish(F.col("_copy")).alias("_at"))
