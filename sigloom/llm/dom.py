@@ -12,11 +12,12 @@ import html as entities
 import re
 from dataclasses import dataclass, field
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>?",
-    re.S,
+_REST = (
+    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>?"
 )
+_TOKEN = re.compile(r"<!\[CDATA\[.*?\]\]>|" + _REST, re.S)
+_LATE_TOKEN = re.compile(_REST, re.S)  # behind the last end of a CDATA section, where none can be
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = frozenset("script style noscript template iframe object svg head title textarea select option canvas audio video datalist".split())
@@ -67,6 +68,7 @@ def parse(source: str) -> list[Node]:
     """Nodes in page order; node 0 is the root, runs of text have the tag ``#text``."""
     nodes = [Node("#root", -1, 0)]
     stack = [0]  # open blocks
+    count: dict[str, int] = {}  # of them by tag
     pieces: list[str] = []
     state = {"links": 0, "chars": 0, "tags": 0}
     hidden: list[str] = []  # open hidden elements, and the blocks inside
@@ -84,9 +86,13 @@ def parse(source: str) -> list[Node]:
     def close(depth: int) -> None:
         """Closes open blocks down to a stack of ``depth``."""
         flush()
+        for i in stack[depth:]:
+            count[nodes[i].tag] -= 1
         del stack[depth:]
 
     def opened(tags: set[str] | frozenset[str], bar: set[str] | frozenset[str]) -> int | None:
+        if not any(count.get(tag) for tag in tags):  # the common case, without a walk up a deep page
+            return None
         for i in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[i]].tag
             if tag in tags:
@@ -96,8 +102,9 @@ def parse(source: str) -> list[Node]:
         return None
 
     at = 0
+    last_section = source.rfind("]]>")
     while True:
-        m = _TOKEN.search(source, at)
+        m = (_TOKEN if at <= last_section else _LATE_TOKEN).search(source, at)
         end = m.start() if m else len(source)
         if hidden == ["head"] and source[at:end].strip():
             hidden.clear()
@@ -164,5 +171,6 @@ def parse(source: str) -> list[Node]:
         nodes.append(Node(tag, parent, len(stack), _attribute_words(m[3] or m[5] or "")))
         if not (m[3] or "").endswith("/"):
             stack.append(len(nodes) - 1)
+            count[tag] = count.get(tag, 0) + 1
     flush()
     return nodes

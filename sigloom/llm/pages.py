@@ -4,9 +4,10 @@ Every block element and run of text is a node. Its features are its own and its
 ancestors' attribute words by kind, its tag and its parent's, depth, place among its
 siblings, and the amount and density of text, links and punctuation in its subtree. The
 trees give the odds that the subtree holds main text, given that the parent's does.
-Decoding takes the most likely labelling of the whole tree, in which nothing below a
-dropped node is kept, by dynamic programming from the leaves up, so an ancestor and a
-descendant cannot contradict each other. The kept runs of text, white space collapsed, are joined by one space in page order.
+Decoding goes down from the root: a node is kept if its odds are even or better and its
+parent is kept, so an ancestor and a descendant cannot contradict each other. (The single
+most likely labelling of the whole tree drops long articles: the small doubts about a thousand
+paragraphs add up to more than the one about their parent.) The kept runs of text, white space collapsed, are joined by one space in page order.
 
 No table holds labelled pages, so the trees are trained here on pages that ``training_page``
 makes up from layouts of the common kinds, with invented words; their number is a parameter.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import dom, words
+from . import dom, stage, words
 from .trees import Boosted
 
 TRAINING_PAGES = 600
@@ -117,21 +118,14 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
 
 
 def decode(nodes: list[dom.Node], odds: np.ndarray) -> list[bool]:
-    """The most likely labelling of the tree.
+    """Which nodes are kept: those with even odds or better whose parent is kept.
 
-    ``odds`` are the log odds that a node is kept if its parent is. Below a dropped node
-    everything is dropped, at no further cost, so a labelling's probability is the product
-    over the nodes whose parent is kept.
+    ``odds`` are the log odds that a node is kept if its parent is. Every decision is made once, at the
+    highest node it concerns, from the features of the whole subtree; what is below follows or is judged in turn.
     """
-    n = len(nodes)
-    drop = (-np.logaddexp(0, odds)).tolist()  # log probability
-    keep = (-np.logaddexp(0, -odds)).tolist()  # the same, plus the best of everything below
-    for i in range(n - 1, 0, -1):
-        keep[nodes[i].parent] += max(keep[i], drop[i])
-    kept = [False] * n
-    kept[0] = True
-    for i in range(1, n):
-        kept[i] = kept[nodes[i].parent] and keep[i] >= drop[i]
+    kept = [True, *(odds[1:] >= 0).tolist()]
+    for i in range(1, len(nodes)):
+        kept[i] &= kept[nodes[i].parent]
     return kept
 
 
@@ -245,6 +239,7 @@ def trained(n_pages: int = TRAINING_PAGES, seed: int = 11) -> Boosted:
 def extract(pages: DataFrame, n_pages: int = TRAINING_PAGES) -> DataFrame:
     """Per row: page_id, url, text (empty if none), n_chars."""
     taken = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
+    stage.small_batches(pages.sparkSession)
     sent = pages.sparkSession.sparkContext.broadcast(trained(n_pages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
