@@ -26,6 +26,8 @@ _LOOSE = frozenset("option canvas audio video datalist svg".split())
 #: what can stand in a head, which any other tag or text ends
 _HEAD = frozenset("html head title base link meta style script noscript noframes template".split())
 _RAW = frozenset("script style textarea title iframe noscript noframes xmp".split())
+#: Tags that end an open svg, as the HTML standard lists them
+_BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = (
     "html body article main section div nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -72,6 +74,7 @@ def parse(source: str) -> list[Node]:
     pieces: list[str] = []
     state = {"links": 0, "chars": 0, "tags": 0}
     hidden: list[str] = []  # open hidden elements, and the blocks inside
+    foreign: list[str] = []  # svg elements around an open foreignObject, whose text is shown
 
     def flush() -> None:
         if pieces:
@@ -119,6 +122,9 @@ def parse(source: str) -> list[Node]:
         closing = m[1]
         if closing:
             tag = closing.lower()
+            if tag == "foreignobject" and foreign:
+                hidden.append(foreign.pop())
+                continue
             if tag in hidden:
                 while hidden.pop() != tag:
                     pass
@@ -139,6 +145,12 @@ def parse(source: str) -> list[Node]:
             continue
         if hidden == ["head"] and tag not in _HEAD:
             hidden.clear()
+        if hidden and hidden[-1] == "svg":
+            if tag in _BREAKOUT:
+                hidden.pop()
+            elif tag == "foreignobject" and not (m[3] or m[5] or "").endswith("/"):
+                foreign.append(hidden.pop())
+                continue
         if "select" in hidden and tag in ("select", "input", "textarea"):
             del hidden[hidden.index("select") :]
             if tag == "select":

@@ -230,6 +230,25 @@ def test_passages_with_few_cuts(documents, sentences):
     assert {r.doc_id for r in passages.find(documents(texts)).collect()} == want and 80 < len(want) < 120
 
 
+def test_passages_of_a_table(spark, sf):
+    """Every document with a repeated window is found, and every span found is of words that another document has too."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in rows.collect()]
+    found = passages.find(rows).collect()
+    want = repeated(texts)
+    assert {r.doc_id for r in found} >= want and len({r.doc_id for r in found} - want) <= len(want) // 100
+    w = {i: (t or "").lower().split() for i, t in texts}
+    grams = defaultdict(set)
+    for i, own in w.items():
+        for a in range(len(own) - 3):
+            grams[tuple(own[a : a + 4])].add(i)
+    for r in found:
+        span = w[r.doc_id][r.word_start : r.word_end]
+        assert len(span) == r.n_words >= 50 and r.n_removed == sum(b - a for a, b in zip(r.removed[::2], r.removed[1::2], strict=True))
+        assert sum(len(grams[tuple(span[a : a + 4])]) > 1 for a in range(len(span) - 3)) >= 0.95 * (len(span) - 3)
+        assert (r.n_removed > 0) == (r.first_doc_id < r.doc_id) or r.n_removed == 0
+
+
 def plain_components(texts, k, num, den):
     sets = {}
     for i, t in texts:
@@ -333,6 +352,11 @@ def test_hidden_elements_end():
     assert text("<html><head><title>no</title><meta charset=x><template>no</template>\n<p>one") == "one"
     assert text("<head><link rel=x>one <b>two") == "one two"
     assert text("<head><style>no</style></head><body>one<video>no</video> two") == "one two"
+    assert text("<article><svg><p>one</article>two") == "one two"
+    assert text("<body><svg>no<div>one</div>") == "one"
+    assert text("<svg><title>no</title><g><text>no</text></g></svg>one") == "one"
+    assert text("<svg>no<foreignObject><p>one</p></foreignObject>no</svg>two") == "one two"
+    assert text("<p>a<svg><path d=x /><text>no</text></svg>b") == "ab"
     assert text("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then") == "if x=1 then"
 
 
