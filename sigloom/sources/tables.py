@@ -28,17 +28,25 @@ def append_once(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def append_new(rows: DataFrame, path: str, key: str) -> None:
+def append_new(rows: DataFrame, path: str, key: str, batch_id: int | None = None) -> None:
     """Appends the rows whose key the table doesn't hold yet.
 
-    Reads the keys of the whole table, so this is for tables of events and alerts. Signals, which are many,
-    are kept apart by the first-seen state and written by ``append_once``.
+    With ``batch_id`` they go to a folder of their own, which is replaced if the batch comes again: what a
+    broken attempt left there is neither kept nor taken for held. Reads the keys of the whole table, so this is for
+    tables of events and alerts; signals, which are many, are kept apart by the first-seen state and
+    written by ``append_once``.
     """
     spark = rows.sparkSession
     rows = rows.dropDuplicates([key])
     if exists(spark, path):
-        rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
-    rows.write.mode("append").parquet(path)
+        held = spark.read.parquet(path)
+        if batch_id is not None:
+            held = held.where(F.col("batch") != batch_id)
+        rows = rows.join(held.select(key), key, "left_anti")
+    if batch_id is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
 def append_version(rows: DataFrame, path: str, version: int) -> None:

@@ -160,3 +160,13 @@ def test_tables(spark, tmp_path):
     tables.append_new(rows, path, "id")
     tables.append_new(rows.unionByName(spark.createDataFrame([("c",), ("c",)], "id string")), path, "id")
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
+
+
+def test_broken_append_is_repeated(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id string")
+    tables.append_new(rows("a"), path, "id", batch_id=0)
+    rows("b").write.parquet(f"{path}/batch=1")  # half of a batch, from an attempt that broke off
+    for _ in range(2):
+        tables.append_new(rows("a", "b", "c", "c"), path, "id", batch_id=1)
+        assert sorted((r.id, r.batch) for r in spark.read.parquet(path).collect()) == [("a", 0), ("b", 1), ("c", 1)]
