@@ -109,19 +109,27 @@ class Encoder:
         self.slot_key = np.zeros(1 << _SLOT_BITS, np.uint64)
         self.slot_at = np.zeros(1 << _SLOT_BITS, np.int32)
 
-    def _learn(self, token: bytes) -> int:
-        ids = [x.id for x in self.model.tokenize(token.decode("latin-1").translate(self.alphabet))]
+    def _learn(self, raw: bytes, starts: list[int], ends: list[int]) -> int:
+        """Keeps the ids of some pre-tokens, one after the other; where the first of them is kept."""
+        tokenize, alphabet = self.model.tokenize, self.alphabet
+        ids: list[int] = []
+        lengths = []
+        for a, b in zip(starts, ends, strict=True):
+            found = [x.id for x in tokenize(raw[a:b].decode("latin-1").translate(alphabet))]
+            ids += found
+            lengths.append(len(found))
+        first, n = self.count, len(lengths)
+        if first + n > len(self.offset):
+            more = np.zeros(max(len(self.offset), n), np.int64)
+            self.offset, self.length = np.concatenate((self.offset, more)), np.concatenate((self.length, more.astype(np.int32)))
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)))
         self.flat[self.used : self.used + len(ids)] = ids
-        at = self.count
-        self.count += 1
-        if at == len(self.offset):
-            self.offset = np.concatenate((self.offset, np.zeros_like(self.offset)))
-            self.length = np.concatenate((self.length, np.zeros_like(self.length)))
-        self.offset[at], self.length[at] = self.used, len(ids)
+        self.length[first : first + n] = lengths
+        self.offset[first : first + n] = self.used + np.cumsum(lengths) - lengths
+        self.count += n
         self.used += len(ids)
-        return at
+        return first
 
     def _indices(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where the ids of each pre-token are kept."""
@@ -132,9 +140,8 @@ class Encoder:
         missing = np.flatnonzero(self.slot_key[slot] != hashes)
         if len(missing):
             distinct, first, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            raw = data.tobytes()
             where = missing[first]
-            found = np.array([self._learn(raw[a:b]) for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)], np.int32)
+            found = self._learn(data.tobytes(), starts[where].tolist(), ends[where].tolist()) + np.arange(len(where), dtype=np.int32)
             at[missing] = found[which]
             slots = distinct >> np.uint64(64 - _SLOT_BITS)
             self.slot_key[slots], self.slot_at[slots] = distinct, found
