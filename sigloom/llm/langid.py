@@ -36,6 +36,7 @@ ORDER = 3
 SAMPLE_DOCS, SAMPLE_CHARS = 200, 2_000_000
 BLOCK_LANGUAGES, BLOCK_BYTES = 32, 64_000_000  # of one block; one language at least
 MIN_COUNT = 3
+MOST_CODES = 1 << 25  # of contexts, 4 bytes each; any text's bytes fit for 3 bytes, an alphabet's for 4
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -100,6 +101,8 @@ def blocks(samples: dict[str, list[str]], order: int = ORDER, min_count: int = M
     symbol = np.full(256, len(seen), np.uint8)
     symbol[seen] = np.arange(len(seen))
     s = len(seen) + 1
+    if s**order > MOST_CODES:
+        raise ValueError(f"contexts of {order} bytes need a table of {s}**{order} codes; at most {MOST_CODES} are looked up directly")
 
     def grams(name: str, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Contexts of k symbols and what follows; a context's code is that of its symbols, oldest first."""

@@ -227,6 +227,25 @@ def test_code_lengths_by_hand(order):
     assert len(symbols) + 1 == model.symbols
 
 
+def test_scripts(documents):
+    """Languages of one script, of which a character is two or three bytes."""
+    import random
+
+    def text(letters, seed):
+        rng = random.Random(seed)
+        words = ["".join(random.Random(f"{letters[0]} {i}").choices(letters, k=3)) for i in range(30)]
+        return " ".join(rng.choice(words) for _ in range(40))
+
+    han, kana, greek = [[chr(c) for c in range(a, a + 60)] for a in (0x4E00, 0x3041, 0x3B1)]
+    scripts = {"h1": han[:45], "h2": han[15:], "k1": kana[:45], "k2": kana[15:], "g1": greek[:20], "g2": greek[10:24]}
+    langs = [name for name in scripts for _ in range(25)]
+    docs = documents([text(scripts[name], i) for i, name in enumerate(langs)], langs=langs)
+    rows = langid.identify(docs).where("held_out").collect()
+    assert len(rows) > 20 and sum(r.lang_pred == langs[r.doc_id] for r in rows) >= 0.95 * len(rows)
+    with pytest.raises(ValueError, match="codes"):
+        langid.train({"a": ["".join(chr(c) for c in range(0x20, 0x2000))]}, order=6)
+
+
 def test_language_ties(documents):
     """Languages with equal samples give equal code lengths; the smaller name wins."""
     docs = documents(["same words here " * 4] * 60, langs=["zz", "aa"] * 30)
