@@ -133,13 +133,16 @@ def _copies(cut: tuple, id_type: str, repeats: int) -> Column:
 
 
 def _plan(docs: DataFrame, weights: tuple[int, ...], repeats: int) -> tuple[DataFrame, DataFrame, DataFrame, int, tuple]:
+    mark = stage.tables_made()
     sized = stage.written(_sized(docs, []), "mix-sizes")
     bits = min(24, max(10, (sized.count() // BUCKET_ROWS).bit_length()))
     totals = stage.written(_totals(sized, bits), "mix-totals")
     goals = stage.written(targets(totals.groupBy("_source").agg(F.sum("words").alias("source_size")), weights, repeats), "mix-targets")
     timed = stage.written(_timed(sized, totals, goals, bits), "mix-times")
     budget = goals.agg(F.sum("source_size")).first()[0] or 0
-    return totals, goals, timed, bits, _cut(timed, int(budget), repeats)
+    cut = _cut(timed, int(budget), repeats)
+    stage.discard_since(mark, totals, goals, timed)
+    return totals, goals, timed, bits, cut
 
 
 def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
@@ -151,7 +154,8 @@ def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MA
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
     """The mix itself: the columns of ``docs``, a row per copy, range-sorted by virtual finish time."""
-    totals, goals, _, bits, cut = _plan(docs, weights, repeats)
+    totals, goals, timed, bits, cut = _plan(docs, weights, repeats)
+    stage.discard(timed)
     rows = _timed(_sized(docs, [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")]), totals, goals, bits)
     rows = rows.withColumn("_n", _copies(cut, dict(docs.dtypes)["doc_id"], repeats)).where("_n > 0")
     copies = rows.select("_row", "_key", F.col("source_size"), "target", "_cum", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_copy"))

@@ -159,9 +159,10 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     spark = docs.sparkSession
     doc_type = dict(docs.dtypes)["doc_id"]
+    mark = stage.tables_made()
     rows = _based(docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text")))
     chunks = stage.written(rows.mapInArrow(_chunks, f"digest long, doc_id {doc_type}, place long"), "chunks")
-    grouped = _among_repeated(chunks, "digest").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id", "digest"))).alias("places"))
+    grouped = _among_repeated(chunks, "digest")[0].groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id", "digest"))).alias("places"))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +178,8 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     stage.release(spark)
     sure = found.where("size(digests) = 0").drop("digests")
     doubtful = stage.written(found.select(F.explode("digests").alias("digest")).distinct(), "doubtful")
-    exact = _windows(rows, maybe_in(chunks, doubtful, "digest").join(doubtful, "digest").select("doc_id", "place"), doc_type, min_words)
+    exact, tables = _windows(rows, maybe_in(chunks, doubtful, "digest").join(doubtful, "digest").select("doc_id", "place"), doc_type, min_words)
+    stage.discard_since(mark, found, *tables)
     merged = sure.unionByName(exact).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_start", "word_end", "first_doc_id", "removed"))).alias("spans"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,11 +230,11 @@ def _based(rows: DataFrame, doc: str = "doc_id", text: str = "text", base: str =
     return placed.withColumn(base, F.coalesce(start, F.lit(0).cast("long"))).drop(own, part_of, start)
 
 
-def _among_repeated(rows: DataFrame, key: str) -> DataFrame:
-    """The written ``rows`` whose ``key`` two or more doc_ids have, with first_doc_id, the smallest of them."""
+def _among_repeated(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The written ``rows`` whose ``key`` two or more doc_ids have, with first_doc_id, the smallest of them; and the table of these keys."""
     found = rows.groupBy(key).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), F.count("*").alias("times")).where("first_doc_id <> last")
     repeated = stage.written(found.select(key, "first_doc_id", "times"), "repeated")
-    return split_join(rows, repeated, key, "times", rows.count(), F.xxhash64("doc_id"))
+    return split_join(rows, repeated, key, "times", rows.count(), F.xxhash64("doc_id")), repeated
 
 
 def _window_rows(h: np.ndarray, at: np.ndarray, found: words.Words, part: pa.RecordBatch) -> pa.RecordBatch:
@@ -241,8 +243,8 @@ def _window_rows(h: np.ndarray, at: np.ndarray, found: words.Words, part: pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(place)], names=["window", "doc_id", "at"])
 
 
-def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> DataFrame:
-    """The passages around ``spots`` (doc_id, place) and those with few cuts, by the exact ``size``-word windows that two documents share."""
+def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+    """The passages around ``spots`` (doc_id, place) and those with few cuts, by the exact ``size``-word windows that two documents share; and the tables they are read from."""
     wanted = stage.written(spots.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "spots")
     texts = maybe_in(rows, wanted, "doc_id").join(wanted, "doc_id")
 
@@ -277,7 +279,8 @@ def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> Dat
 
     schema = f"window long, doc_id {doc_type}, at long"
     emitted = stage.written(texts.mapInArrow(windows, schema).unionByName(rows.mapInArrow(uncut, schema)), "windows")
-    grouped = _among_repeated(emitted, "window").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "first_doc_id"))).alias("at"))
+    shared, repeated = _among_repeated(emitted, "window")
+    grouped = shared.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "first_doc_id"))).alias("at"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +292,7 @@ def _windows(rows: DataFrame, spots: DataFrame, doc_type: str, size: int) -> Dat
                     out.append((doc, min(w["first_doc_id"] for w in own), a, b, _union([(w["at"], w["at"] + size) for w in own if w["first_doc_id"] != doc])))
             yield _batch(out, _types(batch), _NAMES)
 
-    return grouped.mapInArrow(spans, _ddl(doc_type))
+    return grouped.mapInArrow(spans, _ddl(doc_type)), (emitted, repeated)
 
 
 def remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

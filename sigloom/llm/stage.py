@@ -37,8 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def small_batches(spark: SparkSession) -> None:
     """Lowers the session's limit of bytes in an Arrow batch, so that workers hold a few MB at a time."""
-    have = spark.conf.get(_BATCH_SETTING).rstrip("bB")
-    if not have.isdigit() or int(have) > BATCH_BYTES:
+    have = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_SETTING))
+    if have <= 0 or have > BATCH_BYTES:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
@@ -87,6 +87,18 @@ def discard(*tables: DataFrame) -> None:
         _made.pop(path, None)
 
 
+def tables_made() -> set[str]:
+    """A mark for ``discard_since``."""
+    return set(_made)
+
+
+def discard_since(mark: set[str], *keep: DataFrame) -> None:
+    """Deletes the tables written since the mark but for those in ``keep``: the steps behind a result that is written itself."""
+    kept = mark | {table._written_at for table in keep}
+    for path in [p for p in _made if p not in kept]:
+        drop(_made.pop(path), path)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

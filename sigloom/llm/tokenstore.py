@@ -151,6 +151,7 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_I
     placed = ranged.withColumn("upto", F.sum(F.col("n").cast("long")).over(inside)).join(F.broadcast(offsets), "part")
     manifest = placed.select("doc_id", (F.col("before") + F.col("upto") - F.col("n")).alias("start"), F.col("n").cast("long").alias("n_tokens"), "data", "root")
     manifest.write.option("compression", "zstd").parquet(f"{path}/manifest")
+    stage.discard(ranged)
 
 
 def _batch(columns: list[pa.Array]) -> pa.RecordBatch:
@@ -266,4 +267,5 @@ def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
     spark = docs.sparkSession
     path = stage.new_path(spark, "tokens")
     write_store(docs, vocabulary, path)
+    stage.release(spark)
     return documents(spark, path, width(Tokenizer.from_file(vocabulary).get_vocab_size()))

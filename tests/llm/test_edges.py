@@ -2,6 +2,7 @@
 
 import oracle
 import pytest
+from pyspark.sql import functions as F
 
 from sigloom.llm import catalog, chat, decontaminate, jaccard, langid, licences, mix, pages, passages, pipeline, quality, semijoin, stage, tokenstore
 
@@ -152,6 +153,27 @@ def test_shared_folder_of_a_cluster(spark, monkeypatch):
         stage.shared_dir(Session)
 
 
+def test_batches_are_lowered_only(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for given, want in (("64m", str(stage.BATCH_BYTES)), ("1m", "1m"), ("500000", "500000")):
+            spark.conf.set(setting, given)
+            stage.small_batches(spark)
+            assert spark.conf.get(setting).rstrip("b") in (want, str(1 << 20) if want == "1m" else want)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_steps_are_deleted_when_they_are_read(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "some words of a text that is here " * 12 + str(i // 2)) for i in range(40)], "doc_id long, text string").withColumn("source", F.lit("a"))
+    for made, most in ((lambda: jaccard.deduplicate(docs), 2), (lambda: mix.taken(docs), 3), (lambda: passages.find(docs), 3)):
+        mark = stage.tables_made()
+        result = made()
+        assert len(stage.tables_made() - mark) <= most
+        result.collect()  # nothing that it reads is gone
+
+
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_sql(spark, sf, name):
     oracle.same(catalog.queries()[name](spark, sf), oracle.connect(sf), catalog.oracle_sql()[name])
