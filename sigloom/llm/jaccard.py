@@ -45,6 +45,7 @@ from .semijoin import maybe_in, split_join
 SMALL = 16
 SKETCH_BITS, _BLOCK_BITS = 22, 16
 MOST_MATCHES = 4
+FEW_IDS = 500_000
 ROUNDS = 8
 #: Jaccard distance up to which a class belongs to its pivot's family: 3 / 5.
 _FAMILY = (3, 5)
@@ -169,7 +170,8 @@ def _postings(docs: DataFrame, ranks: np.ndarray, k: int, num: int, den: int) ->
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(cls, tokens) of the classes in ``wanted`` (cls), from one document of each."""
     ids = stage.written(classes.join(wanted, "cls", "left_semi").select(F.col("least").alias("doc_id"), F.col("cls").alias("want")), "wanted")
-    chosen = maybe_in(docs, ids, "doc_id").join(ids, "doc_id")
+    few = ids.count() <= FEW_IDS  # 16 bytes each; then texts needn't be moved
+    chosen = docs.join(F.broadcast(ids), "doc_id") if few else maybe_in(docs, ids, "doc_id").join(ids, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,14 +265,16 @@ def _family_links(stars: DataFrame, num: int, den: int) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long")
 
 
-def _crowds(members: DataFrame) -> DataFrame:
-    """``members`` (token, cls, n, matches) of tokens with more than SMALL, with the pivot: the class most often in crowds."""
-    crowd = members.groupBy("token").agg(F.count("*").alias("crowd")).where(F.col("crowd") > SMALL)
-    crowded = members.join(crowd.select("token"), "token")
+def _crowds(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` (token, cls, n, matches) of tokens with at most SMALL, and those of the others with the pivot: the class most often in crowds."""
+    total = members.count()
+    crowd = stage.written(members.groupBy("token").agg(F.count("*").alias("crowd")).where(F.col("crowd") > SMALL), "crowd")
+    crowded = stage.written(split_join(members, crowd, "token", "crowd", total, F.xxhash64("cls")), "crowded")
     often = crowded.groupBy("cls").agg(F.count("*").alias("often"))
     ranked = crowded.join(often, "cls")
-    pivots = ranked.groupBy("token").agg(F.max(F.struct("often", "cls")).alias("top")).select("token", F.col("top.cls").alias("pivot"))
-    return crowded.join(pivots, "token")
+    pivots = stage.written(ranked.groupBy("token").agg(F.max(F.struct("often", "cls")).alias("top"), F.count("*").alias("rows")).select("token", F.col("top.cls").alias("pivot"), "rows"), "pivots")
+    quiet = stage.written(members.join(crowd.select("token"), "token", "left_anti"), "quiet")
+    return quiet, stage.written(split_join(crowded, pivots, "token", "rows", total, F.xxhash64("cls")), "crowds")
 
 
 def _pairs_within(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -284,17 +288,20 @@ def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: i
     """(a, b) classes that link; all links but some between classes that others connect already."""
     spark = docs.sparkSession
     postings = stage.written(_postings(docs, ranks, k, num, den), "postings")
-    buckets = postings.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("last")).where("least <> last").select("token")
-    members = stage.written(postings.join(buckets, "token").dropDuplicates(["token", "cls"]), "shared")
-    stage.discard(postings)
+    buckets = stage.written(postings.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("last"), F.count("*").alias("rows")).where("least <> last").select("token", "rows"), "buckets")
+    members = stage.written(split_join(postings, buckets, "token", "rows", postings.count(), F.xxhash64("cls")).dropDuplicates(["token", "cls"]), "shared")
+    stage.discard(postings, buckets)
     stage.release(spark)
     ends = lambda p: p.select(F.col("x").alias("cls")).unionByName(p.select(F.col("y").alias("cls")))
     reached = lambda v: v.where(f"{den} * shared >= {num} * both").select(F.col("x").alias("a"), F.col("y").alias("b"))
     found: list[DataFrame] = []
     direct: list[DataFrame] = []
     for _ in range(ROUNDS):
-        crowded = stage.written(_crowds(members), "crowds")
-        direct.append(_pairs_within(members.join(crowded.select("token").distinct(), "token", "left_anti"), num, den))
+        if direct and not members.limit(1).count():
+            members = None
+            break
+        quiet, crowded = _crowds(members)
+        direct.append(_pairs_within(quiet, num, den))
         others = crowded.where("cls <> pivot")
         stars = stage.written(others.select(F.col("pivot").alias("x"), F.col("cls").alias("y")).distinct(), "stars")
         if not stars.limit(1).count():
@@ -331,6 +338,7 @@ def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: i
 
 def _rooted(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Per row: doc_id, n, cls, component_id, and rep, the smallest class of the component that has a row of that doc_id; the last two are null without a class."""
+    mark = stage.tables_made()
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = stage.written(_sets(docs, k), "sets")
     ranks = _ranks(rows)
@@ -338,9 +346,11 @@ def _rooted(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     classes = stage.written(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "classes")
     found = graph.connected(links(docs, classes, ranks, k, num, den))
     stage.release(docs.sparkSession)
-    rooted = classes.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    smallest = rooted.groupBy("component").agg(F.min(F.struct("least", "cls")).alias("first"))
-    by_class = stage.written(rooted.join(smallest, "component").select("cls", "rows", F.col("first.least").alias("component_id"), F.col("first.cls").alias("rep")), "classes")
+    rooted = stage.written(classes.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls")), "rooted")
+    smallest = stage.written(rooted.groupBy("component").agg(F.min(F.struct("least", "cls")).alias("first"), F.count("*").alias("classes")), "smallest")
+    dealt = split_join(rooted, smallest, "component", "classes", rooted.count(), F.xxhash64("cls"))
+    by_class = stage.written(dealt.select("cls", "rows", F.col("first.least").alias("component_id"), F.col("first.cls").alias("rep")), "by-class")
+    stage.discard_since(mark, rows, by_class)
     total = by_class.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     placed = split_join(sets.where("cls is not null"), by_class, "cls", "rows", total, F.xxhash64("doc_id")).select("doc_id", "n", "cls", "component_id", "rep")
     alone = sets.where("cls is null").select("doc_id", "n", "cls", F.lit(None).cast(sets.schema["doc_id"].dataType).alias("component_id"), F.lit(None).cast("long").alias("rep"))
@@ -372,9 +382,11 @@ def deduplicate(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     """
     doc, own_class, clash, own = stage.fresh(docs.columns, "_kept", "_class", "_clash", "_own")
     named = docs.where("doc_id is not null")
+    mark = stage.tables_made()
     found = stage.written(_rooted(docs, k, num, den).where("doc_id is not null"), "rooted")
     kept = stage.written(found.where("cls is null or doc_id = component_id and cls = rep").select(F.col("doc_id").alias(doc), F.col("cls").alias(own_class)).distinct(), "kept")
     clashing = stage.written(found.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias(clash)), "clashing")
+    stage.discard_since(mark, kept, clashing)
     out = named.join(kept, F.col("doc_id") == F.col(doc), "left_semi")
     if clashing.limit(1).count():
         twice = _with_class(named.join(clashing, F.col("doc_id") == F.col(clash), "left_semi"), k, own)
