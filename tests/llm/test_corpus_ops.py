@@ -290,6 +290,21 @@ def test_jaccard_join(documents, sentences, monkeypatch, small, rounds):
     assert got == plain_components(list(enumerate(texts)), 4, 85, 100)
 
 
+def test_copies_of_edited_copies(documents, sentences):
+    """Families within a family."""
+    rng = random.Random(12)
+    base = sentences(700, 150)
+    texts = []
+    for _ in range(4):
+        w = base.split()
+        at = rng.randrange(100)
+        w[at : at + 30] = sentences(rng.randrange(10**6), 30).split()  # too far from the others to link
+        texts += [edited(rng, " ".join(w), rng.randint(0, 4)) for _ in range(30)]
+    rng.shuffle(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(documents(texts), k=4, num=85, den=100).collect()}
+    assert got == plain_components(list(enumerate(texts)), 4, 85, 100) and len({c for _, c in got.values()}) >= 4
+
+
 def test_jaccard_edges(documents, sentences):
     t = sentences(1, 40)
     rows = jaccard.components(documents([t, t, None, t], ids=[5, 5, 6, None])).collect()
