@@ -1,5 +1,5 @@
 """Training-data operators: formatting, quality, tokens, mixing, language, decontamination,
-page text, similarity join, repeated passages and licences.
+page text, similarity join, repeated passages, licences, snapshots, likelihood and spelling.
 
 Nothing outside this folder imports it; ``sigloom.llm.catalog`` registers its queries.
 """

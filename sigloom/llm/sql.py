@@ -107,7 +107,41 @@ with words as materialized (
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_base, first_at as first_word, last_at as last_word, coalesce(labels, '') as base_labels from words left join per using (doc_id)
 """
 
+def crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of a text of characters up to U+00FF, bit by bit over its UTF-8 bytes."""
+    utf8 = f"flatten(list_transform(string_split({text}, ''), lambda ch: case when ord(ch) < 128 then [ord(ch)::bigint] else [(192 + ord(ch) // 64)::bigint, (128 + ord(ch) % 64)::bigint] end))"
+    byte = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {utf8}), lambda c, b: {byte}), 4294967295::bigint)"
+
+
+_ROW_SHA = "sha256(coalesce({0}.text, '~') || chr(10) || coalesce({0}.lang, '~') || chr(10) || coalesce({0}.source, '~'))"
+_CHANGED = "concat_ws(',', case when e.text is distinct from l.text then 'text' end, case when e.lang is distinct from l.lang then 'lang' end, case when e.source is distinct from l.source then 'source' end)"
+
+#: Row numbers per text, and full joins.
+SNAPSHOTS = rf"""
+with turned as (
+  select *, {crc32("cast(doc_id as varchar)")} % 16 as turn from documents
+), later as (
+  select unnest(case when turn = 0 then [] when turn in (3, 4) then [-1 - doc_id] when turn = 5 then [doc_id, -1 - doc_id] else [doc_id] end) as doc_id,
+         case when turn = 1 then coalesce(text, '') || '+' else text end as text, case when turn = 2 then source else lang end as lang,
+         case when turn = 4 then null when turn = 2 then lang else source end as source
+  from turned
+), kept as (
+  select l.doc_id as key, e.doc_id as old_key, {_CHANGED} as changed, {_ROW_SHA.format('l')} as row_sha256 from documents e join later l on e.doc_id = l.doc_id
+), gone as (
+  select *, row_number() over (partition by text order by doc_id) as i from documents where doc_id not in (select key from kept)
+), come as (
+  select *, row_number() over (partition by text order by doc_id) as i from later where doc_id not in (select key from kept)
+)
+select key, old_key, case when changed = '' then 'same' else 'update' end as op, changed, row_sha256 from kept
+union all
+select coalesce(l.doc_id, e.doc_id), e.doc_id, case when e.doc_id is null then 'insert' when l.doc_id is null then 'delete' else 'rekey' end,
+       case when e.doc_id is null or l.doc_id is null then '' else {_CHANGED} end, case when l.doc_id is not null then {_ROW_SHA.format('l')} end
+from gone e full join come l on e.text is not distinct from l.text and e.i = l.i
+"""
+
 ORACLES = {
+    "op11_snapshot_diff": SNAPSHOTS,
     "op4_mix_sources": MIX,
     "op6_decontaminate": DECONTAMINATE,
     "op8_ngram_jaccard": JACCARD,

@@ -1,0 +1,119 @@
+"""The snapshot difference against plain Python."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from sigloom.llm import snapshots
+
+DDL = "doc_id long, text string, lang string, source string, _g int, _rank int, _side int, key int, op int"
+
+
+def md5(x):
+    return hashlib.md5(b"-" if x is None else f"+{x}".encode()).digest()
+
+
+def brute(earlier, later):
+    """(key, old_key, op, changed, text, lang, source) of rows (doc_id, text, lang, source)."""
+    out, left = [], ([], [])
+    sides = [defaultdict(list), defaultdict(list)]
+    for side, rows in enumerate((earlier, later)):
+        for r in rows:
+            sides[side][r[0]].append(r)
+        for rs in sides[side].values():
+            rs.sort(key=lambda r: tuple(map(md5, r[1:])))
+    differing = lambda e, r: ",".join(c for c, a, b in zip(snapshots.COLUMNS, e[1:], r[1:], strict=True) if a != b)
+    for k in {*sides[0], *sides[1]}:
+        a, b = sides[0][k], sides[1][k]
+        out += [(r[0], e[0], "update" if differing(e, r) else "same", differing(e, r), *r[1:]) for e, r in zip(a, b, strict=False)]
+        left[0].extend(a[len(b) :])
+        left[1].extend(b[len(a) :])
+    order = lambda r: (r[0] is not None, r[0] or 0, tuple(map(md5, r[1:])))
+    for text in {r[1] for r in left[0] + left[1]}:
+        a, b = (sorted((r for r in rows if r[1] == text), key=order) for rows in left)
+        out += [(r[0], e[0], "rekey", differing(e, r), *r[1:]) for e, r in zip(a, b, strict=False)]
+        out += [(e[0], e[0], "delete", "", None, None, None) for e in a[len(b) :]] + [(r[0], None, "insert", "", *r[1:]) for r in b[len(a) :]]
+    return sorted(out, key=repr)
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows], DDL)
+
+
+def compared(spark, earlier, later):
+    found = snapshots.compare(table(spark, earlier), table(spark, later), carry={c: F.col(c) for c in snapshots.COLUMNS})
+    assert found.columns == ["key", "old_key", "op", "changed", *snapshots.COLUMNS]
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+@pytest.fixture
+def tiny_partitions(spark):
+    """So many partitions that a hot key or content fills several."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "13")
+    spark.conf.set(names[1], "false")
+    yield
+    for n, v in zip(names, before, strict=True):
+        spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_plain_python(spark, tiny_partitions, seed):
+    """Hot texts, hot keys, null keys and texts, repeated rows, on either side."""
+    rng = random.Random(seed)
+    text = lambda: rng.choice(["hot", "hot", None, "", f"t{rng.randint(0, 60)}"])
+    rows = lambda n, low: [(rng.choice([None, 7, 7, *[rng.randint(low, low + 2 * n)] * 6]), text(), rng.choice("ab"), rng.choice(["s", None])) for _ in range(n)]
+    earlier, later = rows(300, 0), rows(340, 250)
+    later += rng.sample(earlier, 100)
+    assert compared(spark, earlier, later) == brute(earlier, later)
+
+
+def test_ranks_of_one_group_over_many_partitions(spark, tiny_partitions):
+    rows = spark.range(4000).selectExpr("unhex(md5(cast(if(id % 3 = 0, id, -1) as string))) as _g", "cast(id % 2 as int) as _side", "id * 7919 % 4001 as k")
+    got = snapshots.ranked(rows, ["k"], "ranks")
+    by = defaultdict(list)
+    for r in got.collect():
+        by[bytes(r._g), r._side].append((r.k, r._rank))
+    assert all([i for _, i in sorted(v)] == list(range(len(v))) for v in by.values())
+    assert max(map(len, by.values())) > 1300
+
+
+def test_edges(spark):
+    long = "word " * 1_000_000
+    some = [(1, None, None, None), (2, "", "en", "a"), (3, long, "en", "a"), (3, long, "en", "a"), (None, "x", None, None)]
+    moved = [(9, None, None, None), (8, "", "en", "b"), (3, long, "en", "a"), (None, "x", None, None)]
+    assert compared(spark, some, moved) == brute(some, moved)
+    assert compared(spark, some, []) == brute(some, [])
+    assert compared(spark, [], some) == brute([], some)
+    assert compared(spark, [], []) == []
+    assert {r[2] for r in compared(spark, some, some)} == {"same"}
+
+
+def test_other_names_and_kinds(spark):
+    a = spark.createDataFrame([("k1", "x", 1.5), ("k2", "y", 2.5)], "id string, `a body` string, price double")
+    b = spark.createDataFrame([("k1", "x", 1.0), ("k3", "y", 2.5)], "id string, `a body` string, price double")
+    found = snapshots.compare(a, b, key="id", columns=("price",), content="a body")
+    assert sorted(map(tuple, found.collect())) == [("k1", "k1", "update", "price"), ("k3", "k2", "rekey", "")]
+
+
+def test_later_snapshot(spark):
+    rows = [(i, "t" if i % 5 else None, "l", "s") for i in range(400)]
+    want = []
+    for k, *r in rows:
+        turn, r = zlib.crc32(str(k).encode()) % 16, tuple(r)
+        if turn == 0:
+            continue
+        r = ((r[0] or "") + "+", *r[1:]) if turn == 1 else (r[0], r[2], r[1]) if turn == 2 else (*r[:2], None) if turn == 4 else r
+        want += [(-1 - k if turn in (3, 4) else k, *r)] + [(-1 - k, *r)] * (turn == 5)
+    docs = table(spark, rows)
+    assert sorted(map(tuple, snapshots.later_snapshot(docs).collect())) == sorted(want)
+    sha = lambda r: hashlib.sha256("\n".join("~" if x is None else x for x in r).encode()).hexdigest()
+    got = {(r.key, r.op): r for r in snapshots.differences(docs).collect()}
+    assert all(got[r[0], r[2]].row_sha256 == (None if r[2] == "delete" else sha(r[4:])) for r in brute(rows, want) if (r[0], r[2]) in got)
+    assert len(got) == len(brute(rows, want))
+    assert snapshots.later_snapshot(table(spark, [(None, "a", "b", "c")])).first()[:] == (None, "a", "b", "c")
