@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard, langid, licences, mix, pages, passages, pipeline, quality, snapshots, sql, tokenstore
+from . import chat, decontaminate, jaccard, langid, licences, mix, pages, passages, pipeline, quality, snapshots, spelling, sql, tokenstore
 
 #: The vocabulary file of op3; a parameter of the operator, never copied here.
 VOCABULARY = pipeline.VOCABULARY
@@ -60,6 +60,10 @@ def op11_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.differences(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def base_of_op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op2 that its contract fixes, for SQL."""
     return op2_quality_rules(spark, sf_dir).drop("kept", "posterior")

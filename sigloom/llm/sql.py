@@ -140,8 +140,40 @@ select coalesce(l.doc_id, e.doc_id), e.doc_id, case when e.doc_id is null then '
 from gone e full join come l on e.text is not distinct from l.text and e.i = l.i
 """
 
+#: Near words by the text without one place, at the same place or as a whole word.
+SPELLING = rf"""
+with recursive runs as (
+  select coalesce(cast(doc_id as varchar), '') as id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents) where length(run) >= 7
+), hashed as (
+  select w, {crc32("id || ':' || w")} as h from runs
+), each as (
+  select case when h % 31 = 0 then w[1:h % length(w)] || w[h % length(w) + 2:] else w end as word from hashed
+), words as materialized (
+  select word, count(*) as n from each where length(word) >= 7 group by word having count(*) >= 2
+), cut as materialized (
+  select word, n, i, word[1:i - 1] || word[i + 1:] as rest from words, unnest(range(1, length(word) + 1)) u(i)
+), pairs as (
+  select a.word, a.n, b.word as other, b.n as m from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union
+  select a.word, a.n, b.word, b.n from cut a join words b on a.rest = b.word
+  union
+  select b.word, b.n, a.word, a.n from cut a join words b on a.rest = b.word
+), best as (
+  select word, count(*) as n_near, arg_min(other, (-m, other)) as other, max(m) as m from pairs group by word
+), formed as materialized (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 10 * n then other end as form, case when m >= 10 * n then m end as form_n from words w left join best using (word)
+), steps as (
+  select word, word as here, 0 as step from formed
+  union all
+  select s.word, f.form, step + 1 from steps s join formed f on s.here = f.word where f.form is not null
+)
+select f.*, r.root from formed f join (select word, arg_max(here, step) as root from steps group by word) r using (word)
+"""
+
 ORACLES = {
     "op11_snapshot_diff": SNAPSHOTS,
+    "op13_spelling_variants": SPELLING,
     "op4_mix_sources": MIX,
     "op6_decontaminate": DECONTAMINATE,
     "op8_ngram_jaccard": JACCARD,
