@@ -9,13 +9,13 @@ share one. So ranks don't come from a window per group. All rows are range-sorte
 so that a large group lies in as many partitions as it fills. A partition counts its own runs. Only
 its first run can go on from the partition before, so the prefix sums over partitions need two rows of each
 partition, whatever it holds. Group and exact rank are then a unique key on either side, and the join on them
-has no hot key. Rows travel as 16-byte digests of their columns; nothing but those two rows of a partition
-is ever gathered, and Spark broadcasts the offsets made of them only below its own threshold.
+has no hot key. Rows travel as 16-byte digests of their columns. To the driver goes a sample of fixed size
+(``SAMPLE``), for the bounds of the partitions; the offsets are a table, which Spark broadcasts only below its own threshold.
 
 Defined results: nulls equal only nulls, in keys, contents and columns. Repeated keys: the rows of a key
-are ordered by the digests of their columns on either side and paired in that order; the rest of the longer
-side is left over. Repeated rows are separate rows. Ties between leftovers of one content and key are equal in
-content and are ordered by the digests of their columns. Empty tables give inserts, deletes or nothing; other columns are ignored
+are ordered by the digest of their columns on either side and paired in that order; the rest of the longer
+side is left over. Repeated rows are separate rows. Leftovers of one content and one key are in the order of the same
+digest. Empty tables give inserts, deletes or nothing; other columns are ignored
 but for ``carry``. Equality of digests (md5) stands for equality of values.
 """
 
@@ -35,6 +35,10 @@ from . import stage
 
 COLUMNS = ("text", "lang", "source")
 
+#: Rows that a range sort samples in all, times three: the bounds of its partitions come of them. Beyond so many partitions it is three for each.
+SAMPLE = 2000
+_SAMPLE_SETTING = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+
 
 def digest(value: Column) -> Column:
     """16 bytes that are equal for equal values; null has its own."""
@@ -68,14 +72,18 @@ def ranked(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     spark = rows.sparkSession
     spread = rows.repartitionByRange("_g", "_side", *order).sortWithinPartitions("_g", "_side", *order).withColumn("_part", F.spark_partition_id())
     fields = [*spread.schema.fields, *StructType.fromDDL("_at long, _local long, _first boolean").fields]
-    stage.small_batches(spark)
-    table = stage.written(spread.mapInArrow(_numbered, StructType([StructField(f.name, f.dataType) for f in fields])), name)
+    before = spark.conf.get(_SAMPLE_SETTING)
+    spark.conf.set(_SAMPLE_SETTING, str(max(1, min(int(before), SAMPLE // int(spark.conf.get("spark.sql.shuffle.partitions"))))))
+    try:
+        table = stage.written(spread.mapInArrow(_numbered, StructType([StructField(f.name, f.dataType) for f in fields])), name)
+    finally:
+        spark.conf.set(_SAMPLE_SETTING, before)
     edges = table.groupBy("_part").agg(F.min_by(F.struct("_g", "_side"), "_at").alias("head"), F.max_by(F.struct("_g", "_side", "_local"), "_at").alias("tail"))
     ends = edges.select(F.col("_part").alias("_p"), "head._g", "head._side", F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")).unionByName(
         edges.select(F.col("_part").alias("_p"), "tail._g", "tail._side", F.lit(1).alias("end"), (F.col("tail._local") + 1).alias("n"))
     )
-    before = F.sum("n").over(Window.partitionBy("_g", "_side").orderBy("_p", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offsets = stage.written(ends.withColumn("_offset", before).where("end = 0 and _offset > 0").select("_p", "_offset"), f"{name}-offsets")
+    earlier = F.sum("n").over(Window.partitionBy("_g", "_side").orderBy("_p", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offsets = stage.written(ends.withColumn("_offset", earlier).where("end = 0 and _offset > 0").select("_p", "_offset"), f"{name}-offsets")
     placed = table.join(offsets, (F.col("_part") == F.col("_p")) & F.col("_first"), "left")
     return placed.withColumn("_rank", F.col("_local") + F.coalesce("_offset", F.lit(0))).drop("_part", "_at", "_local", "_first", "_p", "_offset")
 
@@ -103,12 +111,13 @@ def compare(earlier: DataFrame, later: DataFrame, key: str = "doc_id", columns:
         more = [x.alias(n) if side else F.lit(None).cast(f.dataType).alias(n) for n, x, f in zip(kept, carry.values(), kinds, strict=True)]
         return rows.select(digest(F.col(f"`{key}`")).alias("_g"), F.lit(side).alias("_side"), F.col(f"`{key}`").alias("_key"), *(digest(F.col(f"`{c}`")).alias(h) for c, h in hashes.items()), *more)
 
-    every = ["_key", *hashes.values(), *kept]
-    by_key = ranked(narrow(earlier, 0).unionByName(narrow(later, 1)), list(hashes.values()), "snapshot-keys")
+    every = ["_key", *hashes.values(), "_all", *kept]
+    both = narrow(earlier, 0).unionByName(narrow(later, 1)).withColumn("_all", F.unhex(F.md5(F.concat(*hashes.values()))))
+    by_key = ranked(both, ["_all"], "snapshot-keys")
     joined = stage.written(_paired(by_key, every), "snapshot-pairs")
     stage.discard_since(mark, joined)
     left = joined.where("_l is null").select(F.lit(0).alias("_side"), "_e.*").unionByName(joined.where("_e is null").select(F.lit(1).alias("_side"), "_l.*"))
-    by_content = ranked(left.withColumn("_g", F.col(hashes[content])), ["_key", *hashes.values()], "snapshot-contents")
+    by_content = ranked(left.withColumn("_g", F.col(hashes[content])), ["_key", "_all"], "snapshot-contents")
     differs = F.array_join(F.array_compact(F.array(*(F.when(F.col(f"_e.{hashes[c]}") != F.col(f"_l.{hashes[c]}"), F.lit(c)) for c in columns))), ",")
 
     def told(pairs: DataFrame, op: Column) -> DataFrame:

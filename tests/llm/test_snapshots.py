@@ -17,6 +17,10 @@ def md5(x):
     return hashlib.md5(b"-" if x is None else f"+{x}".encode()).digest()
 
 
+def whole(r):
+    return hashlib.md5(b"".join(map(md5, r[1:]))).digest()
+
+
 def brute(earlier, later):
     """(key, old_key, op, changed, text, lang, source) of rows (doc_id, text, lang, source)."""
     out, left = [], ([], [])
@@ -25,14 +29,14 @@ def brute(earlier, later):
         for r in rows:
             sides[side][r[0]].append(r)
         for rs in sides[side].values():
-            rs.sort(key=lambda r: tuple(map(md5, r[1:])))
+            rs.sort(key=whole)
     differing = lambda e, r: ",".join(c for c, a, b in zip(snapshots.COLUMNS, e[1:], r[1:], strict=True) if a != b)
     for k in {*sides[0], *sides[1]}:
         a, b = sides[0][k], sides[1][k]
         out += [(r[0], e[0], "update" if differing(e, r) else "same", differing(e, r), *r[1:]) for e, r in zip(a, b, strict=False)]
         left[0].extend(a[len(b) :])
         left[1].extend(b[len(a) :])
-    order = lambda r: (r[0] is not None, r[0] or 0, tuple(map(md5, r[1:])))
+    order = lambda r: (r[0] is not None, r[0] or 0, whole(r))
     for text in {r[1] for r in left[0] + left[1]}:
         a, b = (sorted((r for r in rows if r[1] == text), key=order) for rows in left)
         out += [(r[0], e[0], "rekey", differing(e, r), *r[1:]) for e, r in zip(a, b, strict=False)]
