@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, licences, mix, pages, passages, pipeline, quality, snapshots, spelling, sql, tokenstore
+from . import chat, decontaminate, jaccard, langid, licences, likelihood, mix, pages, passages, pipeline, quality, snapshots, spelling, sql, tokenstore
 
 #: The vocabulary file of op3; a parameter of the operator, never copied here.
 VOCABULARY = pipeline.VOCABULARY
 
+#: The vocabulary of subwords of op12; a parameter as well.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,6 +65,10 @@ def op11_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.differences(table(spark, sf_dir, "documents"))
 
 
+def op12_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return likelihood.score(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -74,10 +83,15 @@ def base_of_op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_licence_scan(spark, sf_dir).drop("labels", "score", "spans")
 
 
+def base_of_op12_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op12 that its contract fixes, for SQL; the sum of logarithms to 6 places."""
+    return op12_lattice_likelihood(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     found = dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0]))) | {"pipeline": pipeline.run}
-    return found | {f.__name__: f for f in (base_of_op2_quality_rules, base_of_op10_licence_scan)}
+    return found | {f.__name__: f for f in (base_of_op2_quality_rules, base_of_op10_licence_scan, base_of_op12_lattice_likelihood)}
 
 
 def oracle_sql() -> dict[str, str]:

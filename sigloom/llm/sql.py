@@ -171,7 +171,24 @@ with recursive runs as (
 select f.*, r.root from formed f join (select word, arg_max(here, step) as root from steps group by word) r using (word)
 """
 
+LIKELIHOOD_BASE = rf"""
+with docs as (
+  select row_number() over () as row, doc_id, {crc32("cast(doc_id as varchar)")} % 5 = 1 as held_out, list_append(regexp_extract_all({_LOWER}, {_SPACED}), null) as w from documents
+), tokens as (
+  select row, held_out, unnest(w) as token from docs
+), counts as (
+  select token, count(*) as c from tokens where not held_out group by token
+), totals as (
+  select coalesce(sum(c), 0) as n, count(*) as v from counts
+), per as (
+  select row, count(*) as n_tokens, count(c) as n_known, sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))) as base
+  from totals, tokens t left join counts c on t.token is not distinct from c.token group by row
+)
+select doc_id, held_out, n_tokens, n_known, cast(n as bigint) as train_tokens, round(base, 6) as base_score from docs join per using (row), totals
+"""
+
 ORACLES = {
+    "base_of_op12_lattice_likelihood": LIKELIHOOD_BASE,
     "op11_snapshot_diff": SNAPSHOTS,
     "op13_spelling_variants": SPELLING,
     "op4_mix_sources": MIX,
