@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..settings import DEFAULTS
+from . import skew
 
 #: Type code -> words that speak for it; the default lexicon of the rule scorer.
 LEXICON = {
@@ -139,16 +140,38 @@ def apply_updates(events: DataFrame, updates: DataFrame, arrival: list[str]) ->
     return joined, updates.join(events, "event_id", "left_anti")
 
 
-def candidates(signals: DataFrame, events: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
+#: A bucket of level l is 2 ** l hours long; events that stay open for good are on the last one.
+_HOUR, _LAST_LEVEL = 3_600_000_000, 40
+
+
+def _hours(ts: Column) -> Column:
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / _HOUR).cast("long")
+
+
+def candidates(signals: DataFrame, events: DataFrame, keys: list[str], ts: str = "ts", share: int = skew.SHARE, few: int = skew.FEW) -> DataFrame:
     """``signals`` with the columns of every event of the same ``keys`` that began before the signal and was still open.
 
     An event is open up to its validTo, for good if that is null. Signals without such an event have no
-    row; nor has one with a null key.
+    row; nor has one with a null key. An event lies in the time buckets that its validity meets, of the
+    level at which they are as long as it is, so in two or three. A signal looks into its bucket of each level
+    that there is. Rows meet by equality of keys, level and bucket, and the signals of a hot bucket are dealt to many tasks.
     """
-    known = events.withColumnsRenamed({k: f"_{k}" for k in keys})
+    ends = F.coalesce(_hours(F.col("validTo")), F.lit(1 << _LAST_LEVEL).cast("long") - 1)
+    known = events.where(F.col("validFrom").isNotNull() & (F.col("validTo").isNull() | (F.col("validTo") > F.col("validFrom")))).withColumns({"_from": _hours(F.col("validFrom")), "_to": ends})
+    level = F.least(F.ceil(F.log2((F.col("_to") - F.col("_from") + 1).cast("double"))).cast("int"), F.lit(_LAST_LEVEL))
+    width = lambda at: F.pow(F.lit(2.0), at).cast("long")
+    bucket = lambda hour, at: F.floor(hour / width(at)).cast("long")
+    known = known.withColumn("_level", level)
+    known = known.withColumn("_bucket", F.explode(F.sequence(bucket(F.col("_from"), F.col("_level")), bucket(F.col("_to"), F.col("_level"))))).drop("_from", "_to")
+    levels = sorted(r[0] for r in known.select("_level").distinct().collect())  # _LAST_LEVEL + 1 rows at most
+    if not levels:
+        levels = [0]
+    placed = signals.where(F.col(ts).isNotNull()).withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).withColumn("_bucket", bucket(_hours(F.col(ts)), F.col("_level")))
+    on = [*keys, "_level", "_bucket"]
+    found = skew.dealt_join(placed, known, on, skew.hot_keys(placed, on, share, few), F.xxhash64(ts))
     open_then = (F.col("validFrom") < F.col(ts)) & (F.col("validTo").isNull() | (F.col(ts) <= F.col("validTo")))
-    same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    return signals.join(known, [*same, open_then]).drop(*(f"_{k}" for k in keys))
+    rest = [c for c in events.columns if c not in keys]
+    return found.where(open_then).select(*signals.columns, *rest)
 
 
 def assess(events: DataFrame, min_severity: int = DEFAULTS.severity_threshold, min_signals: int = 1) -> DataFrame:

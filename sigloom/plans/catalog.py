@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import prompts, scalar
 from ..operators import events as ev
-from ..operators import geo, ingest
+from ..operators import geo, ingest, model, store
 from ..settings import DEFAULTS
 from ..sources import tables
+from ..streaming import events as stream_events
+from ..streaming import ingest as stream
 from . import signals as S
 from .registry import ORACLES, QUERIES, query, table
 
@@ -367,11 +370,14 @@ _GROUP_SQL = _request_sql("group", {
   select signal_id, sha256({_GROUP_SQL}) as prompt_sha from located left join blocks using (signal_id)""")
 def p13_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Every signal's prompt with its own candidates."""
-    signals, known = _signals_and_events(spark, sf)
+    return _grouping_requests(*_signals_and_events(spark, sf)).select("signal_id", F.sha2("request", 256).alias("prompt_sha"))
+
+
+def _grouping_requests(signals: DataFrame, known: DataFrame) -> DataFrame:
     block = F.struct(F.col("event_id").alias("id"), F.col("type").alias("title"), F.array("type").alias("types"), F.col("location").cast("string").alias("location"), S.stamped("validFrom").alias("validFrom"), S.stamped("validTo").alias("validTo"))
     own = ev.candidates(signals, known, ["type", "location"]).groupBy("signal_id").agg(F.sort_array(F.collect_list(block)).alias("active"))
     text = prompts.group(F.col("type"), F.lit(""), F.col("location").cast("string"), F.array("type"), F.col("severity"), F.col("type"), S.stamped("ts"), F.col("active"))
-    return signals.join(own, "signal_id", "left").select("signal_id", F.sha2(text, 256).alias("prompt_sha"))
+    return signals.join(own, "signal_id", "left").select("signal_id", text.alias("request"))
 
 
 @query("j7_alerts_per_signal", "select 'u' || user_id as event_id, 'draft' as status from events where least(5, 1 + floor(value / 40)) >= 4")
@@ -460,6 +466,92 @@ def w5(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("event_type", "nation", "session").agg(F.count("*").alias("n"))
 
 
+#: the fold of a key's hours, one after the other
+_STORE_SQL = f"""
+  with recursive located as (
+    select event_type as type, c_nationkey as location, ts, 'a' || event_id as signal_id, cast(least(5, 1 + floor(value / 40)) as int) as severity from events join customer on user_id = c_custkey
+  ), hours as (
+    select type, location, cast(epoch_us(ts) // 3600000000 as bigint) as slice, min(epoch_us(ts)) as first_us, max(epoch_us(ts)) as last_us, count(*) as n_signals, max(severity) as max_severity from located group by all
+  ), numbered as materialized (
+    select *, row_number() over (partition by type, location order by slice) as i from hours
+  ), folded as (
+    select type, location, slice, i, slice as began, last_us, 'create_new' as action from numbered where i = 1
+    union all
+    select n.type, n.location, n.slice, n.i, case when n.first_us > f.last_us + 48 * 3600000000 or n.slice >= f.began + 168 then n.slice else f.began end, n.last_us,
+           case when n.first_us > f.last_us + 48 * 3600000000 or n.slice >= f.began + 168 then 'create_new' else 'add_to_existing' end
+    from folded f join numbered n on n.type = f.type and n.location = f.location and n.i = f.i + 1
+  ), decided as materialized (
+    select f.type, f.location, f.slice, f.began, f.action, n.n_signals, n.max_severity, n.first_us, n.last_us from folded f join numbered n using (type, location, i)
+  )"""
+_EVENT_ID_SQL = "sha256('event/' || type || '/' || location || '/' || began)"
+
+
+@query("w5_event_store", _STORE_SQL + f"select {_EVENT_ID_SQL} as event_id, type, location, {S.stamp('make_timestamp(min(first_us))')} as validFrom, {S.stamp('make_timestamp(min(first_us)) + interval 7 days')} as validTo, {S.stamp('make_timestamp(max(last_us))')} as lastSignalCreatedAt, cast(sum(n_signals) as bigint) as n_signals, max(max_severity) as max_severity from decided group by type, location, began")
+def w5_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches of signals through the store of open events as a stream's state, with a restart before each but the first."""
+    rows = S.scored(_located(spark, sf, table(spark, sf, "events"))).select(F.col("event_type").alias("type"), F.col("nation").alias("location"), "ts", "severity", "event_id")
+    folder, out, checkpoint, keys = scratch(spark, "signals"), scratch(spark, "decisions"), scratch(spark, "checkpoint"), ["type", "location"]
+    thirds = rows.agg(F.percentile_approx("event_id", [0.33, 0.66])).first()[0]
+    before = {k: spark.conf.get(k, None) for k in stream.STATE_CONF}
+    for k, v in stream.STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        for i in range(3):
+            rows.where(F.when(F.col("event_id") <= thirds[0], 0).when(F.col("event_id") <= thirds[1], 1).otherwise(2) == i).drop("event_id").write.mode("append").parquet(folder)
+            signals = spark.readStream.schema(rows.drop("event_id").schema).parquet(folder)
+            stream.run_once(stream_events.event_store(signals, keys), out, checkpoint)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    found = store.event_rows(spark.read.parquet(out), keys)
+    return found.select("event_id", *keys, *(S.stamped(c).alias(c) for c in ("validFrom", "validTo", "lastSignalCreatedAt")), "n_signals", "max_severity")
+
+
+@query("w5_event_decisions", _STORE_SQL + "select type, location, slice, began, action, n_signals, max_severity, first_us, last_us from decided")
+def w5_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """What the store decides for each type, place and hour."""
+    return store.decisions(_signals_and_events(spark, sf)[0], ["type", "location"])
+
+
+@query("w5_signal_events", _STORE_SQL + f"select signal_id, {_EVENT_ID_SQL} as event_id from located l join decided d on l.type = d.type and l.location = d.location and cast(epoch_us(ts) // 3600000000 as bigint) = d.slice".replace("'event/' || type || '/' || location", "'event/' || d.type || '/' || d.location"))
+def w5_signals(spark: SparkSession, sf: str) -> DataFrame:
+    """Every signal and the event that the store put it to."""
+    signals, _ = _signals_and_events(spark, sf)
+    keys = ["type", "location"]
+    return store.signal_events(signals, store.decisions(signals, keys), keys).select("signal_id", "event_id")
+
+
+def _grouping_model(request: str) -> str:
+    """Stands in for a model: adds to the first event that the request names, else creates one; some answers are of no use."""
+    given = json.loads(request)["input"]
+    if given["severity"] == 5:
+        return '{"action": "wait"}'
+    if given["events"]:
+        return "```json\n" + json.dumps({"action": "add_to_existing", "event_id": given["events"][0]["id"]}) + "\n```"
+    return json.dumps({"action": "create_new", "title": given["title"] + "!", "types": given["types"].split(", ")})
+
+
+@query("u2_f8_j4_grouping_answers", GROUPED_SQL + f""", chosen as (
+    select l.signal_id, l.ts, l.type, case when severity = 5 then 'reject' when min(p.event_id) is null then 'insert' else 'update' end as route, min(p.event_id) as event_id
+    from located l left join pairs p on l.signal_id = p.signal_id group by l.signal_id, l.ts, l.type, severity)
+  select k.event_id, k.type as title, 1 + count(c.signal_id) as n_signal_ids, {S.stamp('coalesce(arg_max(c.ts, c.signal_id), k.valid_from)')} as last from known k left join chosen c on c.event_id = k.event_id and route = 'update' group by k.event_id, k.type, k.valid_from
+  union all select sha256('event/' || signal_id), type || '!', 1, {S.stamp('ts')} from chosen where route = 'insert'
+  union all select signal_id, 'rejected', 0, null from chosen where route = 'reject'""")
+def u2(spark: SparkSession, sf: str) -> DataFrame:
+    """Each signal's request with its own candidates, a model's answer to it, and the events after all answers."""
+    signals, known = _signals_and_events(spark, sf)
+    requests = _grouping_requests(signals, known)
+    answers = model.answers(requests, lambda: _grouping_model, schemas.GROUPING)
+    events = known.select(
+        "event_id", F.array(F.lit("first")).alias("signalIds"), F.col("type").alias("title"), "validFrom", "validTo", F.col("validFrom").alias("firstSignalCreatedAt"), F.col("validFrom").alias("lastSignalCreatedAt"),
+        F.array("type").alias("types"), F.lit(0.2).alias("rank"),
+    )
+    rows = signals.withColumnRenamed("type", "title").withColumn("disaster_types", F.array("title"))
+    after, rejected = store.apply_grouping(rows, answers, events, ["signal_id"])
+    held = after.select("event_id", "title", F.size("signalIds").cast("long").alias("n_signal_ids"), S.stamped("lastSignalCreatedAt").alias("last"))
+    return held.unionByName(rejected.select(F.col("signal_id").alias("event_id"), F.lit("rejected").alias("title"), F.lit(0).cast("long").alias("n_signal_ids"), F.lit(None).cast("string").alias("last")))
+
+
 @query("w6_memo", "select event_id, cast(least(5, 1 + floor(case when event_id % 4 = 0 then 0 else value end / 40)) as int) as severity from events")
 def w6(spark: SparkSession, sf: str) -> DataFrame:
     """Scores kept from before win; only the other signals are scored."""
