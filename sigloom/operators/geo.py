@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from ..sources import scratch
+from . import quadtree
 
 FEW_PLACES = 10_000
 FINEST = 9
@@ -59,26 +61,36 @@ def start_level(n_places: int) -> int:
     return level
 
 
-def nearest(signals: DataFrame, locations: DataFrame, few: int = FEW_PLACES, level: int | None = None) -> DataFrame:
+def nearest(signals: DataFrame, locations: DataFrame, few: int = FEW_PLACES, level: int | None = None, leaf: int = quadtree.LEAF) -> DataFrame:
     """Adds location_id and distance_km of the nearest location, ties to the smaller id; null without coordinates.
 
-    Signals are joined with the places of their own grid cell and the eight around it, by an equality of
+    Up to ``few`` locations lie in grids that are broadcast, see ``_by_grids``; more of them in a tree with leaves of at most
+    ``leaf``, see ``quadtree``. The result is the same.
+    """
+    places = locations.where("lat between -90 and 90 and lon is not null").select("id", "lat", "lon")
+    n = places.limit(few + 1).count()
+    if n <= few:
+        return _by_grids(signals, places, start_level(n) if level is None else level)
+    rows = scratch.written(signals.withColumn("_sid", F.monotonically_increasing_id()), "signals")
+    points = rows.where("lat is not null and lon is not null and not isnan(lat) and not isnan(lon)")
+    best = quadtree.nearest(points.select("_sid", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")), places, leaf)
+    return rows.join(best, "_sid", "left").withColumns({"location_id": F.col("_best.id"), "distance_km": scalar.arc_km(F.col("_best.d"))}).drop("_best", "_sid")
+
+
+def _by_grids(signals: DataFrame, places: DataFrame, first: int) -> DataFrame:
+    """Signals are joined with the places of their own grid cell and the eight around it, by an equality of
     cells. Where the nearest of these is near enough that no place outside can be nearer, it is the answer.
     The other signals, and only they, go on to a grid with cells four times as wide, and in the end to one
-    whose nine cells are the whole globe. Places of a grid are broadcast if there are at most ``few``.
+    whose nine cells are the whole globe. The grids are broadcast: there are few places.
     """
-    places = locations.where("lat between -90 and 90 and lon is not null").select("id", "lat", "lon")
-    n = places.count()
-    first = start_level(n) if level is None else level
     levels = sorted({0, *range(first, 0, -2)}, reverse=True)
     out = signals.withColumns({"_best": F.lit(None).cast("struct<d: double, id: string>"), "_cos": F.cos(F.radians("lat")), "_open": F.col("lat").isNotNull() & F.col("lon").isNotNull()})
     for at in levels:
         cells = _around(places, at)
         here = _key(*_cell(F.col("lat"), F.col("lon"), at), at)
-        settled = -1 - F.pmod(F.xxhash64("lat", "lon"), F.lit(1 << 20))  # matches no cell, and isn't one key for all
-        out = out.withColumn("_at", F.when(F.col("_open"), here).otherwise(F.coalesce(settled, F.lit(-1))))
+        out = out.withColumn("_at", F.when(F.col("_open"), here).otherwise(F.lit(-1)))  # matches no cell
         found = F.array_min(F.transform("_places", lambda p: F.struct(scalar.haversine(F.col("lat"), F.col("lon"), F.col("_cos"), p["lat"], p["lon"], p["cos"]).alias("d"), p["id"].alias("id"))))
-        out = out.join(F.broadcast(cells) if n <= few else cells, F.col("_at") == F.col("_cell"), "left")
+        out = out.join(F.broadcast(cells), F.col("_at") == F.col("_cell"), "left")
         out = out.withColumn("_best", F.when(F.col("_open"), found).otherwise(F.col("_best"))).drop("_places", "_cell", "_at")
         out = out.withColumn("_open", F.col("_open") & ((F.col("lat") < -90) | (F.col("lat") > 90) | F.col("_best").isNull() | (F.col("_best.d") >= _sure_within(at))))
     return out.withColumns({"location_id": F.col("_best.id"), "distance_km": scalar.arc_km(F.col("_best.d"))}).drop("_best", "_cos", "_open")

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +13,7 @@ from ..operators import events as ev
 from ..operators import geo, ingest, model, store
 from ..settings import DEFAULTS
 from ..sources import tables
+from ..sources.scratch import new_folder as scratch
 from ..streaming import events as stream_events
 from ..streaming import ingest as stream
 from . import signals as S
@@ -28,16 +27,6 @@ def since() -> Column:
     return F.lit(S.SINCE).cast("timestamp_ntz")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one that the session names; a temporary one only for a local session."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.partition("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="sigloom-")
-    return f"{base.rstrip('/')}/sigloom/{name}-{uuid.uuid4().hex}"
-
-
 # --- sources and sinks -----------------------------------------------------------------------
 
 
