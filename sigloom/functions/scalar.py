@@ -8,9 +8,33 @@ from pyspark.sql import functions as F
 EARTH_KM = 6371.0
 
 
+#: The forms of a timestamp, for the engine and for the source reader: calendar or week date, extended or basic, one
+#: separator, a time down to any number of decimals, an offset. ``Z`` stands for ``+00:00`` and is replaced before.
+TIMESTAMP = (
+    r"^([0-9]{4})(?:-([0-9]{2})-([0-9]{2})|([0-9]{2})([0-9]{2})|-W([0-9]{2})(?:-([0-9]))?|W([0-9]{2})([0-9])?)"
+    r"(?:[^0-9](?:([0-9]{2})(?::([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]+))?)?)?|([0-9]{2})([0-9]{2})(?:([0-9]{2})(?:[.,]([0-9]+))?)?)"
+    r"(?:([+-])(?:([0-9]{2})(?::([0-9]{2})(?::([0-9]{2}))?)?|([0-9]{2})([0-9]{2})([0-9]{2})?))?)?$"
+)
+_USUAL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-5][0-9]([.][0-9]{1,6})?[+-][01][0-7]:[0-5][0-9]$"
+
+
 def parse_timestamp(text: Column) -> Column:
-    """ISO-8601 with ``Z`` or an offset -> TIMESTAMP; null if it doesn't parse. Without offset: UTC session zone."""
-    return F.try_to_timestamp(text)
+    """ISO-8601 -> TIMESTAMP; null if it doesn't parse, see ``TIMESTAMP``. Without offset it is in UTC. The usual form is parsed by Spark's own cast."""
+    text = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+    part = lambda *groups: F.coalesce(*(F.nullif(F.regexp_extract(text, TIMESTAMP, g), F.lit("")) for g in groups), F.lit(None).cast("string"))
+    number = lambda *groups: part(*groups).cast("int")
+    year, week, day = number(1), number(6, 8), F.coalesce(number(7, 9), F.lit(1))
+    first = F.make_date(year, F.lit(1), F.lit(4))  # lies in the first week
+    of_week = F.date_add(first, (week - 1) * 7 + day - 1 - F.weekday(first))
+    in_weeks = week.between(1, 53) & day.between(1, 7) & (F.extract(F.lit("YEAROFWEEK"), of_week) == year)
+    month, of_month = (F.when(week.isNull(), number(*g)).when(in_weeks, f(of_week)) for g, f in (((2, 4), F.month), ((3, 5), F.day)))
+    zero = lambda *groups: F.coalesce(number(*groups), F.lit(0))
+    second = F.concat(F.coalesce(part(12, 16), F.lit("0")), F.lit("."), F.substring(F.concat(F.coalesce(part(13, 17), F.lit("")), F.lit("000000")), 1, 6)).cast("decimal(8,6)")
+    local = F.try_make_timestamp(F.when(F.extract(F.lit("YEAROFWEEK"), of_week).isNotNull() & week.isNotNull(), F.year(of_week)).otherwise(year), month, of_month, zero(10, 14), zero(11, 15), F.when(second < 60, second), F.lit("UTC"))
+    offset = zero(19, 22) * 3600 + zero(20, 23) * 60 + zero(21, 24)
+    shift = F.when(part(18) == "-", -offset).otherwise(offset)
+    other = F.when((year > 0) & (offset < 86_400), F.timestamp_micros(F.unix_micros(local) - shift.cast("long") * 1_000_000))
+    return F.when(text.rlike(_USUAL) & ~text.startswith("0000"), F.try_to_timestamp(text)).when(text.rlike(TIMESTAMP), other)
 
 
 def iso_format(ts: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import prompts, scalar
 from ..operators import events as ev
-from ..operators import geo, ingest, model, store
+from ..operators import geo, ingest, model, store, validate
 from ..settings import DEFAULTS
 from ..sources import tables
 from ..sources.scratch import new_folder as scratch
@@ -131,6 +131,29 @@ def _flattened(signals: DataFrame) -> DataFrame:
     return ingest.flatten(good).select(F.col("page").cast("long").alias("page"), F.col("pos").cast("long").alias("pos"), "alertId", "headline")
 
 
+#: doc_id modulo 10 -> a part of the record's JSON, and what is wrong with it
+FAULTS = {
+    0: ('"headline": {"t": 1}', "type headline"), 1: ('"headline": 5', "type headline"), 2: ('"estimatedEventLocation": {"coordinates": ["1.5", "x"]}', "type estimatedEventLocation.coordinates[]"),
+    3: ('"estimatedEventLocation": {"coordinates": ["1.5", 2]}', None), 4: ('"alertId": null', "missing alertId"), 5: ('"linkedAlerts": [{"count": 2.5}]', "type linkedAlerts[].count"), 6: ('"publicPost": "p"', "type publicPost"),
+}
+
+
+@query("p1_x10_record_faults", "with r as (select doc_id // 50 as page, case doc_id % 10 " + " ".join(f"when {k} then '{v or 'good'}'" for k, (_, v) in FAULTS.items()) + " else 'good' end as reason, case when doc_id % 10 = 3 then 1.5 end as lat from documents) select page, reason, count(*) as n, sum(lat) as lat from r group by page, reason")
+def p1_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with faults of each kind in some records: the others are delivered, the faults are counted by reason."""
+    rows = table(spark, sf, "documents").withColumn("page", F.floor(F.col("doc_id") / 50))
+    part = F.lit("")
+    for k, (text, _) in FAULTS.items():
+        part = F.when(F.col("doc_id") % 10 == k, F.lit(", " + text)).otherwise(part)
+    whole = F.to_json(F.struct(F.when(F.col("doc_id") % 10 != 4, F.concat(F.lit("a"), "doc_id")).alias("alertId"), F.lit("2024-01-01T00:00:00Z").alias("alertTimestamp"), F.when(F.col("doc_id") % 10 > 1, F.col("text")).alias("headline")))
+    record = F.concat(F.rtrim(whole, F.lit("}")), part, F.lit("}"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", record.alias("s")))), lambda x: x["s"])
+    pages = rows.groupBy("page").agg(F.concat(F.lit('{"alerts": ['), F.array_join(ordered, ","), F.lit("]}")).alias("body"))
+    good, rejected, _ = validate.records(pages, schemas.page_ddl("alertUrl"))
+    counts = good.select("page", F.lit("good").alias("reason"), scalar.coordinate(F.col("estimatedEventLocation.coordinates"), 0).alias("lat")).unionByName(rejected.select("page", F.explode("reasons").alias("reason"), F.lit(None).cast("double").alias("lat")))
+    return counts.groupBy(F.col("page").cast("long").alias("page"), "reason").agg(F.count("*").alias("n"), F.sum("lat").alias("lat"))
+
+
 _MAPPED_SQL = "select alertId, 'src' as sourceId, alertTimestamp as publishedAt, nullif(href, '') as url, headline as title, nullif(concat_ws(' — ', nullif(sub_title, ''), nullif(sub_text, '')), '') as description, headline as raw_headline, lat, lon from sig"
 
 
@@ -240,6 +263,22 @@ def f1(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.with_timestamp(S.signals(spark, sf)).select("alertId", S.stamped("ts").alias("ts"))
 
 
+_FORMS = ("yyyyMMdd'T'HHmmss'Z'", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss,SSS")
+
+
+@query("x1_timestamp_forms", f"""with t as (select event_id, date_trunc('millisecond', ts) as ts, event_id % 8 as k from events)
+  select event_id, case k when 0 then strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f') when 1 then strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') when 2 then strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S.%f')
+    when 3 then {S.stamp('ts')} when 4 then strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S.%f') when 5 then strftime(date_trunc('second', ts) - interval 5 hours - interval 30 minutes, '%Y-%m-%d %H:%M:%S.%f') when 6 then strftime(date_trunc('day', ts) - interval 12 hours, '%Y-%m-%d %H:%M:%S.%f') end as ts from t""")
+def x1(spark: SparkSession, sf: str) -> DataFrame:
+    """The same instants in basic, shortened, week and offset forms, and one that is none."""
+    k, day = F.col("event_id") % 8, F.expr("extract(dayofweek_iso from ts)")
+    week = F.concat(F.expr("extract(yearofweek from ts)"), F.lit("-W"), F.lpad(F.expr("extract(week from ts)").cast("string"), 2, "0"), F.lit("-"), day)
+    form = F.when(k == 4, week).when(k == 5, F.concat(F.date_format("ts", "yyyyMMdd'T'HHmmss"), F.lit("+0530"))).when(k == 6, F.concat(week, F.lit("T00+12"))).when(k == 7, F.date_format("ts", "yyyy-MM"))
+    for i, java in enumerate(_FORMS):
+        form = F.when(k == i, F.date_format("ts", java)).otherwise(form)
+    return table(spark, sf, "events").select("event_id", S.stamped(scalar.parse_timestamp(form)).alias("ts"))
+
+
 @query("f2_o1_take_while", KEPT_SQL + "select page, pos, alertId from kept")
 def f2(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.take_while(S.delivered(spark, sf), since()).select("page", "pos", "alertId")

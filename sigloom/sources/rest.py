@@ -1,14 +1,16 @@
 """A paginated REST source of signals as a Python data source, batch and streaming.
 
 The reader keeps what belongs to the connection: the token and its refresh on 401, the
-request limiter, one wait on 429, the following of ``nextPage`` to a cap, and the place where
+request limiter, logins counted, one wait on 429, the following of ``nextPage`` to a cap, and the place where
 a scan stops: at the first record older than ``since``, whose position on its page goes with the
 page. Deduplication is the engine's.
 
 A stream's offset is the number of polls and the newest timestamp seen so far, from which the
 next poll starts. What a poll delivered is kept in the folder ``spool`` until Spark has committed it, so a
 batch that is repeated after a failure has the pages that it had, whatever the service says by then.
-The folder has to outlive the driver. Records that a service drops beyond its page cap between two polls
+The folder has to outlive the driver; it may be in any file system that pyarrow opens by a URI. The times of the last requests are kept with a poll:
+one limiter holds for all polls of a source, before and after a restart. The token is kept in the reader alone. Options
+that begin with ``auth.`` are the fields of the login's form. Records that a service drops beyond its page cap between two polls
 can't be had again; ``capped`` in the offset says that a poll ended at the cap.
 """
 
@@ -17,23 +19,31 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import re
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
+from ..functions.scalar import TIMESTAMP
+
 PAGE_DDL = "poll LONG, page INT, body STRING, stop INT"
 TOKEN_FIELDS = ("dmaToken", "token", "access_token")  # fixed values: accepted in this order
+TOKEN_SECONDS = 12_600  # fixed value: how long a token is used
 
 
 def instant(text: object) -> dt.datetime | None:
-    """An ISO-8601 timestamp, in UTC where it has no offset; None if it is none."""
+    """An ISO-8601 timestamp, in UTC where it has no offset; None if it is none. The forms are those of ``scalar.TIMESTAMP``."""
+    plain = str(text).replace("Z", "+00:00")
+    if not re.match(TIMESTAMP, plain):
+        return None
     try:
-        found = dt.datetime.fromisoformat(str(text).replace("Z", "+00:00"))
+        found = dt.datetime.fromisoformat(plain)
     except ValueError:
         return None
     return found if found.tzinfo else found.replace(tzinfo=dt.UTC)
@@ -42,12 +52,13 @@ def instant(text: object) -> dt.datetime | None:
 class RateLimiter:
     """``limit`` requests per ``window`` seconds, sliding; waits instead of failing.
 
-    No window of that length holds more requests, unlike with a counter that is reset.
+    No window of that length holds more requests, unlike with a counter that is reset. ``sent`` has the times of the last
+    requests by the wall clock, so that they can be kept and a later process goes on from them.
     """
 
-    def __init__(self, limit: int = 20, window: float = 60.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+    def __init__(self, limit: int = 20, window: float = 60.0, clock: Callable[[], float] = time.time, sleep: Callable[[float], None] = time.sleep, sent: Iterable[float] = ()):
         self.limit, self.window, self.clock, self.sleep = limit, window, clock, sleep
-        self.sent: deque[float] = deque()
+        self.sent: deque[float] = deque(sorted(min(t, clock()) for t in sent))
 
     def acquire(self) -> None:
         while True:
@@ -57,7 +68,7 @@ class RateLimiter:
             if len(self.sent) < self.limit:
                 self.sent.append(now)
                 return
-            self.sleep(self.window - (now - self.sent[0]))
+            self.sleep(max(self.window - (now - self.sent[0]), 0.001))
 
 
 def absolute(next_page: str | None, base: str, prefix: str) -> str | None:
@@ -76,16 +87,19 @@ class Client:
     def __init__(self, options: dict[str, str], limiter: RateLimiter | None = None, sleep: Callable[[float], None] = time.sleep):
         self.url = options["url"]
         self.auth_url = options.get("authurl") or options.get("authUrl")
-        self.credentials = {k: options[k] for k in ("user", "password") if k in options}
+        self.credentials = {k: options[k] for k in ("user", "password") if k in options} | {k[5:]: v for k, v in options.items() if k.lower().startswith("auth.")}
         self.prefix = options.get("prefix", "/api")
         self.cap = int(options.get("maxpages") or options.get("maxPages") or 50)
         self.limiter = limiter or RateLimiter(int(options.get("requests", 20)), float(options.get("window", 60)))
         self.sleep = sleep
+        self.token_seconds = float(options.get("tokenseconds") or options.get("tokenSeconds") or TOKEN_SECONDS)
         self.token: str | None = None
+        self.token_until = 0.0
 
     def _login(self) -> str | None:
         if self.auth_url is None:
             return None
+        self.limiter.acquire()  # a login is a request like any other
         body = urllib.parse.urlencode(self.credentials).encode()
         with urllib.request.urlopen(urllib.request.Request(self.auth_url, body, method="POST"), timeout=30) as r:
             given = json.load(r)
@@ -97,8 +111,8 @@ class Client:
     def get(self, url: str) -> str:
         refreshed = waited = False
         while True:
-            if self.token is None:
-                self.token = self._login()
+            if self.token is None or self.limiter.clock() >= self.token_until:
+                self.token, self.token_until = self._login(), self.limiter.clock() + self.token_seconds
             self.limiter.acquire()
             headers = {"Authorization": f"Bearer {self.token}"} if self.token else {}
             try:
@@ -167,7 +181,9 @@ class PagesStreamReader(SimpleDataSourceStreamReader):
         self.options = options
         if not options.get("spool"):
             raise ValueError("the stream needs the option spool, a folder that outlives the driver")
-        self.spool = options["spool"].removeprefix("file://")
+        where = options["spool"]
+        self.fs, self.spool = fs.FileSystem.from_uri(where) if "://" in where or where.startswith("/") else fs.FileSystem.from_uri(os.path.abspath(where))
+        self.client: Client | None = None
 
     def initialOffset(self) -> dict:
         days = float(self.options.get("lookbackDays") or self.options.get("lookbackdays") or 7)
@@ -175,31 +191,37 @@ class PagesStreamReader(SimpleDataSourceStreamReader):
         return {"poll": 0, "since": since, "capped": False}
 
     def _file(self, poll: int) -> str:
-        return os.path.join(self.spool, f"poll-{poll}.json")
+        return f"{self.spool}/poll-{poll}.json"
 
     def _kept(self, poll: int) -> dict | None:
         try:
-            with open(self._file(poll)) as f:
-                return json.load(f)
+            with self.fs.open_input_stream(self._file(poll)) as f:
+                return json.loads(f.read())
         except FileNotFoundError:
             return None
 
+    def _client(self, poll: int) -> Client:
+        """One for all polls of this reader; after a restart it knows the requests of the poll before."""
+        if self.client is None:
+            before = self._kept(poll - 1) or {}
+            limiter = RateLimiter(int(self.options.get("requests", 20)), float(self.options.get("window", 60)), sent=before.get("sent", ()))
+            self.client = Client(dict(self.options), limiter)
+        return self.client
+
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         poll = start["poll"]
         kept = self._kept(poll)
         if kept is None:
-            client = Client(dict(self.options))
+            client = self._client(poll)
             pages = list(client.pages(start["since"]))
             since = newest([body for _, body, _ in pages])
             latest = max((t for t in (start["since"], since) if t), key=instant)
             capped = len(pages) == client.cap and pages[-1][2] is None
-            kept = {"pages": pages, "end": {"poll": poll + 1, "since": latest, "capped": capped}}
-            os.makedirs(self.spool, exist_ok=True)
-            with open(self._file(poll) + ".part", "w") as f:
-                json.dump(kept, f)
-                f.flush()
-                os.fsync(f.fileno())
-            os.replace(self._file(poll) + ".part", self._file(poll))
+            kept = {"pages": pages, "end": {"poll": poll + 1, "since": latest, "capped": capped}, "sent": list(client.limiter.sent)}
+            self.fs.create_dir(self.spool, recursive=True)
+            with self.fs.open_output_stream(self._file(poll) + ".part") as f:
+                f.write(json.dumps(kept).encode())
+            self.fs.move(self._file(poll) + ".part", self._file(poll))
         return iter([(poll, *page) for page in kept["pages"]]), kept["end"]
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
@@ -211,10 +233,10 @@ class PagesStreamReader(SimpleDataSourceStreamReader):
                 yield (poll, *page)
 
     def commit(self, end: dict) -> None:
-        for name in os.listdir(self.spool) if os.path.isdir(self.spool) else []:
-            number = name.removeprefix("poll-").partition(".")[0]
-            if name.startswith("poll-") and number.isdigit() and int(number) < end["poll"] - 1:  # the last one may be repeated yet
-                os.remove(os.path.join(self.spool, name))
+        for file in self.fs.get_file_info(fs.FileSelector(self.spool, allow_not_found=True)):
+            number = file.base_name.removeprefix("poll-").partition(".")[0]
+            if file.base_name.startswith("poll-") and number.isdigit() and int(number) < end["poll"] - 1:  # the last one may be repeated yet
+                self.fs.delete_file(file.path)
 
 
 class SignalPages(DataSource):

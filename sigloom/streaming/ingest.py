@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators import ingest
+from ..operators import ingest, validate
 from ..settings import DEFAULTS
 from ..sources import tables
 
@@ -41,6 +41,15 @@ def signals(pages: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     return rows.select("*", "s.alerts.*", F.col("s.payloads").alias("payload")).drop("s"), broken
 
 
+def checked_signals(pages: DataFrame, schema: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signals in delivery order, rejected records with their reasons, broken pages): ``signals`` with every record held against the model."""
+    found, rejected, broken = validate.records(pages, schema)
+    within = "stop is null or pos < stop"
+    if "stop" in pages.columns:
+        found, rejected = (rows.where(within).drop("stop") for rows in (found, rejected))
+    return found, rejected, broken
+
+
 def read_pages(spark: SparkSession, path: str, schema: str, files_per_batch: int = DEFAULTS.max_pages_per_poll) -> DataFrame:
     """Page files as a stream of signals."""
     return signals(page_files(spark, path, files_per_batch), schema)[0]

@@ -170,3 +170,65 @@ def test_broken_append_is_repeated(spark, tmp_path):
     for _ in range(2):
         tables.append_new(rows("a", "b", "c", "c"), path, "id", batch_id=1)
         assert sorted((r.id, r.batch) for r in spark.read.parquet(path).collect()) == [("a", 0), ("b", 1), ("c", 1)]
+
+
+def login_stub(answers):
+    Stub.script = {"/login": [(200, {"token": "t"}, {})], "/api/alerts": answers}
+
+
+def test_limit_holds_over_polls_and_logins(stub, tmp_path, monkeypatch):
+    """Four polls of a source within a minute, a restart in between: never more than the limit in any window, logins included; one login."""
+    login_stub([(200, {"alerts": [record(str(i), "2024-01-05T00:00:00Z") for i in range(3)], "nextPage": "x"}, {})])
+    Stub.script["/api/alerts?nextPage=x"] = [(200, {"alerts": [], "nextPage": "x"}, {})]
+    options = {"url": f"{stub}/api/alerts", "authurl": f"{stub}/login", "auth.grant_type": "api_key", "auth.client_id": "me", "auth.client_secret": "s", "spool": f"file://{tmp_path}/spool", "since": "2024-01-01T00:00:00Z", "maxpages": "6", "requests": "10", "window": "2"}
+    times, acquire = [], rest.RateLimiter.acquire
+    monkeypatch.setattr(rest.RateLimiter, "acquire", lambda self: (acquire(self), times.append(self.clock()))[0])
+    reader, offset = rest.PagesStreamReader(options), None
+    offset = reader.initialOffset()
+    for poll in range(4):
+        if poll == 2:
+            reader = rest.PagesStreamReader(options)  # a new driver
+        _, offset = reader.read(offset)
+        reader.commit(offset)
+    assert [c for c, p, _ in Stub.seen].count("POST") == 2 and len(Stub.seen) == 26 == len(times)
+    assert all(sum(t <= u < t + 1.99 for u in times) <= 10 for t in times)
+
+
+def test_token_has_a_life(stub):
+    login_stub([page(["a"], None)])
+    now = [0.0]
+    limiter = rest.RateLimiter(100, 60, lambda: now[0])
+    client = rest.Client({"url": f"{stub}/api/alerts", "authurl": f"{stub}/login", "auth.client_id": "me"}, limiter)
+    for at, logins in ((0, 1), (12_599, 1), (12_600, 2)):
+        now[0] = float(at)
+        list(client.pages())
+        assert [c for c, _, _ in Stub.seen].count("POST") == logins
+    assert client.credentials == {"client_id": "me"}
+
+
+FORMS = """2025-W44-3 2025W443 2025-W44 2025W44T10 20251029T174845Z 2025-10-29_17:48Z 2025-10-29T17 2025-10-29T1748 2025-10-29T17:4845 2025-10-29T17:48:45.1234567+01:00 2025-10-29T17:48:45,5
+2025-10-29T17:48:45+0100 2025-10-29T17:48:45+01 2025-10-29T17:48:45+01:00:30 2025-10-29T17:48:45+05:75 2025-10-29T24:00:00 2025-302 20251029174845 2025-10-29+01:00 0000-01-01 0000-01-01T00:00:00Z 2025-W53-1 2026-W53-1
+2026-W53-7 2025-W44-0 2025-W44-8 2025-W00-1 2025-10-29x17:48:60 2025-10-29T17:48:45. 2025-10-29T 2025-10-29T17:48:45+24:00 2025-10-29T17:48:45-23:59 2025-10-29T17:48:45-00:00 2025-10-29T17:48:45z 2025-10 20251029T1748 2025-10-29T174845.5
+2025-10-29é17:48 2025-10-29T17:48:45+0100:30 2025-W01-1 2024-W01-1 2021-W01-1 2020-W53-7 2025-02-29 2024-02-29T00:00:00Z 2025-13-01 2025-10-29T17:61Z 2025-10-29T17:48:45.25-0330 junk 2025-10-29T17:48:45.123456Z 2025 T10:00 2025-10-29T17:48:45+18:30 1969-12-31T23:59:59.999999Z""".split() + ["", " 2025-10-29", "2025-10-29 ", "2025-10-29 17:48:45", "2025-10-29\n17:48"]
+
+
+def test_engine_and_reader_agree_with_python(spark):
+    import datetime as dt
+
+    from sigloom.functions import scalar
+
+    def python(text):
+        try:
+            found = dt.datetime.fromisoformat(text.replace("Z", "+00:00"))
+        except ValueError:
+            return None
+        return (found if found.tzinfo else found.replace(tzinfo=dt.UTC)).astimezone(dt.UTC)
+
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(FORMS)] + [(-1, None)], "i int, t string")
+    us = {r.i: r.us for r in rows.selectExpr("i", "t").withColumn("us", __import__("pyspark.sql.functions", fromlist=["x"]).unix_micros(scalar.parse_timestamp(rows.t))).collect()}
+    assert us.pop(-1) is None
+    epoch = dt.datetime(1970, 1, 1, tzinfo=dt.UTC)
+    for i, text in enumerate(FORMS):
+        want = python(text)
+        assert (rest.instant(text) is None) == (want is None) and (want is None or rest.instant(text) == want), text
+        assert us[i] == (None if want is None else (want - epoch) // dt.timedelta(microseconds=1)), text
