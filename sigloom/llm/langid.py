@@ -170,17 +170,20 @@ def held_out():  # noqa: ANN201
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """Texts to learn from, by language: at most ``per_language`` documents each, and none that begins after ``chars``."""
+    """Texts to learn from, by language: at most ``per_language`` different rows each, and none that begins after ``chars``.
+
+    The rows are chosen by hashes of doc_id and text, so rows under one doc_id are told apart, and repeated rows are one.
+    """
     learn = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    learn = learn.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
+    learn = learn.withColumn("h", F.struct(F.xxhash64(F.col("doc_id").cast("string")).alias("d"), F.xxhash64("text").alias("t")))
     order = Window.partitionBy("lang").orderBy("h")
     learn = learn.withColumn("text", F.substring("text", 1, chars))  # one text doesn't exceed the bound either
-    ranked = learn.select("lang", "h", F.length("text").alias("size")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    ranked = learn.select("lang", "h", F.length("text").alias("size")).distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
     within = ranked.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")).where(F.col("before") < chars)
     limits = within.groupBy("lang").agg(F.max("h").alias("most"))  # a row per language
-    rows = learn.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most")).select("lang", "text").collect()
+    chosen = learn.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most")).groupBy("lang", "h").agg(F.first("text").alias("text"))
     out: dict[str, list[str]] = {}
-    for r in sorted(rows):
+    for r in sorted(chosen.select("lang", "text").collect()):
         out.setdefault(r.lang, []).append(r.text)
     return out
 
