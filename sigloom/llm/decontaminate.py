@@ -37,13 +37,13 @@ _MAP_BITS = 22
 
 
 class WindowSet:
-    """Windows by length: sorted hashes with a bit map before them, the item of each and where its words stand."""
+    """Distinct windows by length: sorted hashes with a bit map before them, where the words of each stand, and the items that have it."""
 
     def __init__(self, rows: list[tuple[str, str]], size: int):
         found = words.scan(pa.array([text for _, text in rows], pa.string()), words.ALNUM)
         self.items = [item for item, _ in rows]
         self.data, self.start, self.end = found.data, found.start, found.end
-        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         n = np.diff(found.first)
         for k in sorted({min(size, x) for x in n.tolist() if x}):
             h, at = found.windows(k)
@@ -52,9 +52,22 @@ class WindowSet:
             h, at, owner = h[mine], at[mine], owner[mine].astype(np.int32)
             order = np.lexsort((owner, h))
             h, at, owner = h[order], at[order], owner[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+            sizes = np.diff([*first, len(h)])
+            split = [i for i in np.flatnonzero(sizes > 1).tolist() if len({self._words(x, x + k) for x in at[first[i] : first[i] + sizes[i]].tolist()}) > 1]
+            if split:  # other words with one hash: windows of their own
+                group = np.repeat(np.arange(len(first)), sizes)
+                of = np.zeros(len(h), np.int64)
+                for i in split:
+                    here = slice(first[i], first[i] + sizes[i])
+                    texts = [self._words(x, x + k) for x in at[here].tolist()]
+                    of[here] = [sorted(set(texts)).index(t) for t in texts]
+                order = np.lexsort((owner, of, group))
+                h, at, owner, of, group = h[order], at[order], owner[order], of[order], group[order]
+                first = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (of[1:] != of[:-1])]))
             seen = np.zeros(1 << _MAP_BITS, bool)
             seen[h >> np.uint64(64 - _MAP_BITS)] = True
-            self.known[k] = h, at, owner, seen
+            self.known[k] = h[first], at[first], np.append(first, len(h)), owner, seen
 
     def _words(self, a: int, b: int) -> bytes:
         return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.start[a:b], self.end[a:b], strict=True))
@@ -63,8 +76,8 @@ class WindowSet:
         """Which words are hit, and the items that occur in each text."""
         n = len(found.hash)
         edges = np.zeros(n + 1, np.int32)
-        items: dict[int, set[str]] = defaultdict(set)
-        for k, (known, places, owner, seen) in self.known.items():
+        occurring: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        for k, (known, places, _, _, seen) in self.known.items():
             h, at = found.windows(k)
             maybe = np.flatnonzero(seen[h >> np.uint64(64 - _MAP_BITS)])
             lo, hi = (np.searchsorted(known, h[maybe], side) for side in ("left", "right"))
@@ -73,12 +86,18 @@ class WindowSet:
             docs = np.searchsorted(found.first, at, side="right") - 1
             for a, doc, x, y in zip(at.tolist(), docs.tolist(), lo.tolist(), hi.tolist(), strict=True):
                 text = found.text(a, a + k)
-                got = {self.items[owner[j]] for j in range(x, y) if self._words(places[j], places[j] + k) == text}
-                if got:
-                    items[doc] |= got
-                    edges[a] += 1
-                    edges[a + k] -= 1
-        return np.cumsum(edges[:-1]) > 0, items
+                for j in range(x, y):  # one, but for windows that share a hash
+                    if self._words(places[j], places[j] + k) == text:
+                        occurring[doc].add((k, j))
+                        edges[a] += 1
+                        edges[a + k] -= 1
+                        break
+        return np.cumsum(edges[:-1]) > 0, {doc: self._items_of(windows) for doc, windows in occurring.items()}
+
+    def _items_of(self, windows: set[tuple[int, int]]) -> set[str]:
+        """The items of distinct windows; those of windows with the same items are looked up once."""
+        owners = [self.known[k][3][self.known[k][2][j] : self.known[k][2][j + 1]] for k, j in windows]
+        return {self.items[i] for i in np.unique(np.concatenate(owners)).tolist()}
 
 
 def _pieces(benchmark: DataFrame, size: int, most: int) -> DataFrame:
