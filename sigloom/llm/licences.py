@@ -26,6 +26,7 @@ best coverage of a span that was found, else 0.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 
 from . import stage, words
 
+STRETCH = 128  # words of a text whose spans are looked at together
 MIN_MATCH, MAX_GAP, COVERAGE, GAP_COST = 4, 12, 0.6, 0.25
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -288,16 +290,17 @@ class Scanner:
                 covered.append(most)
                 value.append(best)
                 before.append(link)
-            taken: list[tuple[int, int]] = []
+            taken: list[tuple[int, int]] = []  # in text order
             for i in sorted(range(len(places)), key=lambda i: (-value[i], i)):  # noqa: B023
                 parts, j = [], i
                 while j >= 0:
                     parts.append(places[j])
                     j = before[j]
                 first, last = parts[-1][0], parts[0][0] + parts[0][2]
-                if any(first < b and a < last for a, b in taken):
+                at = bisect.bisect_left(taken, (last,))  # those before begin before the end of this one; only the last of them can reach it
+                if at and taken[at - 1][1] > first:
                     continue
-                taken.append((first, last))
+                taken.insert(at, (first, last))
                 keyed = all(any(at <= a and b <= at + length for _, at, length in parts) for a, b in self.keys[number])
                 yield number, covered[i], first, last, keyed
 
@@ -305,8 +308,12 @@ class Scanner:
         """(label, first, last+1 word, coverage) of the candidates that win the competition for the text, in text order."""
         found = [c for c in self.chains(matches) if c[4] and c[1] >= self.coverage * len(self.sequences[c[0]])]
         won: list[tuple[str, int, int, float]] = []
+        near: dict[int, list[tuple[int, int]]] = {}  # what has won, by the stretches of the text that it touches
         for number, covered, first, last, _ in sorted(found, key=lambda c: (-c[1], c[3] - c[2] - c[1], self.labels[c[0]], c[0], c[2])):
-            if all(2 * (min(last, b) - max(first, a)) < last - first for _, a, b, _ in won):
+            touched = range(first // STRETCH, (last - 1) // STRETCH + 1)
+            if all(2 * (min(last, b) - max(first, a)) < last - first for x in touched for a, b in near.get(x, ())):
+                for x in touched:
+                    near.setdefault(x, []).append((first, last))
                 won.append((self.labels[number], first, last, min(1.0, covered / len(self.sequences[number]))))
         return sorted(won, key=lambda x: (x[1], x[2], x[0]))
 
