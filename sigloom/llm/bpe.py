@@ -8,13 +8,16 @@ gathered. The pre-token rule is that of byte-level BPE:
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 
 It is applied to texts whose characters lie below U+0240. Texts with others, or with
-an added token of the vocabulary in them, go to the library's ``encode`` whole, so
-every text gets exactly what ``encode(text, add_special_tokens=False)`` returns.
+an added token of the vocabulary in them, go to the library's ``encode`` whole; so do all texts where the
+vocabulary's file names another rule, or changes texts before. So
+every text gets exactly what ``encode(text, add_special_tokens=False)`` returns. A file that
+the library can't read is an error.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import unicodedata
 
 import numpy as np
@@ -95,6 +98,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        named = json.loads(self.tokenizer.to_str())
+        rule, model = named["pre_tokenizer"] or {}, named["model"]
+        self.own_rule = rule.get("type") == "ByteLevel" and not rule["add_prefix_space"] and rule.get("use_regex", True)
+        self.own_rule &= named["normalizer"] is None and model["type"] == "BPE" and not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
         self.alphabet = {b: c for b, c in enumerate(byte_alphabet())}
         self.keep = keep
         self.vocabulary = self.tokenizer.get_vocab_size()
@@ -150,7 +157,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text (null: none)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        whole = np.zeros(len(texts), bool)
+        whole = np.full(len(texts), not self.own_rule)
         for added in self.added:
             whole |= pc.match_substring(texts, added).to_numpy(zero_copy_only=False)
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)

@@ -72,3 +72,26 @@ def test_spans_of_one_template_do_not_overlap():
 def test_no_language_to_learn(spark):
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("the same").alias("text"), F.lit(None).cast("string").alias("lang"))
     assert langid.sample(docs) == {}
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_other_vocabularies(name):
+    """What the library gives, whatever rule the file has."""
+    import public_tokenizers
+
+    from sigloom.llm import bpe
+
+    encoder = bpe.Encoder(public_tokenizers.path(name))
+    texts = ["The cat's  sat\n on IT", "naïve ÉTÉ 123 4567", "日本 x", "", "a" * 300, "<|endoftext|> b", None, "Café  z"]
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+
+
+def test_files_of_other_libraries_are_refused():
+    import public_tokenizers
+
+    from sigloom.llm import bpe
+
+    for name in ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken"):
+        with pytest.raises(Exception):  # noqa: B017, PT011  the library's own error
+            bpe.Encoder(public_tokenizers.path(name))
