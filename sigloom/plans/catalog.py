@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from ..operators import geo, ingest, model, store, validate
 from ..settings import DEFAULTS
 from ..sources import tables
 from ..sources.scratch import new_folder as scratch
+from ..sources.versions import VersionedTable
+from ..streaming import chain
 from ..streaming import events as stream_events
 from ..streaming import ingest as stream
 from . import signals as S
@@ -106,6 +110,17 @@ def s11(spark: SparkSession, sf: str) -> DataFrame:
     return tables.latest(spark, path, "id").select("id", "title", "rank")
 
 
+@query("s11_versioned_events", "select o_orderkey as id, case when o_orderkey % 7 = 6 then 'late' when o_orderkey % 2 = 0 then o_orderstatus end as title, case when o_orderkey % 7 in (2, 5) then -1.0 else o_totalprice end as rank from orders")
+def s11_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Events inserted, then updated in part in many versions, one of them twice; merged on the way."""
+    orders, events = table(spark, sf, "orders"), VersionedTable(spark, scratch(spark, "versions"), "id", most=3)
+    events.update(orders.select(F.col("o_orderkey").alias("id"), F.expr("if(o_orderkey % 2 = 0, o_orderstatus, null)").alias("title"), F.col("o_totalprice").alias("rank")), 0)
+    for version in (1, 2, 3, 3, 4, 5, 2, 6):
+        some = orders.where(F.col("o_orderkey") % 7 == version)
+        events.update(some.select(F.col("o_orderkey").alias("id"), F.lit("late" if version == 6 else None).cast("string").alias("title"), F.lit(-1.0 if version in (2, 5) else None).cast("double").alias("rank")), version)
+    return events.read().select("id", "title", "rank")
+
+
 @query("s12_alert_sink", S.DELIVERED_SQL + "select 'e' || event_id as event_id, 'draft' as status from delivered where least(5, 1 + floor(value / 40)) >= 4 group by event_id")
 def s12(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "alerts")
@@ -514,23 +529,35 @@ _STORE_SQL = f"""
 _EVENT_ID_SQL = "sha256('event/' || type || '/' || location || '/' || began)"
 
 
-@query("w5_event_store", _STORE_SQL + f"select {_EVENT_ID_SQL} as event_id, type, location, {S.stamp('make_timestamp(min(first_us))')} as validFrom, {S.stamp('make_timestamp(min(first_us)) + interval 7 days')} as validTo, {S.stamp('make_timestamp(max(last_us))')} as lastSignalCreatedAt, cast(sum(n_signals) as bigint) as n_signals, max(max_severity) as max_severity from decided group by type, location, began")
-def w5_store(spark: SparkSession, sf: str) -> DataFrame:
-    """Three batches of signals through the store of open events as a stream's state, with a restart before each but the first."""
-    rows = S.scored(_located(spark, sf, table(spark, sf, "events"))).select(F.col("event_type").alias("type"), F.col("nation").alias("location"), "ts", "severity", "event_id")
-    folder, out, checkpoint, keys = scratch(spark, "signals"), scratch(spark, "decisions"), scratch(spark, "checkpoint"), ["type", "location"]
-    thirds = rows.agg(F.percentile_approx("event_id", [0.33, 0.66])).first()[0]
+@contextlib.contextmanager
+def _state_settings(spark: SparkSession) -> Iterator[None]:
+    """The settings that streams with state need, for a while."""
     before = {k: spark.conf.get(k, None) for k in stream.STATE_CONF}
     for k, v in stream.STATE_CONF.items():
         spark.conf.set(k, v)
     try:
-        for i in range(3):
-            rows.where(F.when(F.col("event_id") <= thirds[0], 0).when(F.col("event_id") <= thirds[1], 1).otherwise(2) == i).drop("event_id").write.mode("append").parquet(folder)
-            signals = spark.readStream.schema(rows.drop("event_id").schema).parquet(folder)
-            stream.run_once(stream_events.event_store(signals, keys), out, checkpoint)
+        yield
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _thirds(rows: DataFrame) -> list[DataFrame]:
+    """Three parts by event_id, one after the other."""
+    a, b = rows.agg(F.percentile_approx("event_id", [0.33, 0.66])).first()[0]
+    return [rows.where(F.col("event_id") <= a), rows.where((F.col("event_id") > a) & (F.col("event_id") <= b)), rows.where(F.col("event_id") > b)]
+
+
+@query("w5_event_store", _STORE_SQL + f"select {_EVENT_ID_SQL} as event_id, type, location, {S.stamp('make_timestamp(min(first_us))')} as validFrom, {S.stamp('make_timestamp(min(first_us)) + interval 7 days')} as validTo, {S.stamp('make_timestamp(max(last_us))')} as lastSignalCreatedAt, cast(sum(n_signals) as bigint) as n_signals, max(max_severity) as max_severity from decided group by type, location, began")
+def w5_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches of signals through the store of open events as a stream's state, with a restart before each but the first."""
+    rows = S.scored(_located(spark, sf, table(spark, sf, "events"))).select(F.col("event_type").alias("type"), F.col("nation").alias("location"), "ts", "severity", "event_id")
+    folder, out, checkpoint, keys = scratch(spark, "signals"), scratch(spark, "decisions"), scratch(spark, "checkpoint"), ["type", "location"]
+    with _state_settings(spark):
+        for part in _thirds(rows):
+            part.drop("event_id").write.mode("append").parquet(folder)
+            signals = spark.readStream.schema(rows.drop("event_id").schema).parquet(folder)
+            stream.run_once(stream_events.event_store(signals, keys), out, checkpoint)
     found = store.event_rows(spark.read.parquet(out), keys)
     return found.select("event_id", *keys, *(S.stamped(c).alias(c) for c in ("validFrom", "validTo", "lastSignalCreatedAt")), "n_signals", "max_severity")
 
@@ -580,6 +607,28 @@ def u2(spark: SparkSession, sf: str) -> DataFrame:
     return held.unionByName(rejected.select(F.col("signal_id").alias("event_id"), F.lit("rejected").alias("title"), F.lit(0).cast("long").alias("n_signal_ids"), F.lit(None).cast("string").alias("last")))
 
 
+@query("process_chain", _STORE_SQL.replace("from events join customer on user_id = c_custkey", "from events join customer on user_id = c_custkey where least(value / 50.0, 1.0) >= 0.5") + f"select {_EVENT_ID_SQL} as event_id, type, location, {S.stamp('make_timestamp(min(first_us))')} as validFrom, {S.stamp('make_timestamp(max(last_us))')} as lastSignalCreatedAt, cast(sum(n_signals) as bigint) as n_signals, max(max_severity) as max_severity, case when max(max_severity) >= 4 then 'draft' end as status from decided group by type, location, began")
+def process_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries with repeated records, each stored, scored, gated, grouped and escalated by streams that start anew."""
+    folder, root = scratch(spark, "delivered"), scratch(spark, "chain")
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("location"))
+    rows = S.delivered(spark, sf)
+    schema = rows.schema
+
+    def score(stored: DataFrame) -> DataFrame:
+        return S.scored(stored).withColumn("type", F.col("event_type")).join(customers, "user_id")
+
+    run = chain.Chain(spark, root, schema, score)
+    with _state_settings(spark):
+        for part in _thirds(rows):
+            part.write.mode("append").parquet(folder)
+            run.ingest(spark.readStream.schema(schema).parquet(folder))
+            run.process()
+    alerts = spark.read.parquet(run.path("alerts")).select(F.col("event_id").alias("_of"), "status")
+    found = run.events().join(alerts, F.col("event_id") == F.col("_of"), "left")
+    return found.select("event_id", "type", "location", S.stamped("validFrom").alias("validFrom"), S.stamped("lastSignalCreatedAt").alias("lastSignalCreatedAt"), "n_signals", "max_severity", "status")
+
+
 @query("w6_memo", "select event_id, cast(least(5, 1 + floor(case when event_id % 4 = 0 then 0 else value end / 40)) as int) as severity from events")
 def w6(spark: SparkSession, sf: str) -> DataFrame:
     """Scores kept from before win; only the other signals are scored."""
