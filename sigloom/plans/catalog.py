@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import prompts, scalar
 from ..operators import events as ev
-from ..operators import geo, ingest, model, store, validate
+from ..operators import geo, ingest, memo, model, phrases, polygons, store, validate
 from ..settings import DEFAULTS
 from ..sources import tables
 from ..sources.scratch import new_folder as scratch
@@ -638,6 +638,18 @@ def w6(spark: SparkSession, sf: str) -> DataFrame:
     return S.scored(rows.join(memo, "event_id", "left_anti")).select("event_id", "severity").unionByName(memo)
 
 
+@query("w6_memo_life", "select 'a' || event_id as signal_id, cast(least(5, 1 + floor(case when event_id % 4 = 0 then 0 when event_id % 4 = 2 then 200 else value end / 40)) as int) as severity, event_id % 5 as turn from events union all select 'a' || event_id, cast(least(5, 1 + floor(case when event_id % 4 = 0 then 0 when event_id % 4 = 2 then 200 else value end / 40)) as int), 9 from events where event_id % 3 = 0")
+def w6_life(spark: SparkSession, sf: str) -> DataFrame:
+    """Some signals requested twice; answers of an hour and of just under a day ago stand, those of a day ago are asked for again."""
+    rows = table(spark, sf, "events").select(F.concat(F.lit("a"), "event_id").alias("signal_id"), "value", F.col("event_id") % 5, "event_id").toDF("signal_id", "value", "turn", "i")
+    requests = rows.drop("i").unionByName(rows.where("i % 3 = 0").select("signal_id", "value", F.lit(9).cast("long").alias("turn")))
+    now = F.lit("2024-06-01 12:00:00").cast("timestamp")
+    age = F.when(F.col("i") % 4 == 0, F.expr("interval 1 hour")).when(F.col("i") % 4 == 2, F.expr("interval 86399 seconds")).otherwise(F.expr("interval 24 hours"))
+    kept = rows.where("i % 4 < 3").select("signal_id", F.when(F.col("i") % 4 == 0, 1).when(F.col("i") % 4 == 2, 5).otherwise(-1).cast("int").alias("severity"), (now - age).alias("answered_at"))
+    answers, _ = memo.answered(requests, kept, lambda asked: S.scored(asked).select("signal_id", "severity"), now)
+    return answers.select("signal_id", "severity", "turn")
+
+
 @query("w7_x7_cells", "with " + S.POINTS_SQL + "select cell_lat, cell_lon, arg_min(lat, event_id) as lat, arg_min(lon, event_id) as lon from (select *, printf('%.1f', lat) as cell_lat, printf('%.1f', lon) as cell_lon from pts) group by cell_lat, cell_lon")
 def w7(spark: SparkSession, sf: str) -> DataFrame:
     return geo.cell_representatives(S.points(spark, sf), ["event_id"])
@@ -714,6 +726,34 @@ def d2(spark: SparkSession, sf: str) -> DataFrame:
     return S.points(spark, sf).where(geo.in_box("lat", "lon", 3.5, 23.2, 21.8, 38.6)).select("event_id", "lat", "lon")
 
 
+#: a polygon with a hole around each nation: eight corners at two distances by turns, and a square inside
+_CORNERS = [(8, 0), (3, 3), (0, 9), (-4, 4), (-7, 0), (-3, -5), (0, -8), (5, -5)]
+_HOLE = [(1, 1), (1, -1), (-1, -1), (-1, 1)]
+_SIDES_SQL = " union all ".join(f"select id, lat + {a[0]} as lat1, lon + {a[1]} as lon1, lat + {b[0]} as lat2, lon + {b[1]} as lon2 from loc where level = 1" for ring in (_CORNERS, _HOLE) for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
+
+
+@query("d2_polygons", "with " + S.LOCATIONS_SQL + "," + S.POINTS_SQL + f", sides as ({_SIDES_SQL}), met as (select event_id, id, count(*) filter (where (lat1 > lat) <> (lat2 > lat) and lon < (lon2 - lon1) * (lat - lat1) / (lat2 - lat1) + lon1) % 2 = 1 or bool_or((lon2 - lon1) * (lat - lat1) - (lat2 - lat1) * (lon - lon1) = 0 and lat between least(lat1, lat2) and greatest(lat1, lat2) and lon between least(lon1, lon2) and greatest(lon1, lon2)) as inside from pts, sides group by event_id, id) select event_id, id as polygon_id from met where inside")
+def d2_polygons(spark: SparkSession, sf: str) -> DataFrame:
+    """Points and the polygons, with holes, that they lie in."""
+    ring = lambda corners: F.array(*(F.struct((F.col("lat") + a).alias("lat"), (F.col("lon") + b).alias("lon")) for a, b in corners))
+    shapes = S.locations(spark, sf).where("level = 1").select("id", F.array(ring(_CORNERS), ring(_HOLE)).alias("rings"))
+    return polygons.within(S.points(spark, sf), shapes).select("event_id", "polygon_id")
+
+
+_WORDS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '')"
+
+
+@query("d3_phrases", f"""with w as (select doc_id, coalesce({_WORDS_SQL}, []) as w from documents),
+  lex as (select distinct array_to_string(w[1:1 + doc_id % 4], ' ') as phrase, 'C' || doc_id % 6 as code, least(len(w), 1 + doc_id % 4) as size from w where len(w) > 0),
+  runs as (select doc_id, array_to_string(w[i:i + size - 1], ' ') as phrase, size from w, (select distinct size from lex), unnest(range(1, len(w) - size + 2)) u(i))
+  select doc_id, code, count(*) as n from runs join lex using (phrase, size) group by doc_id, code""")
+def d3_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """A lexicon of the first one to four words of every document, looked up in all documents."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    own = docs.select(F.array_join(F.slice(phrases.words(F.col("text")), F.lit(1), (F.col("doc_id") % 4 + 1).cast("int")), " ").alias("phrase"), F.concat(F.lit("C"), F.col("doc_id") % 6).alias("code")).where("phrase <> ''")
+    return phrases.matches(docs, own)
+
+
 @query("d6_collected_at", "select event_id, true as collected from events")
 def d6(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id").withColumn("collectedAt", F.current_timestamp()).select("event_id", F.col("collectedAt").isNotNull().alias("collected"))
