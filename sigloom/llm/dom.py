@@ -3,7 +3,8 @@
 Inline elements don't become nodes; their text belongs to the block around them. A run of
 text between two block boundaries is a leaf of its own. Void elements, optional end tags
 and unmatched end tags are treated the way browsers do where it changes the text; scripts,
-styles, comments and other content that isn't shown have no text.
+styles, comments and other content that isn't shown have no text, nor have blocks with the attribute ``hidden`` or the style
+``display: none``.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ _REST = (
 _TOKEN = re.compile(r"<!\[CDATA\[.*?\]\]>|" + _REST, re.S)
 _LATE_TOKEN = re.compile(_REST, re.S)  # behind the last end of a CDATA section, where none can be
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_UNSHOWN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = frozenset("script style noscript template iframe object svg head title textarea select option canvas audio video datalist".split())
 #: hidden elements that end with the block around them; the others only by their own end tag
@@ -52,6 +54,15 @@ class Node:
     tags: int = 0  # inline elements in a run
 
 
+_QUOTED = re.compile(r"([-\w:.]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+
+
+def _kept_style(found: re.Match) -> str:
+    """An attribute without its value, but for a style's declarations and a plain hidden."""
+    name = found[1].lower()
+    return found[2] if name == "style" else " hidden " if name == "hidden" and "until-found" not in found[2] else f"{name}_"
+
+
 def _attribute_words(source: str) -> tuple[str, ...]:
     if not source.strip():
         return ()
@@ -71,6 +82,7 @@ def parse(source: str) -> list[Node]:
     nodes = [Node("#root", -1, 0)]
     stack = [0]  # open blocks
     count: dict[str, int] = {}  # of them by tag
+    dark: list[int] = []  # how deep those lie whose content isn't shown
     pieces: list[str] = []
     state = {"links": 0, "chars": 0, "tags": 0}
     hidden: list[str] = []  # open hidden elements, and the blocks inside
@@ -79,7 +91,7 @@ def parse(source: str) -> list[Node]:
     def flush() -> None:
         if pieces:
             text = " ".join("".join(pieces).split())
-            if text:
+            if text and not dark:
                 at = stack[-1]
                 nodes[at].children.append(len(nodes))
                 nodes.append(Node("#text", at, len(stack), (), [], text, state["chars"], state["tags"]))
@@ -92,6 +104,8 @@ def parse(source: str) -> list[Node]:
         for i in stack[depth:]:
             count[nodes[i].tag] -= 1
         del stack[depth:]
+        while dark and dark[-1] >= depth:
+            dark.pop()
 
     def opened(tags: set[str] | frozenset[str], bar: set[str] | frozenset[str]) -> int | None:
         if not any(count.get(tag) for tag in tags):  # the common case, without a walk up a deep page
@@ -180,8 +194,11 @@ def parse(source: str) -> list[Node]:
             close(i)
         parent = stack[-1]
         nodes[parent].children.append(len(nodes))
-        nodes.append(Node(tag, parent, len(stack), _attribute_words(m[3] or m[5] or "")))
+        attributes = m[3] or m[5] or ""
+        nodes.append(Node(tag, parent, len(stack), _attribute_words(attributes)))
         if not (m[3] or "").endswith("/"):
+            if attributes and _UNSHOWN.search(_QUOTED.sub(_kept_style, attributes)):
+                dark.append(len(stack))
             stack.append(len(nodes) - 1)
             count[tag] = count.get(tag, 0) + 1
     flush()

@@ -58,7 +58,7 @@ _SETS_OF = {t: [i for i, s in enumerate(_TAG_SETS) if t in s] for t in _TAGS}
 def features(nodes: list[dom.Node]) -> np.ndarray:
     """A row per node; page order puts parents before children, which both passes rely on."""
     n, s = len(nodes), len(_TAG_SETS)
-    chars, links, tags, marks, runs, paragraphs = ([0.0] * n for _ in range(6))
+    chars, links, tags, marks, runs, paragraphs, headings = ([0.0] * n for _ in range(7))
     for i in range(n - 1, -1, -1):
         node = nodes[i]
         if node.tag == "#text":
@@ -68,14 +68,15 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
             runs[i] = 1
         tags[i] += 1 + node.tags
         paragraphs[i] += node.tag == "p"
+        headings[i] += node.tag in ("h1", "h2")
         if node.parent >= 0:
-            for x in (chars, links, tags, marks, runs, paragraphs):
+            for x in (chars, links, tags, marks, runs, paragraphs, headings):
                 x[node.parent] += x[i]
     own = np.zeros((n, _N_KINDS), np.float32)
     above = np.zeros((n, _N_KINDS), np.float32)
     tag = np.zeros((n, s), np.float32)
     tags_above = np.zeros((n, s), np.float32)
-    rest = np.zeros((n, 16), np.float32)
+    rest = np.zeros((n, 17), np.float32)
     placed = [0] * n  # children met so far
     before = 0.0
     total = max(1.0, chars[0])
@@ -109,6 +110,7 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
             links[p] / max(1.0, chars[p]) if p >= 0 else 0,
             paragraphs[p] if p >= 0 else 0,
             len(node.children),
+            headings[i],
         )
         if parent:
             placed[p] += 1
@@ -160,7 +162,8 @@ def training_page(rng: random.Random) -> str:
         if kind == "menu":
             return f"{named('nav', kind)}<ul>{links()}</ul></nav>" if rng.random() < 0.6 else f"{named('div', kind, True)}<ul>{links()}</ul></div>"
         if kind == "header":
-            return f"{named('header', kind)}<div>{sentence(1, 4)}</div><p>{sentence(2, 6)}</p></header>" if rng.random() < 0.6 else f"{named('div', kind, True)}{sentence(1, 5)}</div>"
+            name = rng.choice(["div", "div", "h1"])
+            return f"{named('header', kind)}<{name}>{sentence(1, 4)}</{name}><p>{sentence(2, 6)}</p></header>" if rng.random() < 0.6 else f"{named('div', kind, True)}{sentence(1, 5)}</div>"
         if kind == "footer":
             tag = "footer" if rng.random() < 0.7 else "div"
             return f"{named(tag, kind, tag == 'div')}{rng.choice(['&copy; ', ''])}{prose(1, 3)}{rng.choice(['', f'<ul>{links()}</ul>'])}</{tag}>"
@@ -185,6 +188,12 @@ def training_page(rng: random.Random) -> str:
 
     def content() -> str:
         roll = rng.random()
+        if roll < 0.03:
+            return "<dl>" + "".join(f"<dt>{mark}{sentence(1, 3)}</dt><dd>{mark}{prose(1, 2)}</dd>" for _ in range(rng.randint(1, 4))) + "</dl>"
+        if roll < 0.06:
+            return f"<figure><img src=/{word()}.png><figcaption>{mark}{sentence(2, 10)}</figcaption></figure>"
+        if roll < 0.1:
+            return f"<div>{''.join(content() for _ in range(rng.randint(1, 3)))}</div>"
         if roll < 0.7:
             return f"<p>{rng.choice(['', '', '<b>'])}{mark}{prose(1, 7)}{rng.choice(['</p>', '</p>', '<br>', ''])}"
         if roll < 0.8:
@@ -197,12 +206,14 @@ def training_page(rng: random.Random) -> str:
             return "<table>" + "".join(f"<tr><td>{mark}{sentence(1, 3)}</td><td>{mark}{sentence(1, 5)}</td></tr>" for _ in range(rng.randint(2, 4))) + "</table>"
         return f"<pre>{mark}{prose()}</pre>"
 
-    kinds = [k for k in KINDS if k not in ("content", "hidden")]
+    kinds = [k for k in KINDS if k not in ("content", "hidden", "header")]  # a header inside an article is its own
     inside = [content() for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8, 12, 20]))]
     for kind in kinds:
         if rng.random() < 0.12:
             inside.insert(rng.randint(0, len(inside)), boiler(kind))
     heading = f"<h1>{mark}{sentence(2, 10)}</h1>" if rng.random() < 0.85 else ""
+    if heading and rng.random() < 0.45:  # an article may have a header of its own
+        heading = f"{rng.choice(['<header>', f'<header class={word()}>', '<header class=entry-header>', '<header class=post-header>'])}{heading}{rng.choice(['', '', f'<p>{mark}{sentence(3, 12)}</p>'])}</header>"
     tag = rng.choice(["article", "article", "article", "main", "div", "div", "section"])
     article = f"{named(tag, 'content', tag in ('div', 'section'))}{heading}{''.join(inside)}</{tag}>"
     for _ in range(rng.randint(0, 2)):
