@@ -22,7 +22,7 @@ def answers(requests: DataFrame, connect: Callable[[], Transport], fields: str,
     """(key, the answer's ``fields``, failure) for every row (key, request); a row each.
 
     The text is freed of a Markdown fence and read as JSON. ``failure`` is null, or says why the fields
-    are: the transport raised on every attempt, or the text wasn't a JSON object. Nothing is lost silently.
+    are: the transport raised on every attempt, the text wasn't a JSON object, or it was longer than ``MAX_ANSWER_CHARS``. Nothing is lost silently.
     """
     kind = requests.schema[key].dataType.simpleString()
 
@@ -36,7 +36,9 @@ def answers(requests: DataFrame, connect: Callable[[], Transport], fields: str,
                     try:
                         if send is None:
                             send = connect()
-                        text, failure = send(request)[:MAX_ANSWER_CHARS], None
+                        text, failure = send(request), None
+                        if len(text) > MAX_ANSWER_CHARS:
+                            text, failure = None, f"the answer has {len(text)} characters, more than {MAX_ANSWER_CHARS}"
                         break
                     except Exception as e:  # the client's own errors are of any kind; each is reported in the row
                         send, failure = None, f"{type(e).__name__}: {e}"

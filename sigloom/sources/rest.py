@@ -1,5 +1,7 @@
 """A paginated REST source of signals as a Python data source, batch and streaming.
 
+``feed_pages`` reads several feeds of a service, each in a task of its own; ``signal_pages`` reads one in the driver.
+
 The reader keeps what belongs to the connection: the token and its refresh on 401, the
 request limiter, logins counted, one wait on 429, the following of ``nextPage`` to a cap, and the place where
 a scan stops: at the first record older than ``since``, whose position on its page goes with the
@@ -24,11 +26,12 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+import uuid
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 
 from pyarrow import fs
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
 
 from ..functions.scalar import TIMESTAMP
 
@@ -151,6 +154,45 @@ class Client:
             url = None if stop is not None else absolute(parsed.get("nextPage"), self.url, self.prefix)
 
 
+def polled(client: Client, start: dict) -> dict:
+    """A poll: its pages, where the next one starts, and the times of the last requests."""
+    pages = list(client.pages(start["since"]))
+    since = newest([body for _, body, _ in pages])
+    latest = max((t for t in (start["since"], since) if t), key=instant)
+    capped = len(pages) == client.cap and pages[-1][2] is None
+    return {"pages": pages, "end": {"poll": start["poll"] + 1, "since": latest, "capped": capped}, "sent": list(client.limiter.sent)}
+
+
+class Spool:
+    """What polls delivered, as files that are there as a whole or not at all."""
+
+    def __init__(self, where: str):
+        self.fs, self.path = fs.FileSystem.from_uri(where if "://" in where else os.path.abspath(where))
+
+    def get(self, name: str) -> dict | None:
+        try:
+            with self.fs.open_input_stream(f"{self.path}/{name}.json") as f:
+                return json.loads(f.read())
+        except FileNotFoundError:
+            return None
+
+    def put(self, name: str, value: dict) -> None:
+        final = f"{self.path}/{name}.json"
+        self.fs.create_dir(final.rpartition("/")[0], recursive=True)
+        part = f"{final}.{uuid.uuid4().hex}.part"
+        with self.fs.open_output_stream(part) as f:
+            f.write(json.dumps(value).encode())
+        self.fs.move(part, final)
+
+    def numbers(self, folder: str = "") -> list[int]:
+        """Of the files ``poll-<number>``."""
+        found = self.fs.get_file_info(fs.FileSelector(f"{self.path}/{folder}", allow_not_found=True))
+        return sorted(int(m[1]) for f in found if (m := re.fullmatch(r"poll-(\d+)\.json", f.base_name)))
+
+    def drop(self, name: str) -> None:
+        self.fs.delete_file(f"{self.path}/{name}.json")
+
+
 def newest(bodies: list[str]) -> str | None:
     """The newest timestamp of some pages, as it is written."""
     found = []
@@ -174,6 +216,11 @@ class PagesReader(DataSourceReader):
             yield (0, *page)
 
 
+def first_since(options: dict[str, str]) -> str:
+    days = float(options.get("lookbackDays") or options.get("lookbackdays") or 7)
+    return options.get("since") or (dt.datetime.now(dt.UTC) - dt.timedelta(days=days)).isoformat()
+
+
 class PagesStreamReader(SimpleDataSourceStreamReader):
     """Offsets are {poll, since, capped}. Options: ``spool`` (required), ``since`` or ``lookbackDays`` for the first poll."""
 
@@ -181,62 +228,120 @@ class PagesStreamReader(SimpleDataSourceStreamReader):
         self.options = options
         if not options.get("spool"):
             raise ValueError("the stream needs the option spool, a folder that outlives the driver")
-        where = options["spool"]
-        self.fs, self.spool = fs.FileSystem.from_uri(where) if "://" in where or where.startswith("/") else fs.FileSystem.from_uri(os.path.abspath(where))
+        self.spool = Spool(options["spool"])
         self.client: Client | None = None
 
     def initialOffset(self) -> dict:
-        days = float(self.options.get("lookbackDays") or self.options.get("lookbackdays") or 7)
-        since = self.options.get("since") or (dt.datetime.now(dt.UTC) - dt.timedelta(days=days)).isoformat()
-        return {"poll": 0, "since": since, "capped": False}
-
-    def _file(self, poll: int) -> str:
-        return f"{self.spool}/poll-{poll}.json"
-
-    def _kept(self, poll: int) -> dict | None:
-        try:
-            with self.fs.open_input_stream(self._file(poll)) as f:
-                return json.loads(f.read())
-        except FileNotFoundError:
-            return None
+        return {"poll": 0, "since": first_since(self.options), "capped": False}
 
     def _client(self, poll: int) -> Client:
         """One for all polls of this reader; after a restart it knows the requests of the poll before."""
         if self.client is None:
-            before = self._kept(poll - 1) or {}
+            before = self.spool.get(f"poll-{poll - 1}") or {}
             limiter = RateLimiter(int(self.options.get("requests", 20)), float(self.options.get("window", 60)), sent=before.get("sent", ()))
             self.client = Client(dict(self.options), limiter)
         return self.client
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         poll = start["poll"]
-        kept = self._kept(poll)
+        kept = self.spool.get(f"poll-{poll}")
         if kept is None:
-            client = self._client(poll)
-            pages = list(client.pages(start["since"]))
-            since = newest([body for _, body, _ in pages])
-            latest = max((t for t in (start["since"], since) if t), key=instant)
-            capped = len(pages) == client.cap and pages[-1][2] is None
-            kept = {"pages": pages, "end": {"poll": poll + 1, "since": latest, "capped": capped}, "sent": list(client.limiter.sent)}
-            self.fs.create_dir(self.spool, recursive=True)
-            with self.fs.open_output_stream(self._file(poll) + ".part") as f:
-                f.write(json.dumps(kept).encode())
-            self.fs.move(self._file(poll) + ".part", self._file(poll))
+            kept = polled(self._client(poll), start)
+            self.spool.put(f"poll-{poll}", kept)
         return iter([(poll, *page) for page in kept["pages"]]), kept["end"]
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         for poll in range(start["poll"], end["poll"]):
-            kept = self._kept(poll)
+            kept = self.spool.get(f"poll-{poll}")
             if kept is None:
-                raise FileNotFoundError(f"{self._file(poll)} is gone, so poll {poll} can't be repeated")
+                raise FileNotFoundError(f"poll {poll} is gone from {self.spool.path}, so it can't be repeated")
             for page in kept["pages"]:
                 yield (poll, *page)
 
     def commit(self, end: dict) -> None:
-        for file in self.fs.get_file_info(fs.FileSelector(self.spool, allow_not_found=True)):
-            number = file.base_name.removeprefix("poll-").partition(".")[0]
-            if file.base_name.startswith("poll-") and number.isdigit() and int(number) < end["poll"] - 1:  # the last one may be repeated yet
-                self.fs.delete_file(file.path)
+        for poll in self.spool.numbers():
+            if poll < end["poll"] - 1:  # the last one may be repeated yet
+                self.spool.drop(f"poll-{poll}")
+
+
+#: Of this worker process: (token, until) by login, so that a task needn't log in again.
+_tokens: dict[tuple, tuple[str | None, float]] = {}
+
+
+class FeedPartition(InputPartition):
+    def __init__(self, number: int, feed: str, start: int, end: int):
+        super().__init__((number, feed, start, end))
+        self.number, self.feed, self.start, self.end = number, feed, start, end
+
+
+class FeedsStreamReader(DataSourceStreamReader):
+    """Several feeds, a task each. Offsets are {poll}; where a feed's poll starts stands with its poll before, in the spool.
+
+    So the driver reads no page: a task looks up where its feed was, scans it, and puts what it found into the spool before
+    it goes on; a task that is repeated finds it there. The limit of requests is shared out among the feeds, and
+    each feed's goes on from poll to poll. Options: as for one feed, with ``feeds``, a list of URLs parted by white space, in the place of ``url``. The spool has to be
+    shared by all executors.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.options, self.feeds = options, options.get("feeds", "").split()
+        if not options.get("spool") or not self.feeds:
+            raise ValueError("the stream needs the options feeds and spool")
+        self.share = int(options.get("requests", 20)) // len(self.feeds)
+        if self.share < 2:
+            raise ValueError(f"{len(self.feeds)} feeds need two requests each in a window at least, a login and a page")
+        self.since = first_since(options)
+
+    def initialOffset(self) -> dict:
+        return {"poll": 0}
+
+    def latestOffset(self) -> dict:
+        """One poll beyond the last that all feeds have in the spool."""
+        spool = Spool(self.options["spool"])
+        return {"poll": min(max(spool.numbers(f"feed-{i}"), default=-1) for i in range(len(self.feeds))) + 2}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [FeedPartition(i, feed, start["poll"], end["poll"]) for i, feed in enumerate(self.feeds)] if start["poll"] < end["poll"] else []
+
+    def read(self, partition: FeedPartition) -> Iterator[tuple]:
+        spool = Spool(self.options["spool"])
+        for poll in range(partition.start, partition.end):
+            name = f"feed-{partition.number}/poll-{poll}"
+            kept = spool.get(name)
+            if kept is None:
+                before = spool.get(f"feed-{partition.number}/poll-{poll - 1}")
+                if before is None and poll > 0:
+                    raise FileNotFoundError(f"poll {poll - 1} of {partition.feed} is gone from {spool.path}, so the next one has no start")
+                limiter = RateLimiter(self.share, float(self.options.get("window", 60)), sent=(before or {}).get("sent", ()))
+                client = Client({**self.options, "url": partition.feed}, limiter)
+                login = (client.auth_url, tuple(sorted(client.credentials.items())))
+                client.token, client.token_until = _tokens.get(login, (None, 0.0))
+                kept = polled(client, before["end"] if before else {"poll": 0, "since": self.since})
+                _tokens[login] = client.token, client.token_until
+                spool.put(name, kept)
+            for page in kept["pages"]:
+                yield (partition.feed, poll, *page)
+
+    def commit(self, end: dict) -> None:
+        spool = Spool(self.options["spool"])
+        for i in range(len(self.feeds)):
+            for poll in spool.numbers(f"feed-{i}"):
+                if poll < end["poll"] - 1:  # the last one may be repeated yet, and the next one starts from it
+                    spool.drop(f"feed-{i}/poll-{poll}")
+
+
+class FeedPages(DataSource):
+    """``spark.dataSource.register(FeedPages)``; ``spark.readStream.format("feed_pages").option("feeds", "..").load()``"""
+
+    @classmethod
+    def name(cls) -> str:
+        return "feed_pages"
+
+    def schema(self) -> str:
+        return f"feed STRING, {PAGE_DDL}"
+
+    def streamReader(self, schema) -> FeedsStreamReader:  # noqa: ANN001
+        return FeedsStreamReader(dict(self.options))
 
 
 class SignalPages(DataSource):

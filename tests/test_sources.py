@@ -232,3 +232,60 @@ def test_engine_and_reader_agree_with_python(spark):
         want = python(text)
         assert (rest.instant(text) is None) == (want is None) and (want is None or rest.instant(text) == want), text
         assert us[i] == (None if want is None else (want - epoch) // dt.timedelta(microseconds=1)), text
+
+
+def feeds(stub, tmp_path, **more):
+    return {"feeds": " ".join(f"{stub}/api/f{i}" for i in range(3)), "spool": f"file://{tmp_path}/spool", "since": "2024-01-01T00:00:00Z", "requests": "30"} | more
+
+
+def test_feeds_are_read_by_tasks(spark, stub, tmp_path):
+    """Three feeds in three partitions; a failed batch is repeated as it was, a restart goes on where each feed was."""
+    from sigloom.streaming import ingest as st
+
+    spark.dataSource.register(rest.FeedPages)
+    Stub.script = {f"/api/f{i}": [(200, {"alerts": [record(f"f{i}a", f"2024-01-0{i + 2}T00:00:00Z")], "nextPage": None}, {})] for i in range(3)}
+    schema = "alerts ARRAY<STRUCT<alertId: STRING, alertTimestamp: STRING>>, nextPage STRING"
+    out, check = f"file://{tmp_path}/out", f"file://{tmp_path}/check"
+
+    def run(prepare=lambda df: df):
+        pages = spark.readStream.format("feed_pages").options(**feeds(stub, tmp_path)).load()
+        st.run_once(st.signals(pages, schema)[0], out, check, prepare)
+
+    def fail(batch):
+        assert batch.rdd.getNumPartitions() == 3 and batch.count() == 3
+        raise RuntimeError("the sink is away")
+
+    with pytest.raises(Exception, match="the sink is away"):
+        run(fail)
+    seen = len(Stub.seen)
+    for i in range(3):  # the service has moved on
+        Stub.script[f"/api/f{i}"] = [(200, {"alerts": [record(f"f{i}b", f"2024-01-1{i}T00:00:00Z"), record(f"f{i}a", f"2024-01-0{i + 2}T00:00:00Z"), record("old", "2024-01-01T12:00:00Z")], "nextPage": None}, {})]
+    run()
+    first = {r.alertId for r in spark.read.parquet(out).where("batch = 0").collect()}
+    assert first == {"f0a", "f1a", "f2a"} and seen == 3
+    run()
+    rows = [r.alertId for r in spark.read.parquet(out).collect()]
+    assert set(rows) == {f"f{i}{x}" for i in range(3) for x in "ab"}  # nothing older than where each feed was
+    assert len(list((tmp_path / "spool").rglob("*.part"))) == 0
+
+
+def test_feeds_share_the_limit(stub, tmp_path):
+    Stub.script = {f"/api/f{i}": [page(["a"], "x")] for i in range(3)} | {f"/api/f{i}?nextPage=x": [page(["a"], "x")] for i in range(3)}
+    options = feeds(stub, tmp_path, requests="6", window="1", maxpages="3")
+    reader = rest.FeedsStreamReader(options)
+    import time
+
+    began = time.time()
+    for poll in range(2):
+        assert reader.latestOffset() == {"poll": poll + 1}
+        for part in reader.partitions({"poll": poll}, {"poll": poll + 1}):
+            got = list(reader.read(part))
+            assert [(r[1], r[2]) for r in got] == [(poll, 1), (poll, 2), (poll, 3)]
+            assert list(rest.FeedsStreamReader(options).read(part)) == [tuple(r[:3]) + tuple(r[3:]) for r in got]
+        reader.commit({"poll": poll + 1})
+    assert len(Stub.seen) == 18 and time.time() - began >= 2  # two requests of a feed in a second
+    with pytest.raises(ValueError, match="two requests"):
+        rest.FeedsStreamReader(feeds(stub, tmp_path, requests="5"))
+    with pytest.raises(FileNotFoundError):
+        list(reader.read(rest.FeedPartition(0, f"{stub}/api/f0", 7, 8)))
+    assert reader.partitions({"poll": 2}, {"poll": 2}) == []
