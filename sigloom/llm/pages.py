@@ -94,6 +94,7 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
         siblings = len(parent.children) if parent else 1
         c = chars[i]
         rest[i] = (
+            headings[i],
             node.depth,
             siblings,
             placed[p] / siblings if parent else 0,
@@ -110,7 +111,6 @@ def features(nodes: list[dom.Node]) -> np.ndarray:
             links[p] / max(1.0, chars[p]) if p >= 0 else 0,
             paragraphs[p] if p >= 0 else 0,
             len(node.children),
-            headings[i],
         )
         if parent:
             placed[p] += 1
