@@ -39,15 +39,13 @@ def matches(texts: DataFrame, phrases: DataFrame, key: str = "doc_id", text: str
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # LONGEST at most
     parts = max(1, -(-known.count() // part))
     split = texts.select(F.col(key).alias("_key"), words(F.col(text)).alias("_w"))
+    none = F.array().cast("array<string>")
+    each = split.select("_key", F.explode(F.concat(none, *(F.coalesce(_runs(size), none) for size in sizes))).alias("phrase"))  # the text is cut into words once
     out = None
     for p in range(parts):
         table = known if parts == 1 else known.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == p)
-        for size in sizes:
-            each = split.select("_key", F.explode(_runs(size)).alias("phrase")).join(F.broadcast(table.where(F.col("size") == size).select("phrase", "code")), "phrase")
-            counted = each.groupBy("_key", "code").agg(F.count("*").alias("n"))
-            out = counted if out is None else out.unionByName(counted)
-    if out is None:
-        out = split.select("_key", F.lit(None).cast(known.schema["code"].dataType).alias("code"), F.lit(0).cast("long").alias("n")).where("false")
+        counted = each.join(F.broadcast(table.select("phrase", "code")), "phrase").groupBy("_key", "code").agg(F.count("*").alias("n"))
+        out = counted if out is None else out.unionByName(counted)
     return out.groupBy("_key", "code").agg(F.sum("n").alias("n")).withColumnRenamed("_key", key)
 
 
