@@ -55,36 +55,50 @@ def read_pages(spark: SparkSession, path: str, schema: str, files_per_batch: int
     return signals(page_files(spark, path, files_per_batch), schema)[0]
 
 
+#: The keys are dealt to so many groups, each with its keys as state: a group costs a call or two, however many keys a batch brings.
+GROUPS = 4096
+
+
 class FirstSeen(StatefulProcessor):
-    """Emits a key's first row in delivery order and remembers the key for a while after that first sight; repeats don't extend it."""
+    """Emits each key's first row in delivery order and remembers the key for a while after that first sight; repeats don't extend it.
+
+    A group holds many keys. Its state is a list with an entry per batch, the lines of which are the keys that came with that batch, so it
+    is read and written by the batch and rows go out by the frame, not one by one.
+    """
 
     def __init__(self, columns: list[str], ttl_hours: float):
         self.columns, self.ttl = columns, int(ttl_hours * 3_600_000)
         self.order = [c for c in ("poll", "page", "pos") if c in columns]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self.ttl)
+        self.seen = handle.getListState("seen", "keys string", ttlDurationMs=self.ttl)
+
+    def _firsts(self, rows: pd.DataFrame) -> pd.DataFrame:
+        return (rows.sort_values(self.order, kind="stable") if self.order else rows).drop_duplicates("seen_key")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N803
         first = None
         for frame in rows:
-            if self.order and len(frame):
-                frame = frame.sort_values(self.order).iloc[:1]
-                if first is not None and tuple(first[self.order].iloc[0]) <= tuple(frame[self.order].iloc[0]):
-                    continue
-                first = frame
-            elif first is None and len(frame):
-                first = frame.iloc[:1]
-        if first is not None and not self.seen.exists():
-            self.seen.update((True,))
+            if len(frame):
+                first = self._firsts(frame if first is None else pd.concat([first, frame]))
+        if first is None:
+            return
+        if self.seen.exists():
+            known = {k for (keys,) in self.seen.get() for k in keys.split("\n")}
+            first = first[~first["seen_key"].isin(known)]
+        if len(first):
+            self.seen.appendValue(("\n".join(first["seen_key"]),))
             yield first[self.columns]
 
     def close(self) -> None:
         pass
 
 
-def first_seen_stream(signals: DataFrame, key: str = "alertId", ttl_hours: float = DEFAULTS.dedup_ttl_hours) -> DataFrame:
-    return signals.groupBy(key).transformWithStateInPandas(FirstSeen(signals.columns, ttl_hours), signals.schema, "Append", "ProcessingTime")
+def first_seen_stream(signals: DataFrame, key: str = "alertId", ttl_hours: float = DEFAULTS.dedup_ttl_hours, groups: int = GROUPS) -> DataFrame:
+    """A stream with the first row of each key. ``groups`` can't change while a checkpoint is in use."""
+    one = F.to_json(F.struct(key), {"ignoreNullFields": "false"})  # a line of text for keys of any type; a null is a key too
+    dealt = signals.withColumns({"seen_key": one, "_group": F.pmod(F.xxhash64(one), F.lit(groups))})
+    return dealt.groupBy("_group").transformWithStateInPandas(FirstSeen(signals.columns, ttl_hours), signals.schema, "Append", "ProcessingTime")
 
 
 def sessions_stream(signals: DataFrame, keys: list[str], gap_hours: int = DEFAULTS.session_gap_hours, ts: str = "ts", lateness: str = "0 seconds") -> DataFrame:

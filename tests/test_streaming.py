@@ -3,6 +3,7 @@
 import json
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,39 @@ def test_poll(spark, stub, tmp_path):  # noqa: F811
         query.stop()
     assert len(Stub.seen) >= 3
     assert [r.alertId for r in spark.read.parquet(f"file://{tmp_path}/out").collect()] == ["a"]
+
+
+class Handle:
+    """A state handle that counts the calls to its one list."""
+
+    def __init__(self):
+        self.held, self.calls = [], 0
+
+    def getListState(self, name, schema, ttlDurationMs=None):  # noqa: N802, N803, ARG002
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return bool(self.held)
+
+    def get(self):
+        self.calls += 1
+        return iter(self.held)
+
+    def appendValue(self, value):  # noqa: N802
+        self.calls += 1
+        self.held.append(value)
+
+
+def test_first_seen_asks_the_state_by_the_group():
+    """A few calls and one frame for the many keys of a batch; with a call and a frame per key millions of keys don't end in time."""
+    processor, handle = st.FirstSeen(["alertId", "page", "pos"], 48), Handle()
+    processor.init(handle)
+    frame = lambda ids, page: pd.DataFrame({"alertId": ids, "page": page, "pos": range(len(ids)), "seen_key": [json.dumps({"alertId": i}) for i in ids]})
+    ids = [f"a{i}\n" for i in range(2000)] + [None]
+    out = list(processor.handleInputRows((7,), iter([frame(ids[1000:], 2), frame(ids, 1), frame(ids[:0], 1)]), None))
+    assert len(out) == 1 and list(out[0].columns) == ["alertId", "page", "pos"] and len(out[0]) == 2001 and set(out[0]["page"]) == {1}
+    again = list(processor.handleInputRows((7,), iter([frame([*ids, "new"], 3)]), None))
+    assert [list(f["alertId"]) for f in again] == [["new"]]
+    assert not list(processor.handleInputRows((7,), iter([frame(ids, 4)]), None))
+    assert handle.calls <= 9
