@@ -123,3 +123,21 @@ def test_time_hangs_little_on_the_number_of_phrases(spark, sf):
         phrases.matches(docs, lex).collect()
         took[n] = time.perf_counter() - began  # the second time counts, when code is compiled
     assert took[20_000] < 2 * took[200] + 1
+
+
+def test_a_text_is_read_once_for_all_phrases(spark):
+    """However many parts the lexicon has, the texts are read once, and few runs that are no phrases get as far as a join."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('flood w', id, ' river ', id % 7, ' dam over x', id) as text").mapInArrow(seen, "doc_id long, text string")
+    lex = spark.range(300).selectExpr("concat('w', id, ' River') as phrase", "concat('C', id % 3) as code").union(spark.sql("select 'dam over', 'D'")).union(spark.sql("select 'flood', 'D'"))
+    got = {(r.doc_id, r.code): r.n for r in phrases.matches(docs, lex, part=20).collect()}
+    assert got == {(i, f"C{i % 3}"): 1 for i in range(300)} | {(i, "D"): 2 for i in range(400)}
+    assert reads.value == 400
+    known = phrases.lexicon(lex)
+    assert phrases._counted(docs, known, [1, 2], "doc_id", "text").count() <= 300 + 800 + 5
