@@ -10,12 +10,18 @@ from ..functions import scalar
 from ..settings import DEFAULTS
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a column that is worked out once a row: through a generator, or the optimizer repeats its expression wherever it is used."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_pages(pages: DataFrame, schema: str, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """(parsed pages, quarantined pages). A page that isn't valid JSON, or has no alerts array, is quarantined, never lost.
 
     Parsed pages have ``alerts``, the modelled records, and ``payloads``, the source text of each with every field.
     """
-    parsed = pages.withColumns({"_p": F.from_json(body, schema, {"mode": "PERMISSIVE"}), "_s": F.from_json(body, "alerts ARRAY<STRING>", {"mode": "PERMISSIVE"})})
+    read = lambda ddl: F.from_json(body, ddl, {"mode": "PERMISSIVE"})
+    parsed = once(pages, "_b", F.struct(read(schema).alias("_p"), read("alerts ARRAY<STRING>").alias("_s"))).select("*", "_b.*").drop("_b")
     bad = F.col("_p").isNull() | F.col("_p.alerts").isNull()
     good = parsed.where(~bad).withColumns({"alerts": F.col("_p.alerts"), "nextPage": F.col("_p.nextPage"), "payloads": F.col("_s.alerts")})
     return good.drop("_p", "_s"), parsed.where(bad).drop("_p", "_s")

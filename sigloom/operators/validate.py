@@ -78,6 +78,7 @@ def records(pages: DataFrame, schema: str, body: str = "body", page: str = "page
     model = next(f.dataType.elementType for f in _parse_datatype_string(schema).fields if f.name == "alerts")
     place = [*(c for c in ("poll", "stop") if c in pages.columns), page, "pos"]
     each = good.select(*place[:-1], F.posexplode("payloads").alias("pos", "payload"))
-    checked = each.withColumn("reasons", F.when(F.col("payload").isNull(), _said("record", "missing")).when(F.try_parse_json("payload").isNull(), _said("record", "type")).otherwise(faults(F.try_parse_json("payload"), model, required=required)))
+    parsed = ingest.once(each, "_v", F.try_parse_json("payload"))
+    checked = ingest.once(parsed, "reasons", F.when(F.col("payload").isNull(), _said("record", "missing")).when(F.col("_v").isNull(), _said("record", "type")).otherwise(faults(F.col("_v"), model, required=required))).drop("_v")
     read = checked.where(F.size("reasons") == 0).withColumn("s", _typed(F.from_json("payload", _as_text(model).simpleString()), model))
     return read.select(*place, "s.*", "payload"), checked.where(F.size("reasons") > 0).select(*place, "payload", "reasons"), broken

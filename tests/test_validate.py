@@ -47,3 +47,13 @@ def test_faults(spark):
     assert [x["count"] for x in good[15].linkedAlerts] == [3, 3, 3, None, None]
     assert json.loads(good[1].payload)["extra"] == {"deep": [1]} and good[1].headline is None
     assert sorted(r.page for r in broken.collect()) == [2, 4]
+
+
+def test_a_record_is_parsed_once(spark):
+    """The optimizer doesn't put the parse of a text into every place of the model."""
+    pages = spark.createDataFrame([(1, '{"alerts": [{"alertId": "a", "alertTimestamp": "t"}, {"alertId": 5}]}'), (2, "{oops")], "page int, body string")
+    good, rejected, broken = validate.records(pages, schemas.page_ddl("alertUrl"))
+    for rows in (good, rejected):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("parseJson") <= 2, plan.count("parseJson")
+    assert [r.alertId for r in good.collect()] == ["a"] and [r.reasons for r in rejected.collect()] == [["type alertId", "missing alertTimestamp"]] and [r.page for r in broken.collect()] == [2]
