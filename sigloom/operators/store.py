@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import DEFAULTS
+from ..sources import scratch
 from . import events as ev
 
 HOUR = 3_600_000_000  # microseconds
@@ -118,7 +119,7 @@ def apply_grouping(signals: DataFrame, answers: DataFrame, events: DataFrame, ar
     signal is rejected if it has no answer or a failed one, or if that names no action or an event that isn't known. Signal ids of an event are one array.
     """
     told = answers.select("signal_id", "action", "event_id", F.col("title").alias("_title"), F.col("types").alias("event_types"), "failure")
-    decided = ev.route(signals.join(told, "signal_id", "left"))
+    decided = scratch.written(ev.route(signals.join(told, "signal_id", "left")), "decided")  # read five times, and a model is asked once
     created = ev.new_events(decided.where("route = 'insert'").withColumn("title", F.coalesce("_title", "title")))
     updates = decided.where("route = 'update'").select("event_id", "signal_id", "ts", *(a for a in arrival if a not in ("signal_id", "ts")))
     changed, unknown = ev.apply_updates(events, updates, arrival)

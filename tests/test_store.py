@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sigloom import schemas
 from sigloom.operators import events as ev
-from sigloom.operators import skew, store
+from sigloom.operators import model, skew, store
 from sigloom.streaming import events as se
 from sigloom.streaming import ingest as st
 
@@ -117,6 +118,24 @@ def test_grouping_answers(spark):
     assert {r.signal_id: r.reason for r in rejected.collect()} == {"d": "unknown event: gone", "e": "unexpected action: add_to_existing", "f": "the model is away", "g": "no answer"}
 
 
+def test_grouping_asks_the_model_once(spark):
+    """Events after the answers and rejected signals come from one answer to each request."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def connect():
+        def send(request):
+            calls.add(1)
+            return '{"action": "%s"}' % request
+        return send
+
+    signals = spark.createDataFrame([(s, f"t {s}", NOW, 4, ["FL"], n) for n, s in enumerate("abc")], "signal_id string, title string, ts timestamp, severity int, disaster_types array<string>, n int")
+    requests = spark.createDataFrame([("a", "create_new"), ("b", "wait"), ("c", "create_new")], "signal_id string, request string")
+    events = ev.new_events(signals.where("false").withColumn("event_types", F.array().cast("array<string>")))
+    after, rejected = store.apply_grouping(signals, model.answers(requests, connect, schemas.GROUPING), events, ["n"])
+    assert sorted(r.signalIds[0] for r in after.collect()) == ["a", "c"] and [r.signal_id for r in rejected.collect()] == ["b"]
+    assert calls.value == 3
+
+
 def some(spark, n, events, seed=0):
     rng = random.Random(seed)
     day = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randint(0, 86_400 * 60))
