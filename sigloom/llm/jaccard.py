@@ -10,8 +10,9 @@ for every l. Each document picks its l by the estimated cost of its prefix: the
 candidates its shingles would bring, the longer the prefix and the more shared shingles
 a pair needs before it is verified: as many as the smaller l of the two.
 
-Crowded shingles. A shingle that more than ``SMALL`` classes have in their prefixes isn't
-expanded into pairs. Its classes are first verified against one pivot, a number of pairs
+Crowded shingles. A shingle that more than ``SMALL`` classes have in their prefixes is
+expanded into pairs only as long as all such pairs are no more than the rows (``_crowds``).
+The classes of the others are first verified against one pivot, a number of pairs
 linear in the rows. Those within a Jaccard distance of 0.6 are the pivot's family; they are
 joined on the few tokens in which they differ from it (``_family_links``). The distance is a
 metric, so a class of the family and one outside can only link if their distances to the
@@ -19,6 +20,13 @@ pivot differ by 1 - t at most; those pairs, at the rim, are formed. The classes
 on to the next round with another pivot, or are few enough by then. No link between
 different components is lost, and a group of near copies costs as much as it has members.
 
+Disk. A class has a parity sketch: a bit for each slot of its shingles' hashes, set if an odd
+number of them falls there. Sketches of two sets differ in no more bits than the sets differ
+in shingles, so pairs too far apart go before any text is read for them, and no link does.
+The other pairs move whole sets, so they are compared in parts, one after the other, that
+move about one in ``PARTS`` of the corpus's shingles each. If even that is much, every class
+is first compared with one other, and then pairs within one component needn't be compared.
+
 Links are verified on the whole sets with integers; components follow from the links.
 
 Defined results: null and empty texts have an empty set and link with nothing, and so do
@@ -30,7 +38,8 @@ columns are ignored by ``components`` and kept by ``deduplicate``.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +52,10 @@ from . import stage, words
 from .semijoin import maybe_in, split_join
 
 SMALL = 16
+#: Times SMALL up to which a crowd may be expanded, so that no task forms very many pairs of one shingle.
+_MOST_CROWD = 16
+#: Parts of the corpus's shingles: as much as one in PARTS, and LEAST_PART at least, moves in one comparison.
+PARTS, LEAST_PART = 4, 4_000_000
 SKETCH_BITS, _BLOCK_BITS = 22, 16
 MOST_MATCHES = 4
 FEW_IDS = 500_000
@@ -77,8 +90,24 @@ def least_overlap(n: np.ndarray | int, num: int, den: int):  # noqa: ANN201
     return -(-n * num // den)
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """A bit for each of the slots, a power of two of them and about as many as tokens: whether an odd number of tokens falls there."""
+    slots = 1 << max(6, len(tokens).bit_length())
+    return np.packbits((np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1).astype(np.uint8)).tobytes()
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """The number of tokens that only one of two sets has is no less than this, by their parities."""
+    x, y = (a, b) if len(a) <= len(b) else (b, a)
+    u, v, size = int.from_bytes(x, "big"), int.from_bytes(y, "big"), len(y)
+    while size > len(x):  # the slots of a half as many are sums of two
+        size //= 2
+        v = (v >> 8 * size) ^ (v & ((1 << 8 * size) - 1))
+    return (u ^ v).bit_count()
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of documents (blk -1: doc_id, n, cls) and of partial sketches (blk 0..: data)."""
+    """Rows of documents (blk -1: doc_id, n, cls, and in data the parity) and of partial sketches (blk 0..: data)."""
     doc_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,14 +116,15 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             kind = batch.schema.field(0).type
             for part in words.slices(batch):
-                n, cls, tokens = [], [], []
+                n, cls, own, tokens = [], [], [], []
                 for doc, s in zip(part.column(0).to_pylist(), shingles(words.scan(part.column("text"), words.SPACED), k), strict=True):
                     n.append(len(s))
                     cls.append(class_of(s) if len(s) and doc is not None else None)
+                    own.append(parity(s) if cls[-1] is not None else None)
                     tokens.append(s)
                 slots, times = np.unique((np.concatenate(tokens) >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32), return_counts=True)
                 counts[slots] = np.minimum(counts[slots] + times.astype(np.uint32), 65535)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array([-1] * len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=["doc_id", "n", "cls", "blk", "data"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array([-1] * len(n), pa.int32()), pa.array(own, pa.binary())], names=["doc_id", "n", "cls", "blk", "data"])
         if kind is not None:
             blocks = counts.astype("<u2", copy=False).reshape(-1, 1 << _BLOCK_BITS)
             used = [b for b in range(len(blocks)) if blocks[b].any()]
@@ -265,16 +295,73 @@ def _family_links(stars: DataFrame, num: int, den: int) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long")
 
 
-def _crowds(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``members`` (token, cls, n, matches) of tokens with at most SMALL, and those of the others with the pivot: the class most often in crowds."""
+def _possible(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` (x, y) that can link by their parities, with the sizes nx and ny."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("nx", "ny", "px", "py"))
+            keep = [(num + den) * least_apart(a, b) <= (den - num) * (nx + ny) for nx, ny, a, b in zip(*columns, strict=True)]
+            yield batch.select(["x", "y", "nx", "ny"]).filter(pa.array(keep, pa.bool_()))
+
+    return _sized(pairs, classes, "parity").mapInArrow(run, "x long, y long, nx long, ny long")
+
+
+def _sized(pairs: DataFrame, classes: DataFrame, *more: str) -> DataFrame:
+    """``pairs`` (x, y) with the sizes nx and ny, and other columns of ``classes`` by their first letter."""
+    for side in ("x", "y"):
+        pairs = pairs.join(classes.select(F.col("cls").alias(side), *(F.col(c).alias(c[0] + side) for c in ("n", *more))), side)
+    return pairs
+
+
+def _moved(pairs: DataFrame) -> int:
+    """The shingles that a comparison of ``pairs`` (x, y, nx, ny) moves."""
+    return pairs.agg(F.coalesce(F.sum(F.col("nx") + F.col("ny")), F.lit(0))).first()[0]
+
+
+def _compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, limit: int, of: Callable[[DataFrame], DataFrame] = lambda v: v) -> DataFrame:
+    """``of`` what ``_verified`` finds for ``pairs`` (x, y, nx, ny), in parts of about ``limit`` shingles one after the other."""
+    parts, out = max(1, -(-_moved(pairs) // limit)), None
+    for part in range(parts):
+        some = pairs.where(F.pmod(F.xxhash64("y"), F.lit(parts)) == part).select("x", "y")
+        ends = some.select(F.col("x").alias("cls")).unionByName(some.select(F.col("y").alias("cls"))).distinct()
+        tokens = stage.written(_texts(docs, classes, ends, k), "tokens", codec="none")
+        stage.release(docs.sparkSession)
+        found = stage.written(of(_verified(some, tokens)), "verified")
+        stage.discard(tokens)
+        stage.release(docs.sparkSession)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _between(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """``pairs`` (x, y, ..) whose ends the links ``found`` don't connect."""
+    known = stage.written(graph.connected(found), "known")
+    for side in ("x", "y"):
+        pairs = pairs.join(known.select(F.col("node").alias(side), F.col("component").alias(f"_{side}")), side, "left")
+    return pairs.where(F.coalesce("_x", "x") != F.coalesce("_y", "y")).drop("_x", "_y")
+
+
+def _crowds(members: DataFrame, room: int) -> tuple[DataFrame, DataFrame, int]:
+    """``members`` (token, cls, n, matches) of tokens with few, those of the others with the pivot: the class most often in crowds, and what is left of ``room``.
+
+    At most SMALL are few, and so are larger crowds, the smallest first, while they bring no more than ``room`` pairs in all.
+    """
     total = members.count()
-    crowd = stage.written(members.groupBy("token").agg(F.count("*").alias("crowd")).where(F.col("crowd") > SMALL), "crowd")
+    crowd = members.groupBy("token").agg(F.count("*").alias("crowd")).where(F.col("crowd") > SMALL)
+    crowd = stage.written(crowd.withColumn("step", F.floor(F.log2(F.col("crowd") / F.lit(SMALL))).cast("int")), "crowd")
+    few = 0
+    for r in crowd.where(F.expr(f"crowd <= {_MOST_CROWD * SMALL}")).groupBy("step").agg(F.sum(F.expr("crowd * (crowd - 1) div 2")).alias("pairs")).orderBy("step").collect():
+        if r.pairs > room:
+            break
+        few, room = r.step + 1, room - r.pairs
+    crowd = crowd.where(F.expr(f"step >= {few} or crowd > {_MOST_CROWD * SMALL}")).drop("step")
     crowded = stage.written(split_join(members, crowd, "token", "crowd", total, F.xxhash64("cls")), "crowded")
     often = crowded.groupBy("cls").agg(F.count("*").alias("often"))
     ranked = crowded.join(often, "cls")
     pivots = stage.written(ranked.groupBy("token").agg(F.max(F.struct("often", "cls")).alias("top"), F.count("*").alias("rows")).select("token", F.col("top.cls").alias("pivot"), "rows"), "pivots")
     quiet = stage.written(members.join(crowd.select("token"), "token", "left_anti"), "quiet")
-    return quiet, stage.written(split_join(crowded, pivots, "token", "rows", total, F.xxhash64("cls")), "crowds")
+    return quiet, stage.written(split_join(crowded, pivots, "token", "rows", total, F.xxhash64("cls")), "crowds"), room
 
 
 def _pairs_within(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -292,7 +379,8 @@ def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: i
     members = stage.written(split_join(postings, buckets, "token", "rows", postings.count(), F.xxhash64("cls")).dropDuplicates(["token", "cls"]), "shared")
     stage.discard(postings, buckets)
     stage.release(spark)
-    ends = lambda p: p.select(F.col("x").alias("cls")).unionByName(p.select(F.col("y").alias("cls")))
+    room = members.count()
+    limit = max(LEAST_PART, (classes.agg(F.sum("n")).first()[0] or 0) // PARTS)
     reached = lambda v: v.where(f"{den} * shared >= {num} * both").select(F.col("x").alias("a"), F.col("y").alias("b"))
     found: list[DataFrame] = []
     direct: list[DataFrame] = []
@@ -300,17 +388,15 @@ def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: i
         if direct and not members.limit(1).count():
             members = None
             break
-        quiet, crowded = _crowds(members)
+        quiet, crowded, room = _crowds(members, room)
         direct.append(_pairs_within(quiet, num, den))
         others = crowded.where("cls <> pivot")
         stars = stage.written(others.select(F.col("pivot").alias("x"), F.col("cls").alias("y")).distinct(), "stars")
         if not stars.limit(1).count():
             members = None
             break
-        tokens = stage.written(_texts(docs, classes, ends(stars).distinct(), k), "tokens", codec="none")
-        verified = stage.written(_verified(stars, tokens), "verified")
-        stage.discard(stars, tokens)
-        stage.release(spark)
+        verified = _compared(docs, classes, _sized(stars, classes), k, limit)
+        stage.discard(stars)
         found += [reached(verified), stage.written(_family_links(verified, num, den), "family")]
         stage.release(spark)
         # the distance to the pivot in steps of 1 - t; linked classes lie in the same step or the next
@@ -328,12 +414,17 @@ def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: i
         every = every.unionByName(more)
     pairs = stage.written(every.groupBy("x", "y").agg(F.count("*").alias("found"), F.first("asked").alias("asked")).where("found >= asked").select("x", "y"), "pairs")
     stage.release(spark)
-    if pairs.limit(1).count():
-        found.append(reached(_verified(pairs, stage.written(_texts(docs, classes, ends(pairs).distinct(), k), "tokens", codec="none"))))
-    out = found[0] if found else spark.createDataFrame([], "a long, b long")
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return stage.written(out, "links")
+    near = stage.written(_possible(pairs, classes, num, den), "near")
+    stage.discard(pairs)
+    stage.release(spark)
+    together = lambda: reduce(DataFrame.unionByName, found)
+    if _moved(near) > PARTS * limit // 2:
+        first = stage.written(near.groupBy("y").agg(F.min(F.struct("x", "nx", "ny")).alias("one")).select("one.x", "y", "one.nx", "one.ny"), "first")
+        found.append(_compared(docs, classes, first, k, limit, reached))
+        near = stage.written(_between(near.join(first, ["x", "y"], "left_anti"), together()), "near")
+    if near.limit(1).count():
+        found.append(_compared(docs, classes, near, k, limit, reached))
+    return stage.written(together() if found else spark.createDataFrame([], "a long, b long"), "links")
 
 
 def _rooted(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -343,10 +434,10 @@ def _rooted(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     rows = stage.written(_sets(docs, k), "sets")
     ranks = _ranks(rows)
     sets = rows.where("blk = -1").select("doc_id", "n", "cls")
-    classes = stage.written(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "classes")
+    classes = stage.written(rows.where("blk = -1 and cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("data").alias("parity")), "classes")
     found = graph.connected(links(docs, classes, ranks, k, num, den))
     stage.release(docs.sparkSession)
-    rooted = stage.written(classes.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls")), "rooted")
+    rooted = stage.written(classes.drop("n", "parity").join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls")), "rooted")
     smallest = stage.written(rooted.groupBy("component").agg(F.min(F.struct("least", "cls")).alias("first"), F.count("*").alias("classes")), "smallest")
     dealt = split_join(rooted, smallest, "component", "classes", rooted.count(), F.xxhash64("cls"))
     by_class = stage.written(dealt.select("cls", "rows", F.col("first.least").alias("component_id"), F.col("first.cls").alias("rep")), "by-class")

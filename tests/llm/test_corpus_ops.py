@@ -305,6 +305,57 @@ def test_copies_of_edited_copies(documents, sentences):
     assert got == plain_components(list(enumerate(texts)), 4, 85, 100) and len({c for _, c in got.values()}) >= 4
 
 
+def test_parities_never_lose_a_link():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        n, m = rng.integers(1, 700, 2)
+        pool = rng.integers(0, 2**63, 800).astype(np.uint64)
+        a, b = (np.unique(rng.choice(pool, size, replace=False)) for size in (n, m))
+        apart = jaccard.least_apart(jaccard.parity(a), jaccard.parity(b))
+        assert apart <= len(np.setxor1d(a, b)) and apart == jaccard.least_apart(jaccard.parity(b), jaccard.parity(a))
+    unlike = [rng.integers(0, 2**63, size).astype(np.uint64) for size in (500, 520)]
+    assert jaccard.least_apart(*map(jaccard.parity, unlike)) > 0.162 * 510
+
+
+def rows_of_tables(monkeypatch, name):
+    """The numbers of rows of the tables written under ``name`` from now on."""
+    found = []
+
+    def written(df, called, *more, real=stage.written, **named):
+        out = real(df, called, *more, **named)
+        if called == name:
+            found.append(out.count())
+        return out
+
+    monkeypatch.setattr(stage, "written", written)
+    return found
+
+
+def test_jaccard_reads_no_texts_for_unlike_candidates(documents, sentences, monkeypatch):
+    """Pairs that share rare shingles but are too far apart made it move the whole sets of nearly all documents of a large corpus."""
+    texts = []
+    for i in range(20):
+        both = sentences(900 + i, 86)
+        texts += [sentences(1000 + 2 * i + j, 14) + " " + both for j in (0, 1)]
+    alike = sentences(2000, 100)
+    texts += [alike, alike + " more"]
+    read = rows_of_tables(monkeypatch, "tokens")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(documents(texts), k=4, num=85, den=100).collect()}
+    assert got == plain_components(list(enumerate(texts)), 4, 85, 100)
+    assert 2 <= sum(read) < 12
+
+
+def test_jaccard_compares_near_copies_in_parts(documents, sentences, monkeypatch):
+    rng = random.Random(5)
+    texts = [edited(rng, sentences(3000 + i % 8, 100), i % 3) for i in range(96)]
+    monkeypatch.setattr(jaccard, "LEAST_PART", 1)
+    read, compared = rows_of_tables(monkeypatch, "tokens"), []
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, tokens, real=jaccard._verified: (compared.append(pairs.count()), real(pairs, tokens))[1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(documents(texts), k=4, num=85, den=100).collect()}
+    assert got == plain_components(list(enumerate(texts)), 4, 85, 100)
+    assert len(read) > 3 and max(read) < 50 and 40 < sum(compared) < 200  # of more than 250 pairs that link
+
+
 def test_jaccard_edges(documents, sentences):
     t = sentences(1, 40)
     rows = jaccard.components(documents([t, t, None, t], ids=[5, 5, 6, None])).collect()
