@@ -22,7 +22,8 @@ different components is lost, and a group of near copies costs as much as it has
 
 Disk. A class has a parity sketch: a bit for each slot of its shingles' hashes, set if an odd
 number of them falls there. Sketches of two sets differ in no more bits than the sets differ
-in shingles, so pairs too far apart go before any text is read for them, and no link does.
+in shingles, so pairs too far apart go before any text is read for them, and no link does; so
+do classes too far from their pivot to be of its family.
 The other pairs move whole sets, so they are compared in parts, one after the other, that
 move about one in ``PARTS`` of the corpus's shingles each. If even that is much, every class
 is first compared with one other, and then pairs within one component needn't be compared.
@@ -91,8 +92,8 @@ def least_overlap(n: np.ndarray | int, num: int, den: int):  # noqa: ANN201
 
 
 def parity(tokens: np.ndarray) -> bytes:
-    """A bit for each of the slots, a power of two of them and about as many as tokens: whether an odd number of tokens falls there."""
-    slots = 1 << max(6, len(tokens).bit_length())
+    """A bit for each of the slots, a power of two of them and four to eight times as many as tokens: whether an odd number of tokens falls there."""
+    slots = 1 << max(6, (4 * len(tokens)).bit_length())
     return np.packbits((np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1).astype(np.uint8)).tobytes()
 
 
@@ -295,16 +296,16 @@ def _family_links(stars: DataFrame, num: int, den: int) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long")
 
 
-def _possible(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """``pairs`` (x, y) that can link by their parities, with the sizes nx and ny."""
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` (x, y) with the sizes nx and ny, and in least how many tokens at least only one of the two has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("nx", "ny", "px", "py"))
-            keep = [(num + den) * least_apart(a, b) <= (den - num) * (nx + ny) for nx, ny, a, b in zip(*columns, strict=True)]
-            yield batch.select(["x", "y", "nx", "ny"]).filter(pa.array(keep, pa.bool_()))
+            least = [max(least_apart(a, b), abs(nx - ny)) for nx, ny, a, b in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("x", "y", "nx", "ny")), pa.array(least, pa.int64())], names=["x", "y", "nx", "ny", "least"])
 
-    return _sized(pairs, classes, "parity").mapInArrow(run, "x long, y long, nx long, ny long")
+    return _sized(pairs, classes, "parity").select("x", "y", "nx", "ny", "px", "py").mapInArrow(run, "x long, y long, nx long, ny long, least long")
 
 
 def _sized(pairs: DataFrame, classes: DataFrame, *more: str) -> DataFrame:
@@ -395,15 +396,22 @@ def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: i
         if not stars.limit(1).count():
             members = None
             break
-        verified = _compared(docs, classes, _sized(stars, classes), k, limit)
+        bounded = stage.written(_bounded(stars, classes), "bounded")
+        far = F.expr(f"{2 * _FAMILY[1]} * least > {_FAMILY[0]} * (nx + ny + least)")  # certainly outside the family
+        verified = _compared(docs, classes, bounded.where(~far).drop("least"), k, limit)
         stage.discard(stars)
         found += [reached(verified), stage.written(_family_links(verified, num, den), "family")]
         stage.release(spark)
-        # the distance to the pivot in steps of 1 - t; linked classes lie in the same step or the next
+        # the distance to the pivot in steps of 1 - t; linked classes lie in the same step or the next, and one outside in a step from low + 1 to high
         ring = F.expr(f"cast(({den} * (both - shared) - 1) div ({den - num} * both) as int)")
-        ringed = stage.written(others.join(verified.select(F.col("x").alias("pivot"), F.col("y").alias("cls"), ring.alias("ring"), F.col("delta").isNotNull().alias("near")), ["pivot", "cls"]).select("token", "cls", "n", "matches", "ring", "near"), "rings")
-        rim = ringed.where("near").select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("matches").alias("mx"), "ring")
-        out = ringed.where("not near").select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("matches").alias("my"), F.explode(F.expr("array(ring, ring - 1)")).alias("ring"))
+        first = F.expr(f"cast((2 * {den} * least - 2) div ({den - num} * (nx + ny + least)) as int)")
+        last = -(-_FAMILY[0] * den // (_FAMILY[1] * (den - num)))  # no class of the family lies in a later step
+        pair = [F.col("x").alias("pivot"), F.col("y").alias("cls")]
+        placed = verified.select(*pair, (ring - 1).alias("low"), ring.alias("high"), F.col("delta").isNotNull().alias("near"))
+        placed = placed.unionByName(bounded.where(far).select(*pair, (first - 1).alias("low"), F.lit(last).alias("high"), F.lit(False).alias("near")))
+        ringed = stage.written(others.join(placed, ["pivot", "cls"]).select("token", "cls", "n", "matches", "low", "high", "near"), "rings")
+        rim = ringed.where("near").select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("matches").alias("mx"), F.col("high").alias("ring"))
+        out = ringed.where(f"not near and low <= {last}").select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("matches").alias("my"), F.explode(F.expr(f"sequence(low, least(high, {last}))")).alias("ring"))
         crossing = rim.join(out, ["token", "ring"]).where(_alike("nx", "ny", num, den)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.least("mx", "my").alias("asked"))
         direct.append(crossing)
         members = ringed.where("not near").select("token", "cls", "n", "matches")
@@ -414,7 +422,7 @@ def links(docs: DataFrame, classes: DataFrame, ranks: np.ndarray, k: int, num: i
         every = every.unionByName(more)
     pairs = stage.written(every.groupBy("x", "y").agg(F.count("*").alias("found"), F.first("asked").alias("asked")).where("found >= asked").select("x", "y"), "pairs")
     stage.release(spark)
-    near = stage.written(_possible(pairs, classes, num, den), "near")
+    near = stage.written(_bounded(pairs, classes).where(f"{num + den} * least <= {den - num} * (nx + ny)").drop("least"), "near")
     stage.discard(pairs)
     stage.release(spark)
     together = lambda: reduce(DataFrame.unionByName, found)
